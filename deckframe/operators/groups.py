@@ -36,7 +36,7 @@ def complete_groups(df: DataFrame, group, quantity: str, size=100, op: str = "==
     """
     group = as_list(group)
     ok = groups_where_total(df, group, quantity, size, op).select(*group)
-    return df.join(ok, on=group, how="left_semi")
+    return df.join(ok, on=group, how="left_semi").select(*df.columns)
 
 
 def ordered_concat(df: DataFrame, group, value: str, sep: str, alias: str | None = None) -> DataFrame:

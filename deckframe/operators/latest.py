@@ -32,7 +32,7 @@ def latest_per_key(df: DataFrame, keys, version: str, method: str = "semi") -> D
                   .drop("__newest"))
     newest = (df.where(_all_not_null(keys))
                 .groupBy(*keys).agg(F.max(version).alias(version)))
-    return df.join(newest, on=keys + [version], how="left_semi")
+    return df.join(newest, on=keys + [version], how="left_semi").select(*df.columns)
 
 
 def _all_not_null(cols):

@@ -7,8 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count we allow to be broadcast when the caller asks for a
-# broadcast join of a side whose size is not bounded by construction.
+# Broadcast policy
+# ----------------
+# Joins against lookup sides (collection, image table, per-commander counts)
+# are written as plain joins.  Adaptive execution measures the lookup side
+# after it is materialised and switches to a broadcast hash join only below
+# ``spark.sql.adaptive.autoBroadcastJoinThreshold``; above it the join stays a
+# shuffle join with skew splitting.  That runtime measurement is the size check
+# and costs no extra job.  Callers who know a side is cheap to count can pass
+# ``max_broadcast_rows`` to force a broadcast after an explicit row-count check.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
@@ -34,7 +41,7 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> boo
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               max_rows: int | None = None) -> DataFrame:
     """Join ``big`` with a side expected to be small.
 
     The small side is broadcast only after :func:`fits_broadcast` has proven it

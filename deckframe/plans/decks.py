@@ -21,7 +21,7 @@ from deckframe.operators.incremental import newer_than, upsert
 from deckframe.operators.latest import latest_per_key
 from deckframe.operators.ownership import fully_owned_groups, owned_rows
 from deckframe.operators.running import budget_cut
-from deckframe.operators.util import DEFAULT_BROADCAST_ROWS, as_list, fits_broadcast
+from deckframe.operators.util import as_list, fits_broadcast
 
 # Board JSON column -> board type label.
 BOARD_TYPES = {"commanders": "Commander", "mainboard": "Mainboard", "companions": "Companion"}
@@ -122,7 +122,7 @@ def refresh_deck_details(target: DataFrame | None, history: DataFrame, commander
 
 def average_decks(lists: DataFrame, commanders: DataFrame, budget: int = 100,
                   normalize_join: bool = False, by=(), keep_type: bool = False,
-                  max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_rows: int | None = None) -> DataFrame:
     """Average deck per commander (Q4).
 
     Per (commander, card, board type): total copies over the complete lists of

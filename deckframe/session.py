@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # runtime size bound for converting a join to a broadcast join
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
