@@ -480,3 +480,23 @@ SELECT * FROM boards WHERE deck_id IN (
   SELECT deck_id FROM boards GROUP BY deck_id HAVING sum(quantity) <= {DECK_SIZE})""")
 def q_complete_groups_at_most(spark, d):
     return complete_groups(_boards(spark, d), ["deck_id"], "quantity", DECK_SIZE, "<=")
+
+
+# Stream the landed events through micro-batch upserts into a versioned
+# state table; the final state holds the newest event per user.
+@register("streaming_latest_state", """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, event_type DESC,
+                                                            value DESC, props DESC) AS rn
+  FROM events) WHERE rn = 1""")
+def q_streaming_latest_state(spark, d):
+    from deckframe.session import scratch_path
+    from deckframe.sources.writers import TableStore
+    from deckframe.streaming import landing_stream, run_upsert_stream
+    src = star.table(spark, d, "events")
+    root = scratch_path(spark, "events-state")
+    stream = landing_stream(spark, f"{d.rstrip('/')}/event[s].parquet", src.schema)
+    store = TableStore(spark, f"{root}/state")
+    q = run_upsert_stream(stream, store, ["user_id"], "ts", f"{root}/stream-checkpoint")
+    q.awaitTermination()
+    return store.current().select(*src.columns)

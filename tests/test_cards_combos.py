@@ -1,0 +1,146 @@
+"""Prices (M4), image lookup (M5), combos (M8), leaderboards (M9), JSON."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from deckframe.functions.json import list_to_indexed_map, parse_price_repr
+from deckframe.functions.time import canonical_ts_text, parse_utc
+from deckframe.plans import cards, combos, decks, web
+
+
+def test_prices_numeric_not_text_m4(spark):
+    df = spark.createDataFrame(
+        [("X", "{'usd': '9.5', 'usd_foil': '10.5', 'usd_etched': None, 'eur': None}")],
+        "name string, prices string")
+    r = cards.card_prices(df).first()
+    assert float(r["usd"]) == 9.5 and float(r["usd_foil"]) == 10.5
+    assert r["usd_etched"] is None and r["eur"] is None
+    assert float(r["min_usd"]) == 9.5 and float(r["max_usd"]) == 10.5   # not '10.5' / '9.5'
+    assert float(r["min_eur"]) == 999999999 and float(r["max_eur"]) == -999999999
+
+
+def test_price_repr_keeps_apostrophes(spark):
+    df = spark.createDataFrame([("{'usd': '1.00', 'eur': None, 'note': 'Urza\\'s'}",)], "p string")
+    r = df.select(parse_price_repr("p").alias("x")).first()["x"]
+    assert r["usd"] == "1.00" and r["eur"] is None
+
+
+def test_prices_current_rows_only(spark):
+    df = spark.createDataFrame(
+        [("A", "{'usd': '1'}", None), ("A", "{'usd': '5'}", dt.datetime(2024, 1, 1))],
+        "name string, prices string, valid_to timestamp")
+    rows = cards.card_prices(df).collect()
+    assert len(rows) == 1 and float(rows[0]["usd"]) == 1
+
+
+IMG_SCHEMA = ("name string, layout string, lang string, flavor_name string, released_at string, "
+              "oracle_id string, type_line string, image_uris struct<normal:string>, "
+              "card_faces array<struct<name:string,type_line:string,image_uris:struct<normal:string>>>, "
+              "seq bigint")
+
+
+def _face(n, url):
+    return (n, "t", (url,))
+
+
+def test_image_lookup_m5(spark):
+    rows = [
+        ("A", "normal", "en", None, "2020", "oa", "t", ("u0",), None, 0),
+        ("A", "normal", "en", None, "2010", "oa", "t", ("u1",), None, 1),
+        ("A", "normal", "en", None, "2010", "oa", "t", ("u2",), None, 2),
+        ("A", "art_series", "en", None, "2000", "oa", "t", ("ux",), None, 3),
+        ("A", "normal", "fr", None, "1990", "oa", "t", ("uf",), None, 4),
+        ("B // C", "transform", "en", None, "2015", "ob", "t", (None,),
+         [_face("B", "/normal/front/b5"), _face("C", "/normal/back/c5")], 5),
+        ("B // C", "transform", "en", None, "2018", "ob", "t", (None,),
+         [_face("B", "/normal/front/b6"), _face("C", "/normal/back/c6")], 6),
+        ("D", "normal", "en", "Flavour", "1990", "od", "t", ("ud",), None, 7),
+    ]
+    got = {r["card_name"]: r["image_url"]
+           for r in cards.image_lookup(spark.createDataFrame(rows, IMG_SCHEMA)).collect()}
+    assert got == {"A": "u2", "B // C": "/normal/front/b6", "B": "/normal/front/b5",
+                   "C": "/normal/back/c5"}
+
+
+def test_image_lookup_face_without_image_stops_faces(spark):
+    rows = [("E // F", "transform", "en", None, "2015", "oe", "t", ("pe",),
+             [("E", "t", (None,)), _face("F", "/normal/back/f")], 0)]
+    got = {r["card_name"]: r["image_url"]
+           for r in cards.image_lookup(spark.createDataFrame(rows, IMG_SCHEMA)).collect()}
+    assert got == {"E // F": "pe"}
+
+
+def test_combo_cards_and_usable_m8(spark):
+    x = '{"uses": [{"card": {"id": 1, "name": "A", "oracleId": "a"}}, {"card": {"id": 2, "name": "B", "oracleId": "b"}}], "identity": "WU", "produces": [{"feature": {"name": "win"}}], "popularity": 7}'
+    y = '{"uses": [{"card": {"id": 1, "name": "A", "oracleId": "a"}}, {"card": {"id": 3, "name": "C", "oracleId": "c"}}], "identity": "WU"}'
+    z = '{"uses": [], "identity": "G"}'
+    hist = spark.createDataFrame([("x", "ok", x, None), ("y", "ok", y, None), ("z", "ok", z, None),
+                                  ("old", "ok", x, dt.datetime(2024, 1, 1))],
+                                 "id string, status string, combodata string, valid_to timestamp")
+    rows = combos.combo_cards(hist)
+    got = rows.collect()
+    assert sorted((r["id"], r["name"], r["card_id"]) for r in got) == \
+        [("x", "A", 1), ("x", "B", 2), ("y", "A", 1), ("y", "C", 3)]
+    rx = [r for r in got if r["id"] == "x"][0]
+    assert rx["popularity"] == "7" and rx["identity"] == "WU" and rx["produces"].startswith("[")
+    coll = spark.createDataFrame([("A", 1), ("B", 2)], "name string, quantity bigint")
+    usable = combos.usable_combos(rows, coll).collect()
+    assert sorted((r["id"], r["name"]) for r in usable) == [("x", "A"), ("x", "B")]
+
+
+def test_top_commanders_partner_string_m9(spark):
+    b = spark.createDataFrame([("d1", "Z"), ("d1", "A"), ("d1", None)], "deck_id string, card_name string")
+    from deckframe.operators.groups import ordered_concat
+    s = ordered_concat(b, "deck_id", "card_name", "[and]", alias="commander_name")
+    assert s.first()["commander_name"] == "A[and]Z"
+    images = spark.createDataFrame([("A", "ia", "oa", "Creature"), ("Z", "iz", "oz", "Creature")],
+                                   "card_name string, image_url string, oracle_id string, type_line string")
+    top = web.top_commanders(s, images).first()
+    assert (top["oracle_id"], top["card_front"], top["card_back"], top["decks"]) == ("oa", "ia", "iz", 1)
+
+
+def test_top_cards_skips_lands_and_basics(spark):
+    lists = spark.createDataFrame(
+        [("d1", "Bolt"), ("d2", "Bolt"), ("d1", "Island"), ("d1", "Forest"), ("d3", "Sol Ring"),
+         ("d1", "X // Y")], "deck_id string, card_name string")
+    images = spark.createDataFrame(
+        [("Bolt", "ib", "ob", "Instant"), ("Island", "ii", "oi", "Basic Land"),
+         ("Forest", "if", "of", "Creature"), ("Sol Ring", "is", "os", "Artifact"),
+         ("X // Y", None, "ox", "Creature"), ("X", "/normal/front/x", "ox", "Creature"),
+         ("Y", "/normal/back/y", "ox", "Creature")],
+        "card_name string, image_url string, oracle_id string, type_line string")
+    got = [(r["card_name"], r["decks"], r["card_front"], r["card_back"])
+           for r in web.top_cards(lists, images, k=2).collect()]
+    assert got == [("Bolt", 2, "ib", None), ("Sol Ring", 1, "is", None)]
+    got = {r["card_name"]: (r["card_front"], r["card_back"])
+           for r in web.top_cards(lists, images).collect()}
+    assert got["X // Y"] == ("/normal/front/x", "/normal/back/y")
+
+
+def test_board_explode_and_empty_board(spark):
+    doc = ('{"count": 2, "cards": {"k1": {"quantity": 1, "card": {"name": "Bolt"}}, '
+           '"2x": {"quantity": 3, "card": {"name": "Island"}}}}')
+    decks_df = spark.createDataFrame(
+        [("d1", dt.datetime(2024, 1, 1), "cedh", doc, "{}", None)],
+        "id string, lastUpdatedAtUtc timestamp, format string, mainboard string, commanders string, "
+        "companions string")
+    rows = decks.board_cards(decks_df).collect()
+    assert sorted((r["card_name"], r["quantity"], r["type"]) for r in rows) == \
+        [("Bolt", 1, "Mainboard"), ("Island", 3, "Mainboard")]
+    one = decks.explode_board(decks_df, "commanders").count()
+    assert one == 0
+
+
+def test_list_to_indexed_map_m7(spark):
+    df = spark.createDataFrame([(["a", "b"],), (None,)], "x array<string>")
+    got = [r[0] for r in df.select(list_to_indexed_map("x")).collect()]
+    assert got == ['{"0":"a","1":"b"}', "{}"]
+
+
+def test_parse_utc_formats(spark):
+    vals = ["2025-12-19T01:03:53.01Z", "2025-12-19T01:03:53Z", "2025-12-19T03:03:53+02:00",
+            "2025-12-19 01:03:53.123", "junk"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [r[0] for r in df.select(canonical_ts_text(parse_utc("s"))).collect()]
+    assert got == ["2025-12-19 01:03:53"] * 4 + [None]
