@@ -26,6 +26,7 @@ from deckframe.plans import cards, combos, decks, star, web
 # Binding parameters.
 DECK_SIZE = 100
 AVERAGE_BUDGET = 10
+AVERAGE_DECK_SIZE = 6      # target size of a buildable average deck in this binding
 STATE_CUT_EARLY = "2024-01-20 00:00:00"   # second batch starts here
 STATE_CUT_LATE = "2024-01-21 12:00:00"    # first batch ends here
 SNAPSHOT_1 = "2024-02-01 00:00:00"
@@ -500,3 +501,68 @@ def q_streaming_latest_state(spark, d):
     q = run_upsert_stream(stream, store, ["user_id"], "ts", f"{root}/stream-checkpoint")
     q.awaitTermination()
     return store.current().select(*src.columns)
+
+
+# Q15: the average-deck model for every format in one plan (format = order priority)
+@register("average_by_format", _with("parts") + """,
+boards AS (
+  SELECT l_orderkey AS deck_id, l_shipdate AS lastUpdatedAtUtc, card_name, o_orderpriority AS format,
+         CAST(l_quantity AS BIGINT) AS quantity,
+         CASE WHEN l_linenumber = 1 THEN 'Commander' WHEN l_linenumber = 2 THEN 'Companion' ELSE 'Mainboard' END AS type
+  FROM lineitem JOIN parts ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey),
+latest AS (
+  SELECT b.* FROM boards b
+  JOIN (SELECT format, deck_id, type, max(lastUpdatedAtUtc) AS m FROM boards GROUP BY 1, 2, 3) l
+    ON b.format = l.format AND b.deck_id = l.deck_id AND b.type = l.type AND b.lastUpdatedAtUtc = l.m),
+decklists AS (
+  SELECT * FROM latest WHERE (format, deck_id) IN (
+    SELECT format, deck_id FROM latest GROUP BY 1, 2 HAVING sum(quantity) = """ + str(DECK_SIZE) + f"""
+)),
+cmd AS (SELECT format, deck_id, card_name AS cmd_raw FROM boards WHERE type = 'Commander'),
+per_cmd AS (SELECT format, {_strip('cmd_raw')} AS commander, count(DISTINCT deck_id) AS total_decks
+            FROM cmd GROUP BY 1, 2),
+stats AS (
+  SELECT hd.format, {_strip('c.cmd_raw')} AS commander, {_strip('hd.card_name')} AS card_name, hd.type,
+         sum(hd.quantity) / max(d.total_decks) AS avg,
+         CAST(ceil(sum(hd.quantity) / max(d.total_decks)) AS BIGINT) AS ceilavg,
+         max(d.total_decks) AS total_decks
+  FROM decklists hd LEFT JOIN cmd c ON hd.format = c.format AND hd.deck_id = c.deck_id
+  LEFT JOIN per_cmd d ON d.format = c.format AND d.commander = c.cmd_raw
+  WHERE c.cmd_raw IS NOT NULL
+  GROUP BY 1, 2, 3, 4),
+rt AS (SELECT *, sum(ceilavg) OVER (PARTITION BY format, commander
+                                    ORDER BY avg DESC NULLS LAST, card_name ASC NULLS FIRST) AS running_total
+       FROM stats)
+SELECT format, commander, card_name, ceilavg AS quantity, total_decks FROM rt
+WHERE running_total <= {AVERAGE_BUDGET}""")
+def q_average_by_format(spark, d):
+    b = star.deck_boards_by_priority(spark, d)
+    lists = decks.decklists(b, DECK_SIZE, by=["format"])
+    return decks.average_decks(lists, star.commanders(b), AVERAGE_BUDGET, by=["format"])
+
+
+# Q6: average decks the collection can build (owned average quantities total the budget)
+@register("buildable_average", _with(*_DECKLISTS, "coll") + f""",
+cmd AS (SELECT deck_id, card_name AS cmd_raw FROM boards WHERE type = 'Commander'),
+per_cmd AS (SELECT {_strip('cmd_raw')} AS commander, count(DISTINCT deck_id) AS total_decks FROM cmd GROUP BY 1),
+stats AS (
+  SELECT {_strip('c.cmd_raw')} AS commander, {_strip('hd.card_name')} AS card_name, hd.type,
+         sum(hd.quantity) / max(d.total_decks) AS avg,
+         CAST(ceil(sum(hd.quantity) / max(d.total_decks)) AS BIGINT) AS ceilavg,
+         max(d.total_decks) AS total_decks
+  FROM decklists hd LEFT JOIN cmd c ON hd.deck_id = c.deck_id
+  LEFT JOIN per_cmd d ON d.commander = c.cmd_raw
+  WHERE c.cmd_raw IS NOT NULL GROUP BY 1, 2, 3),
+rt AS (SELECT *, sum(ceilavg) OVER (PARTITION BY commander ORDER BY avg DESC NULLS LAST, card_name ASC NULLS FIRST) AS running_total
+       FROM stats),
+avgdeck AS (SELECT commander, card_name, ceilavg AS quantity, total_decks FROM rt WHERE running_total <= {AVERAGE_BUDGET}),
+mycards AS (SELECT name, CASE WHEN name LIKE 'Snow-Covered%' OR name LIKE 'small%' THEN 99 ELSE quantity END AS quantity FROM coll),
+combined AS (SELECT a.*, m.name FROM avgdeck a LEFT JOIN mycards m ON a.card_name = m.name AND a.quantity <= m.quantity)
+SELECT *, CAST(quantity AS VARCHAR) || ' ' || card_name AS copy_paste FROM combined
+WHERE commander IN (SELECT commander FROM combined WHERE name IS NOT NULL GROUP BY commander
+                    HAVING sum(quantity) = {AVERAGE_DECK_SIZE})""")
+def q_buildable_average(spark, d):
+    b = _boards(spark, d)
+    avg = decks.average_decks(decks.decklists(b, DECK_SIZE), star.commanders(b), AVERAGE_BUDGET)
+    return decks.buildable_average_decks(avg, _collection(spark, d), AVERAGE_DECK_SIZE,
+                                         BUILDABLE_UNLIMITED + star.BASIC_PATTERNS)
