@@ -71,18 +71,38 @@ def upsert_board(target: DataFrame | None, batch: DataFrame) -> DataFrame:
 
 
 def decklists(boards: DataFrame, size: int = 100, scope: str = "board", by=(),
-              method: str = "semi") -> DataFrame:
+              method: str = "aggregate") -> DataFrame:
     """Latest complete decklists (Q2).
 
     Latest version is taken per board of a deck (``scope="board"``: a dropped
     companion keeps its stale row); ``scope="deck"`` takes it per deck.  Ties on
     the timestamp are all kept.  Decks whose latest rows total exactly ``size``
     are returned with all their latest rows.
+
+    ``method="aggregate"`` (default): one chain of partially aggregated steps
+    over the board rows -- quantity per (board, version), the newest version
+    and its quantity per board (``max_by``), the deck total -- yields the
+    (deck, board, version) keys to keep; the board rows then pass one left-semi
+    join against them.  Two scans of the board rows, one shuffle of them, and no
+    step holds a whole group in one task.  ``method="semi"`` composes the
+    generic :func:`latest_per_key` and :func:`complete_groups`;
+    ``method="window"`` uses windows (one shuffle; for small groups only).
     """
     by = as_list(by)
     keys = by + ["deck_id"] + (["type"] if scope == "board" else [])
-    latest = latest_per_key(boards, keys, VERSION, method=method)
-    return complete_groups(latest, by + ["deck_id"], "quantity", size)
+    if method in ("semi", "window"):
+        latest = latest_per_key(boards, keys, VERSION, method=method)
+        return complete_groups(latest, by + ["deck_id"], "quantity", size)
+    valid = boards
+    for k in keys + [VERSION]:
+        valid = valid.filter(F.col(k).isNotNull())
+    per_version = valid.groupBy(*keys, VERSION).agg(F.sum("quantity").alias("__q"))
+    newest = per_version.groupBy(*keys).agg(F.max(VERSION).alias(VERSION),
+                                            F.max_by("__q", VERSION).alias("__q"))
+    complete = (newest.groupBy(*by, "deck_id").agg(F.sum("__q").alias("__total"))
+                      .filter(F.col("__total") == F.lit(size)).select(*by, "deck_id"))
+    keep = newest.join(complete, on=by + ["deck_id"], how="left_semi").select(*keys, VERSION)
+    return boards.join(keep, on=keys + [VERSION], how="left_semi").select(*boards.columns)
 
 
 def deck_details(history: DataFrame, commanders: DataFrame, lists: DataFrame,

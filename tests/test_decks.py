@@ -22,10 +22,11 @@ def test_decklists_latest_per_board_and_complete(spark):
                    "d3": {"C1": 1, "Island": 2, "K": 1}}
 
 
-def test_decklists_window_method_same(spark):
+def test_decklists_methods_agree(spark):
     a = decks.decklists(m1_boards(spark), size=4).collect()
-    b = decks.decklists(m1_boards(spark), size=4, method="window").collect()
-    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    for method in ("semi", "window"):
+        b = decks.decklists(m1_boards(spark), size=4, method=method).collect()
+        assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
 def test_decklists_deck_scope_drops_stale_companion(spark):
