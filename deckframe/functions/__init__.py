@@ -2,7 +2,7 @@
 
 from deckframe.functions.names import (first_part, last_part, like_any,
                                        strip_prefix, unlimited_quantity)
-from deckframe.functions.json import (BOARD_SCHEMA, COMBO_USES_SCHEMA,
+from deckframe.functions.json import (BOARD_SCHEMA, COMBO_USES_SCHEMA, apply_transforms,
                                       PRICE_SCHEMA, json_field,
                                       list_to_indexed_map, jsonify_nested,
                                       parse_board, parse_price_repr)
@@ -11,7 +11,7 @@ from deckframe.functions.prices import price_bounds
 
 __all__ = [
     "first_part", "last_part", "like_any", "strip_prefix", "unlimited_quantity",
-    "BOARD_SCHEMA", "COMBO_USES_SCHEMA", "PRICE_SCHEMA", "json_field",
+    "BOARD_SCHEMA", "COMBO_USES_SCHEMA", "apply_transforms", "PRICE_SCHEMA", "json_field",
     "list_to_indexed_map", "jsonify_nested", "parse_board", "parse_price_repr",
     "canonical_ts_text", "parse_utc", "price_bounds",
 ]

@@ -8,16 +8,26 @@ from pyspark.sql import functions as F
 from deckframe.operators.util import as_list
 
 
-def high_water_mark(target: DataFrame | None, col: str, default=None):
+def high_water_mark(target: DataFrame | None, col: str, default=None, runs: DataFrame | None = None):
     """``MAX(col)`` of ``target`` as a Python scalar (``default`` if empty/missing).
 
     One aggregated row reaches the driver; returning a literal lets the next
-    filter be pushed into the Parquet scan (row-group skipping).
+    filter be pushed into the Parquet scan (row-group skipping).  ``runs``: the
+    landed run folders read as one table (``run`` partition column holding the
+    unix end time of each run); the newest run end also counts as a mark, the
+    later of the two wins.
     """
-    if target is None or col not in target.columns:
-        return default
-    row = target.agg(F.max(col).alias("m")).first()
-    return default if row is None or row["m"] is None else row["m"]
+    mark = None
+    if target is not None and col in target.columns:
+        row = target.agg(F.max(col).alias("m")).first()
+        mark = None if row is None else row["m"]
+    if runs is not None and "run" in runs.columns:
+        row = runs.agg(F.max("run").alias("r")).first()
+        if row is not None and row["r"] is not None:
+            import datetime as _dt
+            run_end = _dt.datetime.fromtimestamp(int(row["r"]), tz=_dt.timezone.utc).replace(tzinfo=None)
+            mark = run_end if mark is None or run_end > mark else mark
+    return default if mark is None else mark
 
 
 def newer_than(df: DataFrame, col: str, mark) -> DataFrame:
@@ -41,3 +51,16 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys) -> DataFrame:
     batch_keys = batch.select(*keys).distinct()
     kept = target.join(batch_keys, on=keys, how="left_anti")
     return kept.unionByName(batch.select(*target.columns), allowMissingColumns=False)
+
+
+def backfill(spark, run_path: str, store, keys, version: str | None = None) -> int:
+    """Load one landed run folder into a versioned table in one upsert.
+
+    The whole run is one Spark job (no chunking by file); with ``version`` the
+    run is first reduced to the newest row per key.  Returns the new version.
+    """
+    from deckframe.operators.latest import dedupe_keep_last
+    batch = spark.read.parquet(run_path)
+    if version is not None:
+        batch = dedupe_keep_last(batch, keys, [version])
+    return store.commit(upsert(store.current(), batch, keys))

@@ -256,3 +256,28 @@ def deck_build_progress(lists: DataFrame, details: DataFrame, collection: DataFr
     return out.select(*by, "deck_id", "commander_name", "deck_name", "card_count",
                       "percent_complete", F.col("cost").alias("price"), "hubs", "description",
                       "commentCount", "likeCount", "viewCount", "publicUrl", VERSION)
+
+
+# Presentation orders (O1, O2).  Tables are unordered; apply these only to the
+# final result shown to a reader.
+
+def decklist_display(lists: DataFrame) -> DataFrame:
+    """Deck, board, larger quantities first, then name."""
+    return lists.orderBy("deck_id", "type", F.col("quantity").desc(), "card_name")
+
+
+def average_display(average: DataFrame) -> DataFrame:
+    """Commander, board type (when kept), larger quantities first."""
+    cols = ["commander"] + (["type"] if "type" in average.columns else [])
+    return average.orderBy(*cols, F.col("quantity").desc(), "card_name")
+
+
+def buildable_average_display(rows: DataFrame) -> DataFrame:
+    """Commander, the commander card itself first, then larger quantities."""
+    first = F.when(F.col("commander") == F.col("card_name"), F.lit("a")).otherwise(F.lit("b"))
+    return rows.orderBy("commander", first, F.col("quantity").desc(), "card_name")
+
+
+def progress_display(progress: DataFrame) -> DataFrame:
+    """Most complete decks first."""
+    return progress.orderBy(F.col("percent_complete").desc(), "deck_id")

@@ -91,3 +91,30 @@ def test_high_water_mark_and_newer_than(spark):
     # the literal mark is pushed into the scan filter
     plan = newer_than(new, "ts", mark)._jdf.queryExecution().optimizedPlan().toString()
     assert "2024-01-02" in plan
+
+
+def test_high_water_mark_with_runs_and_backfill(spark, scratch):
+    import os
+    from deckframe.operators.incremental import backfill
+    from deckframe.sources import TableStore, land_run
+    target = spark.createDataFrame([(1, dt.datetime(2024, 1, 1))], "id int, ts timestamp")
+    run = spark.createDataFrame([(1, dt.datetime(2024, 1, 5)), (1, dt.datetime(2024, 1, 6)),
+                                 (2, dt.datetime(2024, 1, 5))], "id int, ts timestamp")
+    path = land_run(run, scratch, "asset", 1704412800)   # 2024-01-05 00:00 UTC
+    runs = spark.read.parquet(os.path.join(scratch, "asset"))
+    assert high_water_mark(target, "ts", runs=runs) == dt.datetime(2024, 1, 5)
+    store = TableStore(spark, os.path.join(scratch, "store"))
+    store.commit(target)
+    backfill(spark, path, store, ["id"], "ts")
+    assert _rows(store.current(), ["id", "ts"]) == [(1, dt.datetime(2024, 1, 6)), (2, dt.datetime(2024, 1, 5))]
+
+
+def test_apply_transforms_and_jsonify(spark):
+    from deckframe.functions.json import apply_transforms, jsonify_nested
+    df = spark.createDataFrame([("2024-01-02T03:04:05Z", "12", "x", ["a"], {"k": 1})],
+                               "t string, n string, bad string, arr array<string>, m map<string,int>")
+    out = apply_transforms(df, {"t": "datetime", "n": "int", "bad": "float", "arr": "json"}).first()
+    assert out["t"] == dt.datetime(2024, 1, 2, 3, 4, 5) and out["n"] == 12 and out["bad"] is None
+    assert out["arr"] == '["a"]'
+    flat = jsonify_nested(df).first()
+    assert flat["m"] == '{"k":1}' and flat["arr"] == '["a"]'
