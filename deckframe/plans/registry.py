@@ -22,6 +22,7 @@ from deckframe.operators.ownership import fully_covered
 from deckframe.operators.ranking import top_k
 from deckframe.operators.scd2 import scd2_apply
 from deckframe.plans import cards, combos, decks, star, web
+from deckframe.session import cut_lineage
 
 # Binding parameters.
 DECK_SIZE = 100
@@ -297,7 +298,8 @@ SELECT q.deck_id, d.commander_name, d.deck_name, d.card_count, q.quantity AS per
 FROM qc q LEFT JOIN details d ON q.deck_id = d.deck_id LEFT JOIN cost p ON p.deck_id = d.deck_id""")
 def q_build_progress(spark, d):
     b = _boards(spark, d)
-    lists = decks.decklists(b, DECK_SIZE)
+    # three consumers (ownership, cost, details): materialise the lists once
+    lists = cut_lineage(decks.decklists(b, DECK_SIZE))
     details = decks.deck_details(star.deck_history(spark, d), star.commanders(b), lists)
     prices = cards.card_prices(star.printings(spark, d))
     out = decks.deck_build_progress(lists, details, _collection(spark, d), prices, DECK_SIZE,
@@ -394,7 +396,9 @@ needed AS (SELECT id, identity, count(DISTINCT name) AS needed FROM combo_rows G
 usable AS (SELECT DISTINCT c.id FROM needed c LEFT JOIN owned co ON c.id = co.id WHERE c.needed = co.owned)
 SELECT cc.* FROM combo_rows cc JOIN usable u ON cc.id = u.id""")
 def q_usable_combos(spark, d):
-    rows = combos.combo_cards(star.combo_history(spark, d)).select(*_COMBO_COLS)
+    # needed, owned and the final rows all read the card rows: parse the
+    # documents once into the shared checkpoint folder
+    rows = cut_lineage(combos.combo_cards(star.combo_history(spark, d)).select(*_COMBO_COLS))
     return combos.usable_combos(rows, _collection(spark, d))
 
 

@@ -155,7 +155,11 @@ def deck_documents(spark: SparkSession, d: str) -> DataFrame:
         return F.to_json(F.struct(F.size(e).alias("count"),
                                   F.map_from_entries(e).alias("cards"))).alias(label)
 
-    docs = (rows.groupBy("l_orderkey", "l_shipdate")
+    # Partition on exactly the document key: the grouping below then needs no
+    # further exchange, and list building (which partial aggregation would not
+    # shrink) runs after the shuffle instead of in the scan tasks.
+    docs = (rows.repartition("l_orderkey", "l_shipdate")
+                .groupBy("l_orderkey", "l_shipdate")
                 .agg(board("Commander"), board("Mainboard"), board("Companion")))
     return docs.select(F.col("l_orderkey").alias("id"), F.col("l_shipdate").alias("lastUpdatedAtUtc"),
                        F.lit(DECK_FORMAT).alias("format"),
@@ -173,7 +177,7 @@ def combo_history(spark: SparkSession, d: str) -> DataFrame:
     use = F.struct(F.struct(F.col("l_partkey").cast("int").alias("id"),
                             F.col("card_name").alias("name"),
                             F.col("l_suppkey").cast("string").alias("oracleId")).alias("card"))
-    uses = rows.groupBy("l_orderkey").agg(
+    uses = rows.repartition("l_orderkey").groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(use)).alias("uses"))
     doc = uses.join(o, uses["l_orderkey"] == o["o_orderkey"], "inner")
     data = F.to_json(F.struct(
