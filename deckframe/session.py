@@ -22,6 +22,30 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of TB, ~1000 executors).  Shuffles
+# start with many partitions and adaptive execution merges them towards the
+# advisory size, so one setting serves small and large inputs; skewed
+# partitions above the threshold are split at join time.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """:data:`CLUSTER_CONF` plus a shuffle partition count for ``input_bytes``
+    of input (about one partition per ``target_partition_bytes``)."""
+    parts = max(200, int(input_bytes // target_partition_bytes))
+    conf = dict(CLUSTER_CONF)
+    conf["spark.sql.shuffle.partitions"] = str(parts)
+    conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(parts)
+    return conf
+
+
 def get_spark(app: str = "deckframe", master: str | None = None,
               shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:

@@ -118,3 +118,15 @@ def test_apply_transforms_and_jsonify(spark):
     assert out["arr"] == '["a"]'
     flat = jsonify_nested(df).first()
     assert flat["m"] == '{"k":1}' and flat["arr"] == '["a"]'
+
+
+def test_scd2_step_append_only_closed_part(spark):
+    from deckframe.operators.scd2 import scd2_step
+    r1 = spark.createDataFrame([(1, "a"), (2, "b")], KV)
+    r2 = spark.createDataFrame([(1, "a"), (2, "c"), (3, "d")], KV)
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    closed, open1 = scd2_step(None, r1, "id", t1)
+    assert closed is None and open1.count() == 2
+    closed, open2 = scd2_step(open1, r2, "id", t2)
+    assert _rows(closed, ["id", "v", "valid_to"]) == [(2, "b", t2)]
+    assert _rows(open2, ["id", "v", "valid_from"]) == [(1, "a", t1), (2, "c", t2), (3, "d", t2)]
