@@ -164,7 +164,8 @@ def average_decks(lists: DataFrame, commanders: DataFrame, budget: int = 100,
                                 strip_prefix("cmd_raw").alias("cmd_key"), "deck_id")
                         .groupBy(*[f"__pc_{b}" for b in by], "cmd_key")
                         .agg(F.count_distinct("deck_id").alias("total_decks")))
-    # One row per distinct commander name: bounded by the card catalogue.
+    # One row per distinct commander name (bounded by the card catalogue):
+    # broadcast by adaptive execution once measured, or after an explicit check.
     if max_broadcast_rows is not None and fits_broadcast(per_commander, max_broadcast_rows):
         per_commander = F.broadcast(per_commander)
     join_key = strip_prefix("cmd_raw") if normalize_join else F.col("cmd_raw")

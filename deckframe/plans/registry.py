@@ -36,6 +36,7 @@ ORDERS_LOADED_BEFORE = "1997-01-01 00:00:00"
 SKIP_BRANDS = ["Brand#13", "Brand#5"]
 SKIP_NAME_PATTERN = "%widget%"
 TOP_PARTS = 200
+STATE_BUCKETS = 64
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -496,12 +497,12 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
   FROM events) WHERE rn = 1""")
 def q_streaming_latest_state(spark, d):
     from deckframe.session import scratch_path
-    from deckframe.sources.writers import TableStore
+    from deckframe.sources.writers import BucketedStateStore
     from deckframe.streaming import landing_stream, run_upsert_stream
     src = star.table(spark, d, "events")
     root = scratch_path(spark, "events-state")
     stream = landing_stream(spark, f"{d.rstrip('/')}/event[s].parquet", src.schema)
-    store = TableStore(spark, f"{root}/state")
+    store = BucketedStateStore(spark, f"{root}/state", ["user_id"], buckets=STATE_BUCKETS)
     q = run_upsert_stream(stream, store, ["user_id"], "ts", f"{root}/stream-checkpoint")
     q.awaitTermination()
     return store.current().select(*src.columns)

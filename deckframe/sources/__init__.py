@@ -2,11 +2,11 @@
 
 from deckframe.sources.readers import (flatten_decks, read_cards, read_collection,
                                        read_combos, read_decks, split_bad_records)
-from deckframe.sources.writers import (AssetSpec, TableStore, land_run, materialize,
+from deckframe.sources.writers import (AssetSpec, BucketedStateStore, TableStore, land_run, materialize,
                                        write_chunks, write_csv, write_increment, write_jdbc,
                                        write_landing, write_snapshot)
 
 __all__ = ["flatten_decks", "read_cards", "read_collection", "read_combos", "read_decks",
-           "split_bad_records", "AssetSpec", "TableStore", "land_run", "materialize",
+           "split_bad_records", "AssetSpec", "BucketedStateStore", "TableStore", "land_run", "materialize",
            "write_chunks", "write_csv", "write_increment", "write_jdbc", "write_landing",
            "write_snapshot"]

@@ -2,8 +2,10 @@
 
 * R1 polling with a high-water mark -> a file stream over the landing folder;
   the stream checkpoint records which files were consumed, so no mark query.
-* R2 micro-batch keyed upsert -> ``foreachBatch`` writes the new full state as
-  a new :class:`~deckframe.sources.writers.TableStore` version.
+* R2 micro-batch keyed upsert -> ``foreachBatch`` writes the new state as a
+  new version: the whole table (:class:`~deckframe.sources.writers.TableStore`)
+  or only the hash buckets the batch touches
+  (:class:`~deckframe.sources.writers.BucketedStateStore`, for large state).
 * R3 late data -> rows not strictly newer than the state's newest version for
   their key are dropped (optional).
 * R4 duplicates across arrivals -> keep-last inside the batch, upsert across
@@ -58,9 +60,8 @@ def run_upsert_stream(stream: DataFrame, store: TableStore, keys, version: str,
     job); otherwise the query keeps polling.  Returns the StreamingQuery.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        state = store.current()
-        new_state = latest_state_batch(batch, state, keys, version, drop_late)
-        store.commit(new_state)
+        store.commit_batch(batch, lambda state, b: latest_state_batch(b, state, keys, version,
+                                                                       drop_late))
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
