@@ -458,7 +458,10 @@ def q_scd2_history(spark, d):
     s1 = _event_state(spark, d, hi=STATE_CUT_LATE).select(*keys, "event_type", "value")
     s2 = _event_state(spark, d, lo=STATE_CUT_EARLY).select(*keys, "event_type", "value")
     h = scd2_apply(None, s1, keys, SNAPSHOT_1)
-    return scd2_apply(h, s2, keys, SNAPSHOT_2)
+    out = scd2_apply(h, s2, keys, SNAPSHOT_2)
+    # the source tables carry zone-less timestamps: keep the validity columns alike
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz")
+                            for c in ("updated_at", "valid_from", "valid_to")})
 
 
 # Rows strictly newer than the loaded high-water mark
@@ -571,3 +574,68 @@ def q_buildable_average(spark, d):
     avg = decks.average_decks(decks.decklists(b, DECK_SIZE), star.commanders(b), AVERAGE_BUDGET)
     return decks.buildable_average_decks(avg, _collection(spark, d), AVERAGE_DECK_SIZE,
                                          BUILDABLE_UNLIMITED + star.BASIC_PATTERNS)
+
+
+# Feed timestamps in several ISO layouts (chosen by order priority)
+# parsed back to UTC timestamps and canonical text
+@register("timestamp_parse", """
+SELECT o_orderkey, o_orderdate AS parsed, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS canonical
+FROM orders""")
+def q_timestamp_parse(spark, d):
+    from deckframe.functions.time import canonical_ts_text, parse_utc
+    o = star.table(spark, d, "orders")
+    text = (F.when(F.col("o_orderpriority") == "1-URGENT",
+                   F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+             .when(F.col("o_orderpriority") == "2-HIGH",
+                   F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'+00:00'"))
+             .when(F.col("o_orderpriority") == "3-MEDIUM",
+                   F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+             .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    parsed = o.select("o_orderkey", parse_utc(text).alias("parsed"))
+    return parsed.select("o_orderkey", F.col("parsed").cast("timestamp_ntz").alias("parsed"),
+                         canonical_ts_text("parsed").alias("canonical"))
+
+
+# Legacy Python-repr price text parsed and bounded
+@register("price_text_parse", _with("parts") + """
+SELECT p_partkey AS id, card_name AS name,
+       CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS usd,
+       CAST(CAST(CASE WHEN p_size > 25 THEN p_retailprice + p_size END AS DECIMAL(12,2)) AS DOUBLE) AS usd_foil,
+       CAST(LEAST(COALESCE(CAST(p_retailprice AS DECIMAL(12,2)), 999999999),
+                  COALESCE(CAST(CASE WHEN p_size > 25 THEN p_retailprice + p_size END AS DECIMAL(12,2)), 999999999)) AS DOUBLE) AS min_usd,
+       CAST(GREATEST(COALESCE(CAST(p_retailprice AS DECIMAL(12,2)), -999999999),
+                     COALESCE(CAST(CASE WHEN p_size > 25 THEN p_retailprice + p_size END AS DECIMAL(12,2)), -999999999)) AS DOUBLE) AS max_usd,
+       CAST(LEAST(999999999, 999999999) AS DOUBLE) AS min_eur
+FROM parts""")
+def q_price_text_parse(spark, d):
+    p = star.parts(spark, d)
+    foil = F.when(F.col("p_size") > 25, (F.col("p_retailprice") + F.col("p_size")).cast("string"))
+    text = F.concat(F.lit("{'usd': '"), F.col("p_retailprice").cast("string"), F.lit("', 'usd_foil': "),
+                    F.coalesce(F.concat(F.lit("'"), foil, F.lit("'")), F.lit("None")),
+                    F.lit(", 'usd_etched': None, 'eur': None, 'eur_foil': None}"))
+    rows = p.select(F.col("p_partkey").alias("id"), F.col("card_name").alias("name"),
+                    text.alias("prices"))
+    out = rows.select("id", "name", cards.card_prices_columns("prices"))
+    return out.select("id", "name", *[F.col(f"__pc.{c}").cast("double").alias(c)
+                                      for c in ["usd", "usd_foil", "min_usd", "max_usd", "min_eur"]])
+
+
+# List -> index-keyed JSON object
+@register("list_to_indexed_map", """
+SELECT o_orderkey, '{"0":"' || o_orderstatus || '","1":"' || o_orderpriority || '"}' AS hubs FROM orders""")
+def q_list_to_indexed_map(spark, d):
+    from deckframe.functions.json import list_to_indexed_map
+    o = star.table(spark, d, "orders")
+    return o.select("o_orderkey",
+                    list_to_indexed_map(F.array("o_orderstatus", "o_orderpriority")).alias("hubs"))
+
+
+# Q3 incremental: details of decks loaded before 1997, refreshed with newer decks
+@register("deck_details_incremental", _with(*_DECKLISTS, "hist", "details") + "SELECT * FROM details")
+def q_deck_details_incremental(spark, d):
+    b = _boards(spark, d)
+    lists = decks.decklists(b, DECK_SIZE)
+    history = star.deck_history(spark, d)
+    loaded = history.filter(F.col("lastUpdatedAtUtc") < F.lit(ORDERS_LOADED_BEFORE).cast("timestamp"))
+    target = cut_lineage(decks.deck_details(loaded, star.commanders(b), lists))
+    return decks.refresh_deck_details(target, history, star.commanders(b), lists)
