@@ -35,6 +35,9 @@ BASIC_PATTERNS = ["small%"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # the tables' timestamps carry no zone and are UTC wall clock
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
