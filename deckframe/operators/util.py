@@ -9,14 +9,20 @@ from pyspark.sql import functions as F
 
 # Broadcast policy
 # ----------------
-# Joins against lookup sides (collection, image table, per-commander counts)
-# are written as plain joins.  Adaptive execution measures the lookup side
-# after it is materialised and switches to a broadcast hash join only below
-# ``spark.sql.adaptive.autoBroadcastJoinThreshold``; above it the join stays a
-# shuffle join with skew splitting.  That runtime measurement is the size check
-# and costs no extra job.  Callers who know a side is cheap to count can pass
-# ``max_broadcast_rows`` to force a broadcast after an explicit row-count check.
+# * Catalogue-bounded lookups (collection, image table, prices) are cheap to
+#   count: they are broadcast after an explicit ``limit(n + 1).count()`` bound
+#   check, so the large side is never shuffled for them.  Above the bound the
+#   join falls back to a shuffle join.
+# * Lookups derived from the fact data (per-commander deck counts) would cost
+#   a second pass to count; they are plain joins and adaptive execution
+#   measures them after materialisation, broadcasting only below
+#   ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and splitting skewed
+#   partitions otherwise.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+# Lookups derived from the card catalogue (collection, image table, prices)
+# are bounded by it -- well under a million names / printings -- and cheap to
+# count, so they use the explicit check by default with this bound.
+CATALOGUE_ROWS = DEFAULT_BROADCAST_ROWS
 
 
 def as_col(c) -> Column:

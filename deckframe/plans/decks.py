@@ -21,7 +21,7 @@ from deckframe.operators.incremental import newer_than, upsert
 from deckframe.operators.latest import latest_per_key
 from deckframe.operators.ownership import fully_owned_groups, owned_rows
 from deckframe.operators.running import budget_cut
-from deckframe.operators.util import as_list, fits_broadcast
+from deckframe.operators.util import CATALOGUE_ROWS, as_list, fits_broadcast
 
 # Board JSON column -> board type label.
 BOARD_TYPES = {"commanders": "Commander", "mainboard": "Mainboard", "companions": "Companion"}
@@ -219,12 +219,16 @@ def buildable_average_decks(average: DataFrame, collection: DataFrame, size: int
                                                      F.col("card_name")))
 
 
-def deck_cost(lists: DataFrame, prices: DataFrame, by=()) -> DataFrame:
+def deck_cost(lists: DataFrame, prices: DataFrame, by=(),
+              max_broadcast_rows: int | None = CATALOGUE_ROWS) -> DataFrame:
     """Cheapest-printing cost per deck: ``SUM(min_usd * quantity)`` with line
     costs outside [0, 9999] (unpriced sentinels) set to 0; unmatched cards add
-    nothing.  Every price row of a name matches (one per printing)."""
+    nothing.  Every price row of a name matches (one per printing).  The price
+    table (one row per printing) is broadcast after the bound check."""
     by = as_list(by)
     p = prices.select(F.col("name").alias("__pname"), "min_usd")
+    if max_broadcast_rows is not None and fits_broadcast(p, max_broadcast_rows):
+        p = F.broadcast(p)
     joined = lists.join(p, F.col("card_name") == F.col("__pname"), "left")
     line = F.col("min_usd") * F.col("quantity")
     cost = F.when((line > MAX_LINE_COST) | (line < 0), F.lit(0)).otherwise(line)
