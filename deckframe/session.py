@@ -75,6 +75,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would not survive the loss of this host
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="deckframe-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
