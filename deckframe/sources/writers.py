@@ -105,28 +105,25 @@ def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None =
 class TableStore:
     """A table kept as immutable versions ``<root>/version=<n>``.
 
-    A new state is written to a new version folder and becomes current once
-    written, so a job never overwrites the files it is reading, a failed write
-    leaves the previous version current, and the write cuts the lineage of
-    iterative updates (upsert / SCD2).  ``root`` should live in the shared
-    folder of the cluster (see :func:`deckframe.session.checkpoint_root`).
+    A new state is written to a new version folder; appending its number to
+    the small ``<root>/_manifest`` table is the commit point.  A job never
+    overwrites the files it is reading, a failed write leaves the previous
+    version current, and each write cuts the lineage of iterative updates
+    (upsert / SCD2).  Finding the current version reads only the manifest, not
+    the listing of every version.  ``root`` should live in the shared folder of
+    the cluster (see :func:`deckframe.session.checkpoint_root`).
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _all(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.root)
-        except Exception:  # no version written yet
-            return None
-
     def current_version(self) -> int | None:
-        df = self._all()
-        if df is None:
+        try:
+            m = self.spark.read.parquet(f"{self.root}/_manifest")
+        except Exception:  # nothing committed yet
             return None
-        return df.agg(F.max("version").alias("v")).first()["v"]
+        return m.agg(F.max("version").alias("v")).first()["v"]
 
     def current(self) -> DataFrame | None:
         v = self.current_version()
@@ -137,6 +134,8 @@ class TableStore:
     def commit(self, df: DataFrame) -> int:
         v = (self.current_version() or 0) + 1
         df.write.mode("errorifexists").parquet(f"{self.root}/version={v}")
+        self.spark.createDataFrame([(v,)], "version int") \
+            .write.mode("append").parquet(f"{self.root}/_manifest")
         return v
 
     def commit_batch(self, batch: DataFrame, update) -> int:
