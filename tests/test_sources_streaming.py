@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from deckframe.schemas import COLLECTION_SCHEMA, DECK_SCHEMA
+from deckframe.schemas import DECK_SCHEMA
 from deckframe.sources import (AssetSpec, TableStore, land_run, read_collection, read_combos,
                                read_decks, split_bad_records, write_chunks, write_landing)
 from deckframe.streaming import landing_stream, run_upsert_stream
@@ -48,7 +48,7 @@ def test_read_combos_and_collection(spark, scratch):
     assert r["id"] == "7" and json.loads(r["combodata"])["identity"] == "W"
     c = os.path.join(scratch, "coll.csv")
     with open(c, "w", encoding="utf-16") as f:
-        f.write("extras,language,name,quantity,scryfall_id\n,en,Bolt,3,x1\n,en,Bolt,1,x2\n")
+        f.write("extras,language,Name,Quantity,print_id\n,en,Bolt,3,x1\n,en,Bolt,1,x2\n")
     coll = read_collection(spark, c)
     assert sorted((x["name"], x["quantity"]) for x in coll.collect()) == [("Bolt", 1), ("Bolt", 3)]
 
