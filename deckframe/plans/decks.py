@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from deckframe.constants import BOARD_TYPES, MAX_LINE_COST
 from deckframe.functions.json import parse_board
 from deckframe.functions.names import (BUILDABLE_UNLIMITED, PARTNER_SEPARATOR,
                                        PROGRESS_UNLIMITED, strip_prefix,
@@ -23,10 +24,6 @@ from deckframe.operators.ownership import fully_owned_groups, owned_rows
 from deckframe.operators.running import budget_cut
 from deckframe.operators.util import CATALOGUE_ROWS, as_list, fits_broadcast
 
-# Board JSON column -> board type label.
-BOARD_TYPES = {"commanders": "Commander", "mainboard": "Mainboard", "companions": "Companion"}
-# Cost of one card line outside [0, 9999] is treated as a data error -> 0.
-MAX_LINE_COST = 9999
 
 VERSION = "lastUpdatedAtUtc"
 
@@ -266,6 +263,7 @@ def deck_build_progress(lists: DataFrame, details: DataFrame, collection: DataFr
 # Presentation orders (O1, O2).  Tables are unordered; apply these only to the
 # final result shown to a reader.
 
+
 def decklist_display(lists: DataFrame) -> DataFrame:
     """Deck, board, larger quantities first, then name."""
     return lists.orderBy("deck_id", "type", F.col("quantity").desc(), "card_name")
