@@ -239,8 +239,8 @@ def deck_build_progress(lists: DataFrame, details: DataFrame, collection: DataFr
     deck price and details (Q7)."""
     by = as_list(by)
     have = owned_collection(collection, unlimited)
-    combined = owned_rows(lists, have, "card_name", "quantity")
-    progress = groups_where_total(combined.filter(F.col("name").isNotNull()),
+    marked = owned_rows(lists, have, "card_name", "quantity")
+    progress = groups_where_total(marked.filter(F.col("name").isNotNull()),
                                   by + ["deck_id"], "quantity", size, "<=", alias="percent_complete")
     cost = deck_cost(lists, prices, by)
     d = details.select(*by, "deck_id", F.col("deck_id").alias("__details_deck"),

@@ -2,9 +2,10 @@
 
 Each query binds the star-schema tables to the deck vocabulary
 (:mod:`deckframe.plans.star`) and runs the library's own functions on the
-whole tables.  The SQL text states the same result the way the original SQL
-models do (self-join for latest rows, IN-subqueries, LEFT JOIN chains); it is
-an independent check, not a transcription of the Spark plan.
+whole tables.  The SQL text states each result independently of the Spark
+plan (a self-join for latest rows, joins against qualifying keys, window-free
+aggregates where the Spark side uses ``max_by``), so a shared mistake in the
+plan and the check is unlikely.
 """
 
 from __future__ import annotations
@@ -99,13 +100,14 @@ _CTE = {
          CAST(l_quantity AS BIGINT) AS quantity,
          CASE WHEN l_linenumber = 1 THEN 'Commander' WHEN l_linenumber = 2 THEN 'Companion' ELSE 'Mainboard' END AS type
   FROM lineitem JOIN parts ON l_partkey = p_partkey)""",
-    "latest": """latest AS (
+    "latest": """board_versions AS (
+  SELECT deck_id, type, max(lastUpdatedAtUtc) AS newest FROM boards GROUP BY deck_id, type),
+current_rows AS (
   SELECT b.* FROM boards b
-  JOIN (SELECT deck_id, type, max(lastUpdatedAtUtc) AS m FROM boards GROUP BY deck_id, type) l
-    ON b.deck_id = l.deck_id AND b.type = l.type AND b.lastUpdatedAtUtc = l.m)""",
-    "decklists": f"""decklists AS (
-  SELECT * FROM latest
-  WHERE deck_id IN (SELECT deck_id FROM latest GROUP BY deck_id HAVING sum(quantity) = {DECK_SIZE}))""",
+  JOIN board_versions v ON v.deck_id = b.deck_id AND v.type = b.type AND v.newest = b.lastUpdatedAtUtc)""",
+    "decklists": f"""complete_decks AS (
+  SELECT deck_id FROM current_rows GROUP BY deck_id HAVING sum(quantity) = {DECK_SIZE}),
+decklists AS (SELECT r.* FROM current_rows r JOIN complete_decks USING (deck_id))""",
     "coll": """coll AS (
   SELECT card_name AS name, CAST(sum(p_size) AS BIGINT) AS quantity FROM parts WHERE p_size <= 10 GROUP BY card_name)""",
     "hist": """hist AS (
@@ -114,15 +116,17 @@ _CTE = {
          CAST(floor(o_totalprice) AS BIGINT) AS viewCount, o_orderkey AS commentCount,
          o_orderstatus AS colors, o_orderdate AS lastUpdatedAtUtc, o_orderdate AS createdAtUtc, '{}' AS hubs
   FROM orders)""",
-    "details": """cmdstr AS (
+    "details": """commander_names AS (
   SELECT deck_id, string_agg(card_name, '[and]' ORDER BY card_name) AS commander_name
   FROM boards WHERE type = 'Commander' GROUP BY deck_id),
-dc AS (SELECT deck_id, count(DISTINCT card_name) AS card_count FROM decklists GROUP BY deck_id),
+card_counts AS (SELECT deck_id, count(DISTINCT card_name) AS n_cards FROM decklists GROUP BY deck_id),
 details AS (
-  SELECT h.id AS deck_id, c.commander_name, h.name AS deck_name, h.description,
-         CAST(dc.card_count AS BIGINT) AS card_count, h.colors, h.publicUrl, h.likeCount, h.viewCount,
+  SELECT h.id AS deck_id, n.commander_name, h.name AS deck_name, h.description,
+         CAST(k.n_cards AS BIGINT) AS card_count, h.colors, h.publicUrl, h.likeCount, h.viewCount,
          h.commentCount, h.lastUpdatedAtUtc, h.createdAtUtc, h.hubs
-  FROM hist h LEFT JOIN cmdstr c ON h.id = c.deck_id LEFT JOIN dc ON c.deck_id = dc.deck_id)""",
+  FROM hist h
+  LEFT JOIN commander_names n ON n.deck_id = h.id
+  LEFT JOIN card_counts k ON k.deck_id = n.deck_id)""",
     "printings": """pr AS (
   SELECT card_name AS name, CASE WHEN p_brand = 'Brand#9' THEN 'fr' ELSE 'en' END AS lang,
          CASE WHEN p_size >= 49 THEN p_brand END AS flavor_name,
@@ -177,6 +181,53 @@ def _strip(c: str) -> str:
     return f"CASE WHEN {c} LIKE 'A-%' THEN replace({c}, 'A-', '') ELSE {c} END"
 
 
+def _average_sql(budget: int, by_format: bool = False) -> str:
+    """CTEs ending in ``average``: the average deck per commander under ``budget``."""
+    f = "format, " if by_format else ""
+    on_f = " AND c.format = l.format" if by_format else ""
+    on_nf = " AND n.format = c.format" if by_format else ""
+    cf = "c.format, " if by_format else ""
+    return f"""commander_rows AS (SELECT {f}deck_id, card_name AS raw_name FROM boards WHERE type = 'Commander'),
+deck_counts AS (
+  SELECT {f}{_strip('raw_name')} AS stripped, count(DISTINCT deck_id) AS total_decks
+  FROM commander_rows GROUP BY ALL),
+card_stats AS (
+  SELECT {cf}{_strip('c.raw_name')} AS commander, {_strip('l.card_name')} AS card_name, l.type,
+         sum(l.quantity) AS copies, max(n.total_decks) AS total_decks
+  FROM decklists l
+  JOIN commander_rows c ON c.deck_id = l.deck_id{on_f}
+  LEFT JOIN deck_counts n ON n.stripped = c.raw_name{on_nf}
+  WHERE c.raw_name IS NOT NULL
+  GROUP BY ALL),
+ranked AS (
+  SELECT *, copies / total_decks AS avg_copies, CAST(ceil(copies / total_decks) AS BIGINT) AS rounded
+  FROM card_stats),
+budgeted AS (
+  SELECT *, sum(rounded) OVER (PARTITION BY {f}commander
+                               ORDER BY avg_copies DESC NULLS LAST, card_name ASC NULLS FIRST) AS spent
+  FROM ranked),
+average AS (SELECT {f}commander, card_name, rounded AS quantity, total_decks FROM budgeted WHERE spent <= {budget})"""
+
+
+def _marked_sql(source: str, patterns: list[str], key: str = "card_name") -> str:
+    """CTEs ``owned`` and ``marked``: rows of ``source`` with ``name`` set when
+    the collection holds at least the row's quantity (patterns = unlimited)."""
+    unlimited = " OR ".join(f"name LIKE '{p}'" for p in patterns)
+    return f"""owned AS (
+  SELECT name AS owned_name, CASE WHEN {unlimited} THEN 99 ELSE quantity END AS owned_qty FROM coll),
+marked AS (
+  SELECT s.*, o.owned_name AS name FROM {source} s
+  LEFT JOIN owned o ON o.owned_name = s.{key} AND s.quantity <= o.owned_qty)"""
+
+
+def _image_sql(name: str) -> str:
+    """LEFT JOINs of the image table on the partner (pf/pl) and face (ff/fl) parts."""
+    return f"""LEFT JOIN images pf ON pf.card_name = string_split({name}, '[and]')[1]
+LEFT JOIN images pl ON pl.card_name = string_split({name}, '[and]')[-1] AND NOT (pl.card_name LIKE pf.card_name)
+LEFT JOIN images ff ON ff.card_name = string_split({name}, ' // ')[1]
+LEFT JOIN images fl ON fl.card_name = string_split({name}, ' // ')[-1] AND NOT (fl.card_name LIKE ff.card_name)"""
+
+
 # --------------------------------------------------------------------------
 # Latest complete decklists
 
@@ -208,33 +259,18 @@ def q_dedupe_keep_last(spark, d):
 
 
 # Average deck per commander under a budget (flagship)
-@register("average_basket_budget", _with(*_DECKLISTS) + f""",
-cmd AS (SELECT deck_id, card_name AS cmd_raw FROM boards WHERE type = 'Commander'),
-per_cmd AS (SELECT {_strip('cmd_raw')} AS commander, count(DISTINCT deck_id) AS total_decks
-            FROM cmd GROUP BY 1),
-stats AS (
-  SELECT {_strip('c.cmd_raw')} AS commander, {_strip('hd.card_name')} AS card_name, hd.type,
-         sum(hd.quantity) / max(d.total_decks) AS avg,
-         CAST(ceil(sum(hd.quantity) / max(d.total_decks)) AS BIGINT) AS ceilavg,
-         max(d.total_decks) AS total_decks
-  FROM decklists hd LEFT JOIN cmd c ON hd.deck_id = c.deck_id
-  LEFT JOIN per_cmd d ON d.commander = c.cmd_raw
-  WHERE c.cmd_raw IS NOT NULL
-  GROUP BY 1, 2, 3),
-rt AS (SELECT *, sum(ceilavg) OVER (PARTITION BY commander ORDER BY avg DESC NULLS LAST, card_name ASC NULLS FIRST) AS running_total
-       FROM stats)
-SELECT commander, card_name, ceilavg AS quantity, total_decks FROM rt WHERE running_total <= {AVERAGE_BUDGET}""")
+@register("average_basket_budget", _with(*_DECKLISTS) + ",\n" + _average_sql(AVERAGE_BUDGET)
+         + "\nSELECT * FROM average")
 def q_average_basket_budget(spark, d):
     b = _boards(spark, d)
     return decks.average_decks(decks.decklists(b, DECK_SIZE), star.commanders(b), AVERAGE_BUDGET)
 
 
 # Complete decklists the collection can build
-@register("buildable_baskets", _with(*_DECKLISTS, "coll") + """,
-mycards AS (SELECT name, CASE WHEN name LIKE 'Snow-Covered%' OR name LIKE 'small%' THEN 99 ELSE quantity END AS quantity FROM coll),
-combined AS (SELECT d.*, m.name FROM decklists d LEFT JOIN mycards m ON d.card_name = m.name AND d.quantity <= m.quantity)
-SELECT * FROM combined
-WHERE deck_id IN (SELECT deck_id FROM combined WHERE name IS NOT NULL GROUP BY deck_id HAVING sum(quantity) = 100)""")
+@register("buildable_baskets", _with(*_DECKLISTS, "coll") + ",\n"
+         + _marked_sql("decklists", ["Snow-Covered%", "small%"]) + """,
+fully_owned AS (SELECT deck_id FROM marked WHERE name IS NOT NULL GROUP BY deck_id HAVING sum(quantity) = 100)
+SELECT m.* FROM marked m JOIN fully_owned USING (deck_id)""")
 def q_buildable_baskets(spark, d):
     return decks.buildable_decks(_decklists(spark, d), _collection(spark, d), DECK_SIZE,
                                  BUILDABLE_UNLIMITED + star.BASIC_PATTERNS)
@@ -260,20 +296,19 @@ def q_arg_min_lookup(spark, d):
 
 # Numeric price bounds per printing
 @register("price_min_max", _with("parts", "printings") + """,
-p AS (
+amounts AS (
   SELECT name, CAST(CASE WHEN p_size > 25 THEN p_retailprice END AS DECIMAL(12,2)) AS eur,
          CAST(NULL AS DECIMAL(12,2)) AS eur_foil,
          CAST(p_retailprice AS DECIMAL(12,2)) AS usd, CAST(NULL AS DECIMAL(12,2)) AS usd_etched,
          CAST(p_retailprice + p_size AS DECIMAL(12,2)) AS usd_foil
   FROM pr)
-SELECT name,
-       CAST(eur AS DOUBLE) AS eur, CAST(eur_foil AS DOUBLE) AS eur_foil, CAST(usd AS DOUBLE) AS usd,
+SELECT name, CAST(eur AS DOUBLE) AS eur, CAST(eur_foil AS DOUBLE) AS eur_foil, CAST(usd AS DOUBLE) AS usd,
        CAST(usd_etched AS DOUBLE) AS usd_etched, CAST(usd_foil AS DOUBLE) AS usd_foil,
-       CAST(LEAST(COALESCE(eur, 999999999), COALESCE(eur_foil, 999999999)) AS DOUBLE) AS min_eur,
-       CAST(GREATEST(COALESCE(eur, -999999999), COALESCE(eur_foil, -999999999)) AS DOUBLE) AS max_eur,
-       CAST(LEAST(COALESCE(usd, 999999999), COALESCE(usd_etched, 999999999), COALESCE(usd_foil, 999999999)) AS DOUBLE) AS min_usd,
-       CAST(GREATEST(COALESCE(usd, -999999999), COALESCE(usd_etched, -999999999), COALESCE(usd_foil, -999999999)) AS DOUBLE) AS max_usd
-FROM p""")
+       CAST(coalesce(least(eur, eur_foil), 999999999) AS DOUBLE) AS min_eur,
+       CAST(coalesce(greatest(eur, eur_foil), -999999999) AS DOUBLE) AS max_eur,
+       CAST(coalesce(least(usd, usd_etched, usd_foil), 999999999) AS DOUBLE) AS min_usd,
+       CAST(coalesce(greatest(usd, usd_etched, usd_foil), -999999999) AS DOUBLE) AS max_usd
+FROM amounts""")
 def q_price_min_max(spark, d):
     p = cards.card_prices(star.printings(spark, d))
     return p.select("name", *[F.col(c).cast("double").alias(c) for c in p.columns if c != "name"])
@@ -281,22 +316,23 @@ def q_price_min_max(spark, d):
 
 # Q7: build progress per deck
 @register("build_progress", _with(*_DECKLISTS, "coll", "hist", "details", "printings") + """,
-prices AS (SELECT name, CAST(p_retailprice AS DECIMAL(12,2)) AS min_usd FROM pr),
-cost AS (
-  SELECT deck_id, sum(CASE WHEN sp.min_usd * hd.quantity > 9999 OR sp.min_usd * hd.quantity < 0 THEN 0
-                           ELSE sp.min_usd * hd.quantity END) AS cost
-  FROM decklists hd LEFT JOIN prices sp ON sp.name = hd.card_name GROUP BY deck_id),
-mycards AS (
-  SELECT name, CASE WHEN name LIKE 'Snow-Covered%' OR name LIKE 'Forest' OR name LIKE 'Swamp' OR name LIKE 'Island'
-                         OR name LIKE 'Plains' OR name LIKE 'Mountain' OR name LIKE 'Wastes' OR name LIKE 'small%'
-                    THEN 99 ELSE quantity END AS quantity FROM coll),
-combined AS (SELECT d.*, m.name FROM decklists d LEFT JOIN mycards m ON d.card_name = m.name AND d.quantity <= m.quantity),
-qc AS (SELECT deck_id, CAST(sum(quantity) AS BIGINT) AS quantity FROM combined WHERE name IS NOT NULL
-       GROUP BY deck_id HAVING sum(quantity) <= 100)
-SELECT q.deck_id, d.commander_name, d.deck_name, d.card_count, q.quantity AS percent_complete,
-       CAST(p.cost AS DOUBLE) AS price, d.hubs, d.description, d.commentCount, d.likeCount, d.viewCount,
+printing_prices AS (SELECT name AS priced_name, CAST(p_retailprice AS DECIMAL(12,2)) AS min_usd FROM pr),
+deck_price AS (
+  SELECT l.deck_id,
+         sum(CASE WHEN p.min_usd * l.quantity BETWEEN 0 AND 9999 THEN p.min_usd * l.quantity
+                  WHEN p.min_usd IS NOT NULL THEN 0 END) AS cost
+  FROM decklists l LEFT JOIN printing_prices p ON p.priced_name = l.card_name GROUP BY l.deck_id),
+""" + _marked_sql("decklists", ["Snow-Covered%", "Forest", "Swamp", "Island", "Plains", "Mountain",
+                                "Wastes", "small%"]) + """,
+owned_totals AS (
+  SELECT deck_id, CAST(sum(quantity) AS BIGINT) AS owned_copies FROM marked WHERE name IS NOT NULL
+  GROUP BY deck_id HAVING sum(quantity) <= 100)
+SELECT t.deck_id, d.commander_name, d.deck_name, d.card_count, t.owned_copies AS percent_complete,
+       CAST(c.cost AS DOUBLE) AS price, d.hubs, d.description, d.commentCount, d.likeCount, d.viewCount,
        d.publicUrl, d.lastUpdatedAtUtc
-FROM qc q LEFT JOIN details d ON q.deck_id = d.deck_id LEFT JOIN cost p ON p.deck_id = d.deck_id""")
+FROM owned_totals t
+LEFT JOIN details d ON d.deck_id = t.deck_id
+LEFT JOIN deck_price c ON c.deck_id = d.deck_id""")
 def q_build_progress(spark, d):
     b = _boards(spark, d)
     # three consumers (ownership, cost, details): materialise the lists once
@@ -311,17 +347,14 @@ def q_build_progress(spark, d):
 
 # Top cards with images
 @register("top_items", _with(*_DECKLISTS, "printings", "images") + """
-SELECT hd.card_name, s1.oracle_id, s1.type_line, COALESCE(s1.image_url, s3.image_url) AS card_front,
-       COALESCE(s2.image_url, s4.image_url) AS card_back, count(DISTINCT deck_id) AS decks
-FROM decklists hd
-LEFT JOIN images s1 ON string_split(hd.card_name, '[and]')[1] = s1.card_name
-LEFT JOIN images s2 ON string_split(hd.card_name, '[and]')[-1] = s2.card_name AND s2.card_name NOT LIKE s1.card_name
-LEFT JOIN images s3 ON string_split(hd.card_name, ' // ')[1] = s3.card_name
-LEFT JOIN images s4 ON string_split(hd.card_name, ' // ')[-1] = s4.card_name AND s4.card_name NOT LIKE s3.card_name
-WHERE lower(s1.type_line) NOT LIKE '%land%'
-  AND hd.card_name NOT IN ('Plains', 'Island', 'Swamp', 'Mountain', 'Forest', 'Snow-Covered Plains',
-                           'Snow-Covered Island', 'Snow-Covered Swamp', 'Snow-Covered Mountain', 'Snow-Covered Forest')
-GROUP BY 1, 2, 3, 4, 5
+SELECT l.card_name, pf.oracle_id, pf.type_line, coalesce(pf.image_url, ff.image_url) AS card_front,
+       coalesce(pl.image_url, fl.image_url) AS card_back, count(DISTINCT l.deck_id) AS decks
+FROM decklists l
+""" + _image_sql("l.card_name") + """
+WHERE NOT (lower(pf.type_line) LIKE '%land%')
+  AND l.card_name NOT IN ('Plains', 'Island', 'Swamp', 'Mountain', 'Forest', 'Snow-Covered Plains',
+                          'Snow-Covered Island', 'Snow-Covered Swamp', 'Snow-Covered Mountain', 'Snow-Covered Forest')
+GROUP BY ALL
 ORDER BY decks DESC, card_name ASC, oracle_id ASC NULLS FIRST, card_front ASC NULLS FIRST, card_back ASC NULLS FIRST
 LIMIT 200""")
 def q_top_items(spark, d):
@@ -330,15 +363,12 @@ def q_top_items(spark, d):
 
 # Q13: commander strings by decks, with images
 @register("top_groups", _with(*_DECKLISTS, "hist", "details", "printings", "images") + """
-SELECT commander_name, s1.oracle_id, COALESCE(s1.image_url, s3.image_url) AS card_front,
-       COALESCE(s2.image_url, s4.image_url) AS card_back, count(DISTINCT deck_id) AS decks
-FROM details
-LEFT JOIN images s1 ON string_split(commander_name, '[and]')[1] = s1.card_name
-LEFT JOIN images s2 ON string_split(commander_name, '[and]')[-1] = s2.card_name AND s2.card_name NOT LIKE s1.card_name
-LEFT JOIN images s3 ON string_split(commander_name, ' // ')[1] = s3.card_name
-LEFT JOIN images s4 ON string_split(commander_name, ' // ')[-1] = s4.card_name AND s4.card_name NOT LIKE s3.card_name
-WHERE commander_name IS NOT NULL
-GROUP BY 1, 2, 3, 4""")
+SELECT t.commander_name, pf.oracle_id, coalesce(pf.image_url, ff.image_url) AS card_front,
+       coalesce(pl.image_url, fl.image_url) AS card_back, count(DISTINCT t.deck_id) AS decks
+FROM details t
+""" + _image_sql("t.commander_name") + """
+WHERE t.commander_name IS NOT NULL
+GROUP BY ALL""")
 def q_top_groups(spark, d):
     return web.top_commanders(_details(spark, d), _images(spark, d))
 
@@ -391,11 +421,12 @@ def q_combo_card_rows(spark, d):
 
 # Combos fully covered by the collection
 @register("usable_combos", _with("parts", "coll", "combo_rows") + """,
-owned AS (SELECT cc.id, count(DISTINCT mc.name) AS owned FROM combo_rows cc
-          JOIN coll mc ON CAST(mc.name AS VARCHAR) = CAST(cc.name AS VARCHAR) GROUP BY cc.id),
-needed AS (SELECT id, identity, count(DISTINCT name) AS needed FROM combo_rows GROUP BY id, identity),
-usable AS (SELECT DISTINCT c.id FROM needed c LEFT JOIN owned co ON c.id = co.id WHERE c.needed = co.owned)
-SELECT cc.* FROM combo_rows cc JOIN usable u ON cc.id = u.id""")
+have_counts AS (
+  SELECT r.id, count(DISTINCT h.name) AS have FROM combo_rows r
+  JOIN coll h ON CAST(h.name AS VARCHAR) = CAST(r.name AS VARCHAR) GROUP BY r.id),
+need_counts AS (SELECT id, identity, count(DISTINCT name) AS need FROM combo_rows GROUP BY id, identity),
+covered AS (SELECT DISTINCT n.id FROM need_counts n JOIN have_counts h ON h.id = n.id AND h.have = n.need)
+SELECT r.* FROM combo_rows r WHERE r.id IN (SELECT id FROM covered)""")
 def q_usable_combos(spark, d):
     # needed, owned and the final rows all read the card rows: parse the
     # documents once into the shared checkpoint folder
@@ -405,11 +436,13 @@ def q_usable_combos(spark, d):
 
 # Q10 generic: decks (all landed board rows) whose every card name is owned
 @register("fully_covered_groups", _with("parts", "boards", "coll") + """,
-owned AS (SELECT b.deck_id, count(DISTINCT b.card_name) AS owned FROM boards b JOIN coll c ON b.card_name = c.name
-          GROUP BY b.deck_id),
-needed AS (SELECT deck_id, count(DISTINCT card_name) AS needed FROM boards GROUP BY deck_id)
-SELECT * FROM boards WHERE deck_id IN (
-  SELECT n.deck_id FROM needed n JOIN owned o ON n.deck_id = o.deck_id WHERE n.needed = o.owned)""")
+have_counts AS (
+  SELECT b.deck_id, count(DISTINCT b.card_name) AS have FROM boards b JOIN coll c ON c.name = b.card_name
+  GROUP BY b.deck_id),
+need_counts AS (SELECT deck_id, count(DISTINCT card_name) AS need FROM boards GROUP BY deck_id)
+SELECT b.* FROM boards b
+JOIN (SELECT n.deck_id FROM need_counts n JOIN have_counts h ON h.deck_id = n.deck_id AND h.have = n.need) ok
+  ON ok.deck_id = b.deck_id""")
 def q_fully_covered_groups(spark, d):
     return fully_covered(_boards(spark, d), _collection(spark, d), "deck_id", "card_name")
 
@@ -512,37 +545,22 @@ def q_streaming_latest_state(spark, d):
 
 
 # Q15: the average-deck model for every format in one plan (format = order priority)
-@register("average_by_format", _with("parts") + """,
+@register("average_by_format", _with("parts") + f""",
 boards AS (
   SELECT l_orderkey AS deck_id, l_shipdate AS lastUpdatedAtUtc, card_name, o_orderpriority AS format,
          CAST(l_quantity AS BIGINT) AS quantity,
          CASE WHEN l_linenumber = 1 THEN 'Commander' WHEN l_linenumber = 2 THEN 'Companion' ELSE 'Mainboard' END AS type
   FROM lineitem JOIN parts ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey),
-latest AS (
+board_versions AS (
+  SELECT format, deck_id, type, max(lastUpdatedAtUtc) AS newest FROM boards GROUP BY format, deck_id, type),
+current_rows AS (
   SELECT b.* FROM boards b
-  JOIN (SELECT format, deck_id, type, max(lastUpdatedAtUtc) AS m FROM boards GROUP BY 1, 2, 3) l
-    ON b.format = l.format AND b.deck_id = l.deck_id AND b.type = l.type AND b.lastUpdatedAtUtc = l.m),
-decklists AS (
-  SELECT * FROM latest WHERE (format, deck_id) IN (
-    SELECT format, deck_id FROM latest GROUP BY 1, 2 HAVING sum(quantity) = """ + str(DECK_SIZE) + f"""
-)),
-cmd AS (SELECT format, deck_id, card_name AS cmd_raw FROM boards WHERE type = 'Commander'),
-per_cmd AS (SELECT format, {_strip('cmd_raw')} AS commander, count(DISTINCT deck_id) AS total_decks
-            FROM cmd GROUP BY 1, 2),
-stats AS (
-  SELECT hd.format, {_strip('c.cmd_raw')} AS commander, {_strip('hd.card_name')} AS card_name, hd.type,
-         sum(hd.quantity) / max(d.total_decks) AS avg,
-         CAST(ceil(sum(hd.quantity) / max(d.total_decks)) AS BIGINT) AS ceilavg,
-         max(d.total_decks) AS total_decks
-  FROM decklists hd LEFT JOIN cmd c ON hd.format = c.format AND hd.deck_id = c.deck_id
-  LEFT JOIN per_cmd d ON d.format = c.format AND d.commander = c.cmd_raw
-  WHERE c.cmd_raw IS NOT NULL
-  GROUP BY 1, 2, 3, 4),
-rt AS (SELECT *, sum(ceilavg) OVER (PARTITION BY format, commander
-                                    ORDER BY avg DESC NULLS LAST, card_name ASC NULLS FIRST) AS running_total
-       FROM stats)
-SELECT format, commander, card_name, ceilavg AS quantity, total_decks FROM rt
-WHERE running_total <= {AVERAGE_BUDGET}""")
+  JOIN board_versions v ON v.format = b.format AND v.deck_id = b.deck_id AND v.type = b.type
+                       AND v.newest = b.lastUpdatedAtUtc),
+complete_decks AS (
+  SELECT format, deck_id FROM current_rows GROUP BY format, deck_id HAVING sum(quantity) = {DECK_SIZE}),
+decklists AS (SELECT r.* FROM current_rows r JOIN complete_decks USING (format, deck_id)),
+""" + _average_sql(AVERAGE_BUDGET, by_format=True) + "\nSELECT * FROM average")
 def q_average_by_format(spark, d):
     b = star.deck_boards_by_priority(spark, d)
     lists = decks.decklists(b, DECK_SIZE, by=["format"])
@@ -550,25 +568,13 @@ def q_average_by_format(spark, d):
 
 
 # Q6: average decks the collection can build (owned average quantities total the budget)
-@register("buildable_average", _with(*_DECKLISTS, "coll") + f""",
-cmd AS (SELECT deck_id, card_name AS cmd_raw FROM boards WHERE type = 'Commander'),
-per_cmd AS (SELECT {_strip('cmd_raw')} AS commander, count(DISTINCT deck_id) AS total_decks FROM cmd GROUP BY 1),
-stats AS (
-  SELECT {_strip('c.cmd_raw')} AS commander, {_strip('hd.card_name')} AS card_name, hd.type,
-         sum(hd.quantity) / max(d.total_decks) AS avg,
-         CAST(ceil(sum(hd.quantity) / max(d.total_decks)) AS BIGINT) AS ceilavg,
-         max(d.total_decks) AS total_decks
-  FROM decklists hd LEFT JOIN cmd c ON hd.deck_id = c.deck_id
-  LEFT JOIN per_cmd d ON d.commander = c.cmd_raw
-  WHERE c.cmd_raw IS NOT NULL GROUP BY 1, 2, 3),
-rt AS (SELECT *, sum(ceilavg) OVER (PARTITION BY commander ORDER BY avg DESC NULLS LAST, card_name ASC NULLS FIRST) AS running_total
-       FROM stats),
-avgdeck AS (SELECT commander, card_name, ceilavg AS quantity, total_decks FROM rt WHERE running_total <= {AVERAGE_BUDGET}),
-mycards AS (SELECT name, CASE WHEN name LIKE 'Snow-Covered%' OR name LIKE 'small%' THEN 99 ELSE quantity END AS quantity FROM coll),
-combined AS (SELECT a.*, m.name FROM avgdeck a LEFT JOIN mycards m ON a.card_name = m.name AND a.quantity <= m.quantity)
-SELECT *, CAST(quantity AS VARCHAR) || ' ' || card_name AS copy_paste FROM combined
-WHERE commander IN (SELECT commander FROM combined WHERE name IS NOT NULL GROUP BY commander
-                    HAVING sum(quantity) = {AVERAGE_DECK_SIZE})""")
+@register("buildable_average", _with(*_DECKLISTS, "coll") + ",\n" + _average_sql(AVERAGE_BUDGET)
+         + ",\n" + _marked_sql("average", ["Snow-Covered%", "small%"]) + f""",
+fully_owned AS (
+  SELECT commander FROM marked WHERE name IS NOT NULL GROUP BY commander
+  HAVING sum(quantity) = {AVERAGE_DECK_SIZE})
+SELECT m.*, CAST(m.quantity AS VARCHAR) || ' ' || m.card_name AS copy_paste
+FROM marked m JOIN fully_owned USING (commander)""")
 def q_buildable_average(spark, d):
     b = _boards(spark, d)
     avg = decks.average_decks(decks.decklists(b, DECK_SIZE), star.commanders(b), AVERAGE_BUDGET)
