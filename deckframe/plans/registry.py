@@ -621,7 +621,7 @@ def q_price_text_parse(spark, d):
                     F.lit(", 'usd_etched': None, 'eur': None, 'eur_foil': None}"))
     rows = p.select(F.col("p_partkey").alias("id"), F.col("card_name").alias("name"),
                     text.alias("prices"))
-    out = rows.select("id", "name", cards.card_prices_columns("prices"))
+    out = rows.select("id", "name", cards.card_prices_columns(F.col("prices")))
     return out.select("id", "name", *[F.col(f"__pc.{c}").cast("double").alias(c)
                                       for c in ["usd", "usd_foil", "min_usd", "max_usd", "min_eur"]])
 

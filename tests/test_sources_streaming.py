@@ -140,3 +140,17 @@ def test_streaming_upsert_bucketed(spark, scratch):
                             spark.createDataFrame([], schema).schema, max_files_per_trigger=1)
     run_upsert_stream(stream, store, ["id"], "ts", os.path.join(scratch, "ck2")).awaitTermination()
     assert sorted((r["id"], r["v"]) for r in store.current().collect()) == [(1, "c"), (2, "x")]
+
+
+def test_read_cards_json_array_and_freshness(spark, scratch):
+    from deckframe.sources import read_cards
+    p = os.path.join(scratch, "cards.json")
+    with open(p, "w") as f:
+        json.dump([{"id": "c1", "name": "Bolt", "prices": {"usd": "1.00", "eur": None}},
+                   {"id": "c2", "name": "Island", "prices": {"usd": None}}], f, indent=1)
+    cards = read_cards(spark, p)
+    assert sorted(r["name"] for r in cards.collect()) == ["Bolt", "Island"]
+    assert read_cards(spark, p, since=dt.datetime(2999, 1, 1)).count() == 0
+    from deckframe.plans.cards import card_prices
+    got = {r["name"]: r["min_usd"] for r in card_prices(cards).collect()}
+    assert float(got["Bolt"]) == 1.0 and float(got["Island"]) == 999999999
