@@ -640,7 +640,8 @@ def q_list_to_indexed_map(spark, d):
 @register("deck_details_incremental", _with(*_DECKLISTS, "hist", "details") + "SELECT * FROM details")
 def q_deck_details_incremental(spark, d):
     b = _boards(spark, d)
-    lists = decks.decklists(b, DECK_SIZE)
+    # the initial build and the refresh both read the lists: materialise once
+    lists = cut_lineage(decks.decklists(b, DECK_SIZE))
     history = star.deck_history(spark, d)
     loaded = history.filter(F.col("lastUpdatedAtUtc") < F.lit(ORDERS_LOADED_BEFORE).cast("timestamp"))
     target = cut_lineage(decks.deck_details(loaded, star.commanders(b), lists))
