@@ -33,6 +33,8 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
+    # let joins on (format, deck_id) use tables bucketed on deck_id alone
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

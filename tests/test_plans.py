@@ -62,3 +62,27 @@ def test_build_format_all_models(spark, scratch):
     assert totals.filter("t <> 50").count() == 0
     assert {r["format"] for r in out["average_decks"].select("format").distinct().collect()} <= {"even", "odd"}
     assert out["top_cards"].groupBy("format").count().filter("count > 200").count() == 0
+
+
+def test_build_format_bucketed_joins_skip_the_shuffle(spark, scratch):
+    from deckframe.plans import decks
+    docs = star.deck_documents(spark, SF_SMALL)
+    hist = star.deck_history(spark, SF_SMALL).drop("lastUpdatedAtUtc")
+    deck_history = dedupe_keep_last(docs, "id", "lastUpdatedAtUtc").join(hist, "id")
+    out = formats.build_format(spark, deck_history, star.collection_export(spark, SF_SMALL),
+                               star.printings(spark, SF_SMALL), star.printings(spark, SF_SMALL),
+                               os.path.join(scratch, "bucketed"), size=50, budget=20,
+                               deck_buckets=4, database="deckframe_test_models")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lists, boards = out["decklists"], out["board_cards"]
+        joined = lists.join(boards.filter(F.col("type") == "Commander").select("format", "deck_id"),
+                            ["format", "deck_id"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() >= 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
