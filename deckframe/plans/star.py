@@ -34,11 +34,23 @@ DECK_FORMAT = "lineitem"
 BASIC_PATTERNS = ["small%"]
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One input table.  The schema is inferred once per path and then given to
+    the reader, so repeated reads in a query skip the footer-reading job (the
+    input tables are read-only)."""
     # the tables' timestamps carry no zone and are UTC wall clock
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def board_type(linenumber) -> Column:
