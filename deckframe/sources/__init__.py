@@ -1,12 +1,13 @@
 """Readers and writers for landed documents and tables."""
 
 from deckframe.sources.readers import (flatten_decks, read_cards, read_collection,
-                                       read_combos, read_decks, split_bad_records)
+                                       read_combos, read_decks, read_json_with_rejects,
+                                       split_bad_records)
 from deckframe.sources.writers import (AssetSpec, BucketedStateStore, TableStore, land_run, materialize,
                                        write_chunks, write_csv, write_increment, write_jdbc,
                                        write_landing, write_snapshot)
 
 __all__ = ["flatten_decks", "read_cards", "read_collection", "read_combos", "read_decks",
-           "split_bad_records", "AssetSpec", "BucketedStateStore", "TableStore", "land_run", "materialize",
+           "read_json_with_rejects", "split_bad_records", "AssetSpec", "BucketedStateStore", "TableStore", "land_run", "materialize",
            "write_chunks", "write_csv", "write_increment", "write_jdbc", "write_landing",
            "write_snapshot"]

@@ -154,3 +154,14 @@ def test_read_cards_json_array_and_freshness(spark, scratch):
     from deckframe.plans.cards import card_prices
     got = {r["name"]: r["min_usd"] for r in card_prices(cards).collect()}
     assert float(got["Bolt"]) == 1.0 and float(got["Island"]) == 999999999
+
+
+def test_read_json_with_rejects(spark, scratch):
+    from deckframe.sources import read_json_with_rejects
+    p = os.path.join(scratch, "mixed.json")
+    with open(p, "w") as f:
+        f.write('{"id": "a", "n": 1}\n{"id": "b", "n": "not a number"}\n{broken\n{"id": "c", "n": 3}\n')
+    good, bad = read_json_with_rejects(spark, p, spark.createDataFrame([], "id string, n int").schema)
+    assert sorted((r["id"], r["n"]) for r in good.collect()) == [("a", 1), ("c", 3)]
+    assert sorted(r["_corrupt_record"] for r in bad.collect()) == \
+        ['{"id": "b", "n": "not a number"}', "{broken"]
