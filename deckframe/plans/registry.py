@@ -646,3 +646,27 @@ def q_deck_details_incremental(spark, d):
     loaded = history.filter(F.col("lastUpdatedAtUtc") < F.lit(ORDERS_LOADED_BEFORE).cast("timestamp"))
     target = cut_lineage(decks.deck_details(loaded, star.commanders(b), lists))
     return decks.refresh_deck_details(target, history, star.commanders(b), lists)
+
+
+# N1 + Q1: nested deck documents (as a feed delivers them) flattened to the
+# landed row shape, then exploded back into board rows
+_BOARD_STRUCT = "struct<count:int,cards:map<string,struct<quantity:int,card:struct<name:string>>>>"
+
+
+@register("deck_flatten_explode", _with("parts") + """
+SELECT CAST(l_orderkey AS VARCHAR) AS deck_id, l_shipdate AS lastUpdatedAtUtc, card_name,
+       'lineitem' AS format, CAST(l_quantity AS BIGINT) AS quantity,
+       CASE WHEN l_linenumber = 1 THEN 'Commander' WHEN l_linenumber = 2 THEN 'Companion' ELSE 'Mainboard' END AS type
+FROM lineitem JOIN parts ON l_partkey = p_partkey""")
+def q_deck_flatten_explode(spark, d):
+    from deckframe.sources.readers import flatten_decks
+    docs = star.deck_documents(spark, d)
+    nested = docs.select(
+        F.col("id").cast("string").alias("id"), "format",
+        F.date_format("lastUpdatedAtUtc", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("lastUpdatedAtUtc"),
+        F.array(F.lit("hub")).alias("hubs"),
+        F.struct(*[F.from_json(c, _BOARD_STRUCT).alias(c)
+                   for c in ("commanders", "mainboard", "companions")]).alias("boards"))
+    rows = decks.board_cards(flatten_decks(nested))
+    return rows.select("deck_id", F.col("lastUpdatedAtUtc").cast("timestamp_ntz").alias("lastUpdatedAtUtc"),
+                       "card_name", "format", F.col("quantity").cast("bigint").alias("quantity"), "type")
