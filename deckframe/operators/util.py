@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,8 +58,3 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
             and fits_broadcast(small, max_rows):
         small = F.broadcast(small)
     return big.join(small, on=on, how=how)
-
-
-def select_as(df: DataFrame, mapping: Sequence[tuple[str, object]]) -> DataFrame:
-    """``select`` from (alias, column-or-name) pairs."""
-    return df.select(*[as_col(c).alias(a) for a, c in mapping])
