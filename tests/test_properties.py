@@ -81,3 +81,63 @@ def test_scd2_matches_brute_force(spark, snaps):
     want = sorted((k, v or "", f, t or dt.datetime.max) for k, v, f, t in model)
     assert got == want
     assert current(hist).groupBy("id").count().filter("count > 1").count() == 0
+
+
+def _strip(n):
+    return n.replace("A-", "") if n is not None and n.startswith("A-") else n
+
+
+def brute_average(lists, commanders, budget):
+    """Python model of the average deck: deck counts keyed by the stripped
+    commander name but joined on the raw name; RANGE running total."""
+    counts = defaultdict(set)
+    for d, c in commanders:
+        if c is not None:
+            counts[_strip(c)].add(d)
+    stats = {}
+    for d, t, card, q in lists:
+        for cd, c in commanders:
+            if cd != d or c is None:
+                continue
+            key = (_strip(c), _strip(card), t)
+            qs, tot = stats.get(key, (0, None))
+            n = len(counts[c]) if c in counts else None
+            tot = n if tot is None else (max(tot, n) if n is not None else tot)
+            stats[key] = (qs + q, tot)
+    out = []
+    by_cmd = defaultdict(list)
+    for (cmd, card, t), (qs, tot) in stats.items():
+        avg = qs / tot if tot else None
+        by_cmd[cmd].append((avg, card, t, None if avg is None else -(-qs // tot), tot))
+    for cmd, rows in by_cmd.items():
+        def sort_key(r):
+            return (r[0] is None, -(r[0] or 0), r[1])
+        rows.sort(key=sort_key)
+        for r in rows:
+            peers = [x for x in rows if sort_key(x) <= sort_key(r)]
+            vals = [x[3] for x in peers if x[3] is not None]
+            running = sum(vals) if vals else None
+            if running is not None and running <= budget:
+                out.append((cmd, r[1], r[3], r[4]))
+    return sorted(out, key=repr)
+
+
+deck_rows = st.lists(
+    st.tuples(st.sampled_from(["d1", "d2", "d3", "d4"]),
+              st.sampled_from(["Mainboard", "Companion"]),
+              st.sampled_from(["X", "A-X", "Y", "Z"]),
+              st.integers(1, 3)),
+    min_size=1, max_size=15)
+commander_rows = st.lists(st.tuples(st.sampled_from(["d1", "d2", "d3", "d4", "d5"]),
+                                    st.sampled_from(["C", "A-C", "D"])),
+                          min_size=1, max_size=8, unique=True)
+
+
+@SETTINGS
+@given(lists=deck_rows, cmds=commander_rows, budget=st.integers(1, 8))
+def test_average_decks_matches_brute_force(spark, lists, cmds, budget):
+    ldf = spark.createDataFrame(lists, "deck_id string, type string, card_name string, quantity bigint")
+    cdf = spark.createDataFrame(cmds, "deck_id string, card_name string")
+    got = sorted(((r["commander"], r["card_name"], r["quantity"], r["total_decks"])
+                  for r in decks.average_decks(ldf, cdf, budget).collect()), key=repr)
+    assert got == brute_average(lists, cmds, budget)
