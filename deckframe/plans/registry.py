@@ -272,7 +272,9 @@ def q_average_basket_budget(spark, d):
 fully_owned AS (SELECT deck_id FROM marked WHERE name IS NOT NULL GROUP BY deck_id HAVING sum(quantity) = 100)
 SELECT m.* FROM marked m JOIN fully_owned USING (deck_id)""")
 def q_buildable_baskets(spark, d):
-    return decks.buildable_decks(_decklists(spark, d), _collection(spark, d), DECK_SIZE,
+    # the owned totals and the returned rows both read the lists: materialise once
+    lists = cut_lineage(_decklists(spark, d))
+    return decks.buildable_decks(lists, _collection(spark, d), DECK_SIZE,
                                  BUILDABLE_UNLIMITED + star.BASIC_PATTERNS)
 
 
@@ -577,7 +579,9 @@ SELECT m.*, CAST(m.quantity AS VARCHAR) || ' ' || m.card_name AS copy_paste
 FROM marked m JOIN fully_owned USING (commander)""")
 def q_buildable_average(spark, d):
     b = _boards(spark, d)
-    avg = decks.average_decks(decks.decklists(b, DECK_SIZE), star.commanders(b), AVERAGE_BUDGET)
+    # the owned totals and the returned rows both read the average decks
+    avg = cut_lineage(decks.average_decks(decks.decklists(b, DECK_SIZE), star.commanders(b),
+                                          AVERAGE_BUDGET))
     return decks.buildable_average_decks(avg, _collection(spark, d), AVERAGE_DECK_SIZE,
                                          BUILDABLE_UNLIMITED + star.BASIC_PATTERNS)
 
