@@ -165,3 +165,25 @@ def test_read_json_with_rejects(spark, scratch):
     assert sorted((r["id"], r["n"]) for r in good.collect()) == [("a", 1), ("c", 3)]
     assert sorted(r["_corrupt_record"] for r in bad.collect()) == \
         ['{"id": "b", "n": "not a number"}', "{broken"]
+
+
+def test_read_asset_filters_and_cap(spark, scratch):
+    from deckframe.sources import read_asset
+    p = os.path.join(scratch, "asset.json")
+    d1 = _deck(1, "2024-01-02T10:00:00Z")
+    d1["hubNames"] = ["Competitive"]
+    d2 = _deck(2, "2024-01-03T10:00:00Z")
+    d2["hubNames"] = ["Budget"]
+    d3 = _deck(3, "2024-01-04T10:00:00Z")
+    d3["hubNames"] = ["Competitive"]
+    d3["format"] = "pauperedh"
+    with open(p, "w") as f:
+        for d in (d1, d2, d3):
+            f.write(json.dumps(d) + "\n")
+    spec = AssetSpec.from_dict({"asset": {"name": "cedh_decks"}, "nature": {"name": "incremental"},
+                                "filters": {"hubName": "Competitive", "fmt": "commander"},
+                                "parameters": {"max_rows": 5}})
+    assert [r["id"] for r in read_asset(spark, p, spec).collect()] == ["d1"]
+    spec.filters = {}
+    spec.max_rows = 2
+    assert [r["id"] for r in read_asset(spark, p, spec).collect()] == ["d3", "d2"]
