@@ -187,3 +187,15 @@ def test_read_asset_filters_and_cap(spark, scratch):
     spec.filters = {}
     spec.max_rows = 2
     assert [r["id"] for r in read_asset(spark, p, spec).collect()] == ["d3", "d2"]
+
+
+def test_flatten_keeps_unmodelled_fields_as_variant(spark, scratch):
+    from deckframe.sources import flatten_decks
+    p = os.path.join(scratch, "raw.json")
+    d = _deck(1, "2024-01-02T10:00:00Z")
+    d["primer"] = {"sections": 3}
+    with open(p, "w") as f:
+        f.write(json.dumps(d) + "\n")
+    flat = flatten_decks(spark.read.json(p), keep_raw=True)
+    r = flat.select("id", F.expr("variant_get(raw, '$.primer.sections', 'int')").alias("s")).first()
+    assert (r["id"], r["s"]) == ("d1", 3)
