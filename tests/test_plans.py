@@ -12,8 +12,6 @@ from tests.conftest import SF_SMALL
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                 "PythonUDF")
-# queries that execute work while being built (a stream run) are checked elsewhere
-BUILDS_WHILE_PLANNING = {"streaming_latest_state"}
 
 
 def test_every_query_has_an_oracle_or_is_documented():
@@ -24,8 +22,6 @@ def test_every_query_has_an_oracle_or_is_documented():
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_plans_stay_in_the_jvm(spark, name):
-    if name in BUILDS_WHILE_PLANNING:
-        pytest.skip("runs a stream while building")
     df = E.queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(n in plan for n in PYTHON_NODES), plan
