@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 from .op02_cuckoo_dedup import OP2_SQL, op2_cuckoo_dedup
+from .op03_suffix_dedup import op3_suffix_dedup
+from .op04_best_fit_pack import op4_best_fit_pack
+from .op06_arrow_tokens import op6_arrow_tokens
 from .op07_minimax_shards import op7_minimax_shards
+from .op10_minhash_join import op10_minhash_join
 
 QUERIES = {
     "op2_cuckoo_dedup": op2_cuckoo_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_best_fit_pack": op4_best_fit_pack,
+    "op6_arrow_tokens": op6_arrow_tokens,
     "op7_minimax_shards": op7_minimax_shards,
+    "op10_minhash_join": op10_minhash_join,
 }
 
 # DuckDB SQL; the others are tested against brute force in tests/llm
