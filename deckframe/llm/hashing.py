@@ -69,14 +69,15 @@ class Words(NamedTuple):
     bounds: np.ndarray
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words are runs of bytes other than ASCII white space; A-Z counts as a-z.
-    ``offsets`` are those of the run and start at any byte of ``data``."""
+def words(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _SPACE) -> Words:
+    """Words are runs of bytes outside ``breaks`` (a flag for each byte value);
+    A-Z counts as a-z.  ``offsets`` are those of the run and start at any byte
+    of ``data``."""
     base, data = offsets[0], data[offsets[0]:offsets[-1]]
     at = offsets - base
     n = len(data)
     space = np.ones(n + 2, bool)
-    space[1:-1] = _SPACE[data]
+    space[1:-1] = breaks[data]
     inner = ~space[1:-1]
     opens, closes = space[:-2].copy(), space[2:].copy()
     edge = at[at < n]
@@ -103,10 +104,10 @@ def shingles(found: Words, size: int) -> list[np.ndarray]:
         if b - a >= size:
             out.append(np.unique(whole[a:b - size + 1]))
         elif b > a:
-            short = np.uint64(b - a)
-            for x in h[a:b]:
-                short = mix(np.array([short * np.uint64(BASE) + x], np.uint64))[0]
-            out.append(np.array([short], np.uint64))
+            short = np.array([b - a], np.uint64)
+            for k in range(a, b):
+                short = mix(short * np.uint64(BASE) + h[k:k + 1])
+            out.append(short)
         else:
             out.append(np.zeros(0, np.uint64))
     return out

@@ -206,3 +206,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def op10_minhash_join(spark, sf_dir: str) -> DataFrame:
     """Groups of near duplicates over the whole ``documents`` table."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without all but the smallest id of each group, all columns
+    unchanged.  Rows without an id of their own stay only if their group has none."""
+    report = near_duplicates(docs, id_col, text_col)
+    bad = report.where("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left_anti")
