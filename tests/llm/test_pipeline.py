@@ -1,0 +1,45 @@
+import corpus_pipeline
+from deckframe.llm.op04_best_fit_pack import CAPACITY
+
+from test_op01 import brute as leaks
+from test_op01 import tokens
+from test_op02 import digest
+from test_op10 import brute as groups
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_in_order():
+    assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["language", "exact", "near", "decontaminate", "packing"]
+
+
+def test_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    bench = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    first = {}
+    for d in sorted(rows):
+        first.setdefault(digest(rows[d]), d)
+    rows = {d: rows[d] for d in first.values()}
+    rows = {d: rows[d] for d, _, _, kept in groups(list(rows.items())) if kept}
+    shared = {tuple(tokens(t)[i:i + 8]) for _, t in bench for i in range(len(tokens(t)) - 7)}
+    suspects = [(d, t) for d, t in rows.items() if any(tuple(tokens(t)[i:i + 8]) in shared for i in range(len(tokens(t)) - 7))]
+    held = {i for i, t in bench for _, text in suspects if set(tokens(t)) <= set(tokens(text))}
+    bad = {d for d, _ in leaks(suspects, [x for x in bench if x[0] in held])}
+    out = corpus_pipeline.run(spark, SF).collect()
+    assert {r["doc_id"] for r in out} == set(rows) - bad and bad
+    used = {}
+    for r in out:
+        used[r["sequence_id"]] = used.get(r["sequence_id"], 0) + r["length"]
+    assert max(used.values()) <= CAPACITY and len(used) <= -(-sum(used.values()) // CAPACITY) + 2
+
+
+def test_odd_rows(spark, odd, empty):
+    for table in (odd, empty):
+        docs = table
+        for name, stage in corpus_pipeline.STAGES:
+            after = stage(spark, docs, SF)
+            if name != "best_fit_packing":
+                assert after.columns == docs.columns
+            docs = spark.createDataFrame(after.collect(), after.schema)
+        assert (docs.count() > 0) == (table is odd)
