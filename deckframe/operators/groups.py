@@ -16,6 +16,11 @@ _COMPARE = {
 }
 
 
+def compare(left, op: str, right):
+    """``left <op> right`` for the operators ``== <= >= < >``."""
+    return _COMPARE[op](left, right)
+
+
 def group_totals(df: DataFrame, group, quantity: str, alias: str = "total") -> DataFrame:
     """``SUM(quantity)`` per group (partial aggregation before the shuffle)."""
     return df.groupBy(*as_list(group)).agg(F.sum(quantity).alias(alias))

@@ -57,17 +57,22 @@ def dedupe_keep_last(df: DataFrame, keys, order_by, keep: str = "last") -> DataF
 
     Ties on ``order_by`` are broken by every other orderable column, so the
     result does not depend on input order (Spark has no file order).
-    ``max_by`` is a partially aggregated function: a key holding a third of
-    all rows is reduced to one row per task before the shuffle.
+    The row itself is the largest (smallest) struct of ordering and remaining
+    columns, so each column is carried once; the aggregate is partial: a key
+    holding a third of all rows is reduced to one row per task before the
+    shuffle.
     """
     keys = as_list(keys)
     order = as_list(order_by)
-    rest = [f.name for f in df.schema.fields if f.name not in keys]
-    tiebreak = [f.name for f in df.schema.fields
-                if f.name not in keys and f.name not in order and _orderable(f.dataType)]
-    row = F.struct(*[F.col(c) for c in rest])
-    rank = F.struct(*[F.col(c) for c in order + tiebreak])
-    pick = F.max_by(row, rank) if keep == "last" else F.min_by(row, rank)
+    rest = [f for f in df.schema.fields if f.name not in keys and f.name not in order]
+    plain = [f.name for f in rest if _orderable(f.dataType)]
+    other = [f.name for f in rest if not _orderable(f.dataType)]
+    rank = F.struct(*[F.col(c) for c in order + plain])
+    if other:  # columns without an order travel beside the ones that rank
+        row = F.struct(rank.alias("r"), *[F.col(c) for c in other])
+        pick = F.max_by(row, rank) if keep == "last" else F.min_by(row, rank)
+    else:
+        pick = F.struct((F.max(rank) if keep == "last" else F.min(rank)).alias("r"))
     out = df.groupBy(*keys).agg(pick.alias("__row"))
-    return out.select(*[F.col(k) for k in keys], *[F.col("__row")[c].alias(c) for c in rest]) \
-              .select(*df.columns)
+    at = {c: F.col("__row")["r"][c] for c in order + plain} | {c: F.col("__row")[c] for c in other}
+    return out.select(*[(F.col(c) if c in keys else at[c]).alias(c) for c in df.columns])

@@ -2,25 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Broadcast policy
-# ----------------
-# * Catalogue-bounded lookups (collection, image table, prices) are cheap to
-#   count: they are broadcast after an explicit ``limit(n + 1).count()`` bound
-#   check, so the large side is never shuffled for them.  Above the bound the
-#   join falls back to a shuffle join.
-# * Lookups derived from the fact data (per-commander deck counts) would cost
-#   a second pass to count; they are plain joins and adaptive execution
-#   measures them after materialisation, broadcasting only below
-#   ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and splitting skewed
-#   partitions otherwise.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-# Lookups derived from the card catalogue (collection, image table, prices)
-# are bounded by it -- well under a million names / printings -- and cheap to
-# count, so they use the explicit check by default with this bound.
-CATALOGUE_ROWS = DEFAULT_BROADCAST_ROWS
+# Broadcast policy: joins are planned without hints.  The planner broadcasts a
+# side whose file size is known to be small, and adaptive execution one whose
+# measured size is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``; both
+# bounds are in bytes and cost no extra job.  Larger sides are shuffled and skewed
+# partitions split.
 
 
 def as_col(c) -> Column:
@@ -33,28 +22,3 @@ def as_list(x) -> list:
     if isinstance(x, (str, Column)):
         return [x]
     return list(x)
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Checked size bound for a broadcast: at most ``max_rows`` rows.
-
-    ``limit(n + 1).count()`` stops reading once the bound is exceeded, so the
-    check costs at most ``max_rows + 1`` rows of the small side.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int | None = None) -> DataFrame:
-    """Join ``big`` with a side expected to be small.
-
-    The small side is broadcast only after :func:`fits_broadcast` has proven it
-    within ``max_rows``; otherwise the plain join is planned and adaptive
-    execution picks sort-merge / shuffled-hash (and splits skewed partitions).
-    ``max_rows=None`` skips the check and leaves the choice to the planner.
-    """
-    if max_rows is not None and how in ("inner", "left", "left_outer", "left_semi",
-                                        "left_anti", "leftsemi", "leftanti") \
-            and fits_broadcast(small, max_rows):
-        small = F.broadcast(small)
-    return big.join(small, on=on, how=how)

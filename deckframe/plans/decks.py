@@ -10,22 +10,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from deckframe.constants import BOARD_TYPES, MAX_LINE_COST
-from deckframe.functions.json import parse_board
+from deckframe.functions.json import board_quantity, parse_board
 from deckframe.functions.names import (BUILDABLE_UNLIMITED, PARTNER_SEPARATOR,
                                        PROGRESS_UNLIMITED, strip_prefix,
                                        unlimited_quantity)
 from deckframe.operators.groups import (complete_groups, distinct_count,
                                         groups_where_total, ordered_concat)
-from deckframe.operators.incremental import newer_than, upsert
+from deckframe.operators.incremental import high_water_mark, newer_than, upsert
 from deckframe.operators.latest import latest_per_key
 from deckframe.operators.ownership import fully_owned_groups, owned_rows
 from deckframe.operators.running import budget_cut
-from deckframe.operators.util import CATALOGUE_ROWS, as_list, fits_broadcast
+from deckframe.operators.util import as_list
 
 
 VERSION = "lastUpdatedAtUtc"
+COST_TYPE = "decimal(24,2)"
 
 
 def explode_board(decks: DataFrame, board: str, since=None) -> DataFrame:
@@ -39,7 +41,7 @@ def explode_board(decks: DataFrame, board: str, since=None) -> DataFrame:
                         parse_board(board)["cards"].alias("cards"))
     return (parsed.select("deck_id", VERSION, "format", F.explode("cards").alias("key", "entry"))
                   .select("deck_id", VERSION, F.col("entry.card.name").alias("card_name"),
-                          "format", F.col("entry.quantity").alias("quantity")))
+                          "format", board_quantity("entry.quantity").alias("quantity")))
 
 
 def board_cards(decks: DataFrame, boards: dict[str, str] | None = None, since=None) -> DataFrame:
@@ -57,13 +59,13 @@ def board_cards(decks: DataFrame, boards: dict[str, str] | None = None, since=No
     return (per_board.select("deck_id", VERSION, "format", F.col("b.type").alias("type"),
                              F.explode("b.cards").alias("key", "entry"))
                      .select("deck_id", VERSION, F.col("entry.card.name").alias("card_name"),
-                             "format", F.col("entry.quantity").alias("quantity"), "type"))
+                             "format", board_quantity("entry.quantity").alias("quantity"), "type"))
 
 
-def upsert_board(target: DataFrame | None, batch: DataFrame) -> DataFrame:
+def upsert_board(target: DataFrame | None, batch: DataFrame, by=()) -> DataFrame:
     """Board table maintenance: upsert on (deck_id, card_name[, type]); removed
     cards are not deleted and linger with their older timestamp (as landed)."""
-    keys = ["deck_id", "card_name"] + (["type"] if "type" in batch.columns else [])
+    keys = as_list(by) + ["deck_id", "card_name"] + (["type"] if "type" in batch.columns else [])
     return upsert(target, batch, keys)
 
 
@@ -76,14 +78,14 @@ def decklists(boards: DataFrame, size: int = 100, scope: str = "board", by=(),
     the timestamp are all kept.  Decks whose latest rows total exactly ``size``
     are returned with all their latest rows.
 
-    ``method="aggregate"`` (default): one chain of partially aggregated steps
-    over the board rows -- quantity per (board, version), the newest version
-    and its quantity per board (``max_by``), the deck total -- yields the
-    (deck, board, version) keys to keep; the board rows then pass one left-semi
-    join against them.  Two scans of the board rows, one shuffle of them, and no
-    step holds a whole group in one task.  ``method="semi"`` composes the
-    generic :func:`latest_per_key` and :func:`complete_groups`;
-    ``method="window"`` uses windows (one shuffle; for small groups only).
+    ``method="aggregate"`` (default): quantity per (board, version), the newest
+    version of each board with its quantity (``max_by``), then one row per deck
+    with its total and the list of its newest versions (one entry per board).
+    Complete decks give their (deck, board, version) keys, and the board rows
+    pass one left-semi join against them: two scans of the board rows, one
+    shuffle of them.  ``method="semi"`` composes the generic
+    :func:`latest_per_key` and :func:`complete_groups`; ``method="window"`` uses
+    windows (one shuffle; for small groups only).
     """
     by = as_list(by)
     keys = by + ["deck_id"] + (["type"] if scope == "board" else [])
@@ -96,9 +98,11 @@ def decklists(boards: DataFrame, size: int = 100, scope: str = "board", by=(),
     per_version = valid.groupBy(*keys, VERSION).agg(F.sum("quantity").alias("__q"))
     newest = per_version.groupBy(*keys).agg(F.max(VERSION).alias(VERSION),
                                             F.max_by("__q", VERSION).alias("__q"))
-    complete = (newest.groupBy(*by, "deck_id").agg(F.sum("__q").alias("__total"))
-                      .filter(F.col("__total") == F.lit(size)).select(*by, "deck_id"))
-    keep = newest.join(complete, on=by + ["deck_id"], how="left_semi").select(*keys, VERSION)
+    boards_of = [k for k in keys if k not in by + ["deck_id"]] + [VERSION]
+    complete = (newest.groupBy(*by, "deck_id")
+                      .agg(F.sum("__q").alias("__total"), F.collect_list(F.struct(*boards_of)).alias("__boards"))
+                      .filter(F.col("__total") == F.lit(size)))
+    keep = complete.select(*by, "deck_id", F.inline("__boards")).select(*keys, VERSION)
     return boards.join(keep, on=keys + [VERSION], how="left_semi").select(*boards.columns)
 
 
@@ -116,6 +120,10 @@ def deck_details(history: DataFrame, commanders: DataFrame, lists: DataFrame,
         *by, F.col("id").alias("deck_id"), F.col("name").alias("deck_name"), "description",
         "publicUrl", "likeCount", "viewCount", "commentCount", "colors", VERSION,
         "createdAtUtc", "hubs")
+    if mark is not None:  # strings and counts of the newer decks only
+        fresh = decks.select(*by, "deck_id")
+        commanders = commanders.join(fresh, by + ["deck_id"], "left_semi")
+        lists = lists.join(fresh, by + ["deck_id"], "left_semi")
     cmd = ordered_concat(commanders, by + ["deck_id"], "card_name", PARTNER_SEPARATOR,
                          alias="commander_name")
     counts = distinct_count(lists, by + ["deck_id"], "card_name", alias="card_count")
@@ -128,18 +136,16 @@ def deck_details(history: DataFrame, commanders: DataFrame, lists: DataFrame,
 
 
 def refresh_deck_details(target: DataFrame | None, history: DataFrame, commanders: DataFrame,
-                         lists: DataFrame, by=()) -> DataFrame:
-    """Incremental Q3: details of decks newer than the target's newest row,
-    upserted on ``deck_id``."""
-    from deckframe.operators.incremental import high_water_mark
-    mark = high_water_mark(target, VERSION)
+                         lists: DataFrame, by=(), mark=None) -> DataFrame:
+    """Incremental Q3: details of decks newer than ``mark`` (by default the
+    target's newest row), upserted on ``deck_id``."""
+    mark = high_water_mark(target, VERSION) if mark is None else mark
     fresh = deck_details(history, commanders, lists, mark, by)
     return upsert(target, fresh, as_list(by) + ["deck_id"])
 
 
 def average_decks(lists: DataFrame, commanders: DataFrame, budget: int = 100,
-                  normalize_join: bool = False, by=(), keep_type: bool = False,
-                  max_broadcast_rows: int | None = None) -> DataFrame:
+                  normalize_join: bool = False, by=(), keep_type: bool = False) -> DataFrame:
     """Average deck per commander (Q4).
 
     Per (commander, card, board type): total copies over the complete lists of
@@ -161,19 +167,18 @@ def average_decks(lists: DataFrame, commanders: DataFrame, budget: int = 100,
                                 strip_prefix("cmd_raw").alias("cmd_key"), "deck_id")
                         .groupBy(*[f"__pc_{b}" for b in by], "cmd_key")
                         .agg(F.count_distinct("deck_id").alias("total_decks")))
-    # One row per distinct commander name (bounded by the card catalogue):
-    # broadcast by adaptive execution once measured, or after an explicit check.
-    if max_broadcast_rows is not None and fits_broadcast(per_commander, max_broadcast_rows):
-        per_commander = F.broadcast(per_commander)
     join_key = strip_prefix("cmd_raw") if normalize_join else F.col("cmd_raw")
-    rows = lists.select(*by, "deck_id", "card_name", "type", "quantity") \
-                .join(cmd, on=by + ["deck_id"], how="inner")
+    # copies per raw commander name first: the counts then meet one row per
+    # (commander, card, board) instead of every line
+    copies = (lists.select(*by, "deck_id", "card_name", "type", "quantity")
+                   .join(cmd, on=by + ["deck_id"], how="inner")
+                   .groupBy(*by, "cmd_raw", strip_prefix("card_name").alias("card_name"), "type")
+                   .agg(F.sum("quantity").alias("quantity")))
     on = join_key == F.col("cmd_key")
     for b in by:
         on = on & (F.col(b) == F.col(f"__pc_{b}"))
-    rows = rows.join(per_commander, on, "left")
-    stats = (rows.groupBy(*by, strip_prefix("cmd_raw").alias("commander"),
-                          strip_prefix("card_name").alias("card_name"), "type")
+    rows = copies.join(per_commander, on, "left")
+    stats = (rows.groupBy(*by, strip_prefix("cmd_raw").alias("commander"), "card_name", "type")
                  .agg(F.sum("quantity").alias("quantity"),
                       F.max("total_decks").alias("total_decks"))
                  .withColumn("avg", F.col("quantity") / F.col("total_decks"))
@@ -208,28 +213,37 @@ def buildable_decks(lists: DataFrame, collection: DataFrame, size: int = 100,
 
 def buildable_average_decks(average: DataFrame, collection: DataFrame, size: int = 100,
                             unlimited=BUILDABLE_UNLIMITED, by=()) -> DataFrame:
-    """Average decks a collection can build (Q6) plus a ``quantity card`` line."""
+    """Average decks a collection can build (Q6) plus a ``quantity card`` line
+    (NULL where the average is)."""
     have = owned_collection(collection, unlimited)
     rows = fully_owned_groups(average, have, as_list(by) + ["commander"], "card_name",
                               "quantity", size, "==")
-    return rows.withColumn("copy_paste", F.concat_ws(" ", F.col("quantity").cast("string"),
-                                                     F.col("card_name")))
+    return rows.withColumn("copy_paste", F.concat(F.col("quantity").cast("string"),
+                                                  F.lit(" "), F.col("card_name")))
 
 
-def deck_cost(lists: DataFrame, prices: DataFrame, by=(),
-              max_broadcast_rows: int | None = CATALOGUE_ROWS) -> DataFrame:
-    """Cheapest-printing cost per deck: ``SUM(min_usd * quantity)`` with line
-    costs outside [0, 9999] (unpriced sentinels) set to 0; unmatched cards add
-    nothing.  Every price row of a name matches (one per printing).  The price
-    table (one row per printing) is broadcast after the bound check."""
+def deck_cost(lists: DataFrame, prices: DataFrame, by=()) -> DataFrame:
+    """Cost per deck: ``SUM(min_usd * quantity)`` over the lines and the printings
+    of their card, with costs outside [0, 9999] (unpriced sentinels) set to 0;
+    unmatched cards add nothing.
+
+    Prices are first gathered per card name (one entry per printing, bounded by
+    the catalogue), so each line meets one row and the join multiplies nothing.
+    """
     by = as_list(by)
-    p = prices.select(F.col("name").alias("__pname"), "min_usd")
-    if max_broadcast_rows is not None and fits_broadcast(p, max_broadcast_rows):
-        p = F.broadcast(p)
+    p = (prices.filter(F.col("name").isNotNull() & F.col("min_usd").isNotNull())
+               .groupBy(F.col("name").alias("__pname")).agg(F.collect_list("min_usd").alias("__prices")))
     joined = lists.join(p, F.col("card_name") == F.col("__pname"), "left")
-    line = F.col("min_usd") * F.col("quantity")
-    cost = F.when((line > MAX_LINE_COST) | (line < 0), F.lit(0)).otherwise(line)
-    return joined.groupBy(*by, "deck_id").agg(F.sum(cost).alias("cost"))
+
+    kind = COST_TYPE if isinstance(prices.schema["min_usd"].dataType, T.DecimalType) else "double"
+
+    def add(total, price):
+        cost = price * F.col("quantity")
+        counted = F.when(cost.between(0, MAX_LINE_COST), cost).otherwise(F.lit(0))
+        return (total + counted).cast(kind)
+
+    line = F.aggregate("__prices", F.lit(0).cast(kind), add)
+    return joined.groupBy(*by, "deck_id").agg(F.sum(line).alias("cost"))
 
 
 def deck_build_progress(lists: DataFrame, details: DataFrame, collection: DataFrame,

@@ -2,10 +2,10 @@
 
 Each query binds the star-schema tables to the deck vocabulary
 (:mod:`deckframe.plans.star`) and runs the library's own functions on the
-whole tables.  The SQL text states each result independently of the Spark
-plan (a self-join for latest rows, joins against qualifying keys, window-free
-aggregates where the Spark side uses ``max_by``), so a shared mistake in the
-plan and the check is unlikely.
+whole tables.  The SQL states each result from its meaning and in other terms
+than the Spark plan: correlated counts and sums, division as "there is no needed
+card that isn't owned", running totals as a sum over the rows that come no
+later.
 """
 
 from __future__ import annotations
@@ -14,30 +14,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from deckframe.functions.names import BUILDABLE_UNLIMITED, PROGRESS_UNLIMITED
+from deckframe.constants import (BUILDABLE_UNLIMITED, FACE_SEPARATOR, LAND_TYPE_PATTERN, LEADERBOARD_SKIP_NAMES,
+                                 MAX_LINE_COST, PARTNER_SEPARATOR, PROGRESS_UNLIMITED, REBALANCED_PREFIX,
+                                 UNLIMITED_COPIES)
+from deckframe.functions.json import apply_transforms, jsonify_nested
 from deckframe.operators.groups import complete_groups
-from deckframe.operators.incremental import high_water_mark, newer_than, upsert
+from deckframe.operators.incremental import backfill, high_water_mark, newer_than, upsert
 from deckframe.operators.latest import dedupe_keep_last, latest_per_key
 from deckframe.operators.ownership import fully_covered
 from deckframe.operators.ranking import top_k
 from deckframe.operators.scd2 import scd2_apply
 from deckframe.plans import cards, combos, decks, star, web
-from deckframe.session import cut_lineage
+from deckframe.plans.assets import load_asset
+from deckframe.session import scratch_path
+from deckframe.sources import (AssetSpec, BucketedStateStore, HistoryStore, TableStore, asset_filter, land_run, read_combos,
+                               read_decks, split_bad_records, write_chunks, write_landing)
+from deckframe.streaming import landing_stream, run_upsert_stream
+from deckframe.streaming.ingest import latest_state_batch
 
 # Binding parameters.
-DECK_SIZE = 100
-AVERAGE_BUDGET = 10
+DECK_SIZE = 44
+AVERAGE_BUDGET = 60
 AVERAGE_DECK_SIZE = 6      # target size of a buildable average deck in this binding
 STATE_CUT_EARLY = "2024-01-20 00:00:00"   # second batch starts here
 STATE_CUT_LATE = "2024-01-21 12:00:00"    # first batch ends here
 SNAPSHOT_1 = "2024-02-01 00:00:00"
 SNAPSHOT_2 = "2024-02-02 00:00:00"
+SNAPSHOT_3 = "2024-02-03 00:00:00"
 ORDERS_LOADED_BEFORE = "1997-01-01 00:00:00"
 SKIP_BRANDS = ["Brand#13", "Brand#5"]
 SKIP_NAME_PATTERN = "%widget%"
 TOP_PARTS = 200
-STATE_BUCKETS = 64
+LEADERBOARD = 25           # fewer than the card names of this binding, so the cut shows
+STATE_BUCKETS = 16
+ARRIVALS = 6               # landed files, one for each micro-batch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -92,7 +104,7 @@ def _event_state(spark, d, lo=None, hi=None):
 
 _CTE = {
     "parts": """parts AS (
-  SELECT p_partkey, CASE WHEN p_type = 'PROMO' THEN replace(p_name, ' ', ' // ') ELSE p_name END AS card_name,
+  SELECT p_partkey, CASE WHEN p_type = 'PROMO' THEN replace(p_name, ' ', ' // ') WHEN p_size % 6 = 0 THEN 'A-' || p_name ELSE p_name END AS card_name,
          p_name, p_type, p_brand, p_size, p_retailprice
   FROM part)""",
     "boards": """boards AS (
@@ -177,55 +189,68 @@ def _with(*names: str) -> str:
 _DECKLISTS = ("parts", "boards", "latest", "decklists")
 
 
-def _strip(c: str) -> str:
-    return f"CASE WHEN {c} LIKE 'A-%' THEN replace({c}, 'A-', '') ELSE {c} END"
-
-
-def _average_sql(budget: int, by_format: bool = False) -> str:
-    """CTEs ending in ``average``: the average deck per commander under ``budget``."""
-    f = "format, " if by_format else ""
-    on_f = " AND c.format = l.format" if by_format else ""
-    on_nf = " AND n.format = c.format" if by_format else ""
-    cf = "c.format, " if by_format else ""
-    return f"""commander_rows AS (SELECT {f}deck_id, card_name AS raw_name FROM boards WHERE type = 'Commander'),
-deck_counts AS (
-  SELECT {f}{_strip('raw_name')} AS stripped, count(DISTINCT deck_id) AS total_decks
-  FROM commander_rows GROUP BY ALL),
-card_stats AS (
-  SELECT {cf}{_strip('c.raw_name')} AS commander, {_strip('l.card_name')} AS card_name, l.type,
-         sum(l.quantity) AS copies, max(n.total_decks) AS total_decks
-  FROM decklists l
-  JOIN commander_rows c ON c.deck_id = l.deck_id{on_f}
-  LEFT JOIN deck_counts n ON n.stripped = c.raw_name{on_nf}
-  WHERE c.raw_name IS NOT NULL
+def _quoted(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def _plain(c: str) -> str:
+    """A card name without the mark of its rebalanced version."""
+    return f"if(starts_with({c}, '{REBALANCED_PREFIX}'), replace({c}, '{REBALANCED_PREFIX}', ''), {c})"
+
+
+def _average_sql(budget: int, fmt: str = "") -> str:
+    """CTEs ending in ``average``.  ``fmt``: "format" to keep formats apart.
+
+    A commander's share of a card is its copies over the number of decks led by
+    the commander; cards are bought in the order of their shares while the cards
+    so far, each rounded up, fit into the budget.
+    """
+    keep = f"{fmt}, " if fmt else ""
+    same = lambda a, b: f" AND {a}.{fmt} = {b}.{fmt}" if fmt else ""
+    return f"""leaders AS (
+  SELECT {keep}deck_id, card_name AS leader FROM boards WHERE type = 'Commander' AND card_name IS NOT NULL),
+shares AS (
+  SELECT {f"p.{fmt}, " if fmt else ""}{_plain("leader")} AS commander, card_name, type, sum(copies) AS copies,
+         max((SELECT nullif(count(DISTINCT k.deck_id), 0) FROM leaders k
+              WHERE {_plain("k.leader")} = p.leader{same("k", "p")})) AS total_decks
+  FROM (SELECT {f"l.{fmt}, " if fmt else ""}leader, {_plain("l.card_name")} AS card_name, l.type, sum(l.quantity) AS copies
+        FROM leaders, decklists l WHERE leaders.deck_id = l.deck_id{same("leaders", "l")} GROUP BY ALL) p
   GROUP BY ALL),
-ranked AS (
-  SELECT *, copies / total_decks AS avg_copies, CAST(ceil(copies / total_decks) AS BIGINT) AS rounded
-  FROM card_stats),
-budgeted AS (
-  SELECT *, sum(rounded) OVER (PARTITION BY {f}commander
-                               ORDER BY avg_copies DESC NULLS LAST, card_name ASC NULLS FIRST) AS spent
-  FROM ranked),
-average AS (SELECT {f}commander, card_name, rounded AS quantity, total_decks FROM budgeted WHERE spent <= {budget})"""
-
-
-def _marked_sql(source: str, patterns: list[str], key: str = "card_name") -> str:
-    """CTEs ``owned`` and ``marked``: rows of ``source`` with ``name`` set when
-    the collection holds at least the row's quantity (patterns = unlimited)."""
-    unlimited = " OR ".join(f"name LIKE '{p}'" for p in patterns)
-    return f"""owned AS (
-  SELECT name AS owned_name, CASE WHEN {unlimited} THEN 99 ELSE quantity END AS owned_qty FROM coll),
-marked AS (
-  SELECT s.*, o.owned_name AS name FROM {source} s
-  LEFT JOIN owned o ON o.owned_name = s.{key} AND s.quantity <= o.owned_qty)"""
-
-
-def _image_sql(name: str) -> str:
-    """LEFT JOINs of the image table on the partner (pf/pl) and face (ff/fl) parts."""
-    return f"""LEFT JOIN images pf ON pf.card_name = string_split({name}, '[and]')[1]
-LEFT JOIN images pl ON pl.card_name = string_split({name}, '[and]')[-1] AND NOT (pl.card_name LIKE pf.card_name)
-LEFT JOIN images ff ON ff.card_name = string_split({name}, ' // ')[1]
-LEFT JOIN images fl ON fl.card_name = string_split({name}, ' // ')[-1] AND NOT (fl.card_name LIKE ff.card_name)"""
+average AS (
+  SELECT {f"a.{fmt}, " if fmt else ""}a.commander, a.card_name, CAST(ceil(a.copies / a.total_decks) AS BIGINT) AS quantity, a.total_decks
+  FROM shares a JOIN shares b
+    ON b.commander = a.commander{same("b", "a")}
+   AND (b.copies / b.total_decks > a.copies / a.total_decks
+        OR (a.total_decks IS NULL AND b.total_decks IS NOT NULL)
+        OR (b.copies / b.total_decks IS NOT DISTINCT FROM a.copies / a.total_decks AND b.card_name <= a.card_name))
+  GROUP BY {f"a.{fmt}, " if fmt else ""}a.commander, a.card_name, a.type, a.copies, a.total_decks
+  HAVING sum(ceil(b.copies / b.total_decks)) <= {budget})"""
+
+
+def _owned(source: str, unlimited) -> str:
+    """CTE ``lines``: rows of ``source`` with the collection's name for them,
+    where it has enough copies."""
+    endless = " OR ".join(f"c.name LIKE '{p}'" for p in unlimited)
+    return f"""lines AS (
+  SELECT s.*, (SELECT c.name FROM coll c WHERE c.name = s.card_name
+               AND (s.quantity <= c.quantity AND NOT ({endless}) OR s.quantity <= {UNLIMITED_COPIES} AND ({endless}))) AS name
+  FROM {source} s)"""
+
+
+def _pictures(source: str, column: str) -> str:
+    """CTEs ending in ``pictured``: ``source`` (one row for each name) with the
+    image entries of the parts of its names."""
+    part = lambda sep, i: f"(SELECT i FROM images i WHERE i.card_name = string_split(s.{column}, '{sep}')[{i}])"
+    return f"""entries_of AS (
+  SELECT s.*, {part(PARTNER_SEPARATOR, 1)} AS one, {part(PARTNER_SEPARATOR, -1)} AS partner,
+         {part(FACE_SEPARATOR, 1)} AS face, {part(FACE_SEPARATOR, -1)} AS back
+  FROM {source} s),
+pictured AS (
+  SELECT * EXCLUDE (one, partner, face, back), one.oracle_id AS oracle_id, one.type_line AS type_line,
+         coalesce(one.image_url, face.image_url) AS card_front,
+         coalesce(if(partner.card_name NOT LIKE one.card_name, partner.image_url, NULL),
+                  if(back.card_name NOT LIKE face.card_name, back.image_url, NULL)) AS card_back
+  FROM entries_of)"""
 
 
 # --------------------------------------------------------------------------
@@ -268,13 +293,11 @@ def q_average_basket_budget(spark, d):
 
 # Complete decklists the collection can build
 @register("buildable_baskets", _with(*_DECKLISTS, "coll") + ",\n"
-         + _marked_sql("decklists", ["Snow-Covered%", "small%"]) + """,
-fully_owned AS (SELECT deck_id FROM marked WHERE name IS NOT NULL GROUP BY deck_id HAVING sum(quantity) = 100)
-SELECT m.* FROM marked m JOIN fully_owned USING (deck_id)""")
+         + _owned("decklists", BUILDABLE_UNLIMITED + star.BASIC_PATTERNS) + f"""
+SELECT * FROM lines
+WHERE {DECK_SIZE} = (SELECT sum(o.quantity) FROM lines o WHERE o.deck_id = lines.deck_id AND o.name IS NOT NULL)""")
 def q_buildable_baskets(spark, d):
-    # the owned totals and the returned rows both read the lists: materialise once
-    lists = cut_lineage(_decklists(spark, d))
-    return decks.buildable_decks(lists, _collection(spark, d), DECK_SIZE,
+    return decks.buildable_decks(_decklists(spark, d), _collection(spark, d), DECK_SIZE,
                                  BUILDABLE_UNLIMITED + star.BASIC_PATTERNS)
 
 
@@ -317,28 +340,24 @@ def q_price_min_max(spark, d):
 
 
 # Q7: build progress per deck
-@register("build_progress", _with(*_DECKLISTS, "coll", "hist", "details", "printings") + """,
-printing_prices AS (SELECT name AS priced_name, CAST(p_retailprice AS DECIMAL(12,2)) AS min_usd FROM pr),
-deck_price AS (
-  SELECT l.deck_id,
-         sum(CASE WHEN p.min_usd * l.quantity BETWEEN 0 AND 9999 THEN p.min_usd * l.quantity
-                  WHEN p.min_usd IS NOT NULL THEN 0 END) AS cost
-  FROM decklists l LEFT JOIN printing_prices p ON p.priced_name = l.card_name GROUP BY l.deck_id),
-""" + _marked_sql("decklists", ["Snow-Covered%", "Forest", "Swamp", "Island", "Plains", "Mountain",
-                                "Wastes", "small%"]) + """,
-owned_totals AS (
-  SELECT deck_id, CAST(sum(quantity) AS BIGINT) AS owned_copies FROM marked WHERE name IS NOT NULL
-  GROUP BY deck_id HAVING sum(quantity) <= 100)
-SELECT t.deck_id, d.commander_name, d.deck_name, d.card_count, t.owned_copies AS percent_complete,
-       CAST(c.cost AS DOUBLE) AS price, d.hubs, d.description, d.commentCount, d.likeCount, d.viewCount,
-       d.publicUrl, d.lastUpdatedAtUtc
-FROM owned_totals t
-LEFT JOIN details d ON d.deck_id = t.deck_id
-LEFT JOIN deck_price c ON c.deck_id = d.deck_id""")
+@register("build_progress", _with(*_DECKLISTS, "coll", "hist", "details", "printings") + ",\n"
+         + _owned("decklists", PROGRESS_UNLIMITED + star.BASIC_PATTERNS) + f""",
+line_costs AS (
+  SELECT card_name, quantity,
+         (SELECT sum(if(amount BETWEEN 0 AND {MAX_LINE_COST}, amount, 0))
+          FROM (SELECT CAST(pr.p_retailprice AS DECIMAL(12,2)) * pairs.quantity AS amount FROM pr WHERE pr.name = pairs.card_name)) AS cost
+  FROM (SELECT DISTINCT card_name, quantity FROM decklists) pairs),
+by_deck AS (
+  SELECT deck_id, CAST(sum(quantity) FILTER (WHERE name IS NOT NULL) AS BIGINT) AS percent_complete, sum(cost) AS cost
+  FROM lines LEFT JOIN line_costs USING (card_name, quantity) GROUP BY deck_id)
+SELECT deck_id, commander_name, deck_name, card_count, percent_complete,
+       if(details.deck_id IS NULL, NULL, CAST(cost AS DOUBLE)) AS price, hubs, description, commentCount, likeCount,
+       viewCount, publicUrl, lastUpdatedAtUtc
+FROM by_deck LEFT JOIN details USING (deck_id)
+WHERE percent_complete <= {DECK_SIZE}""")
 def q_build_progress(spark, d):
     b = _boards(spark, d)
-    # three consumers (ownership, cost, details): materialise the lists once
-    lists = cut_lineage(decks.decklists(b, DECK_SIZE))
+    lists = decks.decklists(b, DECK_SIZE)
     details = decks.deck_details(star.deck_history(spark, d), star.commanders(b), lists)
     prices = cards.card_prices(star.printings(spark, d))
     out = decks.deck_build_progress(lists, details, _collection(spark, d), prices, DECK_SIZE,
@@ -348,29 +367,24 @@ def q_build_progress(spark, d):
 
 
 # Top cards with images
-@register("top_items", _with(*_DECKLISTS, "printings", "images") + """
-SELECT l.card_name, pf.oracle_id, pf.type_line, coalesce(pf.image_url, ff.image_url) AS card_front,
-       coalesce(pl.image_url, fl.image_url) AS card_back, count(DISTINCT l.deck_id) AS decks
-FROM decklists l
-""" + _image_sql("l.card_name") + """
-WHERE NOT (lower(pf.type_line) LIKE '%land%')
-  AND l.card_name NOT IN ('Plains', 'Island', 'Swamp', 'Mountain', 'Forest', 'Snow-Covered Plains',
-                          'Snow-Covered Island', 'Snow-Covered Swamp', 'Snow-Covered Mountain', 'Snow-Covered Forest')
-GROUP BY ALL
-ORDER BY decks DESC, card_name ASC, oracle_id ASC NULLS FIRST, card_front ASC NULLS FIRST, card_back ASC NULLS FIRST
-LIMIT 200""")
+@register("top_items", _with(*_DECKLISTS, "printings", "images") + f""",
+played AS (
+  SELECT card_name, count(DISTINCT deck_id) AS decks FROM decklists
+  WHERE NOT list_contains([{_quoted(LEADERBOARD_SKIP_NAMES)}], card_name) GROUP BY card_name),
+""" + _pictures("played", "card_name") + f"""
+SELECT card_name, oracle_id, type_line, card_front, card_back, decks FROM pictured
+WHERE type_line NOT ILIKE '{LAND_TYPE_PATTERN}'
+ORDER BY decks DESC, card_name LIMIT {LEADERBOARD}""")
 def q_top_items(spark, d):
-    return web.top_cards(_decklists(spark, d), _images(spark, d))
+    return web.top_cards(_decklists(spark, d), _images(spark, d), LEADERBOARD)
 
 
 # Q13: commander strings by decks, with images
-@register("top_groups", _with(*_DECKLISTS, "hist", "details", "printings", "images") + """
-SELECT t.commander_name, pf.oracle_id, coalesce(pf.image_url, ff.image_url) AS card_front,
-       coalesce(pl.image_url, fl.image_url) AS card_back, count(DISTINCT t.deck_id) AS decks
-FROM details t
-""" + _image_sql("t.commander_name") + """
-WHERE t.commander_name IS NOT NULL
-GROUP BY ALL""")
+@register("top_groups", _with(*_DECKLISTS, "hist", "details", "printings", "images") + """,
+led AS (
+  SELECT commander_name, count(DISTINCT deck_id) AS decks FROM details WHERE commander_name IS NOT NULL GROUP BY commander_name),
+""" + _pictures("led", "commander_name") + """
+SELECT commander_name, oracle_id, card_front, card_back, decks FROM pictured""")
 def q_top_groups(spark, d):
     return web.top_commanders(_details(spark, d), _images(spark, d))
 
@@ -422,29 +436,18 @@ def q_combo_card_rows(spark, d):
 
 
 # Combos fully covered by the collection
-@register("usable_combos", _with("parts", "coll", "combo_rows") + """,
-have_counts AS (
-  SELECT r.id, count(DISTINCT h.name) AS have FROM combo_rows r
-  JOIN coll h ON CAST(h.name AS VARCHAR) = CAST(r.name AS VARCHAR) GROUP BY r.id),
-need_counts AS (SELECT id, identity, count(DISTINCT name) AS need FROM combo_rows GROUP BY id, identity),
-covered AS (SELECT DISTINCT n.id FROM need_counts n JOIN have_counts h ON h.id = n.id AND h.have = n.need)
-SELECT r.* FROM combo_rows r WHERE r.id IN (SELECT id FROM covered)""")
+@register("usable_combos", _with("parts", "coll", "combo_rows") + """
+SELECT * FROM combo_rows WHERE NOT EXISTS (
+  SELECT 1 FROM combo_rows n WHERE n.id = combo_rows.id AND n.name NOT IN (SELECT name FROM coll))""")
 def q_usable_combos(spark, d):
-    # needed, owned and the final rows all read the card rows: parse the
-    # documents once into the shared checkpoint folder
-    rows = cut_lineage(combos.combo_cards(star.combo_history(spark, d)).select(*_COMBO_COLS))
+    rows = combos.combo_cards(star.combo_history(spark, d)).select(*_COMBO_COLS)
     return combos.usable_combos(rows, _collection(spark, d))
 
 
 # Q10 generic: decks (all landed board rows) whose every card name is owned
-@register("fully_covered_groups", _with("parts", "boards", "coll") + """,
-have_counts AS (
-  SELECT b.deck_id, count(DISTINCT b.card_name) AS have FROM boards b JOIN coll c ON c.name = b.card_name
-  GROUP BY b.deck_id),
-need_counts AS (SELECT deck_id, count(DISTINCT card_name) AS need FROM boards GROUP BY deck_id)
-SELECT b.* FROM boards b
-JOIN (SELECT n.deck_id FROM need_counts n JOIN have_counts h ON h.deck_id = n.deck_id AND h.have = n.need) ok
-  ON ok.deck_id = b.deck_id""")
+@register("fully_covered_groups", _with("parts", "boards", "coll") + """
+SELECT * FROM boards WHERE NOT EXISTS (
+  SELECT 1 FROM boards n WHERE n.deck_id = boards.deck_id AND n.card_name NOT IN (SELECT name FROM coll))""")
 def q_fully_covered_groups(spark, d):
     return fully_covered(_boards(spark, d), _collection(spark, d), "deck_id", "card_name")
 
@@ -534,12 +537,12 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
                                                             value DESC, props DESC) AS rn
   FROM events) WHERE rn = 1""")
 def q_streaming_latest_state(spark, d):
-    from deckframe.session import scratch_path
-    from deckframe.sources.writers import BucketedStateStore
-    from deckframe.streaming import landing_stream, run_upsert_stream
     src = star.table(spark, d, "events")
     root = scratch_path(spark, "events-state")
-    stream = landing_stream(spark, f"{d.rstrip('/')}/event[s].parquet", src.schema)
+    # land the events as several files of mixed times: each batch holds rows
+    # older than the state
+    (src.repartition(ARRIVALS, F.pmod("event_id", F.lit(ARRIVALS))).write.parquet(f"{root}/landing"))
+    stream = landing_stream(spark, f"{root}/landing", src.schema, max_files_per_trigger=1)
     store = BucketedStateStore(spark, f"{root}/state", ["user_id"], buckets=STATE_BUCKETS)
     q = run_upsert_stream(stream, store, ["user_id"], "ts", f"{root}/stream-checkpoint")
     q.awaitTermination()
@@ -562,7 +565,7 @@ current_rows AS (
 complete_decks AS (
   SELECT format, deck_id FROM current_rows GROUP BY format, deck_id HAVING sum(quantity) = {DECK_SIZE}),
 decklists AS (SELECT r.* FROM current_rows r JOIN complete_decks USING (format, deck_id)),
-""" + _average_sql(AVERAGE_BUDGET, by_format=True) + "\nSELECT * FROM average")
+""" + _average_sql(AVERAGE_BUDGET, "format") + "\nSELECT * FROM average")
 def q_average_by_format(spark, d):
     b = star.deck_boards_by_priority(spark, d)
     lists = decks.decklists(b, DECK_SIZE, by=["format"])
@@ -571,17 +574,12 @@ def q_average_by_format(spark, d):
 
 # Q6: average decks the collection can build (owned average quantities total the budget)
 @register("buildable_average", _with(*_DECKLISTS, "coll") + ",\n" + _average_sql(AVERAGE_BUDGET)
-         + ",\n" + _marked_sql("average", ["Snow-Covered%", "small%"]) + f""",
-fully_owned AS (
-  SELECT commander FROM marked WHERE name IS NOT NULL GROUP BY commander
-  HAVING sum(quantity) = {AVERAGE_DECK_SIZE})
-SELECT m.*, CAST(m.quantity AS VARCHAR) || ' ' || m.card_name AS copy_paste
-FROM marked m JOIN fully_owned USING (commander)""")
+         + ",\n" + _owned("average", BUILDABLE_UNLIMITED + star.BASIC_PATTERNS) + f"""
+SELECT *, CAST(quantity AS VARCHAR) || ' ' || card_name AS copy_paste FROM lines
+WHERE {AVERAGE_DECK_SIZE} = (SELECT sum(o.quantity) FROM lines o WHERE o.commander = lines.commander AND o.name IS NOT NULL)""")
 def q_buildable_average(spark, d):
     b = _boards(spark, d)
-    # the owned totals and the returned rows both read the average decks
-    avg = cut_lineage(decks.average_decks(decks.decklists(b, DECK_SIZE), star.commanders(b),
-                                          AVERAGE_BUDGET))
+    avg = decks.average_decks(decks.decklists(b, DECK_SIZE), star.commanders(b), AVERAGE_BUDGET)
     return decks.buildable_average_decks(avg, _collection(spark, d), AVERAGE_DECK_SIZE,
                                          BUILDABLE_UNLIMITED + star.BASIC_PATTERNS)
 
@@ -589,18 +587,21 @@ def q_buildable_average(spark, d):
 # Feed timestamps in several ISO layouts (chosen by order priority)
 # parsed back to UTC timestamps and canonical text
 @register("timestamp_parse", """
-SELECT o_orderkey, o_orderdate AS parsed, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS canonical
+SELECT o_orderkey,
+       CASE o_orderkey % 9 WHEN 3 THEN o_orderdate - INTERVAL 330 MINUTE WHEN 4 THEN o_orderdate + INTERVAL 2 HOUR
+            WHEN 5 THEN NULL WHEN 6 THEN NULL WHEN 7 THEN NULL WHEN 8 THEN NULL ELSE o_orderdate END AS parsed,
+       strftime(parsed, '%Y-%m-%d %H:%M:%S') AS canonical
 FROM orders""")
 def q_timestamp_parse(spark, d):
     from deckframe.functions.time import canonical_ts_text, parse_utc
     o = star.table(spark, d, "orders")
-    text = (F.when(F.col("o_orderpriority") == "1-URGENT",
-                   F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-             .when(F.col("o_orderpriority") == "2-HIGH",
-                   F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'+00:00'"))
-             .when(F.col("o_orderpriority") == "3-MEDIUM",
-                   F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-             .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    layouts = ["yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", "yyyy-MM-dd'T'HH:mm:ss'+00:00'", "yyyy-MM-dd HH:mm:ss.SSSSSS",
+               "yyyy-MM-dd'T'HH:mm:ss'+05:30'", "yyyy-MM-dd HH:mm:ss'-0200'",
+               # no full timestamp: junk behind the zone, no date, no time, empty
+               "yyyy-MM-dd'T'HH:mm:ss'+05:00x'", "HH:mm:ss", "yyyy-MM-dd", "''"]
+    text = F.lit("")
+    for i, layout in enumerate(layouts[:-1]):
+        text = F.when(F.col("o_orderkey") % 9 == i, F.date_format("o_orderdate", layout)).otherwise(text)
     parsed = o.select("o_orderkey", parse_utc(text).alias("parsed"))
     return parsed.select("o_orderkey", F.col("parsed").cast("timestamp_ntz").alias("parsed"),
                          canonical_ts_text("parsed").alias("canonical"))
@@ -644,33 +645,222 @@ def q_list_to_indexed_map(spark, d):
 @register("deck_details_incremental", _with(*_DECKLISTS, "hist", "details") + "SELECT * FROM details")
 def q_deck_details_incremental(spark, d):
     b = _boards(spark, d)
-    # the initial build and the refresh both read the lists: materialise once
-    lists = cut_lineage(decks.decklists(b, DECK_SIZE))
+    lists = decks.decklists(b, DECK_SIZE)
     history = star.deck_history(spark, d)
     loaded = history.filter(F.col("lastUpdatedAtUtc") < F.lit(ORDERS_LOADED_BEFORE).cast("timestamp"))
-    target = cut_lineage(decks.deck_details(loaded, star.commanders(b), lists))
-    return decks.refresh_deck_details(target, history, star.commanders(b), lists)
-
-
-# N1 + Q1: nested deck documents (as a feed delivers them) flattened to the
-# landed row shape, then exploded back into board rows
-_BOARD_STRUCT = "struct<count:int,cards:map<string,struct<quantity:int,card:struct<name:string>>>>"
+    target = decks.deck_details(loaded, star.commanders(b), lists)
+    return decks.refresh_deck_details(target, history, star.commanders(b), lists,
+                                      mark=high_water_mark(loaded, "lastUpdatedAtUtc"))
 
 
+# Documents landed as JSON lines, read with the fixed schema
+# and exploded into board rows, whatever form the quantities have
 @register("deck_flatten_explode", _with("parts") + """
-SELECT CAST(l_orderkey AS VARCHAR) AS deck_id, l_shipdate AS lastUpdatedAtUtc, card_name,
-       'lineitem' AS format, CAST(l_quantity AS BIGINT) AS quantity,
+SELECT CAST(l_orderkey AS VARCHAR) AS deck_id, l_shipdate AS lastUpdatedAtUtc, card_name, 'lineitem' AS format,
+       CAST(l_quantity AS BIGINT) AS quantity, '{"0":"h","1":{"n":1}}' AS hubs,
        CASE WHEN l_linenumber = 1 THEN 'Commander' WHEN l_linenumber = 2 THEN 'Companion' ELSE 'Mainboard' END AS type
 FROM lineitem JOIN parts ON l_partkey = p_partkey""")
 def q_deck_flatten_explode(spark, d):
-    from deckframe.sources.readers import flatten_decks
-    docs = star.deck_documents(spark, d)
-    nested = docs.select(
-        F.col("id").cast("string").alias("id"), "format",
-        F.date_format("lastUpdatedAtUtc", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("lastUpdatedAtUtc"),
-        F.array(F.lit("hub")).alias("hubs"),
-        F.struct(*[F.from_json(c, _BOARD_STRUCT).alias(c)
-                   for c in ("commanders", "mainboard", "companions")]).alias("boards"))
-    rows = decks.board_cards(flatten_decks(nested))
-    return rows.select("deck_id", F.col("lastUpdatedAtUtc").cast("timestamp_ntz").alias("lastUpdatedAtUtc"),
-                       "card_name", "format", F.col("quantity").cast("bigint").alias("quantity"), "type")
+    path = scratch_path(spark, "deck-feed")
+    star.deck_feed(spark, d).write.text(path)
+    landed = read_decks(spark, path)
+    rows = decks.board_cards(landed).withColumn("hubs", F.lit('{"0":"h","1":{"n":1}}'))
+    bad = landed.filter(F.col("hubs") != '{"0":"h","1":{"n":1}}')     # none
+    return rows.join(bad.select(F.col("id").alias("deck_id")), "deck_id", "left_anti").select(
+        "deck_id", F.col("lastUpdatedAtUtc").cast("timestamp_ntz").alias("lastUpdatedAtUtc"), "card_name", "format",
+        F.col("quantity").cast("bigint").alias("quantity"), "hubs", "type")
+
+
+# S3 / Q9: combo documents landed as text lines and read back untouched
+@register("combos_landed", _with("parts", "combo_rows") + """
+SELECT id, status, card_id, oracleid, name, identity, description, if(CAST(id AS BIGINT) % 2 = 0, popularity, NULL) AS popularity,
+       spoiler FROM combo_rows""")
+def q_combos_landed(spark, d):
+    docs = star.combo_history(spark, d)
+    # a null in some documents and whole numbers in others stay as they are
+    data = F.when(F.col("id").cast("bigint") % 2 == 0, F.col("combodata")) \
+            .otherwise(F.regexp_replace("combodata", r'"popularity":\d+', '"popularity":null'))
+    line = F.concat(F.lit('{"id":"'), "id", F.lit('","status":"'), "status", F.lit('",'), F.substr(data, F.lit(2)))
+    path = scratch_path(spark, "combo-feed")
+    docs.select(line).write.text(path)
+    return combos.combo_cards(read_combos(spark, path)).select(*_COMBO_COLS)
+
+
+# Typed landing in small files, two run folders, read back as one
+@register("landed_runs", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS price, CAST(NULL AS VARCHAR) AS note,
+       if(o_orderdate < TIMESTAMP '{ORDERS_LOADED_BEFORE}', 1, 2) AS run FROM orders""")
+def q_landed_runs(spark, d):
+    root = scratch_path(spark, "runs")
+    schema = T.StructType([T.StructField("id", T.StringType(), False), T.StructField("price", T.DoubleType()), T.StructField("note", T.StringType())])
+    o = star.table(spark, d, "orders").withColumnsRenamed({"o_orderkey": "id", "o_totalprice": "price"})
+    early = F.col("o_orderdate") < F.lit(ORDERS_LOADED_BEFORE).cast("timestamp")
+    for run, part in ((1, o.filter(early)), (2, o.filter(~early))):
+        write_landing(part, schema, f"{root}/landing{run}")
+        write_chunks(spark.read.parquet(f"{root}/landing{run}"), f"{root}/chunks{run}", rows=5000)
+        land_run(spark.read.parquet(f"{root}/chunks{run}"), root, "orders", run)
+    return spark.read.parquet(f"{root}/orders")
+
+
+# Rows that break named rules, with the names
+@register("bad_records", """
+SELECT event_id, concat_ws(',', if(value > 50, NULL, 'large'), if(event_type IN ('click', 'view'), NULL, 'known')) AS failed
+FROM events WHERE NOT (value > 50 AND event_type IN ('click', 'view'))""")
+def q_bad_records(spark, d):
+    rules = {"large": F.col("value") > 50, "known": F.col("event_type").isin("click", "view")}
+    _, bad = split_bad_records(star.table(spark, d, "events"), rules)
+    return bad.select("event_id", F.array_join("failed_rules", ",").alias("failed"))
+
+
+# Declared transforms, then nested columns as JSON text
+@register("transformed_text", """
+SELECT o_orderkey AS id, o_orderdate AS at, CAST(floor(o_totalprice) AS BIGINT) AS whole, NULL::DOUBLE AS broken,
+       '{"status":"' || o_orderstatus || '","key":' || o_custkey || '}' AS nested,
+       '["' || o_orderstatus || '","' || o_orderpriority || '"]' AS tags FROM orders""")
+def q_transformed_text(spark, d):
+    o = star.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("at"),
+        F.floor("o_totalprice").cast("string").alias("whole"), F.concat(F.lit("x"), "o_orderkey").alias("broken"),
+        F.struct(F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("key")).alias("nested"),
+        F.array("o_orderstatus", "o_orderpriority").alias("tags"))
+    out = apply_transforms(o, {"at": "datetime", "whole": "int", "broken": "float", "nested": "json", "absent": "int"})
+    return jsonify_nested(out).withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
+# A landed run loaded into a stored table in one upsert
+@register("backfilled_run", _with("state") + """
+SELECT * FROM s_first t WHERE NOT EXISTS (
+  SELECT 1 FROM s_second b WHERE b.user_id = t.user_id AND b.day = t.day)
+UNION ALL SELECT * FROM s_second""")
+def q_backfilled_run(spark, d):
+    root = scratch_path(spark, "backfill")
+    store = TableStore(spark, f"{root}/state")
+    store.commit(_event_state(spark, d, hi=STATE_CUT_LATE))
+    run = land_run(_event_state(spark, d, lo=STATE_CUT_EARLY), root, "events", 2)
+    backfill(spark, run, store, ["user_id", "day"])
+    return store.current()
+
+
+# Rows that arrive late never replace newer state
+@register("late_rows", """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, event_type DESC, value DESC, props DESC) AS rn
+  FROM events) WHERE rn = 1""")
+def q_late_rows(spark, d):
+    ev = star.table(spark, d, "events")
+    cut = F.lit(STATE_CUT_EARLY).cast("timestamp")
+    state = latest_state_batch(ev.filter(F.col("ts") >= cut), None, ["user_id"], "ts")
+    return latest_state_batch(ev.filter(F.col("ts") < cut), state, ["user_id"], "ts").select(*ev.columns)
+
+
+# U4 with a NULL key and three snapshots, kept in a stored history
+_SNAPSHOTS = [SNAPSHOT_1, SNAPSHOT_2, SNAPSHOT_3]
+
+
+@register("scd2_stored", _with("state") + f""",
+snaps AS (
+  SELECT 1 AS k, nullif(user_id, 7) AS user_id, day, event_type, value FROM s_first
+  UNION ALL SELECT 2, nullif(user_id, 7), day, event_type, value FROM s_second
+  UNION ALL SELECT 3, nullif(user_id, 7), day, event_type, value FROM s_first),
+changes AS (
+  SELECT *, k - dense_rank() OVER (PARTITION BY user_id, day, event_type, value ORDER BY k) AS stretch FROM snaps),
+versions AS (
+  SELECT user_id, day, event_type, value, min(k) AS first, max(k) AS last FROM changes GROUP BY user_id, day, event_type, value, stretch)
+SELECT user_id, day, event_type, value,
+       CASE first WHEN 1 THEN TIMESTAMP '{SNAPSHOT_1}' WHEN 2 THEN TIMESTAMP '{SNAPSHOT_2}' ELSE TIMESTAMP '{SNAPSHOT_3}' END AS valid_from,
+       CASE last WHEN 1 THEN TIMESTAMP '{SNAPSHOT_2}' WHEN 2 THEN TIMESTAMP '{SNAPSHOT_3}' END AS valid_to
+FROM versions""")
+def q_scd2_stored(spark, d):
+    store = HistoryStore(spark, scratch_path(spark, "history"), ["user_id", "day"])
+    spans = [{"hi": STATE_CUT_LATE}, {"lo": STATE_CUT_EARLY}, {"hi": STATE_CUT_LATE}]
+    for now, span in zip(_SNAPSHOTS, spans):
+        snap = _event_state(spark, d, **span).select(F.expr("nullif(user_id, 7)").alias("user_id"), "day", "event_type", "value")
+        store.apply(snap, now)
+    return store.history().select("user_id", "day", "event_type", "value", *(
+        F.col(c).cast("timestamp_ntz").alias(c) for c in ("valid_from", "valid_to")))
+
+
+# Board rows landed in two loads; what a deck dropped lingers
+@register("boards_upserted", _with("parts", "boards") + f"""
+SELECT * FROM boards WHERE lastUpdatedAtUtc >= TIMESTAMP '{ORDERS_LOADED_BEFORE}'
+UNION ALL
+SELECT * FROM boards o WHERE lastUpdatedAtUtc < TIMESTAMP '{ORDERS_LOADED_BEFORE}' AND NOT EXISTS (
+  SELECT 1 FROM boards n WHERE n.lastUpdatedAtUtc >= TIMESTAMP '{ORDERS_LOADED_BEFORE}'
+  AND n.deck_id = o.deck_id AND n.card_name = o.card_name AND n.type = o.type)""")
+def q_boards_upserted(spark, d):
+    b = _boards(spark, d)
+    early = F.col("lastUpdatedAtUtc") < F.lit(ORDERS_LOADED_BEFORE).cast("timestamp")
+    return decks.upsert_board(b.filter(early), b.filter(~early))
+
+
+# Two loads of an incremental asset, the second from its mark on
+@register("asset_loaded", """
+SELECT o_orderkey AS id, o_orderdate AS lastUpdatedAtUtc, o_orderstatus AS name FROM orders WHERE o_orderpriority <> '5-LOW'""")
+def q_asset_loaded(spark, d):
+    spec = AssetSpec(name="orders", nature="incremental", tombstone="lastUpdatedAtUtc", filters={"format": "kept"})
+    rows = star.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("lastUpdatedAtUtc"), F.col("o_orderstatus").alias("name"),
+        F.when(F.col("o_orderpriority") != "5-LOW", "kept").otherwise("left").alias("format"))
+    early = F.col("lastUpdatedAtUtc") < F.lit(ORDERS_LOADED_BEFORE).cast("timestamp")
+    root = scratch_path(spark, "asset")
+    for run, source in ((1, rows.filter(early)), (2, rows)):
+        out = load_asset(spark, spec, source, root, run, read=lambda _, src, spec, mark: newer_than(asset_filter(src, spec.filters), spec.tombstone, mark))
+    return out.drop("format")
+
+
+# --------------------------------------------------------------------------
+# Q15: the models with the order priority as format, all formats in one plan
+
+_BY = ["format"]
+_FMT = "WITH " + ",\n".join([_CTE["parts"], _CTE["boards"].replace("'lineitem' AS format", "o_orderpriority AS format")
+                             .replace("JOIN parts ON l_partkey = p_partkey", "JOIN parts ON l_partkey = p_partkey JOIN orders ON o_orderkey = l_orderkey"),
+                             _CTE["latest"], _CTE["decklists"]]) + ",\n"
+
+
+def _format_lists(spark, d):
+    b = star.deck_boards_by_priority(spark, d)
+    return b, decks.decklists(b, DECK_SIZE, by=_BY)
+
+
+def _format_details(spark, d, b, lists):
+    return decks.deck_details(star.deck_history(spark, d).withColumn("format", F.col("name")), star.commanders(b), lists, by=_BY)
+
+
+@register("decklists_by_format", _FMT[:-2] + "\nSELECT * FROM decklists")
+def q_decklists_by_format(spark, d):
+    return _format_lists(spark, d)[1]
+
+
+@register("details_by_format", _FMT + _CTE["hist"] + ",\n" + _CTE["details"] + "\nSELECT *, deck_name AS format FROM details")
+def q_details_by_format(spark, d):
+    return _format_details(spark, d, *_format_lists(spark, d))
+
+
+@register("buildable_by_format", _FMT + _CTE["coll"] + ",\n" + _owned("decklists", BUILDABLE_UNLIMITED + star.BASIC_PATTERNS) + f"""
+SELECT * FROM lines
+WHERE {DECK_SIZE} = (SELECT sum(o.quantity) FROM lines o WHERE o.deck_id = lines.deck_id AND o.name IS NOT NULL)""")
+def q_buildable_by_format(spark, d):
+    return decks.buildable_decks(_format_lists(spark, d)[1], _collection(spark, d), DECK_SIZE,
+                                 BUILDABLE_UNLIMITED + star.BASIC_PATTERNS, by=_BY)
+
+
+@register("top_items_by_format", _FMT + _CTE["printings"] + ",\n" + _CTE["images"] + f""",
+played AS (
+  SELECT format, card_name, count(DISTINCT deck_id) AS decks FROM decklists
+  WHERE NOT list_contains([{_quoted(LEADERBOARD_SKIP_NAMES)}], card_name) GROUP BY format, card_name),
+""" + _pictures("played", "card_name") + f"""
+SELECT format, card_name, oracle_id, type_line, card_front, card_back, decks FROM pictured
+WHERE type_line NOT ILIKE '{LAND_TYPE_PATTERN}'
+QUALIFY row_number() OVER (PARTITION BY format ORDER BY decks DESC, card_name) <= {LEADERBOARD}""")
+def q_top_items_by_format(spark, d):
+    return web.top_cards(_format_lists(spark, d)[1], _images(spark, d), LEADERBOARD, by=_BY)
+
+
+@register("top_groups_by_format", _FMT + ",\n".join(_CTE[c] for c in ("hist", "details", "printings", "images")) + """,
+led AS (
+  SELECT deck_name AS format, commander_name, count(DISTINCT deck_id) AS decks FROM details
+  WHERE commander_name IS NOT NULL GROUP BY ALL),
+""" + _pictures("led", "commander_name") + """
+SELECT format, commander_name, oracle_id, card_front, card_back, decks FROM pictured""")
+def q_top_groups_by_format(spark, d):
+    return web.top_commanders(_format_details(spark, d, *_format_lists(spark, d)), _images(spark, d), by=_BY)

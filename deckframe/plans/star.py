@@ -8,7 +8,8 @@ on data that grows with the tables:
   (``lastUpdatedAtUtc = l_shipdate``);
 * board = Commander for line 1, Companion for line 2, Mainboard otherwise;
 * card = part name; PROMO parts are double-faced cards named
-  ``"<word1> // <word2>"`` whose faces are the two words;
+  ``"<word1> // <word2>"`` whose faces are the two words, and other parts whose
+  size is a multiple of six are rebalanced cards, named with the prefix;
 * quantity = ``l_quantity``;
 * collection export lines = parts with ``p_size <= 10`` (name, p_size);
 * printings (for images and prices) = parts: release rank ``p_size``, input
@@ -22,12 +23,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deckframe.functions.names import FACE_SEPARATOR
+from deckframe.functions.names import FACE_SEPARATOR, REBALANCED_PREFIX
 
 # Binding parameters (fixed so results are reproducible).
 COLLECTION_MAX_SIZE = 10
 DOUBLE_FACED_TYPE = "PROMO"
 FOREIGN_BRAND = "Brand#9"       # printings of this brand are not English
+REBALANCED_EVERY = 6            # single-faced parts of these sizes are rebalanced cards
 FLAVOR_MIN_SIZE = 49            # printings at least this size carry a flavour name
 DECK_FORMAT = "lineitem"
 # Names that play the role of basic lands (always owned) in this binding.
@@ -41,9 +43,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table.  The schema is inferred once per path and then given to
     the reader, so repeated reads in a query skip the footer-reading job (the
     input tables are read-only)."""
-    # the tables' timestamps carry no zone and are UTC wall clock
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     schema = _SCHEMAS.get(path)
     if schema is None:
@@ -60,9 +59,10 @@ def board_type(linenumber) -> Column:
              .otherwise(F.lit("Mainboard")))
 
 
-def card_name(p_name="p_name", p_type="p_type") -> Column:
+def card_name(p_name="p_name", p_type="p_type", p_size="p_size") -> Column:
     return (F.when(F.col(p_type) == DOUBLE_FACED_TYPE,
                    F.replace(F.col(p_name), F.lit(" "), F.lit(FACE_SEPARATOR)))
+             .when(F.col(p_size) % REBALANCED_EVERY == 0, F.concat(F.lit(REBALANCED_PREFIX), F.col(p_name)))
              .otherwise(F.col(p_name)))
 
 
@@ -150,6 +150,24 @@ def deck_history(spark: SparkSession, d: str) -> DataFrame:
         F.lit("{}").alias("hubs"))
 
 
+def deck_feed(spark: SparkSession, d: str) -> DataFrame:
+    """The deck documents as JSON text lines, as a feed would send them: some
+    quantities quoted, some with a fraction, boards without cards as JSON null,
+    hubs as a list."""
+    docs = deck_documents(spark, d)
+    odd = F.pmod(F.col("id"), F.lit(3))
+
+    def board(c):
+        text = F.when(odd == 0, F.regexp_replace(c, r'"quantity":(\d+)', '"quantity":"$1"')) \
+                .when(odd == 1, F.regexp_replace(c, r'"quantity":(\d+)', '"quantity":$1.0')).otherwise(F.col(c))
+        return F.when(F.col(c).startswith('{"count":0'), F.lit("null")).otherwise(text)
+
+    line = F.concat(F.lit('{"id":"'), F.col("id").cast("string"), F.lit('","format":"'), F.col("format"), F.lit('","lastUpdatedAtUtc":"'),
+                    F.date_format("lastUpdatedAtUtc", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), F.lit('","hubs":["h",{"n":1}],"boards":{"commanders":'),
+                    board("commanders"), F.lit(',"mainboard":'), board("mainboard"), F.lit(',"companions":'), board("companions"), F.lit("}}"))
+    return docs.select(line.alias("value"))
+
+
 def deck_documents(spark: SparkSession, d: str) -> DataFrame:
     """Landed deck documents: one per (order, ship date) with three JSON boards.
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # runtime size bound for converting a join to a broadcast join
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # let joins on (format, deck_id) use tables bucketed on deck_id alone
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -33,15 +34,19 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
-    # let joins on (format, deck_id) use tables bucketed on deck_id alone
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """:data:`CLUSTER_CONF` plus a shuffle partition count for ``input_bytes``
-    of input (about one partition per ``target_partition_bytes``)."""
-    parts = max(200, int(input_bytes // target_partition_bytes))
+MOST_PARTITIONS = 20_000
+
+
+def cluster_conf(shuffle_bytes: int, target_partition_bytes: int = 1 << 30) -> dict[str, str]:
+    """:data:`CLUSTER_CONF` plus a shuffle partition count for a largest shuffle
+    of ``shuffle_bytes`` (after column pruning): about one partition per
+    ``target_partition_bytes``, at most :data:`MOST_PARTITIONS`, beyond which
+    the driver's map-output tracking suffers.  Adaptive execution merges small
+    partitions and splits skewed ones."""
+    parts = min(MOST_PARTITIONS, max(200, int(shuffle_bytes // target_partition_bytes)))
     conf = dict(CLUSTER_CONF)
     conf["spark.sql.shuffle.partitions"] = str(parts)
     conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(parts)
@@ -62,8 +67,8 @@ def get_spark(app: str = "deckframe", master: str | None = None,
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    for k in ("spark.sql.session.timeZone",):
-        spark.conf.set(k, conf[k])
+    # input timestamps carry no zone and are UTC wall clock
+    spark.conf.set("spark.sql.session.timeZone", conf["spark.sql.session.timeZone"])
     return spark
 
 
@@ -71,31 +76,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
     On a cluster this is whatever the deployment put in ``spark.checkpoint.dir``
-    (a shared file system).  Only when nothing is configured -- local tests --
-    do we create a private scratch folder.
+    (a shared file system).  Where nothing is configured, as in local tests, it
+    is a folder of the warehouse, which a session shares with its executors.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        if not sc.master.startswith("local"):
-            # a machine-local folder would not survive the loss of this host
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="deckframe-ckpt-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoint"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    stamp = f"{os.getpid()}-{abs(hash((name, os.urandom(8))))}"
-    return f"{root}/deckframe/{name}-{stamp}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """A fresh sub-folder of the shared checkpoint root, on its file system."""
+    return f"{checkpoint_root(spark)}/deckframe/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: cuts the
+    lineage, and later reads prune columns and rows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,13 +1,13 @@
 """Readers and writers for landed documents and tables."""
 
 from deckframe.sources.readers import (asset_filter, flatten_decks, read_asset, read_cards, read_collection,
-                                       read_combos, read_decks, read_json_with_rejects,
-                                       split_bad_records)
-from deckframe.sources.writers import (AssetSpec, BucketedStateStore, TableStore, land_run, materialize,
-                                       write_chunks, write_csv, write_increment, write_jdbc,
+                                       oldest_first, read_combos, read_decks,
+                                       read_json_with_rejects, split_bad_records)
+from deckframe.sources.writers import (AssetSpec, BucketedStateStore, HistoryStore, TableStore, land_run, materialize,
+                                       read_snapshot, write_chunks, write_csv, write_increment, write_jdbc,
                                        write_landing, write_snapshot)
 
 __all__ = ["asset_filter", "read_asset", "flatten_decks", "read_cards", "read_collection", "read_combos", "read_decks",
            "read_json_with_rejects", "split_bad_records", "AssetSpec", "BucketedStateStore", "TableStore", "land_run", "materialize",
            "write_chunks", "write_csv", "write_increment", "write_jdbc", "write_landing",
-           "write_snapshot"]
+           "write_snapshot", "read_snapshot", "HistoryStore", "oldest_first"]

@@ -6,23 +6,20 @@
   new version: the whole table (:class:`~deckframe.sources.writers.TableStore`)
   or only the hash buckets the batch touches
   (:class:`~deckframe.sources.writers.BucketedStateStore`, for large state).
-* R3 late data -> rows not strictly newer than the state's newest version for
-  their key are dropped (optional).
-* R4 duplicates across arrivals -> keep-last inside the batch, upsert across
-  batches.
+* R3 late data -> a row older than the state of its key never replaces it.
+* R4 duplicates across arrivals -> the state and the batch are reduced together
+  to the row that sorts last per key.
 
-Re-running a batch (after a failure between write and checkpoint commit)
-applies the same batch to the state again, which is a no-op for an upsert of
-de-duplicated rows, so the sink is idempotent per batch id.
+Re-running a batch (after a failure between write and checkpoint commit) merges
+the same rows again, which changes nothing, and an interrupted write leaves no
+trace in the manifest; so the sink may be repeated at any point.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deckframe.operators.incremental import upsert
 from deckframe.operators.latest import dedupe_keep_last
 from deckframe.operators.util import as_list
 from deckframe.sources.writers import TableStore
@@ -37,31 +34,23 @@ def landing_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: st
     return reader.load(path)
 
 
-def latest_state_batch(batch: DataFrame, state: DataFrame | None, keys, version: str,
-                       drop_late: bool = False) -> DataFrame:
-    """New state after one batch: keep-last per key inside the batch (R4),
-    optionally drop rows not newer than the key's state (R3), upsert (R2)."""
-    keys = as_list(keys)
-    fresh = dedupe_keep_last(batch, keys, [version])
-    if drop_late and state is not None:
-        marks = state.groupBy(*keys).agg(F.max(version).alias("__mark"))
-        fresh = (fresh.join(marks, on=keys, how="left")
-                      .filter(F.col("__mark").isNull() | (F.col(version) > F.col("__mark")))
-                      .drop("__mark"))
-    return upsert(state, fresh.select(*batch.columns), keys)
+def latest_state_batch(batch: DataFrame, state: DataFrame | None, keys, version: str) -> DataFrame:
+    """New state after one batch: per key the row of state and batch that sorts
+    last by ``version`` (ties by the other columns), whatever the order of
+    arrival (R2, R3, R4)."""
+    rows = batch if state is None else state.select(*batch.columns).unionByName(batch)
+    return dedupe_keep_last(rows, as_list(keys), [version])
 
 
 def run_upsert_stream(stream: DataFrame, store: TableStore, keys, version: str,
-                      checkpoint: str, drop_late: bool = False,
-                      available_now: bool = True):
+                      checkpoint: str, available_now: bool = True):
     """Start the micro-batch upsert of ``stream`` into ``store``.
 
     ``available_now=True`` processes what has landed and stops (a scheduled
     job); otherwise the query keeps polling.  Returns the StreamingQuery.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        store.commit_batch(batch, lambda state, b: latest_state_batch(b, state, keys, version,
-                                                                       drop_late))
+        store.commit_batch(batch, lambda state, b: latest_state_batch(b, state, keys, version))
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

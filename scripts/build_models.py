@@ -21,13 +21,11 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from deckframe.operators.incremental import high_water_mark, upsert  # noqa: E402
 from deckframe.operators.latest import dedupe_keep_last  # noqa: E402
 from deckframe.plans.formats import build_format  # noqa: E402
 from deckframe.session import get_spark  # noqa: E402
-from deckframe.sources.readers import read_cards, read_collection, read_decks  # noqa: E402
+from deckframe.sources.readers import read_cards, read_collection, read_combos, read_decks  # noqa: E402
 from deckframe.sources.writers import TableStore  # noqa: E402
 
 
@@ -52,6 +50,8 @@ def main(argv=None):
     ap.add_argument("--state", default=None, help="deck history root (default: <out>/_state)")
     ap.add_argument("--formats", nargs="*", default=None)
     ap.add_argument("--buckets", type=int, default=0)
+    ap.add_argument("--combos", default=None, help="combo documents, one to a line")
+    ap.add_argument("--incremental", action="store_true", help="upsert board rows and details of newer decks")
     ap.add_argument("--max-rows", type=int, default=0)
     ap.add_argument("--size", type=int, default=100)
     ap.add_argument("--budget", type=int, default=100)
@@ -61,14 +61,11 @@ def main(argv=None):
     history = land_decks(spark, args.decks, args.state or f"{args.out.rstrip('/')}/deck_history",
                          args.max_rows)
     cards = read_cards(spark, args.cards)
-    # input order of printings: position within the bulk file (one JSON array
-    # per file is one partition, so the generated id follows the file order)
-    printings = cards.withColumn("seq", F.monotonically_increasing_id()) \
-        if "seq" not in cards.columns else cards
     collection = read_collection(spark, args.collection, args.collection_encoding)
-    models = build_format(spark, history, collection.select("name", "quantity"), cards, printings,
+    models = build_format(spark, history, collection.select("name", "quantity"), cards, cards,
                           args.out, formats=args.formats, size=args.size, budget=args.budget,
-                          deck_buckets=args.buckets)
+                          deck_buckets=args.buckets, incremental=args.incremental,
+                          combo_history=read_combos(spark, args.combos) if args.combos else None)
     for name, df in models.items():
         print(name, df.count())
 

@@ -140,7 +140,9 @@ def test_list_to_indexed_map_m7(spark):
 
 def test_parse_utc_formats(spark):
     vals = ["2025-12-19T01:03:53.01Z", "2025-12-19T01:03:53Z", "2025-12-19T03:03:53+02:00",
-            "2025-12-19 01:03:53.123", "2025-12-19 01:03:53 trailing", "junk", None]
+            "2025-12-19 01:03:53.123", "2025-12-18T20:33:53-0430", "2025-12-19T03:03:53+02",
+            # no full timestamp, or something behind it that might have been an offset
+            "2025-12-19 01:03:53 trailing", "2025-12-19T01:03:53+05:00x", "01:03:53", "2025-12-19", "2025", "", "junk", None]
     df = spark.createDataFrame([(v,) for v in vals], "s string")
     got = [r[0] for r in df.select(canonical_ts_text(parse_utc("s"))).collect()]
-    assert got == ["2025-12-19 01:03:53"] * 5 + [None, None]
+    assert got == ["2025-12-19 01:03:53"] * 6 + [None] * 8

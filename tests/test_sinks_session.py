@@ -2,8 +2,10 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from deckframe.session import checkpoint_root, cluster_conf, scratch_path
-from deckframe.sources import materialize, write_csv, write_increment, write_snapshot
+from deckframe.sources import materialize, read_snapshot, write_csv, write_increment, write_snapshot
 
 
 def test_snapshot_increment_csv_and_views(spark, scratch):
@@ -11,14 +13,16 @@ def test_snapshot_increment_csv_and_views(spark, scratch):
     b = spark.createDataFrame([(2, "b")], "id int, v string")
     snap = os.path.join(scratch, "snap")
     write_snapshot(a, snap)
-    write_snapshot(b, snap)                               # replaces
-    assert [r["id"] for r in spark.read.parquet(snap).collect()] == [2]
+    write_snapshot(b, snap)                               # replaces, as a new version
+    assert [r["id"] for r in read_snapshot(spark, snap).collect()] == [2]
     inc = os.path.join(scratch, "inc")
     write_increment(a, inc, keep_history=False)
     write_increment(b, inc, keep_history=False)           # accumulates
     assert spark.read.parquet(inc).count() == 2
-    write_increment(a, inc, keep_history=True)            # history kept downstream: latest only
-    assert spark.read.parquet(inc).count() == 1
+    latest = os.path.join(scratch, "latest")
+    write_increment(a, latest, keep_history=True)         # history kept downstream: latest only
+    write_increment(b, latest, keep_history=True)
+    assert [r["id"] for r in read_snapshot(spark, latest).collect()] == [2]
     csv = os.path.join(scratch, "csv")
     write_csv(a, csv)
     assert spark.read.option("header", True).csv(csv).columns == ["id", "v"]
@@ -26,11 +30,16 @@ def test_snapshot_increment_csv_and_views(spark, scratch):
     assert spark.table("deckframe_test_view").count() == 1
     t = materialize(a, "t", "table", os.path.join(scratch, "tbl"))
     assert t.count() == 1
+    path = os.path.join(scratch, "incremental")
+    materialize(a, "i", "incremental", path, keys="id")
+    i = materialize(a.unionByName(b).withColumn("v", F.lit("z")), "i", "incremental", path, keys="id")
+    assert sorted((r["id"], r["v"]) for r in i.collect()) == [(1, "z"), (2, "z")]
 
 
 def test_session_helpers(spark):
     conf = cluster_conf(100 * 2**40)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(conf["spark.sql.shuffle.partitions"]) == 20_000      # bounded
+    assert int(cluster_conf(2**40)["spark.sql.shuffle.partitions"]) == 1024
     assert int(cluster_conf(1)["spark.sql.shuffle.partitions"]) == 200
     root = checkpoint_root(spark)
     assert root and spark.sparkContext.getCheckpointDir()

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import glob
 import os
 
 import pytest
@@ -35,8 +36,15 @@ def test_read_decks_flatten_since_and_cap(spark, scratch):
     assert r["lastUpdatedAtUtc"] == dt.datetime(2024, 1, 2, 10, 0, 0, 120000)
     newer = read_decks(spark, p, since=dt.datetime(2024, 1, 2, 12))
     assert sorted(x["id"] for x in newer.collect()) == ["d2", "d3"]
-    capped = read_decks(spark, p, max_rows=1)
-    assert [x["id"] for x in capped.collect()] == ["d3"]
+    # a capped load takes the oldest first, and runs that follow the mark lose none
+    seen, mark = [], None
+    while True:
+        got = read_decks(spark, p, since=mark, max_rows=1).collect()
+        if not got:
+            break
+        seen += [x["id"] for x in got]
+        mark = max(x["lastUpdatedAtUtc"] for x in got)
+    assert seen == ["d1", "d2", "d3"]
 
 
 def test_read_combos_and_collection(spark, scratch):
@@ -105,7 +113,7 @@ def test_streaming_upsert_multiple_batches(spark, scratch):
     b2.coalesce(1).write.parquet(os.path.join(land, "f2"))
     store = TableStore(spark, os.path.join(scratch, "state"))
     stream = landing_stream(spark, os.path.join(land, "*"), b1.schema, max_files_per_trigger=1)
-    q = run_upsert_stream(stream, store, ["id"], "ts", os.path.join(scratch, "ck"), drop_late=True)
+    q = run_upsert_stream(stream, store, ["id"], "ts", os.path.join(scratch, "ck"))
     q.awaitTermination()
     got = sorted((r["id"], r["v"]) for r in store.current().collect())
     assert got == [(1, "c"), (2, "x"), (3, "n")]          # late row for 2 dropped (R3)
@@ -123,7 +131,7 @@ def test_bucketed_store_rewrites_only_touched_buckets(spark, scratch):
     store.commit_batch(second, lambda st, b: upsert(st, b, ["id"]))
     cur = {r["id"]: r["v"] for r in store.current().collect()}
     assert len(cur) == 201 and cur[5] == "b" and cur[500] == "n" and cur[6] == "a"
-    v2 = spark.read.parquet(os.path.join(scratch, "bstate", "store_version=2"))
+    v2 = spark.read.parquet(*glob.glob(os.path.join(scratch, "bstate", "store_version=2-*")))
     assert v2.select("store_bucket").distinct().count() <= 2    # only touched buckets rewritten
 
 
@@ -186,16 +194,15 @@ def test_read_asset_filters_and_cap(spark, scratch):
     assert [r["id"] for r in read_asset(spark, p, spec).collect()] == ["d1"]
     spec.filters = {}
     spec.max_rows = 2
-    assert [r["id"] for r in read_asset(spark, p, spec).collect()] == ["d3", "d2"]
+    assert [r["id"] for r in read_asset(spark, p, spec).collect()] == ["d1", "d2"]
 
 
 def test_flatten_keeps_unmodelled_fields_as_variant(spark, scratch):
-    from deckframe.sources import flatten_decks
     p = os.path.join(scratch, "raw.json")
     d = _deck(1, "2024-01-02T10:00:00Z")
     d["primer"] = {"sections": 3}
     with open(p, "w") as f:
         f.write(json.dumps(d) + "\n")
-    flat = flatten_decks(spark.read.json(p), keep_raw=True)
+    flat = read_decks(spark, p, keep_raw=True)
     r = flat.select("id", F.expr("variant_get(raw, '$.primer.sections', 'int')").alias("s")).first()
     assert (r["id"], r["s"]) == ("d1", 3)
