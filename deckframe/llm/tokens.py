@@ -9,14 +9,17 @@ own, pieces are looked up in a cache and only new ones are encoded:
 * for texts of ASCII and the letters below, composition (NFC) changes nothing
   and lower-casing is letter by letter, so the same pieces are found here.
 
-Any other text, or one that may hold a special token's string or an English
-contraction, is encoded whole.
+A new piece goes straight to the library's merge model.  Any other text, one
+that may hold a special token's string, and every text where the vocabulary
+file has other rules, is encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,18 +30,36 @@ LONGEST_WORD = 64
 # fixed values: characters of texts that may go piece by piece
 _OTHER = re.compile("[^\t-\r -~À-ÖØ-öø-įı-ňŊ-ž]|<\\|")
 _PIECE = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[a-z\x80-\xff]+|[0-9]|[^\sa-z0-9\x80-\xff]+")
+# fixed values: the rules under which texts may go piece by piece
+_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
 _LOADED: dict[str, Encoder] = {}
 
 
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies:
+    printable Latin-1 characters for themselves, the others from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.size = self.tokenizer.get_vocab_size()
+        rules = json.loads(self.tokenizer.to_str())
+        self.by_piece = {k: rules[k] for k in _RULES} == _RULES and rules["model"]["type"] == "BPE"
+        self.letters = _byte_letters()
         self.pieces: dict[bytes, bytes] = {}
         self.words: dict[bytes, bytes] = {}
 
@@ -46,22 +67,13 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: list[bytes]) -> None:
-        """Keep the ids of new pieces, encoded many at a time; ids that close a
-        word part them."""
+        """Keep the ids of new pieces."""
         if len(self.pieces) + len(pieces) > CACHE_PIECES:
             self.pieces.clear()
-        for i in range(0, len(pieces), 1000):
-            some = pieces[i:i + 1000]
-            ids = np.array(self._whole([b" ".join(some).decode()])[0], "<u4")
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) == len(some) and ends[-1] == len(ids):
-                raw, at = ids.tobytes(), 0
-                for piece, end in zip(some, (4 * ends).tolist()):
-                    self.pieces[piece] = raw[at:end]
-                    at = end
-            else:
-                for piece, own in zip(some, self._whole([p.decode() for p in some])):
-                    self.pieces[piece] = np.array(own, "<u4").tobytes()
+        merge, letters = self.tokenizer.model.tokenize, self.letters
+        for piece in pieces:
+            text = piece.decode() if piece.isalnum() else "".join([letters[b] for b in piece])
+            self.pieces[piece] = array("I", [t.id for t in merge(text)]).tobytes()
 
     def _new_words(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words that aren't kept yet; short ones are kept from now on."""
@@ -82,7 +94,7 @@ class Encoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         for i in range(0, len(texts), 16):
             some = texts[i:i + 16]
-            plain = [None if _OTHER.search(t) else t.lower().encode().split() for t in some]
+            plain = [None if not self.by_piece or _OTHER.search(t) else t.lower().encode().split() for t in some]
             new = {w for words in plain if words for w in words if w not in self.words}
             fresh = self._new_words(list(new)) if new else {}
             for text, words in zip(some, plain):
