@@ -1,12 +1,12 @@
 """Token files: Arrow IPC files of fixed-size lists.
 
 A part holds the ids of a range of documents in ascending ``doc_id`` order, cut
-into rows of ``SEQUENCE`` ids: column ``ids`` (fixed-size list of uint32) and
-column ``mask`` (fixed-size list of uint8: 1 for an id, 0 for the filling of
-the last row).  All record batches but the last have ``ROWS`` rows, so row i is
-found without reading anything before it, and a memory-mapped file gives it as
-a view of the file.  A second file beside it lists the documents of the part
-with their place.
+into rows of ``SEQUENCE`` ids: column ``ids`` (fixed-size list of uint16, or of
+uint32 for vocabularies that need it) and column ``mask`` (fixed-size list of
+booleans in bits: true for an id, false for the filling of the last row).  All
+record batches but the last have ``ROWS`` rows, so row i is found without
+reading anything before it, and a memory-mapped file gives it as a view of the
+file.  A second file beside it lists the documents of the part with their place.
 
 A task writes under a name of its own and reports it in the manifest; only files
 in the manifest are read, so files of lost or repeated tasks do no harm.  The
@@ -39,17 +39,18 @@ END_ID = 2
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
-def _schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))],
+def _schema(length: int, wide: bool) -> pa.Schema:
+    return pa.schema([("ids", pa.list_(pa.uint32() if wide else pa.uint16(), length)), ("mask", pa.list_(pa.bool_(), length))],
                      metadata={"rows_per_batch": str(ROWS)})
 
 
 class TokenWriter:
     """Writes ids row by row as they come; holds one batch at most."""
 
-    def __init__(self, sink, length: int = SEQUENCE):
+    def __init__(self, sink, length: int = SEQUENCE, wide: bool = False):
         self.length, self.held, self.size, self.total = length, [], 0, 0
-        self.schema = _schema(length)
+        self.schema = _schema(length, wide)
+        self.kind = np.uint32 if wide else np.uint16
         self.out = pa.ipc.new_file(sink, self.schema)
 
     def add(self, ids: bytes) -> None:
@@ -65,10 +66,9 @@ class TokenWriter:
             self.held, self.size = [raw[whole:]], len(raw) - whole
 
     def _write(self, ids: np.ndarray, real: int) -> None:
-        mask = np.zeros(len(ids), np.uint8)
-        mask[:real] = 1
+        mask = np.arange(len(ids)) < real
         self.out.write_batch(pa.RecordBatch.from_arrays(
-            [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)], schema=self.schema))
+            [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids.astype(self.kind), mask)], schema=self.schema))
 
     def close(self) -> None:
         ids = np.frombuffer(b"".join(self.held), "<u4")
@@ -93,15 +93,13 @@ class TokenFile:
             self.last = (i, self.reader.get_batch(i))
         return self.last[1]
 
-    def _row(self, i: int, column: str) -> np.ndarray:
-        flat = self._batch(i // self.rows).column(column).values.to_numpy()
-        at = i % self.rows * self.length
-        return flat[at:at + self.length]
+    def _row(self, i: int, column: str) -> pa.Array:
+        return self._batch(i // self.rows).column(column).values.slice(i % self.rows * self.length, self.length)
 
     def sequence(self, i: int) -> np.ndarray:
-        return self._row(i, "ids")
+        return self._row(i, "ids").to_numpy()
 
-    def mask(self, i: int) -> np.ndarray:
+    def mask(self, i: int) -> pa.BooleanArray:
         return self._row(i, "mask")
 
     def span(self, start: int, n: int) -> np.ndarray:
@@ -136,14 +134,14 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, parts: int, leng
         system, path = pa.fs.FileSystem.from_uri(folder)
         system.create_dir(path, recursive=True)
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
-        encode = encoder(vocabulary).encode
+        source = encoder(vocabulary)
         with system.open_output_stream(f"{path}/{name}.tokens.arrow") as sink, \
                 system.open_output_stream(f"{path}/{name}.docs.arrow") as listing, pa.ipc.new_file(listing, INDEX) as index:
-            out = TokenWriter(sink, length)
+            out = TokenWriter(sink, length, source.size > 1 << 16)
             batch = first
             while batch is not None:
                 starts, counts = [], []
-                for raw in encode(batch.column("text").to_pylist()):
+                for raw in source.encode(batch.column("text").to_pylist()):
                     starts.append(out.total)
                     out.add(raw + end)
                     counts.append(out.total - starts[-1])
@@ -170,7 +168,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                 for k in range(listed.num_record_batches):
                     docs = listed.get_batch(k)
                     starts, counts = docs.column("start").to_pylist(), docs.column("n_tokens").to_pylist()
-                    sums = [crc32(tokens.span(s, n).astype("<u4", copy=False).tobytes()) for s, n in zip(starts, counts)]
+                    sums = [crc32(tokens.span(s, n).astype("<u4").tobytes()) for s, n in zip(starts, counts)]
                     yield pa.RecordBatch.from_arrays(
                         [docs.column("doc_id"), pa.array([s + row["start"] for s in starts], pa.int64()),
                          docs.column("n_tokens"), pa.array(sums, pa.int64())],
