@@ -8,8 +8,9 @@
 3. In the other leaves a token that stands at its place in at least MIN_DOCS
    documents is constant, any other a variable field.  A line's template is its
    tokens with the variable ones generalised.
-4. A template recurs if MIN_DOCS documents hold it and at least ``CONSTANT`` of
-   its tokens are constant.  All lines with a recurring template are dropped.
+4. A template recurs if MIN_DOCS documents hold it, at least ``CONSTANT`` of its
+   tokens are constant, and with the fields known from the start these are at
+   least ``KNOWN`` of them.  All lines with a recurring template are dropped.
 
 Lines end at newlines and tokens at ASCII white space; lines of fewer than LEAD
 tokens, empty ones among them, stay.  Kept lines are joined by newlines again.
@@ -31,7 +32,8 @@ from .staging import staged
 
 LEAD = 3
 MIN_DOCS = 10
-CONSTANT = 0.75
+CONSTANT = 0.5
+KNOWN = 0.75
 ANY = "<*>"
 SPACES = "[\\x20\\x09-\\x0D]+"
 _MARK = "\u001f"
@@ -66,8 +68,9 @@ def recurring_lines(texts: DataFrame) -> DataFrame:
     template = known.groupBy("leaf", "line").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", F.when(F.col("fixed"), F.col("token")).otherwise(ANY).alias("token")))),
                                  lambda x: x["token"]), _MARK).alias("template"),
-        F.avg(F.coalesce("fixed", F.lit(False)).cast("int")).alias("share"))
-    template = staged(template.where(F.col("share") >= CONSTANT).drop("share"), "templates")
+        F.avg(F.coalesce("fixed", F.lit(False)).cast("int")).alias("constant"),
+        F.avg((F.coalesce("fixed", F.lit(False)) | (F.col("token") == ANY)).cast("int")).alias("known"))
+    template = staged(template.where((F.col("constant") >= CONSTANT) & (F.col("known") >= KNOWN)).drop("constant", "known"), "templates")
     recurs = _documents(once.join(template, ["leaf", "line"]), "leaf", "template")
     gone = template.join(recurs, ["leaf", "template"]).select("leaf", "line")
     return held.join(gone, ["leaf", "line"]).groupBy("doc_key").agg(F.collect_set("place").alias("gone"))
@@ -109,13 +112,13 @@ constants AS (
     SELECT leaf, spot, token FROM spread WHERE token <> '{ANY}'
     GROUP BY leaf, spot, token HAVING count(DISTINCT row_no) >= {MIN_DOCS}),
 templates AS (
-    SELECT row_no, place, leaf, avg((c.token IS NOT NULL)::INT) AS share,
+    SELECT row_no, place, leaf, avg((c.token IS NOT NULL)::INT) AS constant, avg((c.token IS NOT NULL OR s.token = '{ANY}')::INT) AS known,
            string_agg(coalesce(c.token, '{ANY}'), chr(31) ORDER BY spot) AS template
-    FROM spread LEFT JOIN constants c USING (leaf, spot, token) GROUP BY row_no, place, leaf),
+    FROM spread s LEFT JOIN constants c USING (leaf, spot, token) GROUP BY row_no, place, leaf),
 recurring AS (
-    SELECT leaf, template FROM templates WHERE share >= {CONSTANT}
+    SELECT leaf, template FROM templates WHERE constant >= {CONSTANT} AND known >= {KNOWN}
     GROUP BY leaf, template HAVING count(DISTINCT row_no) >= {MIN_DOCS}),
-gone AS (SELECT row_no, place FROM templates JOIN recurring USING (leaf, template) WHERE share >= {CONSTANT})
+gone AS (SELECT row_no, place FROM templates JOIN recurring USING (leaf, template) WHERE constant >= {CONSTANT} AND known >= {KNOWN})
 SELECT doc_id, count(*) AS n_lines, count(g.place) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE g.place IS NULL), '')) AS kept_sha256
 FROM lines LEFT JOIN gone g USING (row_no, place)

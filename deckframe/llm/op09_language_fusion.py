@@ -14,7 +14,7 @@ counted over all rows by grouped aggregation, with the language that the text
 alone suggests; a row's own share counts only through the smoothing.  An extra
 class ``und`` stands for text in no known language: each trigram is equally
 likely.  A row is kept unless ``und`` has the best posterior or the text has no
-trigram at all.
+letter at all.
 
 Missing evidence (null or empty) contributes nothing.  Null texts count as
 empty.  Rows are scored one by one, so repeated rows, equal ids and null ids need
@@ -44,16 +44,21 @@ DOMAIN_WEIGHT = 100.0
 SMOOTHING = 1.0
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[ord("A"):ord("Z") + 1] += 32
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = True
+_WORDLIKE = _LETTER.copy()
+_WORDLIKE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def trigram_buckets(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Bucket of the trigram that begins at each byte of a run of documents;
-    BUCKETS where it would cross the end of a document."""
-    c = _FOLD[data]
+    BUCKETS where it crosses the end of a document or holds anything but
+    letters, parts of letters and white space."""
+    c, fits = _FOLD[data], _WORDLIKE[data]
     out = np.full(len(c), BUCKETS, np.int64)
     if len(c) > 2:
         code = (c[:-2] << np.uint32(16)) | (c[1:-1] << np.uint32(8)) | c[2:]
-        out[:-2] = (code * np.uint32(0x9E3779B1)) >> np.uint32(20)
+        out[:-2] = np.where(fits[:-2] & fits[1:-1] & fits[2:], (code * np.uint32(0x9E3779B1)) >> np.uint32(20), BUCKETS)
     for back in (1, 2):
         at = offsets[1:] - back
         out[at[at >= offsets[:-1]]] = BUCKETS
@@ -93,7 +98,7 @@ def text_model(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.nd
 
 
 def _score(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...]) -> DataFrame:
-    """Adds ``text_score``: the log likelihoods, and ``n_trigrams``."""
+    """Adds ``text_score``: the log likelihoods, and ``n_letters``, the bytes of letters."""
     shared = rows.sparkSession.sparkContext.broadcast(np.ascontiguousarray(model.T))
     kept = [f for f in rows.schema if f.name != "text"]
 
@@ -106,7 +111,8 @@ def _score(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...]) -> Da
                 at = offsets[a:b + 1] - offsets[a]
                 bucket = trigram_buckets(data[offsets[a]:offsets[b]], at)
                 bounds = np.append(at[:-1], len(bucket))
-                counts.append(np.diff(np.append(0, np.cumsum(bucket < BUCKETS))[at]))
+                letters = _LETTER[data[offsets[a]:offsets[b]]]
+                counts.append(np.diff(np.append(0, np.cumsum(letters))[at]))
                 sums = np.zeros((b - a, len(table)))
                 full = np.flatnonzero(np.diff(at))
                 if len(full):
@@ -116,10 +122,10 @@ def _score(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...]) -> Da
             flat = np.concatenate(parts).ravel() if parts else np.zeros(0)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(table)), pa.array(flat))
             n = pa.array(np.concatenate(counts) if counts else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), lists, n], [*(f.name for f in kept), "text_score", "n_trigrams"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), lists, n], [*(f.name for f in kept), "text_score", "n_letters"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return rows.mapInArrow(score, f"{fields}, text_score array<double>, n_trigrams long")
+    return rows.mapInArrow(score, f"{fields}, text_score array<double>, n_letters long")
 
 
 def _best(scores: str, classes: tuple[str, ...]):
@@ -158,7 +164,7 @@ def identify(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...] = LA
             .withColumn("domain", F.when(F.col("host").isNotNull(), F.substring_index("host", ".", -2))))
     scored = _score(rows, model, languages).withColumn(
         "text_score", F.transform("text_score", lambda x: x * TEXT_WEIGHT))
-    scored = staged(scored.withColumn("by_text", F.when(F.col("n_trigrams") == 0, UNKNOWN).otherwise(_best("text_score", classes))), "scored")
+    scored = staged(scored.withColumn("by_text", F.when(F.col("n_letters") == 0, UNKNOWN).otherwise(_best("text_score", classes))), "scored")
     nothing = F.array(*[F.lit(0.0)] * len(classes))
     prior = F.array(*[F.lit(float(np.log((1 - UNKNOWN_PRIOR) / len(languages))))] * len(languages), F.lit(float(np.log(UNKNOWN_PRIOR))))
     joined = (scored.join(_given_language(scored, "declared", classes), "declared", "left")
@@ -169,10 +175,10 @@ def identify(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...] = LA
         posterior = F.zip_with(posterior, part, lambda a, b: a + b)
     joined = joined.withColumn("posterior", posterior)
     norm = F.aggregate(F.transform("posterior", lambda x: F.exp(x - F.array_max("posterior"))), F.lit(0.0), lambda a, x: a + x)
-    language = F.when(F.col("n_trigrams") == 0, UNKNOWN).otherwise(_best("posterior", classes))
+    language = F.when(F.col("n_letters") == 0, UNKNOWN).otherwise(_best("posterior", classes))
     return (joined.withColumn("language", language).withColumn("probability", 1 / norm)
             .withColumn("kept", F.col("language") != UNKNOWN)
-            .drop("text_score", "n_trigrams", "by_text", "declared_score", "suffix_score", "host_score", "posterior", "domain"))
+            .drop("text_score", "n_letters", "by_text", "declared_score", "suffix_score", "host_score", "posterior", "domain"))
 
 
 def document_evidence(docs: DataFrame) -> DataFrame:
@@ -187,7 +193,7 @@ def page_evidence(pages: DataFrame) -> DataFrame:
     """Evidence of ``pages``: the visible text, the ``lang`` attribute, and
     host and suffix of the address."""
     html = F.coalesce("html", F.lit(""))
-    visible = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    visible = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z]+;|&#x?[0-9a-f]+;", " ")
     host = F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)
     return pages.select(F.lit("page").alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.col("page_id").cast("long").alias("page_id"),
                         visible.alias("text"), F.regexp_extract(html, r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", 1).alias("declared"),
