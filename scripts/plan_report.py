@@ -1,6 +1,7 @@
 """Summarise the physical plan of every registered query (writes PLANS.md).
 
-Counts per query: Parquet scans of the fact table, shuffles (Exchange),
+The corpus operators run jobs while they build and are left out; the others are
+static plans.  Counts per query: Parquet scans of the fact table, shuffles (Exchange),
 broadcast / sort-merge joins, windows, sort-based aggregates and Python nodes.
 The plan is the static one; adaptive execution may still turn a sort-merge
 join into a broadcast join at run time when a side is measured small.
@@ -14,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from deckframe.plans.registry import QUERIES  # noqa: E402
 from deckframe.session import get_spark  # noqa: E402
 
 SKIP = {"streaming_latest_state"}   # runs a stream while building
@@ -23,20 +24,21 @@ GUIDE = """## Reading the plans
 
 - **Decklists** (`complete_decklists`, and inside most deck queries). The board rows are
   scanned once for a chain of hash aggregates: quantity per (deck, board, version), newest
-  version per board, deck total. Each aggregate is partial before its exchange, so a hot deck
-  is reduced per task. The rows are scanned a second time for one left-semi join against the
-  kept (deck, board, version) keys. In static plans the chain can appear twice; adaptive
-  execution reuses the identical exchange at run time.
+  version per board, one row per deck with its total and its newest versions. Each aggregate
+  is partial before its exchange, so a hot deck is reduced per task. The rows are scanned a
+  second time for one left-semi join against the kept (deck, board, version) keys. No step
+  joins the chain with itself.
 - **Average deck** (`average_basket_budget`): the decklists join the commander rows on
-  `deck_id`, then the per-commander deck counts (adaptive broadcast once measured). A hash
-  aggregate per (commander, card, type) runs before the only window, a RANGE running sum per
-  commander over already aggregated rows.
-- **Catalogue lookups** (collection, images, prices) are broadcast hash joins after an
-  explicit bound check, so the four image lookups of `top_items` run in the decklists'
-  stage without shuffling it.
+  `deck_id`; copies are summed per raw commander name before the per-commander deck counts
+  are joined. The only window is a RANGE running sum per commander over aggregated rows.
+- **Leaderboards** (`top_items`, `top_groups`) count distinct decks per name first; one join
+  looks the parts of the distinct names up in the image table.
+- **Division** (`usable_combos`, `fully_covered_groups`): one left join marks owned rows, one
+  aggregate counts needed and owned items, one semi join returns the rows.
+- No plan has a broadcast hint; adaptive execution broadcasts what it has measured as small.
 - **Incremental filters** (`incremental_newer_than`) carry the high-water mark as a literal,
   so it appears in `PushedFilters` of the scan.
-- Sort aggregates come from `max_by`/`min_by` with struct values (keep-last, arg-min). They
+- Sort aggregates come from the largest or smallest struct per key (keep-last, arg-min). They
   stay partial aggregates.
 
 Counts below are from the static plan (`executedPlan` before execution).
@@ -50,7 +52,7 @@ def main():
     spark = get_spark(master="local[4]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     rows = []
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name in SKIP:
             continue
         plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
