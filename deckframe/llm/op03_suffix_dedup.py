@@ -206,6 +206,7 @@ def _window_prints(length: int):
 def _with_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     key = F.unhex(F.md5(F.concat_ws("|", F.col(id_col).cast("string"), text).cast("binary")))
+    key = F.coalesce(key, F.lit(b""))  # never null, so that both joins on it share one shuffle of the texts
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), key.alias("row_key"))
 
 
@@ -221,7 +222,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, split: int = SPLIT) -
     several = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
     wanted = (kinds.join(several, "key").groupBy(F.col("one.row_key").alias("row_key"))
               .agg(F.collect_list(F.struct("key", "one.start", "one.n", "one.lead", (F.col("kinds") > split).alias("many"))).alias("asked")))
-    fetched = texts.join(wanted, "row_key").dropDuplicates(["row_key"])
+    # repeated rows give a block twice, which is right: its windows are repeats
+    fetched = texts.join(wanted, "row_key")
     fields = "key long, row_key binary, start long, n long, lead long, piece binary"
     fetch = lambda b: _pieces(b, length)
     few = fetched.withColumn("asked", F.expr("filter(asked, x -> NOT x.many)")).where("size(asked) > 0").mapInArrow(fetch, fields)
