@@ -204,7 +204,9 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     """``documents`` without rows in no known language, all columns unchanged."""
     model = text_model(_labelled(docs))
     evidence = document_evidence(docs).withColumn("doc_key", F.unhex(F.md5(F.col("text").cast("binary"))))
-    bad = identify(evidence, model).where("NOT kept").select(F.col("doc_id").alias("__id"), F.col("doc_key").alias("__key")).distinct()
+    # stored first: its size is then known, and a short list spares the texts a shuffle
+    bad = staged(identify(evidence, model).where("NOT kept").select(
+        F.col("doc_id").alias("__id"), F.col("doc_key").alias("__key")).distinct(), "rejected")
     key = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
     return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left_anti")
 
