@@ -226,13 +226,21 @@ def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without later copies, all columns unchanged."""
+    """``docs`` without later copies, all columns unchanged.  The texts meet a
+    list of the rows that go; only rows that repeat id and text are grouped."""
+    report = staged(dedup_report(docs, id_col, text_col), "copies")
+    named = report.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), "kept")
+    gone = staged(named.where("NOT kept").drop("kept").distinct(), "gone")
+    repeated = staged(named.where("kept").groupBy("__id", "__sha").agg(F.count(F.lit(1)).alias("__n"))
+                      .where("__n > 1").drop("__n"), "repeated")
     text = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), WHITESPACE, " ")
-    stay = (dedup_report(docs, id_col, text_col).where("kept")
-            .select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct())
     marked = docs.withColumn("__own", F.sha2(text.cast("binary"), 256))
-    joined = marked.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__sha")))
-    return joined.dropDuplicates(["__id", "__own"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__sha"))
+    left = marked.join(gone, same, "left_anti")
+    if not repeated.isEmpty():
+        once = left.join(repeated, same, "left_semi").dropDuplicates([id_col, "__own"])
+        left = left.join(repeated, same, "left_anti").unionByName(once)
+    return left.drop("__own")
 
 
 def op2_cuckoo_dedup(spark, sf_dir: str) -> DataFrame:

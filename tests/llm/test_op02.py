@@ -3,6 +3,8 @@ import random
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from deckframe.llm import op02_cuckoo_dedup as op
 from deckframe.llm.staging import staged
 
@@ -67,5 +69,5 @@ def test_index_follows_insertions_and_deletions(spark, monkeypatch):
     gone, new = keys.where("doc_id % 150 < 20 OR doc_id < 90"), staged(op.digests(spark.createDataFrame([(900, "text 5", None, None, 0), (901, "new", None, None, 0)], FIELDS)), "test")
     live = staged(keys.where("NOT (doc_id % 150 < 20 OR doc_id < 90)").union(new), "test")
     after = op.update_index(index, new, gone, live).where("digest IS NOT NULL")
-    expected = {bytes(r["digest"]): (r["f"], r["n"]) for r in live.groupBy("digest").agg({"doc_id": "min", "*": "count"}).toDF("digest", "f", "n").collect()}
+    expected = {bytes(r["digest"]): (r["f"], r["n"]) for r in live.groupBy("digest").agg(F.min("doc_id").alias("f"), F.count(F.lit(1)).alias("n")).collect()}
     assert {bytes(r["digest"]): (r["first_id"], r["copies"]) for r in after.collect()} == expected
