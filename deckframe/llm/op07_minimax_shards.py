@@ -134,7 +134,9 @@ def minimax_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", tex
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.unhex(F.sha2(text.cast("binary"), 256)).alias("text_key")), "shard-meta")
-    firsts = meta.groupBy("text_key").agg(F.min("doc_id").alias("unit"))
+    # stored first, so that both sides of the join are shuffled for it and a text
+    # with very many copies can be split
+    firsts = staged(meta.groupBy("text_key").agg(F.min("doc_id").alias("unit")), "shard-firsts")
     placed = staged(meta.join(firsts, "text_key").drop("text_key"), "shard-units")
     lowest = placed.agg(F.min("unit")).first()[0]
     placed = placed.withColumn("unit", F.coalesce("unit", F.lit(0 if lowest is None else lowest).cast("long")))
