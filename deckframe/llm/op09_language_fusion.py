@@ -167,9 +167,12 @@ def identify(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...] = LA
     scored = staged(scored.withColumn("by_text", F.when(F.col("n_letters") == 0, UNKNOWN).otherwise(_best("text_score", classes))), "scored")
     nothing = F.array(*[F.lit(0.0)] * len(classes))
     prior = F.array(*[F.lit(float(np.log((1 - UNKNOWN_PRIOR) / len(languages))))] * len(languages), F.lit(float(np.log(UNKNOWN_PRIOR))))
-    joined = (scored.join(_given_language(scored, "declared", classes), "declared", "left")
-              .join(_given_language(scored, "suffix", classes), "suffix", "left")
-              .join(_host_prior(scored, classes), ["domain", "host"], "left"))
+    # stored first: small tables are then broadcast, and rows of a host that very
+    # many rows share can be split in the join
+    declared, suffix = (staged(_given_language(scored, c, classes), f"given-{c}") for c in ("declared", "suffix"))
+    hosts = staged(_host_prior(scored, classes), "hosts")
+    joined = (scored.join(declared, "declared", "left").join(suffix, "suffix", "left")
+              .join(hosts, ["domain", "host"], "left"))
     posterior = F.col("text_score")
     for part in (prior, F.coalesce("declared_score", nothing), F.coalesce("suffix_score", nothing), F.coalesce("host_score", nothing)):
         posterior = F.zip_with(posterior, part, lambda a, b: a + b)
