@@ -18,13 +18,16 @@ cost nothing from here on.
 With 64 coordinates, 30 matches and a similarity of 0.75 a pair of that very
 similarity is missed with a chance of about 2e-7.
 
-Not all pairs of a posting list are formed.  First all its nodes meet the
-smallest node, then the largest, and components are taken.  Then only nodes of
-different components under the same value meet, which is all that can still
-change a component: no link between different groups is lost.
+Not all pairs of a posting list are formed.  First all its nodes meet the hub,
+the node whose values are the most common; links give components.  Then only nodes of different components under the same value
+may meet, which is all that can still change a component.  Of these, a pair
+goes on only if the similarity is within reach of what each node shares with the
+hub and what it shares beside that with any other such node: a node with too
+many words of its own meets nobody.  So no link between different components is
+lost.
 
 Null texts count as empty and are linked with nothing, as are empty ones.
-Rows with null ids take the component of their copies, else null.  Rows that
+Rows with null ids take the component of rows with the same set, else null.  Rows that
 share an id are one node.  Empty tables give empty results; extra columns are
 ignored.
 """
@@ -47,6 +50,7 @@ SHINGLE = 5
 COORDINATES = 64
 MATCHES = 30
 SIMILAR_PERCENT = 75
+PARTS = 32
 _SEEDS = mix(powers(0xA24BAED4963EE407, 2 * COORDINATES + 1)[1:] + np.uint64(1))
 _FLIP, _TURN = _SEEDS[:COORDINATES], _SEEDS[COORDINATES:] | np.uint64(1)
 
@@ -73,32 +77,37 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(blake2b(members.tobytes(), digest_size=16).digest())
             signs.append(signature(members) if len(members) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary())],
-            ["doc_id", "n_shingles", "set_key", "signature"])
+            [batch.column("doc_id"), batch.column("doc_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary())],
+            ["doc_id", "doc_key", "n_shingles", "set_key", "signature"])
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.md5(text.cast("binary"))).alias("doc_key"), text.alias("text"))
 
 
 def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, set_key, signature) of every row."""
+    """(doc_id, doc_key, n_shingles, set_key, signature) of every row; doc_key
+    is the MD5 of the text."""
     return _texts(docs, id_col, text_col).mapInArrow(
-        _sign, "doc_id long, n_shingles long, set_key binary, signature binary")
+        _sign, "doc_id long, doc_key binary, n_shingles long, set_key binary, signature binary")
 
 
 def _member_sets(texts: DataFrame) -> DataFrame:
+    """(node, size, members): whole sets as sorted 64-bit integers."""
     def whole(batches):
         for batch in batches:
-            column = pa.array([s.astype("<u8").tobytes() for s in _sets(batch)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column], ["node", "members"])
+            sets = list(_sets(batch))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
+                ["node", "size", "members"])
 
-    return texts.mapInArrow(whole, "node long, members binary")
+    return texts.select("doc_id", "text").mapInArrow(whole, "node long, size long, members binary").dropDuplicates(["node"])
 
 
 def postings(nodes: DataFrame) -> DataFrame:
-    """(value, node): the rarest shared coordinate-value pairs of each node."""
+    """(value, node, weight): the rarest shared coordinate-value pairs of each
+    node, and how common all its values are together."""
     def spread(batches):
         place = np.arange(COORDINATES, dtype=np.uint64) << np.uint64(32)
         for batch in batches:
@@ -114,7 +123,8 @@ def postings(nodes: DataFrame) -> DataFrame:
     own = Window.partitionBy("node")
     rank = F.row_number().over(own.orderBy("n", "value"))
     return (met.withColumn("rank", rank).withColumn("r", F.count(F.lit(1)).over(own))
-            .where(F.col("rank") <= F.col("r") - MATCHES + 1).select("value", "node"))
+            .withColumn("weight", F.sum("n").over(own))
+            .where(F.col("rank") <= F.col("r") - MATCHES + 1).select("value", "node", "weight"))
 
 
 def _collisions(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -130,49 +140,105 @@ def _collisions(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sign_a", "sign_b").mapInArrow(count, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose whole sets are similar enough."""
+def _compared(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b, both, linked, miss_a, miss_b): shingles that whole sets have in
+    common, whether that is similar enough, and how many of the other's
+    shingles each lacks, by ``PARTS`` parts of the hash range."""
     def compare(batches):
         for batch in batches:
-            keep = []
+            common, linked, lacks = [], [], ([], [])
             for x, y in zip(batch.column("set_a"), batch.column("set_b")):
                 one, two = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(100 * both >= SIMILAR_PERCENT * (len(one) + len(two) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                held = np.isin(one, two, assume_unique=True)
+                both = int(held.sum())
+                common.append(both)
+                linked.append(100 * both >= SIMILAR_PERCENT * (len(one) + len(two) - both))
+                for out, rest in zip(lacks, (two[np.isin(two, one, assume_unique=True, invert=True)], one[~held])):
+                    out.append(np.bincount((rest % np.uint64(PARTS)).astype(np.int64), minlength=PARTS))
+            counts = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(common, pa.int64()), pa.array(linked, pa.bool_()), *(pa.array(x, counts) for x in lacks)],
+                ["a", "b", "both", "linked", "miss_a", "miss_b"])
 
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    members = staged(_member_sets(texts.join(wanted, "doc_id", "left_semi")), "members").dropDuplicates(["node"])
     side = lambda x: members.select(F.col("node").alias(x), F.col("members").alias(f"set_{x}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(
+        compare, "a long, b long, both long, linked boolean, miss_a array<int>, miss_b array<int>")
+
+
+def _hubs(posted: DataFrame) -> DataFrame:
+    """(value, hub): the node whose values are the most common."""
+    return posted.groupBy("value").agg(F.max_by("node", "weight").alias("hub"))
 
 
 def _stars(posted: DataFrame) -> DataFrame:
-    """Under each value every node with the smallest and the largest one."""
-    ends = posted.groupBy("value").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-    met = posted.join(ends, "value")
-    pairs = met.select(F.col("least").alias("a"), F.col("node").alias("b")).union(met.select("node", "most"))
-    return pairs.where("a < b").distinct()
-
-
-def _across(posted: DataFrame, label: DataFrame) -> DataFrame:
-    """Under each value the pairs of nodes from different components; nodes of
-    the value's most common component don't meet each other."""
-    named = posted.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = staged(named, "named")
+    """Under each value every node with the hub."""
+    met = posted.join(_hubs(posted), "value")
+    return met.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).where("a < b").distinct()
+
+
+def _support(members: DataFrame) -> DataFrame:
+    """(node, size, support): how many of a node's shingles any other node has."""
+    def spread(batches):
+        for batch in batches:
+            sets = [np.frombuffer(x.as_buffer(), "<i8") for x in batch.column("members")]
+            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+            ids = np.repeat(np.asarray(batch.column("node")), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(ids)], ["shingle", "node"])
+
+    spreaded = members.select("node", "members").mapInArrow(spread, "shingle long, node long")
+    shared = spreaded.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    support = spreaded.join(shared, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("support"))
+    return members.select("node", "size").join(support, "node")
+
+
+def _across(posted: DataFrame, label: DataFrame, members: DataFrame, compared: DataFrame) -> DataFrame:
+    """Under each value the pairs of nodes from different components that may
+    be similar; nodes of the value's most common component don't meet each
+    other.
+
+    Two nodes have at most least(support, support) shingles in common.  Where
+    both were compared with the value's hub, those outside the hub are at most
+    the smaller number that either shares with any other node, and those inside
+    are what neither lacks: of the hub's shingles at least as many are lacking
+    as both lack, less what they may lack together in each part of the hashes.
+    """
+    named = staged(posted.join(label, "node", "left").select("value", "node", F.coalesce("component", "node").alias("component")), "named")
     parts = named.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (parts.groupBy("value").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
-             .where("parts > 1").select("value", F.col("top.component").alias("main")))
-    rows = named.join(mixed, "value")
-    outside = rows.where("component <> main").select("value", F.col("node").alias("x"), F.col("component").alias("x_in"))
-    other = rows.select("value", F.col("node").alias("y"), F.col("component").alias("y_in"), (F.col("component") == F.col("main")).alias("in_main"))
-    met = outside.join(other, "value").where("x_in <> y_in AND (in_main OR x < y)")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    mixed = (parts.groupBy("value").agg(F.max_by("component", "n").alias("main"), F.count(F.lit(1)).alias("parts"))
+             .where("parts > 1").select("value", "main"))
+    rows = staged(named.join(mixed, "value").join(_hubs(posted), "value"), "mixed")
+    support = _support(members.join(rows.select("node").distinct(), "node", "left_semi"))
+    able = staged(support.where(100 * F.col("support") >= SIMILAR_PERCENT * F.col("size")), "support")
+    hub_size = members.select(F.col("node").alias("hub"), F.col("size").alias("hub_size"))
+    own = F.col("node") == F.col("hub")
+    rows = (rows.join(able, "node").join(hub_size, "hub")
+            .withColumn("a", F.least("node", "hub")).withColumn("b", F.greatest("node", "hub"))
+            .join(compared.drop("linked"), ["a", "b"], "left")
+            .withColumn("in_hub", F.when(own, F.col("size")).otherwise(F.col("both")))
+            .withColumn("miss", F.when(own, F.array_repeat(F.lit(0), PARTS)).when(F.col("hub") == F.col("a"), F.col("miss_b")).otherwise(F.col("miss_a"))))
+    # at most COORDINATES values of a node, so that a pair goes on under the first it shares only
+    held = rows.groupBy("node").agg(F.collect_list("value").alias("held"))
+    fields = ("node", "component", "size", "support", "in_hub", "miss", "held")
+    rows = staged(rows.join(held, "node").select("value", "main", "hub_size", *fields), "able")
+    outside = rows.where("component <> main").select("value", "hub_size", *(F.col(c).alias(f"x_{c}") for c in fields))
+    other = rows.select("value", (F.col("component") == F.col("main")).alias("in_main"), *(F.col(c).alias(f"y_{c}") for c in fields))
+    beside = "least(x_support - x_in_hub, y_support - y_in_hub)"
+    together = "aggregate(zip_with(x_miss, y_miss, (p, q) -> least(p, q)), 0, (n, p) -> n + p)"
+    reach = lambda most: f"100 * ({most}) >= {SIMILAR_PERCENT} * (x_size + y_size - ({most}))"
+    unknown = "x_in_hub IS NULL OR y_in_hub IS NULL"
+    met = outside.join(other, "value").where(
+        "x_component <> y_component AND (in_main OR x_node < y_node)"
+        f" AND {reach('least(x_support, y_support)')}"
+        f" AND ({unknown} OR {reach(f'least(x_in_hub, y_in_hub) + {beside}')})"
+        " AND value = array_min(array_intersect(x_held, y_held))"
+        f" AND ({unknown} OR {reach(f'x_in_hub + y_in_hub - hub_size + {together} + {beside}')})")
+    return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
 
 
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           sign: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Confirmed links (a, b) between nodes, and the nodes' (node, component)."""
+    """Confirmed links (a, b) between nodes, enough of them to connect every
+    component, and the nodes' (node, component)."""
     texts = _texts(docs, id_col, text_col)
     sign = staged(signed(docs, id_col, text_col), "signed") if sign is None else sign
     filled = sign.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -180,13 +246,14 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nodes = filled.join(named, "set_key").where("doc_id = node").select("node", "signature").dropDuplicates(["node"])
     nodes = staged(nodes, "nodes")
     posted = staged(postings(nodes).distinct(), "postings")
-    near = staged(_collisions(_stars(posted), nodes), "near")
-    found = staged(_confirmed(near, texts), "links")
+    members = staged(_member_sets(texts.join(posted.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")), "members")
+    near = staged(_compared(_collisions(_stars(posted), nodes), members), "near")
+    found = near.where("linked").select("a", "b")
     label = components(found)
-    rest = _across(posted, label).join(near, ["a", "b"], "left_anti")
-    late = staged(_collisions(rest, nodes), "near")
+    rest = _across(posted, label, members, near).join(near, ["a", "b"], "left_anti")
+    late = staged(_compared(_collisions(rest, nodes), members).where("linked").select("a", "b"), "late")
     if not late.isEmpty():
-        found = staged(found.union(_confirmed(late, texts)), "links")
+        found = found.union(late)
         label = components(found)
     return found, label
 
@@ -197,20 +264,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     _, label = links(docs, id_col, text_col, sign)
     named = (sign.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key")
              .agg(F.min("doc_id").alias("node")))
-    own = sign.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left").join(label, "node", "left")
+    own = sign.select("doc_id", "doc_key", "n_shingles", "set_key").join(named, "set_key", "left").join(label, "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node", "doc_id")).otherwise(F.col("doc_id"))
     return own.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
-
-
-def op10_minhash_join(spark, sf_dir: str) -> DataFrame:
-    """Groups of near duplicates over the whole ``documents`` table."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), "doc_key")
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without all but the smallest id of each group, all columns
     unchanged.  Rows without an id of their own stay only if their group has none."""
     report = near_duplicates(docs, id_col, text_col)
-    bad = report.where("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left_anti")
+    # stored first: its size is then known, and a short list spares the texts a shuffle
+    bad = staged(report.where("NOT kept").select(
+        F.col("doc_id").alias("__id"), F.col("doc_key").alias("__key")).distinct(), "near-copies")
+    key = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left_anti")
+
+
+def op10_minhash_join(spark, sf_dir: str) -> DataFrame:
+    """Groups of near duplicates over the whole ``documents`` table."""
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("doc_key")
