@@ -6,8 +6,8 @@
 2. Leaves that occur in fewer than ``MIN_DOCS`` documents hold nothing that
    recurs; their lines go no further.
 3. In the other leaves a token that stands at its place in at least MIN_DOCS
-   documents is constant, any other a variable field.  A line's template is its
-   tokens with the variable ones generalised.
+   lines of documents is constant, any other a variable field.  A line's
+   template is its tokens with the variable ones generalised.
 4. A template recurs if MIN_DOCS documents hold it, at least ``CONSTANT`` of its
    tokens are constant, and with the fields known from the start these are at
    least ``KNOWN`` of them.  All lines with a recurring template are dropped.
@@ -19,8 +19,11 @@ once for that document.  Rows that repeat id and text are one document for these
 counts, and each loses its lines.  Null ids are told apart by their text.  Empty
 tables give empty results; extra columns are ignored.
 
-All counts are grouped aggregations over (key, document) first, so a line that
-a third of all documents hold is spread over the documents.
+The first pass keeps only leaves and places, not lines; texts are read again
+for the documents that have lines in busy leaves.  All counts are grouped
+aggregations over (key, document) first, so a line that a third of all documents
+hold is spread over the documents; tokens are counted once for each different
+line, weighted by its documents.
 """
 
 from __future__ import annotations
@@ -42,7 +45,7 @@ _MARK = "\u001f"
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     key = F.unhex(F.md5(F.concat_ws("|", F.col(id_col).cast("string"), text).cast("binary")))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), key.alias("doc_key"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.coalesce(key, F.lit(b"")).alias("doc_key"))
 
 
 def _documents(rows: DataFrame, *by: str) -> DataFrame:
@@ -51,27 +54,39 @@ def _documents(rows: DataFrame, *by: str) -> DataFrame:
             .where(F.col("__n") >= MIN_DOCS).drop("__n"))
 
 
+def _masked(tokens):
+    return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), ANY).otherwise(t))
+
+
+def _parsed(lines: DataFrame) -> DataFrame:
+    """Adds ``tokens`` and ``leaf`` to lines that are long enough."""
+    tokens = F.split(F.btrim("line", F.lit(" \t\n\x0b\x0c\r")), SPACES)
+    return (lines.withColumn("tokens", tokens).where(F.size("tokens") >= LEAD)
+            .withColumn("leaf", F.concat_ws(_MARK, F.size("tokens"), _masked(F.slice("tokens", 1, LEAD)))))
+
+
 def recurring_lines(texts: DataFrame) -> DataFrame:
     """(doc_key, gone): places of the lines to drop, for each document that has any."""
-    tokens = F.filter(F.split(F.col("line"), SPACES), lambda t: t != "")
-    masked = F.transform(F.col("tokens"), lambda t: F.when(t.rlike("[0-9]"), ANY).otherwise(t))
-    lines = (texts.select("doc_key", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-             .withColumn("tokens", tokens).where(F.size("tokens") >= LEAD)
-             .select("doc_key", "place", masked.alias("tokens"))
-             .withColumn("leaf", F.concat_ws(_MARK, F.size("tokens"), F.slice("tokens", 1, LEAD))))
-    busy = _documents(lines, "leaf")
-    held = staged(lines.join(busy, "leaf").select("doc_key", "place", "leaf", F.array_join("tokens", _MARK).alias("line")), "lines")
+    every = texts.select("doc_key", F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    leaves = staged(_parsed(every).select("doc_key", "place", "leaf"), "leaves")
+    asked = (leaves.join(_documents(leaves, "leaf"), "leaf").groupBy("doc_key")
+             .agg(F.collect_set("place").alias("places")))
+    again = (texts.join(asked, "doc_key").select("doc_key", "places", F.posexplode(F.split("text", "\n")).alias("place", "line"))
+             .where(F.array_contains("places", F.col("place"))))
+    held = staged(_parsed(again).select("doc_key", "place", "leaf", F.array_join(_masked("tokens"), _MARK).alias("line")), "lines")
     once = held.select("leaf", "line", "doc_key").distinct()
-    split = lambda df: df.select("*", F.posexplode(F.split("line", _MARK)).alias("at", "token"))
-    constant = _documents(split(once).where(F.col("token") != ANY), "leaf", "at", "token").withColumn("fixed", F.lit(True))
-    known = split(held.select("leaf", "line").distinct()).join(constant, ["leaf", "at", "token"], "left")
+    different = staged(once.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n")), "different")
+    tokens = different.select("*", F.posexplode(F.split("line", _MARK)).alias("at", "token"))
+    constant = (tokens.where(F.col("token") != ANY).groupBy("leaf", "at", "token").agg(F.sum("n").alias("lines"))
+                .where(F.col("lines") >= MIN_DOCS).select("leaf", "at", "token", F.lit(True).alias("fixed")))
+    known = tokens.join(constant, ["leaf", "at", "token"], "left")
     template = known.groupBy("leaf", "line").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", F.when(F.col("fixed"), F.col("token")).otherwise(ANY).alias("token")))),
                                  lambda x: x["token"]), _MARK).alias("template"),
         F.avg(F.coalesce("fixed", F.lit(False)).cast("int")).alias("constant"),
         F.avg((F.coalesce("fixed", F.lit(False)) | (F.col("token") == ANY)).cast("int")).alias("known"))
     template = staged(template.where((F.col("constant") >= CONSTANT) & (F.col("known") >= KNOWN)).drop("constant", "known"), "templates")
-    recurs = _documents(once.join(template, ["leaf", "line"]), "leaf", "template")
+    recurs = _documents(held.join(template, ["leaf", "line"]), "leaf", "template")
     gone = template.join(recurs, ["leaf", "template"]).select("leaf", "line")
     return held.join(gone, ["leaf", "line"]).groupBy("doc_key").agg(F.collect_set("place").alias("gone"))
 
@@ -109,8 +124,9 @@ busy AS (SELECT leaf FROM leaves GROUP BY leaf HAVING count(DISTINCT row_no) >=
 held AS (SELECT * FROM leaves WHERE leaf IN (SELECT leaf FROM busy)),
 spread AS (SELECT row_no, place, leaf, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS spot FROM held),
 constants AS (
-    SELECT leaf, spot, token FROM spread WHERE token <> '{ANY}'
-    GROUP BY leaf, spot, token HAVING count(DISTINCT row_no) >= {MIN_DOCS}),
+    SELECT leaf, spot, token
+    FROM (SELECT leaf, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS spot FROM (SELECT DISTINCT row_no, leaf, tokens FROM held))
+    WHERE token <> '{ANY}' GROUP BY leaf, spot, token HAVING count(*) >= {MIN_DOCS}),
 templates AS (
     SELECT row_no, place, leaf, avg((c.token IS NOT NULL)::INT) AS constant, avg((c.token IS NOT NULL OR s.token = '{ANY}')::INT) AS known,
            string_agg(coalesce(c.token, '{ANY}'), chr(31) ORDER BY spot) AS template
