@@ -3,8 +3,11 @@
 Tokens are runs of ASCII letters and digits and of non-ASCII characters, A-Z
 read as a-z, so punctuation doesn't part a copy from its source.  A seed is the
 hash of the tokens that a fixed mask selects from consecutive ones; tokens under
-a 0 may differ.  With three masks a copy with a substituted token every few
-words still shares a seed.
+a 0 may differ.  The masks are chosen so that whatever step 4 accepts shares a
+seed: in 8 tokens they leave room for any one substitution, in 10 for any two,
+in 15 for any three, in 20 for four and in 25 for five.  A stretch of 13 tokens
+or more that agrees to 80 % holds one of 13 to 25 that does (a longer one has a
+half that does), and these fall under the cases above.
 
 1. Seeds of all benchmark items make a table (seed, item, position) and a Bloom
    filter of ``BLOOM_BITS_MOST`` bits at most, which is broadcast.
@@ -17,8 +20,7 @@ words still shares a seed.
    overlap if it has ``OVERLAP`` tokens, or the whole item if that is shorter,
    and ``IDENTITY`` of them agree.
 
-Items of fewer tokens than the shortest mask spans have no seed and are found
-nowhere.  Null texts count as empty.  Repeated rows and items are reported as
+Items of fewer than ``LEAST_ITEM`` tokens have no seed and are found nowhere.  Null texts count as empty.  Repeated rows and items are reported as
 one.  Rows with null ids are told apart by their text.  Empty tables give empty
 results; extra columns are ignored.
 """
@@ -36,7 +38,8 @@ from .hashing import BASE, mix, runs, utf8, words
 from .staging import staged
 
 # fixed values: 1 selects a token, 0 ignores it
-MASKS = ("1101110111", "1110110111", "11111111")
+MASKS = ("1111011", "10101111", "11011101", "1111000011", "110010111")
+LEAST_ITEM = 8
 OVERLAP = 13
 IDENTITY = 0.8
 MISMATCH = 3
@@ -73,8 +76,10 @@ def item_seeds(items: DataFrame) -> DataFrame:
             data, offsets = utf8(batch.column("text"))
             for a, b in runs(offsets):
                 found = words(data, offsets[a:b + 1], TOKEN_BREAKS)
+                long = np.diff(found.bounds) >= LEAST_ITEM
                 for at, seed in seeds(found.hashes, found.bounds):
                     item = np.searchsorted(found.bounds, at, "right") - 1
+                    at, seed, item = at[long[item]], seed[long[item]], item[long[item]]
                     rows = pa.array(a + item)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(seed.view(np.int64)), batch.column("item_key").take(rows), pa.array(at - found.bounds[item])],

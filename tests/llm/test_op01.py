@@ -1,5 +1,8 @@
+import itertools
 import re
 
+import numpy as np
+
 from deckframe.llm import op01_spaced_seeds as op
 
 from corpus_rows import FIELDS, prose
@@ -70,3 +73,22 @@ def test_the_filter_only_saves_work(spark, monkeypatch):
     full = sorted(op.overlaps(docs, bench).drop("doc_key").collect())
     monkeypatch.setattr(op, "BLOOM_BITS_MOST", 1 << 6)
     assert sorted(op.overlaps(docs, bench).drop("doc_key").collect()) == full and {r["doc_id"] for r in full} == set(range(30))
+
+
+def test_every_placement_of_the_allowed_substitutions_shares_a_seed():
+    for n, k in ((8, 1), (9, 1), (10, 2), (11, 2), (12, 2), (13, 2), (15, 3), (20, 4)):
+        places = list(itertools.combinations(range(n), k))
+        item = np.arange(1, n + 1, dtype=np.uint64)
+        copies = np.tile(item, (len(places), 1))
+        for row, places_ in enumerate(places):
+            copies[row, list(places_)] += np.uint64(1000)
+        sought = {(m, int(a), int(s)) for m, (at, seed) in enumerate(op.seeds(item, np.array([0, n]))) for a, s in zip(at, seed)}
+        hit = set()
+        for m, (at, seed) in enumerate(op.seeds(copies.ravel(), np.arange(len(places) + 1) * n)):
+            hit |= {int(a) // n for a, s in zip(at, seed) if (m, int(a) % n, int(s)) in sought}
+        assert len(hit) == len(places), (n, k)
+    every_fifth = sum(1 << i for i in range(4, 25, 5))
+    masks = [sum(1 << i for i, c in enumerate(m) if c == "1") << s for m in op.MASKS for s in range(26 - len(m))]
+    assert any(not every_fifth & m for m in masks)
+    for places in itertools.combinations(range(25), 5):
+        assert not all(sum(1 << i for i in places) & m for m in masks), places
