@@ -12,13 +12,13 @@ half that does), and these fall under the cases above.
 1. Seeds of all benchmark items make a table (seed, item, position) and a Bloom
    filter of ``BLOOM_BITS_MOST`` bits at most, which is broadcast.
 2. Every document is seeded at every token.  Seeds that the filter lets through
-   leave the task together with the tokens around them, as regions.
+   leave the task together with the tokens around them, as regions; these reach as far as the longest item.
 3. These seeds are joined with the benchmark's.  A wrong answer of the filter
    finds no partner there.
-4. Each (region, item, diagonal) is compared token by token.  The stretch with
-   the best score (1 for a match, ``-MISMATCH`` for a substitution) counts as an
-   overlap if it has ``OVERLAP`` tokens, or the whole item if that is shorter,
-   and ``IDENTITY`` of them agree.
+4. Each (region, item, diagonal) is compared token by token.  A stretch counts
+   as an overlap if it has ``OVERLAP`` tokens, or the whole item if that is
+   shorter, and ``IDENTITY`` of them agree; the longest of these is reported, of
+   equally long ones that with the most equal tokens.
 
 Items of fewer than ``LEAST_ITEM`` tokens have no seed and are found nowhere.  Null texts count as empty.  Repeated rows and items are reported as
 one.  Rows with null ids are told apart by their text.  Empty tables give empty
@@ -42,8 +42,7 @@ MASKS = ("1111011", "10101111", "11011101", "1111000011", "110010111")
 LEAST_ITEM = 8
 OVERLAP = 13
 IDENTITY = 0.8
-MISMATCH = 3
-AROUND = 48
+MISMATCH = 3  # only the brute force of tests/llm scores with it
 BLOOM_HASHES = 4
 BLOOM_BITS_MOST = 1 << 26
 
@@ -125,8 +124,9 @@ def token_hashes(table: DataFrame, keys: list[str]) -> DataFrame:
     return table.select(*keys, "text").mapInArrow(cut, f"{fields}, tokens binary")
 
 
-def _regions(texts: DataFrame, filter_: np.ndarray) -> DataFrame:
-    """Parts of documents in which the filter knows seeds."""
+def _regions(texts: DataFrame, filter_: np.ndarray, reach: int) -> DataFrame:
+    """Parts of documents in which the filter knows seeds, with ``reach`` tokens
+    on both sides."""
     shared = texts.sparkSession.sparkContext.broadcast(np.packbits(filter_, bitorder="little"))
     bits = len(filter_)
 
@@ -157,12 +157,12 @@ def _regions(texts: DataFrame, filter_: np.ndarray) -> DataFrame:
                 order = np.argsort(at, kind="stable")
                 at, seed = at[order], np.concatenate([x for _, x in pairs])[order].view(np.int64)
                 doc = np.searchsorted(found.bounds, at, "right") - 1
-                first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (at[1:] - at[:-1] > 2 * AROUND)))
+                first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (at[1:] - at[:-1] > 2 * reach)))
                 last = np.append(first[1:], len(at))
                 rows, starts, tokens, hits = [], [], [], []
                 for i, j in zip(first.tolist(), last.tolist()):
-                    low = max(int(found.bounds[doc[i]]), int(at[i]) - AROUND)
-                    high = min(int(found.bounds[doc[i] + 1]), int(at[j - 1]) + AROUND)
+                    low = max(int(found.bounds[doc[i]]), int(at[i]) - reach)
+                    high = min(int(found.bounds[doc[i] + 1]), int(at[j - 1]) + reach)
                     rows.append(a + int(doc[i]))
                     starts.append(low - int(found.bounds[doc[i]]))
                     tokens.append(found.hashes[low:high].tobytes())
@@ -177,28 +177,33 @@ def _regions(texts: DataFrame, filter_: np.ndarray) -> DataFrame:
         cut, "doc_id long, doc_key binary, start long, tokens binary, hits array<struct<seed long, at long>>")
 
 
-def best_stretch(match: np.ndarray) -> tuple[int, int]:
-    """Start and end of the stretch with the best score, the longest of these."""
-    score = np.concatenate([[0], np.cumsum(np.where(match, 1, -MISMATCH))])
-    low = np.minimum.accumulate(score)
-    end = len(score) - 1 - int(np.argmax((score - low)[::-1]))
-    return int(np.argmax(score[:end + 1] == low[end])), end
+def longest_stretch(match: np.ndarray) -> tuple[int, int]:
+    """Start and end of the longest stretch of which ``IDENTITY`` agree, of
+    equally long ones that with the most matches; 0, 0 where there is none."""
+    # in whole hundredths, so that a stretch at the limit sums up to 0
+    score = np.concatenate([[0], np.cumsum(np.where(match, 100, 0) - round(100 * IDENTITY))])
+    most = np.maximum.accumulate(score[::-1])[::-1]  # from each end on; never grows
+    end = np.searchsorted(-most, -score, "right") - 1
+    length = end - np.arange(len(score))
+    best = np.flatnonzero(length == length.max())
+    start = int(best[np.argmax((score[end] - score)[best])])
+    return (start, int(end[start])) if length[start] else (0, 0)
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The overlap on each diagonal, where there is one."""
+    """The overlap on each diagonal, where there is one.  ``tokens`` begins
+    where the item does, or where the region does if that is later."""
     for batch in batches:
         keep, rows = [], []
         for i, (d, t, diagonal, start) in enumerate(zip(*(batch.column(c) for c in ("tokens", "item_tokens", "diagonal", "start")))):
             doc, item = np.frombuffer(d.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.uint64)
             shift = diagonal.as_py()
-            low, high = max(0, -shift), min(len(item), len(doc) - shift)
-            match = doc[low + shift:high + shift] == item[low:high]
-            a, b = best_stretch(match)
-            same = int(match[a:b].sum())
-            if b - a >= min(OVERLAP, len(item)) and same >= IDENTITY * (b - a):
+            low = max(0, -shift)
+            match = doc == item[low:low + len(doc)]
+            a, b = longest_stretch(match)
+            if b - a >= min(OVERLAP, len(item)):
                 keep.append(i)
-                rows.append((start.as_py() + low + shift + a, low + a, b - a, same))
+                rows.append((start.as_py() + low + shift + a, low + a, b - a, int(match[a:b].sum())))
         columns = list(zip(*rows)) or [[]] * 4
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(c).take(pa.array(keep, pa.int64())) for c in ("doc_id", "doc_key", "item_key")), *(pa.array(c, pa.int64()) for c in columns)],
@@ -213,24 +218,29 @@ def _keyed(table: DataFrame, id_col: str, text_col: str, id_name: str, key_name:
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, doc_key, item_id, doc_start, item_start, n_tokens, n_same): the
-    longest overlap of each document and item; positions count tokens, doc_key
-    is the MD5 of the text."""
+    longest overlap of each document and item, of equally long ones that with
+    the most equal tokens; positions count tokens, doc_key is the MD5 of the
+    text."""
     texts = _keyed(docs, id_col, text_col, "doc_id", "doc_key")
     items = _keyed(benchmark, item_id_col, item_text_col, "item_id", "item_key")
     once = items.dropDuplicates(["item_key"])
     table = staged(item_seeds(once), "item-seeds")
-    regions = staged(_regions(texts, bloom(table)).withColumn("region", F.monotonically_increasing_id()), "regions")
+    tokens = staged(token_hashes(once, ["item_key"]).withColumnRenamed("tokens", "item_tokens"), "item-tokens")
+    reach = (tokens.agg(F.max(F.length("item_tokens"))).first()[0] or 0) // 8
+    regions = staged(_regions(texts, bloom(table), reach).withColumn("region", F.monotonically_increasing_id()), "regions")
     hits = regions.select("region", F.inline("hits").alias("seed", "doc_at"))
     diagonals = (hits.join(table, "seed").select("region", "item_key", (F.col("doc_at") - F.col("at")).alias("diagonal")).distinct())
     pairs = (diagonals.join(regions.drop("hits"), "region")
-             .join(token_hashes(once, ["item_key"]).withColumnRenamed("tokens", "item_tokens"), "item_key"))
+             .join(tokens, "item_key")
+             # what lies beside the item only, 8 bytes a token
+             .withColumn("tokens", F.expr("substring(tokens, int(8 * greatest(diagonal, 0)) + 1, int(length(item_tokens) + 8 * least(diagonal, 0)))")))
     found = pairs.select("doc_id", "doc_key", "item_key", "start", "tokens", "item_tokens", "diagonal").mapInArrow(
         _compare, "doc_id long, doc_key binary, item_key binary, doc_start long, item_start long, n_tokens long, n_same long")
     best = found.groupBy("doc_id", "doc_key", "item_key").agg(
-        F.max(F.struct("n_same", -F.col("doc_start"), -F.col("item_start"), "n_tokens")).alias("best"))
+        F.max(F.struct("n_tokens", "n_same", -F.col("doc_start"), -F.col("item_start"))).alias("best"))
     named = items.select("item_id", "item_key").distinct()
     return best.join(named, "item_key").select(
-        "doc_id", "doc_key", "item_id", (-F.col("best.col2")).alias("doc_start"), (-F.col("best.col3")).alias("item_start"),
+        "doc_id", "doc_key", "item_id", (-F.col("best.col3")).alias("doc_start"), (-F.col("best.col4")).alias("item_start"),
         "best.n_tokens", "best.n_same")
 
 

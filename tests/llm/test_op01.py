@@ -1,4 +1,5 @@
 import itertools
+import random
 import re
 
 import numpy as np
@@ -92,3 +93,41 @@ def test_every_placement_of_the_allowed_substitutions_shares_a_seed():
     assert any(not every_fifth & m for m in masks)
     for places in itertools.combinations(range(25), 5):
         assert not all(sum(1 << i for i in places) & m for m in masks), places
+
+
+def longest_overlaps(docs, items):
+    """By trying every stretch of every diagonal, without seeds."""
+    out = {}
+    for (d, text), (i, item) in itertools.product(docs, items):
+        a, b = tokens(text), tokens(item)
+        best = None
+        for shift in range(-len(b), len(a)):
+            low, high = max(0, -shift), min(len(b), len(a) - shift)
+            sums = [0, *itertools.accumulate(a[k + shift] == b[k] for k in range(low, high))]
+            for s, e in itertools.combinations(range(len(sums)), 2) if sums[-1] > 5 else ():
+                n, same = e - s, sums[e] - sums[s]
+                if n >= min(13, len(b)) and 5 * same >= 4 * n:
+                    best = max(best or (0, 0), (n, same))
+        if best:
+            out[d, i] = best
+    return out
+
+
+def test_every_overlap_is_found_at_its_full_length(spark):
+    r = random.Random(7)
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(n))) for i, n in enumerate([8, 9, 10, 11, 12, 13, 14, 20, 20, 30, 30, 59, 90])]
+    docs = []
+    for i, text in items:
+        for rate in (0, 0.1, 0.2, 0.25, 0.3):
+            for _ in range(6):
+                copy = [f"other{r.random()}" if r.random() < rate else w for w in text.split()]
+                docs.append((len(docs), " ".join(["before"] * r.randint(0, 60) + copy[r.choice([0, 0, 1]):] + ["after"] * r.randint(0, 60))))
+    w = items[9][1].split()
+    docs.append((1000, " ".join([*w[:12], "x", w[13]])))  # 13 of 14, one of them past a substitution
+    docs.append((1001, " ".join("x" if k % 5 == 4 else w_ for k, w_ in enumerate(w))))
+    docs.append((1002, " ".join(w[:13] + [w_ if k % 4 else "x" for k, w_ in enumerate(w[13:])])))  # 13 equal ones, then 3 of 4
+    docs.append((1003, " ".join(["x", *items[0][1].split()[1:]])))
+    frame = spark.createDataFrame([(d, t, None, None, 0) for d, t in docs], FIELDS)
+    got = {(x["doc_id"], x["item_id"]): (x["n_tokens"], x["n_same"]) for x in op.overlaps(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    expected = longest_overlaps(docs, items)
+    assert got == expected and {(1000, 9), (1001, 9), (1002, 9), (1003, 0)} <= set(got)
