@@ -4,15 +4,22 @@ The plain kinds (e-mail, IP address, card, phone) are found in the source text,
 leftmost and non-overlapping for each kind.  Then a transducer rewrites the text
 and remembers for each character it emits the source characters it stands for:
 
-* look-alike letters, full-width and mathematical forms, and digits of other
-  scripts become ASCII; zero-width characters vanish;
-* runs of spelled digits become digits, "plus" before them a plus sign;
-* "(at)", "[dot]", "[.]" and the like become @ and dot; bare "at" and "dot" do
-  so only in the pattern "name at host dot ... dot" before a common top-level
-  domain, as they are ordinary words.
+* look-alike letters, full-width and mathematical forms, and all decimal digits
+  become ASCII; zero-width characters vanish;
+* spelled digits beside digits or other spelled ones become digits, "plus"
+  before them a plus sign, and bare "dot" between them a dot;
+* "(at)", "[dot]", "[.]" and the like become @ and dot;
+* bare "at" and "dot" do so in "name dot name at host dot host", also with some
+  of them as plain signs, before any top-level domain.  As both are ordinary
+  words, names, hosts and domains that are ``ORDINARY`` words don't count, nor
+  do web addresses ("site at www.host.com", "at host.com/page").
 
 The same detectors run over the rewritten text, and what they find is mapped
-back to source positions.  A span inside a plain one of its kind adds nothing.  Texts without any sign of a disguise are not rewritten.
+back to source positions.  They run twice, once with only long runs of spelled
+digits rewritten, as a number may end before an ordinary "one".  A span inside a
+plain one of its kind, or a wider disguised one, adds nothing, nor does a phone
+number that has only one spelled digit more than a plain one.  Texts without any
+sign of a disguise are not rewritten.
 
 Positions count code points, ends are exclusive.  Null texts count as empty and
 have no spans.  Each row is treated by itself, so repeated rows, equal ids and
@@ -23,6 +30,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -44,22 +52,33 @@ _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01
 LOOKALIKES = dict(zip("АВЕКМНОРСТХаеорсухіјѕԁһԛԝΑΒΕΖΗΙΚΜΝΟΡΤΥΧονρ", "ABEKMHOPCTXaeopcyxijsdhqwABEZHIKMNOPTYXovp"))
 # fixed values: digits by name
 SPELLED = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
-# fixed values: top-level domains that follow a bare "dot"
-COMMON_DOMAINS = ("com", "net", "org", "edu", "gov", "info", "io", "co", "uk", "de", "fr", "es", "eu", "us", "ca", "biz", "me", "dev", "app")
+# fixed values: words that are no name, host or domain beside a bare "at" or "dot"
+ORDINARY = frozenset((
+    "a about after all am an and any are as at available be been before but by call can come could did do does done dot each every find for found from "
+    "get go had has have he her here him his how i if in into is it its just know like look looked looking looks make me meet more my new no not now of "
+    "off on online only or our out over page see she site so some still than that the their them then there these they this those to too up us very "
+    "was we website were what when where which while who will with would you your").split())
 LEAST_SPELLED = 7
 
-_FORMS = re.compile("[ ­​-‍⁠﻿Ͱ-ԯ٠-٩۰-۹०-९"
+_DECIMALS = "".join(c for c in map(chr, range(128, 0x110000)) if c.isdecimal())
+_FORMS = re.compile("[" + _DECIMALS + " ­​-‍⁠﻿Ͱ-ԯ٠-٩۰-۹०-९"
                     "℀-⅏！-～\U0001d400-\U0001d7ff]")
 _NAMES = "|".join(SPELLED)
-_RULES = re.compile(
-    rf"(?P<digits>\b(?:plus[\s-]+)?(?:{_NAMES})(?:[\s,-]+(?:{_NAMES})){{{LEAST_SPELLED - 1},}}\b)"
-    r"|(?P<at>\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*)"
-    r"|(?P<dot>\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*)"
-    r"|(?P<bare>(?<![\w.%+-])[\w.%+-]+\s+at\s+[\w-]+(?:(?:\s+dot\s+|\.)[\w-]+)*\s+dot\s+(?:" + "|".join(COMMON_DOMAINS) + r")\b)",
+_BRACKETED_DOT = r"\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*"
+_LONG_RUN = re.compile(rf"\b(?:plus[\s-]+)?(?:{_NAMES})(?:[\s,-]+(?:{_NAMES})){{{LEAST_SPELLED - 1},}}\b", re.IGNORECASE)
+_UNIT = rf"(?:(?:{_NAMES})\b|[0-9]+\b)"
+_RUN = re.compile(rf"\b(?:plus[\s-]+)?{_UNIT}(?:(?:\s+dot\s+|{_BRACKETED_DOT}|[\s,().-]+){_UNIT})+", re.IGNORECASE)
+_PARTS = re.compile(rf"(?P<plus>plus[\s-]+)|(?P<name>{_NAMES})|(?P<digits>[0-9]+)|(?P<gap>[^0-9]+?(?=(?:{_NAMES})\b|[0-9]))", re.IGNORECASE)
+_MARKS = re.compile(rf"(?P<at>\s*[\[({{<]\s*(?:at|@)\s*[\])}}>]\s*)|(?P<dot>{_BRACKETED_DOT})", re.IGNORECASE)
+_ADDRESS = re.compile(
+    r"(?<![\w.%+-])(?P<local>[\w%+-]+(?:(?:\s+dot\s+|\.)[\w%+-]+){0,31})(?P<at>\s+at\s+|@)(?P<host>[\w-]+(?:(?:\s+dot\s+|\.)[\w-]+){1,126})",
     re.IGNORECASE)
 _BARE = re.compile(r"(?P<at>\s+at\s+)|(?P<dot>\s+dot\s+)", re.IGNORECASE)
+_LABEL = re.compile(r"(?P<dot>\s+dot\s+|\.)?(?P<label>[\w-]+)", re.IGNORECASE)
+_DOMAIN = re.compile(r"[^\W\d_]{2,63}|xn--[\w-]+", re.IGNORECASE)
 _BARE_DOT = re.compile(r"\sdot\s")
-_SPELLED_PAIR = re.compile(rf"\b(?:{_NAMES})[\s,-]+(?:{_NAMES})\b")
+_BARE_AT = re.compile(r"\sat\s+[\w-]+\.\w")
+_SPELLED_NEAR = re.compile(rf"\b(?:{_NAMES})[\s,().-]+(?:[0-9]|(?:{_NAMES})\b)|[0-9][\s,().-]+(?:{_NAMES})\b|\bplus[\s-]+[0-9]")
 _BRACKET = re.compile(r"[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]", re.IGNORECASE)
 
 
@@ -120,47 +139,89 @@ def _plain_form(c: str) -> str:
     return form if form.isascii() else c
 
 
-def rewrite(text: str) -> tuple[str, list[int], list[int]]:
+class _Transducer:
+    """A text under rewriting, and for each of its characters where the source
+    characters it stands for begin and end."""
+
+    def __init__(self, text: str):
+        self.text, self.lows, self.highs = text, range(len(text)), range(1, len(text) + 1)
+        if not text.isascii() and _FORMS.search(text):
+            self.replace([(i, i + 1, _plain_form(c)) for i, c in enumerate(text) if _FORMS.match(c)])
+
+    def replace(self, changes: list[tuple[int, int, str]]) -> None:
+        """Put a string in the place of each range; ranges in order, not empty."""
+        out, lows, highs, at = [], [], [], 0
+        for a, b, new in [*changes, (len(self.text), len(self.text), "")]:
+            out += (self.text[at:a], new)
+            lows += self.lows[at:a]
+            highs += self.highs[at:a]
+            if new:
+                lows += [self.lows[a]] * len(new)
+                highs += [self.highs[b - 1]] * len(new)
+            at = b
+        self.text, self.lows, self.highs = "".join(out), lows, highs
+
+
+def _numbers(text: str, runs: re.Pattern) -> list[tuple[int, int, str]]:
+    """Changes that make digits of the spelled ones in ``runs``."""
+    out = []
+    for run in runs.finditer(text):
+        parts = list(_PARTS.finditer(text, run.start(), run.end()))
+        for k, m in enumerate(parts):
+            if m.lastgroup == "plus":
+                out.append((*m.span(), "+"))
+            elif m.lastgroup == "name":
+                out.append((*m.span(), SPELLED[m.group().lower()]))
+            elif m.lastgroup == "gap":
+                sides = [x.lastgroup for x in parts[k - 1:k + 2:2]]
+                if "dot" in m.group().lower() or "." in m.group() and "name" in sides:
+                    out.append((*m.span(), "."))
+                elif "name" in sides:
+                    out.append((*m.span(), " " if "digits" in sides else ""))
+    return out
+
+
+def _address(m: re.Match) -> int | None:
+    """Where the address that begins with a match of ``_ADDRESS`` ends, if it
+    is a disguised one."""
+    labels = list(_LABEL.finditer(m.string, *m.span("host")))
+    while len(labels) > 1:
+        last = labels[-1].group("label").lower()
+        if _DOMAIN.fullmatch(last) and (len(last) == 2 or last not in ORDINARY):
+            break
+        labels.pop()
+    if len(labels) < 2 or all(x.group("label").lower() in ORDINARY for x in labels[:-1]):
+        return None
+    end, bare_dot = labels[-1].end(), any(len(x.group("dot") or "") > 1 for x in labels)
+    if m.group("at") != "@":
+        if m.group("local").lower() in ORDINARY:
+            return None
+        web = labels[0].group("label").lower() == "www" or m.string[end:end + 1] in ("/", "(") or "\n" in m.group("at")
+        return None if web and not bare_dot else end
+    return end if bare_dot or re.search(r"\s", m.group("local")) else None
+
+
+def _addresses(text: str) -> list[tuple[int, int, str]]:
+    """Changes that make signs of bare "at" and "dot" in e-mail addresses."""
+    out, at = [], 0
+    while m := _ADDRESS.search(text, at):
+        end = _address(m)
+        if end is None:
+            at = re.compile(r"[\w%+-]+").match(text, m.start()).end()
+            continue
+        out += [(*x.span(), "@" if x.lastgroup == "at" else ".") for x in _BARE.finditer(text, m.start(), end)]
+        at = end
+    return out
+
+
+def rewrite(text: str, runs: re.Pattern = _RUN) -> tuple[str, list[int], list[int]]:
     """The text without disguises, and for each of its characters where the
     source characters it stands for begin and end."""
-    chars, lows, highs = [], [], []
-    for i, c in enumerate(text):
-        for x in _plain_form(c) if _FORMS.match(c) else c:
-            chars.append(x)
-            lows.append(i)
-            highs.append(i + 1)
-    plain = "".join(chars)
-    out: list[str] = []
-    low_of: list[int] = []
-    high_of: list[int] = []
-
-    def copy(a: int, b: int) -> None:
-        out.append(plain[a:b])
-        low_of.extend(lows[a:b])
-        high_of.extend(highs[a:b])
-
-    def put(x: str, a: int, b: int) -> None:
-        out.append(x)
-        low_of.append(lows[a])
-        high_of.append(highs[b - 1])
-
-    def rewrite_part(rule: re.Pattern, a: int, b: int) -> None:
-        for m in rule.finditer(plain, a, b):
-            copy(a, m.start())
-            a = m.end()
-            kind = m.lastgroup
-            if kind == "digits":
-                for word in re.finditer(r"[A-Za-z]+", m.group()):
-                    name = word.group().lower()
-                    put("+" if name == "plus" else SPELLED[name], m.start() + word.start(), m.start() + word.end())
-            elif kind == "bare":
-                rewrite_part(_BARE, m.start(), m.end())
-            else:
-                put("@" if kind == "at" else ".", m.start(), m.end())
-        copy(a, b)
-
-    rewrite_part(_RULES, 0, len(plain))
-    return "".join(out), low_of, high_of
+    made = _Transducer(text)
+    made.replace(_numbers(made.text, runs))
+    made.replace([(*m.span(), "@" if m.lastgroup == "at" else ".") for m in _MARKS.finditer(made.text)])
+    made.replace(_addresses(made.text))
+    return made.text, made.lows, made.highs
 
 
 def disguised(text: str) -> bool:
@@ -170,20 +231,40 @@ def disguised(text: str) -> bool:
     low = text.lower()
     if "dot" in low and _BARE_DOT.search(low) or any(c in low for c in "[({<") and _BRACKET.search(low):
         return True
-    return sum(low.count(name) for name in SPELLED) >= LEAST_SPELLED and bool(_SPELLED_PAIR.search(low))
+    if "at" in low and _BARE_AT.search(low):
+        return True
+    return any(name in low for name in (*SPELLED, "plus")) and bool(_SPELLED_NEAR.search(low))
+
+
+def _only_a_word_more(text: str, low: int, high: int, plain: list[tuple[str, int, int]]) -> bool:
+    """Whether a span is one of the plain ones, which are in order, and one
+    spelled digit."""
+    for _, a, b in plain[bisect_left(plain, low, key=lambda x: x[1]):]:
+        if a >= high:
+            break
+        if b <= high and (text[low:a] + text[b:high]).strip(" ,().-\t\n\r").lower() in SPELLED:
+            return True
+    return False
 
 
 def find(text: str) -> list[tuple[str, int, int, bool]]:
     """All spans by start and kind; True for those that a disguise hid."""
     base = detect(text)
-    out = [(*x, False) for x in base]
+    hidden = set()
     if disguised(text):
-        plain, lows, highs = rewrite(text)
-        if plain != text:
-            for kind, a, b in detect(plain):
-                low, high = lows[a], highs[b - 1]
-                if not any(k == kind and x <= low and high <= y for k, x, y in base):
-                    out.append((kind, low, high, True))
+        seen = {text}
+        for runs in (_LONG_RUN, _RUN):
+            plain, lows, highs = rewrite(text, runs)
+            if plain not in seen:
+                seen.add(plain)
+                hidden |= {(kind, lows[a], highs[b - 1]) for kind, a, b in detect(plain)}
+    out, reach = [], dict.fromkeys(KINDS, 0)
+    phones = [x for x in base if x[0] == "phone"]
+    for kind, low, high, hid in sorted([*((*x, False) for x in base), *((*x, True) for x in hidden)], key=lambda x: (x[1], -x[2], x[3])):
+        if hid and (high <= reach[kind] or kind == "phone" and _only_a_word_more(text, low, high, phones)):
+            continue
+        reach[kind] = max(reach[kind], high)
+        out.append((kind, low, high, hid))
     return sorted(out, key=_place)
 
 

@@ -71,3 +71,21 @@ def test_query_columns(spark, tmp_path):
     base = ",".join(f"{k}:{a}:{b}" for k, a, b in brute(text))
     assert row["base_sha256"] == hashlib.sha256(base.encode()).hexdigest() and row["spans"] == base + f",email:{text.index('bob')}:{len(text)}"
     assert (row["n_email"], row["n_ip"], row["n_card"], row["n_phone"], row["n_disguised"]) == (1, 1, 0, 1, 1)
+
+
+def test_bare_words_in_addresses_and_partly_spelled_numbers():
+    for kind, text in [
+            ("email", "john dot doe at example dot com"), ("email", "jane at example dot ch"), ("email", "jane at example dot at"),
+            ("email", "jane at example dot museum"), ("email", "jane@example dot com"), ("email", "jane at example.com"), ("email", "jane dot roe@example.it"),
+            ("email", "jane dot roe (at) mail dot example [dot] be"), ("email", "jane at example dot one"), ("ip", "192 dot 168 dot 10 dot 1"),
+            ("ip", "one nine two dot one six eight dot one dot one"), ("ip", "10 [dot] 0 dot zero.1"), ("phone", "+1 555 five five five 0123"),
+            ("phone", "plus 1 (five five five) 010-9999"), ("card", "4111 1111 one one one one, 1111"),
+            ("card", "৪১১১ ১১১১ ১১১১ ১১১১"), ("ip", "๑๐.๐.๐.๑")]:
+        for around in ("{}", "write to {}, please", "so: {}\n\nNext."):
+            assert hidden(around.format(text)) == [(kind, text)], text
+    for text in ("look at the dot in the middle", "see us at example.com", "the site at www.example.com", "we met at noon.The next day", "error\n\tat java.lang.String",
+                 "version one dot two dot three", "one two three, four 5", "one at a time dot and so on", "256 dot 1 dot 1 dot 1", "at 300 dot 400", "a read at host.com/page"):
+        assert op.find(text) == [], text
+    assert hidden("call +1 555 010 9999 one more time, or 10.0.0.1 two times") == []
+    assert hidden("192 dot 168 dot 10 dot 1 two hosts") == [("ip", "192 dot 168 dot 10 dot 1")]
+    assert hidden("４１１１ １１１１ １１１１ １１１１ one day") == [("card", "４１１１ １１１１ １１１１ １１１１")]
