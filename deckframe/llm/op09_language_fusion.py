@@ -9,7 +9,13 @@ The posterior of each language sums up, as logarithms:
 * host: P(language | host), smoothed towards the host's domain, which is
   smoothed towards the whole table.
 
-The trigram model is counted over all labelled rows.  The other tables are
+The languages are ``LANGUAGES`` and every other label of ``LEAST_ROWS`` rows or
+more: with fewer the trigrams of a language are hardly known, and its
+distribution is too near that of ``und``.  Labels and declared languages count
+by their first part, in lower case ("en-US" and "en_GB" are "en"), and only if
+that is a code of two to eight letters that names one language.
+
+The trigram model is counted over all rows with such a label.  The other tables are
 counted over all rows by grouped aggregation, with the language that the text
 alone suggests; a row's own share counts only through the smoothing.  An extra
 class ``und`` stands for text in no known language: each trigram is equally
@@ -36,6 +42,8 @@ from .staging import staged
 
 LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
+NO_LANGUAGE = (UNKNOWN, "mis", "mul", "zxx")  # codes of no single language
+LEAST_ROWS = 20
 BUCKETS = 1 << 12
 TEXT_WEIGHT = 0.3
 UNKNOWN_PRIOR = 0.001
@@ -128,6 +136,11 @@ def _score(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...]) -> Da
     return rows.mapInArrow(score, f"{fields}, text_score array<double>, n_letters long")
 
 
+def _code(column):
+    """The first part of a language tag, in lower case."""
+    return F.regexp_extract(F.lower(F.trim(column)), "^[^-_]*", 0)
+
+
 def _best(scores: str, classes: tuple[str, ...]):
     return F.element_at(F.array(*map(F.lit, classes)), F.array_position(scores, F.array_max(scores)).cast("int"))
 
@@ -135,10 +148,11 @@ def _best(scores: str, classes: tuple[str, ...]):
 def _given_language(scored: DataFrame, column: str, classes: tuple[str, ...]) -> DataFrame:
     """(column, log P(column | language)): smoothed over the values seen."""
     pairs = scored.where(F.col(column).isNotNull()).groupBy(column, "by_text").agg(F.count(F.lit(1)).alias("n"))
-    wide = pairs.groupBy(column).pivot("by_text", list(classes)).agg(F.sum("n")).na.fill(0, list(classes))
-    total = wide.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in classes), F.count(F.lit(1)).alias("values")).first()
-    share = [F.log((F.col(c) + SMOOTHING) / (total[c] + SMOOTHING * total["values"])) for c in classes]
-    return wide.select(column, F.array(*share).alias(f"{column}_score"))
+    # named unlike any language
+    wide = pairs.withColumnRenamed(column, "__value").groupBy("__value").pivot("by_text", list(classes)).agg(F.sum("n")).na.fill(0, list(classes))
+    total = wide.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in classes), F.count(F.lit(1)).alias("__values")).first()
+    share = [F.log((F.col(c) + SMOOTHING) / (total[c] + SMOOTHING * total["__values"])) for c in classes]
+    return wide.select(F.col("__value").alias(column), F.array(*share).alias(f"{column}_score"))
 
 
 def _host_prior(scored: DataFrame, classes: tuple[str, ...]) -> DataFrame:
@@ -159,7 +173,7 @@ def identify(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...] = LA
     declared, suffix, host, others), without the text."""
     classes = (*languages, UNKNOWN)
     empty = lambda c: F.when(F.trim(c) != "", F.lower(F.trim(c)))
-    rows = (rows.withColumn("declared", F.substring_index(empty("declared"), "-", 1)).withColumn("suffix", empty("suffix"))
+    rows = (rows.withColumn("declared", _code(empty("declared"))).withColumn("suffix", empty("suffix"))
             .withColumn("host", empty("host"))
             .withColumn("domain", F.when(F.col("host").isNotNull(), F.substring_index("host", ".", -2))))
     scored = _score(rows, model, languages).withColumn(
@@ -205,21 +219,31 @@ def page_evidence(pages: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """``documents`` without rows in no known language, all columns unchanged."""
-    model = text_model(_labelled(docs))
+    languages = languages_of(docs)
+    model = text_model(_labelled(docs), languages)
     evidence = document_evidence(docs).withColumn("doc_key", F.unhex(F.md5(F.col("text").cast("binary"))))
     # stored first: its size is then known, and a short list spares the texts a shuffle
-    bad = staged(identify(evidence, model).where("NOT kept").select(
+    bad = staged(identify(evidence, model, languages).where("NOT kept").select(
         F.col("doc_id").alias("__id"), F.col("doc_key").alias("__key")).distinct(), "rejected")
     key = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
     return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left_anti")
 
 
 def _labelled(docs: DataFrame) -> DataFrame:
-    return docs.where("lang IS NOT NULL AND text IS NOT NULL").select(F.lower(F.trim("lang")).alias("label"), "text")
+    return docs.where("lang IS NOT NULL AND text IS NOT NULL").select(_code("lang").alias("label"), "text")
+
+
+def languages_of(docs: DataFrame) -> tuple[str, ...]:
+    """``LANGUAGES`` and the other labels with rows enough, in order."""
+    label = F.col("label")
+    counts = (docs.where("lang IS NOT NULL").groupBy(_code("lang").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+              .where(label.rlike("^[a-z]{2,8}$") & ~label.isin(*NO_LANGUAGE) & (F.col("n") >= LEAST_ROWS)))
+    return tuple(sorted({*LANGUAGES, *(r["label"] for r in counts.collect())}))
 
 
 def op9_language_fusion(spark, sf_dir: str) -> DataFrame:
     """Languages of all rows of ``documents`` and ``pages``."""
     docs, pages = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "pages"))
-    model = text_model(_labelled(docs))
-    return identify(document_evidence(docs).unionByName(page_evidence(pages)), model)
+    languages = languages_of(docs)
+    model = text_model(_labelled(docs), languages)
+    return identify(document_evidence(docs).unionByName(page_evidence(pages)), model, languages)

@@ -83,3 +83,18 @@ def test_pages(spark):
     rows = {r["page_id"]: r for r in op.page_evidence(pages).collect()}
     assert (rows[1]["declared"], rows[1]["suffix"], rows[1]["host"], rows[1]["text"].split()) == ("de-AT", "de", "shop.example.de", ["der", "die"])
     assert rows[2]["host"] == "" and rows[3]["suffix"] is None
+
+
+def test_languages_come_from_the_labels(spark):
+    greek = lambda k: german(40, k).translate({ord(c): 0x3B1 + i for i, c in enumerate("abcdefghijklmnopqrstuvwxyzü")})
+    rows = ([(k, prose(40, k), "en-US", "a", 0) for k in range(30)] + [(100 + k, greek(k), " EL_gr" if k % 2 else "el", "b", 0) for k in range(30)]
+            + [(200 + k, german(40, k), "de-AT", "declared", 0) for k in range(30)] + [(300, greek(99), None, None, 0), (301, "qxzjvw kqxzj " * 30, "xx", None, 0)]
+            + [(400 + k, german(40, k), "suffix" if k % 2 else "und", None, 0) for k in range(40)])
+    docs = spark.createDataFrame(rows, FIELDS)
+    assert op.languages_of(docs) == ("de", "el", "en", "es", "fr", "suffix")
+    assert {r["doc_id"] for r in op.keep_identified(docs).collect()} == {r[0] for r in rows} - {301}
+    languages = op.languages_of(docs)
+    found = op.identify(op.document_evidence(docs), op.text_model(op._labelled(docs), languages), languages).collect()
+    assert {r["language"] for r in found if 100 <= r["doc_id"] < 130 or r["doc_id"] == 300} == {"el"}
+    only = docs.where("doc_id < 30")
+    assert op.keep_identified(only).count() == 30
