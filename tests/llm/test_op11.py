@@ -1,0 +1,85 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from deckframe.llm import op11_bit_planes as op
+
+SCHEMA = "vec_id long, embedding array<double>, label int"
+
+
+def brute(rows, k, rounds, scale=1024):
+    kept = [(i, [int(np.floor(scale * x)) for x in v]) for i, v in rows
+            if v is not None and len(v) == 64 and all(x is not None and np.isfinite(x) for x in v)]
+    order = sorted(kept, key=lambda r: hashlib.sha256(f"3:{'' if r[0] is None else r[0]}".encode()).hexdigest())
+    centroids = [list(v) for _, v in order[:k]]
+
+    def near(v):
+        return min((sum((x - y) ** 2 for x, y in zip(v, c)), j) for j, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        own = [near(v)[1] for _, v in kept]
+        for j in range(len(centroids)):
+            members = [v for (_, v), c in zip(kept, own) if c == j]
+            if members:
+                centroids[j] = [sum(x) // len(members) for x in zip(*members)]
+    return [(i, near(v)[1], near(v)[0]) for i, v in kept], centroids
+
+
+def vectors(n, seed, spread=1.0):
+    r = random.Random(seed)
+    return [(i, [r.gauss(0, spread) for _ in range(64)]) for i in range(n)]
+
+
+def found(spark, rows, **kw):
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], SCHEMA).repartition(3).withColumn("planes", F.lit("extra"))
+    got, centroids = op.clusters(df.withColumn("cluster", F.lit("extra")), **kw)
+    return sorted((tuple(r) for r in got.collect()), key=str), centroids
+
+
+@pytest.mark.parametrize("spread", [0.1, 30.0])
+def test_against_brute_force(spark, spread):
+    rows = vectors(90, 5, spread)
+    want, centroids = brute(rows, 5, 4)
+    assert found(spark, rows, k=5, rounds=4) == (sorted(want, key=str), centroids)
+
+
+def test_wide_numbers(spark):
+    rows = [(i, [x * 1e9 for x in v]) for i, v in vectors(20, 9)]
+    want, centroids = brute(rows, 3, 2)
+    got, own = found(spark, rows, k=3, rounds=2)
+    assert own == centroids
+    assert got == sorted([(i, c, d if d < 2 ** 63 else None) for i, c, d in want], key=str)
+    assert any(d is None for *_, d in got)
+
+
+def test_odd_rows(spark):
+    base = vectors(3, 7)
+    rows = base + [(None, base[0][1]), (1, base[1][1]), (1, base[1][1]), (9, None), (10, base[2][1][:63]), (11, base[2][1] + [0.0]), (12, []),
+                   (13, [None] + base[0][1][1:]), (14, [float("nan")] + base[0][1][1:]), (15, [float("-inf")] + base[0][1][1:]),
+                   (16, [1e300] * 64), (17, [0.0] * 64), (18, [-0.0001] * 64)]
+    want, centroids = brute([r for r in rows if r[0] != 16], 8, 3)
+    got, own = found(spark, rows, rounds=3)
+    assert got == sorted(want, key=str) and sorted(map(tuple, own)) == sorted(map(tuple, centroids))
+    assert found(spark, base[:2], rounds=2)[0] == sorted(brute(base[:2], 8, 2)[0], key=str)  # fewer vectors than centroids
+    assert found(spark, []) == ([], [])
+
+
+def test_planes_give_exact_products():
+    r = np.random.default_rng(1)
+    for bits in (1, 5, 20, 40):
+        x, c = (r.integers(-2 ** bits, 2 ** bits, (50, 64)) for _ in range(2))
+        px, pc = op.planes_of(x), op.planes_of(c)
+        assert op.products(px, pc).tolist() == (x.astype(object) @ c.T.astype(object)).tolist()
+        assert op.squares(px).tolist() == [sum(int(v) ** 2 for v in row) for row in x]
+        assert [op.components(row.view(np.int64).tolist()) for row in px] == x.tolist()
+
+
+def test_query_digests(spark):
+    """cluster_inertia and inertia over the given table."""
+    rows = op.op11_bit_planes(spark, "/root/testdata/sf0.001").collect()
+    for r in rows[:20]:
+        assert r["cluster_inertia"] == sum(x["distance"] for x in rows if x["cluster"] == r["cluster"])
+        assert r["inertia"] == sum(x["distance"] for x in rows)

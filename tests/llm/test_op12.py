@@ -1,0 +1,76 @@
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from deckframe.llm import op12_metric_tree as op
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, every, k=5, scale=256):
+    ints = []
+    for n, (i, v) in enumerate(rows):
+        if v is not None and all(x is not None and np.isfinite(x) for x in v):
+            own = [int(np.floor(scale * float(np.float32(x)))) for x in v]
+            if sum(x * x for x in own) < 2 ** 62:
+                ints.append((n, i, own))
+    out = []
+    for n, i, q in ints:
+        if i is not None and i % every == 0:
+            scored = sorted((-sum(x * y for x, y in zip(q, v)), j is None, j or 0) for m, j, v in ints if m != n)
+            out += [(i, r + 1, None if none else j, -s) for r, (s, none, j) in enumerate(scored[:k])]
+    return sorted(out, key=str)
+
+
+def found(spark, rows, every, **kw):
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], SCHEMA).repartition(3)
+    for c in ("row", "cell", "score", "vector"):
+        df = df.withColumn(c, F.lit("extra"))
+    index = op.build_index(df, **kw)
+    return sorted((tuple(r) for r in op.search(index, index.rows.filter(F.col("vec_id") % every == 0)).collect()), key=str)
+
+
+def clustered(n, seed, dims=16):
+    r = np.random.default_rng(seed)
+    centres = r.normal(size=(6, dims))
+    return [(i, (centres[i % 6] + 0.2 * r.normal(size=dims)).astype(np.float32).tolist()) for i in range(n)]
+
+
+def test_against_brute_force(spark):
+    rows = clustered(300, 3)
+    assert found(spark, rows, 7, tree_rows=40, page=4) == brute(rows, 7)
+
+
+def test_copies_fill_many_trees(spark):
+    rows = clustered(60, 4) + [(1000 + i, [1.0] * 16) for i in range(120)]
+    assert found(spark, rows, 20, tree_rows=16, page=3) == brute(rows, 20)
+
+
+def test_odd_rows(spark):
+    r = random.Random(2)
+    rows = [(i, [r.gauss(0, 1) for _ in range(r.choice([3, 8]))]) for i in range(30)]
+    rows += [(None, rows[0][1]), (10, rows[10][1]), (10, rows[10][1]), (50, None), (100, []), (110, [None, 1.0]), (120, [float("nan")]),
+             (130, [float("inf")]), (140, [0.0] * 8), (150, [3e30] * 2), (160, [5e6, -5e6]), (-10, [1.0, -1.0]), (170, [4e6])]
+    assert found(spark, rows, 10) == brute(rows, 10)
+    assert found(spark, rows[:3], 1) == brute(rows[:3], 1)  # fewer candidates than ranks
+    assert found(spark, rows[:1], 1) == [] and found(spark, [], 1) == []
+
+
+def test_bounds_spare_computations():
+    v = np.floor(np.array([x for _, x in clustered(4000, 5)]) * 256).astype(np.int64)
+    tree = op.Tree.build(v, np.arange(len(v)), np.ones(len(v), bool), np.arange(len(v)), page=32)
+    tree = op.Tree(**op.unpacked(tree.pack()))
+    queries = tree.prepare(v[:50])
+    for own, q in enumerate(queries):
+        places, scores = tree.best(q, own, 5)
+        want = sorted((-int(s), i) for i, s in enumerate(v @ v[own]) if i != own)[:5]
+        assert sorted(zip((-scores).astype(int).tolist(), tree.ids[places].tolist())) == want
+    assert tree.computed < 0.5 * 50 * len(v)
+
+
+def test_recall_over_whole_table(spark):
+    """Exact search: recall against brute force is 1."""
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()]
+    got = sorted((tuple(r) for r in op.op12_metric_tree(spark, "/root/testdata/sf0.001").collect()), key=str)
+    assert got == brute(rows, 50)

@@ -1,0 +1,125 @@
+import hashlib
+import re
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from deckframe.llm import op13_align_tokenizers as op
+from deckframe.llm.tokens import _byte_letters
+
+from corpus_rows import CLASHING, FIELDS, odd_rows, prose
+from pyspark.sql import functions as F
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+MORE = ["a▁b", " lead  two\n\nnl \t tab  nb　x ", "<s> </s> <unk> <0x41> <|endoftext|>x", "it's we'll  'll   x\x00 y\x1c z", "🙂 🙂x 日本 語",
+        " ", "\n", "x  ", "cut here \xa0 and . , there", "é ́x  y z", "1 22 333 4444 a1 1a", "x" * 2500]
+
+
+def tokens(text):
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=B)
+    byte = {c: i for i, c in enumerate(_byte_letters())}
+
+    def of_b(i):
+        piece = b.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if re.fullmatch("<0x..>", piece) else piece.replace("▁", " ").encode()
+
+    ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+    return ([(i, bytes(byte[c] for c in a.id_to_token(i))) for i in ids_a], [(i, of_b(i)) for i in ids_b])
+
+
+def brute(rows):
+    heads, held, counts = [], [], Counter()
+    for d, text in rows:
+        a, b = tokens(text) if text else ([], [])
+        whole = (" " + (text or "")).encode()
+        if b"".join(x for _, x in a) != whole or b"".join(x for _, x in b) != whole:
+            heads.append((d, 0, 0, 0, 0, ""))
+            held.append([])
+            continue
+        ends = []
+        for side in (a, b):
+            at = [0]
+            for _, x in side:
+                at.append(at[-1] + len(x))
+            ends.append(at)
+        links, j = [], 0
+        for i in range(len(a)):
+            while ends[1][j + 1] <= ends[0][i]:
+                j += 1
+            links += [(a[i][0], b[k][0]) for k in range(j, len(b)) if ends[1][k] < ends[0][i + 1]] if len(b) < 400 else _from(a, b, ends, i, j)
+        groups, at = [], [0, 0]
+        for c in sorted(set(ends[0]) & set(ends[1]))[1:]:
+            own = []
+            for k, side in enumerate((a, b)):
+                first = at[k]
+                while at[k] < len(side) and ends[k][at[k] + 1] <= c:
+                    at[k] += 1
+                own.append(",".join(str(i) for i, _ in side[first:at[k]]))
+            groups.append("|".join(own))
+        heads.append((d, len(a), len(b), len(groups), len(links), hashlib.sha256(";".join(groups).encode()).hexdigest()))
+        held.append(links)
+        counts.update(set(links))
+    best = Counter()
+    for (a, _), n in counts.items():
+        best[a] = max(best[a], n)
+    return sorted(((*h[:5], sum(counts[x] == best[x[0]] for x in links), sum(counts[x] for x in links), h[5])
+                   for h, links in zip(heads, held)), key=str)
+
+
+def _from(a, b, ends, i, j):
+    out = []
+    while j < len(b) and ends[1][j] < ends[0][i + 1]:
+        out.append((a[i][0], b[j][0]))
+        j += 1
+    return out
+
+
+def found(df, **kw):
+    return sorted((tuple(r) for r in op.align(df, A, B, **kw).collect()), key=str)
+
+
+def test_against_brute_force(spark, empty):
+    rows = odd_rows() + [(100 + i, t, None, None, None) for i, t in enumerate(MORE)]
+    df = spark.createDataFrame(rows, FIELDS).repartition(3)
+    for c in (*CLASHING, "row", "pairs", "links", "docs", "n_a"):
+        df = df.withColumn(c, F.lit("extra"))
+    assert found(df) == brute([(r[0], r[1]) for r in rows])
+    assert found(empty) == []
+
+
+@pytest.mark.parametrize("limit", [50, 700])
+def test_stretches_of_long_texts(spark, limit):
+    """A text worked in stretches gives what it gives as a whole."""
+    rows = [(1, prose(900, 1) + "  \n x " + prose(300, 2)), (2, "y" * 900 + " é à la " * 40), (3, prose(40, 1)), (4, "a " * 30 + "▁")]
+    tokenizers = op.pair(A, B)
+    for _, text in rows:
+        parts = [t for _, own in op.stretches([text], tokenizers.cuts, limit) for t in own]
+        assert " ".join(parts) == text and (len(parts) > 1 or len(text) <= limit or text[0] == "a")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(docs, run_bytes=limit) == brute(rows)
+
+
+def test_other_rules_encode_whole_texts():
+    rows = [(1, prose(60, 4)), (2, "a  b c"), (3, None)]
+    tokenizers = op.Pair(A, B)
+    tokenizers.cuts = False
+    texts = [t or "" for _, t in rows]
+    own, pairs = op.aligned(texts, tokenizers)
+    want = brute(rows)
+    assert [(int(x), int(y)) for x, y in zip(own["n_a"], own["n_b"])][:2] == [(w[1], w[2]) for w in want][:2]
+    assert list(own["n_links"][:2]) == [w[4] for w in want][:2]
+    assert [hashlib.sha256(x.encode()).hexdigest() for x in own["shown"].to_pylist()][:2] == [w[7] for w in want][:2]
+
+
+def test_small_cache(monkeypatch):
+    monkeypatch.setattr(op, "CACHE", 5)
+    tokenizers = op.Pair(A, B)
+    for seed in range(4):
+        text = prose(30, seed)
+        own, _ = op.aligned([text], tokenizers)
+        assert own["n_a"][0] == len(tokens(text)[0])
