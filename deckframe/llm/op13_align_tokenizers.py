@@ -27,8 +27,8 @@ within each document.
 Null and empty texts, and those whose bytes aren't kept by a tokenizer (U+2581,
 for instance) have no tokens: zeros and ''.  Every row is a document, also where
 ids are null or repeated.  Ties for an id's highest count all count as best.  An
-empty table gives no rows; extra columns are ignored.  Memory follows the text of
-one Arrow batch and the different pairs of one document.
+empty table gives no rows; extra columns are ignored.  Memory follows half a MB of
+text, or the longest text and its different pairs.
 """
 
 from __future__ import annotations
@@ -46,12 +46,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .hashing import runs
 from .staging import staged
 from .tokens import _byte_letters
 
 CACHE = 200_000  # pieces
 LONGEST_KEPT = 64  # bytes of a piece in the cache
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 19
 SPACE = "▁"
 # fixed values: the rules of A under which tokens never go over a cut
 _RULES = {"normalizer": None, "post_processor": None,
@@ -269,46 +270,78 @@ _SCHEMA = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links lo
            "pairs array<long>, links array<long>, docs array<long>")
 
 
+def _documents(texts: list[str], tokenizers: Pair, run_bytes: int) -> tuple[dict, pa.Table]:
+    """Of each text the counts and the hash of its groups; and (doc, pair, links) in the order of the texts."""
+    n = len(texts)
+    totals, kept = {f: np.zeros(n, np.int64) for f in FIELDS}, np.ones(n, bool)
+    hashes, found = [None] * n, []
+    for at, some in stretches(texts, tokenizers.cuts, run_bytes):
+        own, pairs = aligned(some, tokenizers)
+        for f in FIELDS:
+            totals[f][at] += own[f]
+        kept[at] &= own["kept"]
+        for i, shown in zip(at, own["shown"].cast(pa.binary()).to_pylist()):
+            if hashes[i] is None:
+                hashes[i] = sha256(shown)
+            else:
+                hashes[i].update(b";" + shown)
+        found.append(pairs.set_column(0, "doc", pa.array(np.array(at)[pairs["doc"].to_numpy()])))
+    pairs = pa.concat_tables(found)
+    if len(found) > 1:  # stretches of one document may share pairs
+        pairs = pairs.group_by(["doc", "pair"], use_threads=False).aggregate([("links", "sum")]).rename_columns(["doc", "pair", "links"])
+    empty = ~kept | (totals["n_a"] == 0)
+    return ({f: np.where(empty, 0, x) for f, x in totals.items()} | {"groups_sha256": ["" if e else h.hexdigest() for e, h in zip(empty, hashes)]},
+            pairs.filter(pa.array(kept).take(pairs["doc"])).sort_by("doc"))
+
+
+class _Partial:
+    """Counts of documents by pair, given out whenever there are many pairs."""
+
+    MANY = 1 << 19
+
+    def __init__(self):
+        self.held, self.size = [], 0
+
+    def add(self, pairs: pa.Table) -> Iterator[pa.RecordBatch]:
+        self.held.append(pairs.group_by("pair", use_threads=False).aggregate([([], "count_all")]))
+        self.size += self.held[-1].num_rows
+        if self.size > 2 * self.MANY:
+            self.held = [pa.concat_tables(self.held).group_by("pair", use_threads=False).aggregate([("count_all", "sum")])
+                         .rename_columns(["pair", "count_all"])]
+            self.size = self.held[0].num_rows
+            if self.size > self.MANY:
+                yield from self.rows()
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            merged = pa.concat_tables(self.held).group_by("pair", use_threads=False).aggregate([("count_all", "sum")])
+            ends = pa.array([0, merged.num_rows], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, pa.int64())] * 6 + [pa.nulls(1, pa.string()), pa.ListArray.from_arrays(ends, merged["pair"].combine_chunks()),
+                 pa.nulls(1, pa.list_(pa.int64())), pa.ListArray.from_arrays(ends, merged["count_all_sum"].combine_chunks())], NAMES)
+        self.held, self.size = [], 0
+
+
 def _alignments(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str, run_bytes: int) -> DataFrame:
     """A row for each document with its different pairs and their links, and a row for
-    each batch (``row`` null) with the partial counts: in how many documents a pair is."""
+    each part of the work (``row`` null) with the partial counts: in how many documents a pair is."""
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizers, number = pair(path_a, path_b), TaskContext.get().partitionId() << 36
+        partial = _Partial()
         for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            totals, kept = {f: np.zeros(n, np.int64) for f in FIELDS}, np.ones(n, bool)
-            hashes, found = [None] * n, []
-            for at, texts in stretches(batch.column("text").to_pylist(), tokenizers.cuts, run_bytes):
-                own, pairs = aligned(texts, tokenizers)
-                for f in FIELDS:
-                    totals[f][at] += own[f]
-                kept[at] &= own["kept"]
-                for i, shown in zip(at, own["shown"].cast(pa.binary()).to_pylist()):
-                    if hashes[i] is None:
-                        hashes[i] = sha256(shown)
-                    else:
-                        hashes[i].update(b";" + shown)
-                found.append(pairs.set_column(0, "doc", pa.array(np.array(at)[pairs["doc"].to_numpy()])))
-            pairs = pa.concat_tables(found)
-            if len(found) > 1:  # stretches of one document may share pairs
-                pairs = pairs.group_by(["doc", "pair"], use_threads=False).aggregate([("links", "sum")]).rename_columns(["doc", "pair", "links"])
-            pairs = pairs.filter(pa.array(kept).take(pairs["doc"])).sort_by("doc")
-            partial = pairs.group_by("pair", use_threads=False).aggregate([([], "count_all")])
-            offsets = pa.array(np.searchsorted(pairs["doc"].to_numpy(), np.arange(n + 1)).astype(np.int32))
-            empty = ~kept | (totals["n_a"] == 0)
-            nothing = pa.nulls(1, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(number + np.arange(n)), batch.column("doc_id"), *(pa.array(np.where(empty, 0, totals[f])) for f in FIELDS),
-                 pa.array(["" if e else h.hexdigest() for e, h in zip(empty, hashes)]),
-                 pa.ListArray.from_arrays(offsets, pairs["pair"].combine_chunks()),
-                 pa.ListArray.from_arrays(offsets, pairs["links"].combine_chunks().cast(pa.int64())),
-                 pa.nulls(n, pa.list_(pa.int64()))], NAMES)
-            yield pa.RecordBatch.from_arrays(
-                [nothing] * 6 + [pa.nulls(1, pa.string()), pa.array([partial["pair"].to_pylist()], pa.list_(pa.int64())),
-                                 pa.nulls(1, pa.list_(pa.int64())), pa.array([partial["count_all"].to_pylist()], pa.list_(pa.int64()))], NAMES)
-            number += n
+            sizes = np.cumsum(pc.binary_length(batch.column("text")).to_numpy())
+            for first, last in runs(np.concatenate([[0], sizes]), run_bytes):
+                own, pairs = _documents(batch.column("text")[first:last].to_pylist(), tokenizers, run_bytes)
+                n = last - first
+                offsets = pa.array(np.searchsorted(pairs["doc"].to_numpy(), np.arange(n + 1)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(number + np.arange(n)), batch.column("doc_id")[first:last], *(pa.array(own[f]) for f in FIELDS),
+                     pa.array(own["groups_sha256"]), pa.ListArray.from_arrays(offsets, pairs["pair"].combine_chunks()),
+                     pa.ListArray.from_arrays(offsets, pairs["links"].combine_chunks()), pa.nulls(n, pa.list_(pa.int64()))], NAMES)
+                number += n
+                yield from partial.add(pairs)
+                pa.default_memory_pool().release_unused()
+        yield from partial.rows()
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return staged(texts.mapInArrow(align, _SCHEMA), "aligned")
@@ -331,7 +364,8 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     found = _alignments(docs, path_a, path_b, id_col, text_col, run_bytes)
     rows = found.filter(F.col("row").isNotNull())
     held = rows.select("row", F.explode(F.arrays_zip("pairs", "links")).alias("x")).select("row", "x.pairs", "x.links")
-    sums = (held.join(pair_counts(found), F.col("pairs") == F.col("pair")).groupBy("row")
+    # pairs may be as many as both vocabularies' products: never a broadcast
+    sums = (held.join(pair_counts(found).hint("merge"), F.col("pairs") == F.col("pair")).groupBy("row")
             .agg(F.sum(F.when(F.col("best"), F.col("links")).otherwise(0)).alias("n_best"),
                  F.sum(F.col("links") * F.col("n")).alias("count_sum")))
     return rows.join(sums, "row", "left").select(
