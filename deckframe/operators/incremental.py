@@ -51,16 +51,3 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys) -> DataFrame:
     batch_keys = batch.select(*keys).distinct()
     kept = target.join(batch_keys, on=keys, how="left_anti")
     return kept.unionByName(batch.select(*target.columns), allowMissingColumns=False)
-
-
-def backfill(spark, run_path: str, store, keys, version: str | None = None) -> int:
-    """Load one landed run folder into a versioned table in one upsert.
-
-    The whole run is one Spark job (no chunking by file); with ``version`` the
-    run is first reduced to the newest row per key.  Returns the new version.
-    """
-    from deckframe.operators.latest import dedupe_keep_last
-    batch = spark.read.parquet(run_path)
-    if version is not None:
-        batch = dedupe_keep_last(batch, keys, [version])
-    return store.commit(upsert(store.current(), batch, keys))

@@ -1,9 +1,9 @@
 """Loading a configured asset end to end (S15): mark, read, filter, cap, dedupe,
-run folder, table, history.
+run partition, table, history.
 
-Layout under ``root``: ``runs/<asset>/run=<end>`` (every load as it landed),
-``tables/<asset>`` (the current rows, versioned), ``history/<asset>`` (SCD2 of
-snapshot assets that keep history).
+An asset has three tables in a database: ``<asset>_runs`` (every load as it
+landed, partitioned by run), ``<asset>`` (the current rows) and
+``<asset>_history`` (SCD2 of snapshot assets that keep history).
 """
 
 from __future__ import annotations
@@ -12,45 +12,41 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deckframe.operators.incremental import high_water_mark, upsert
+from deckframe.operators.incremental import high_water_mark
 from deckframe.operators.latest import dedupe_keep_last
 from deckframe.sources.readers import read_asset
-from deckframe.sources.writers import AssetSpec, HistoryStore, TableStore
+from deckframe.sources.tables import apply_snapshot, land_partition, read_table, upsert_table, write_snapshot
+from deckframe.sources.writers import AssetSpec
 
 
-def asset_table(spark: SparkSession, spec: AssetSpec, root: str) -> TableStore:
-    return TableStore(spark, f"{root.rstrip('/')}/tables/{spec.name}")
-
-
-def asset_history(spark: SparkSession, spec: AssetSpec, root: str) -> HistoryStore:
-    return HistoryStore(spark, f"{root.rstrip('/')}/history/{spec.name}", spec.unique_key)
-
-
-def load_asset(spark: SparkSession, spec: AssetSpec, source: str, root: str, end_ts: int,
-               read=read_asset, full: bool = False) -> DataFrame:
-    """One load of ``spec`` from ``source``; returns the asset's current rows.
+def load_asset(spark: SparkSession, spec: AssetSpec, source: str, database: str, end_ts: int,
+               full: bool = False, buckets: int = 256) -> DataFrame:
+    """One load of ``spec`` from the documents at ``source``; returns the asset's
+    current rows.
 
     Incremental assets read what is newer than the newest ``tombstone`` of the
     table (``full``: everything) and upsert the newest row per key.  Snapshot
     assets read everything and replace the table; rows are compared with the
-    history where the asset keeps one.  A load that was interrupted after its
-    run folder was written takes the rows from there when it is repeated.
+    history where the asset keeps one.  A repeated load replaces its run and
+    changes nothing else.
     """
-    store = asset_table(spark, spec, root)
-    table = store.current()
+    return load_rows(spark, spec, lambda mark: read_asset(spark, source, spec, mark), database, end_ts, full, buckets)
+
+
+def load_rows(spark: SparkSession, spec: AssetSpec, read, database: str, end_ts: int,
+              full: bool = False, buckets: int = 256) -> DataFrame:
+    """:func:`load_asset` where ``read(mark)`` gives the rows."""
+    name = f"{database}.{spec.name}"
     incremental = spec.nature == "incremental"
+    table = read_table(spark, name)
     mark = high_water_mark(table, spec.tombstone) if incremental and spec.tombstone and not full else None
-    rows = read(spark, source, spec, mark)
-    rows = dedupe_keep_last(rows, spec.unique_key, [spec.tombstone] if spec.tombstone else [])
-    runs = TableStore(spark, f"{root.rstrip('/')}/runs/{spec.name}/run={int(end_ts)}")
-    if runs.current_version() is None:
-        runs.commit(rows)
-    batch = runs.current()
+    rows = dedupe_keep_last(read(mark), spec.unique_key, [spec.tombstone] if spec.tombstone else [])
+    batch = land_partition(rows, f"{name}_runs", end_ts)
     if incremental:
-        store.commit(upsert(table, batch, spec.unique_key))
+        upsert_table(batch, name, spec.unique_key, buckets)
     else:
-        store.commit(batch)
+        write_snapshot(batch, name)
         if spec.history:
             now = dt.datetime.fromtimestamp(int(end_ts), tz=dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-            asset_history(spark, spec, root).apply(batch, now)
-    return store.current()
+            apply_snapshot(batch, f"{name}_history", spec.unique_key, now)
+    return read_table(spark, name)

@@ -44,8 +44,9 @@ def explode_board(decks: DataFrame, board: str, since=None) -> DataFrame:
                           "format", board_quantity("entry.quantity").alias("quantity")))
 
 
-def board_cards(decks: DataFrame, boards: dict[str, str] | None = None, since=None) -> DataFrame:
+def board_cards(decks: DataFrame, boards: dict[str, str] | None = None, since=None, carry=()) -> DataFrame:
     """All boards of all decks in one scan, tagged with ``type`` (Q1 x3 + X1).
+    ``carry``: deck columns that stay beside the cards.
 
     Each deck row is expanded to its boards and each board to its cards in one
     projection -- no union of three separate scans.
@@ -54,12 +55,12 @@ def board_cards(decks: DataFrame, boards: dict[str, str] | None = None, since=No
     src = newer_than(decks, VERSION, since)
     tagged = F.array(*[F.struct(F.lit(t).alias("type"), parse_board(c)["cards"].alias("cards"))
                        for c, t in boards.items()])
-    per_board = src.select(F.col("id").alias("deck_id"), F.col(VERSION), F.col("format"),
+    per_board = src.select(F.col("id").alias("deck_id"), F.col(VERSION), F.col("format"), *carry,
                            F.explode(tagged).alias("b"))
-    return (per_board.select("deck_id", VERSION, "format", F.col("b.type").alias("type"),
+    return (per_board.select("deck_id", VERSION, "format", *carry, F.col("b.type").alias("type"),
                              F.explode("b.cards").alias("key", "entry"))
                      .select("deck_id", VERSION, F.col("entry.card.name").alias("card_name"),
-                             "format", board_quantity("entry.quantity").alias("quantity"), "type"))
+                             "format", board_quantity("entry.quantity").alias("quantity"), "type", *carry))
 
 
 def upsert_board(target: DataFrame | None, batch: DataFrame, by=()) -> DataFrame:

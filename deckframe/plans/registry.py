@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,16 +22,18 @@ from deckframe.constants import (BUILDABLE_UNLIMITED, FACE_SEPARATOR, LAND_TYPE_
                                  UNLIMITED_COPIES)
 from deckframe.functions.json import apply_transforms, jsonify_nested
 from deckframe.operators.groups import complete_groups
-from deckframe.operators.incremental import backfill, high_water_mark, newer_than, upsert
+from deckframe.operators.incremental import high_water_mark, newer_than, upsert
 from deckframe.operators.latest import dedupe_keep_last, latest_per_key
 from deckframe.operators.ownership import fully_covered
 from deckframe.operators.ranking import top_k
 from deckframe.operators.scd2 import scd2_apply
 from deckframe.plans import cards, combos, decks, star, web
 from deckframe.plans.assets import load_asset
+from deckframe.plans.formats import build_format
 from deckframe.session import scratch_path
-from deckframe.sources import (AssetSpec, BucketedStateStore, HistoryStore, TableStore, asset_filter, land_run, read_combos,
-                               read_decks, split_bad_records, write_chunks, write_landing)
+from deckframe.sources import (AssetSpec, apply_snapshot, database_at, land_run, materialize, read_combos, read_decks, read_table,
+                               split_bad_records, upsert_table, write_chunks, write_increment, write_landing, write_snapshot)
+from deckframe.sources.tables import backfill
 from deckframe.streaming import landing_stream, run_upsert_stream
 from deckframe.streaming.ingest import latest_state_batch
 
@@ -50,6 +53,7 @@ TOP_PARTS = 200
 LEADERBOARD = 25           # fewer than the card names of this binding, so the cut shows
 STATE_BUCKETS = 16
 ARRIVALS = 6               # landed files, one for each micro-batch
+ASSET_CAP = 60             # documents in one load of the asset
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -529,8 +533,9 @@ def q_complete_groups_at_most(spark, d):
     return complete_groups(_boards(spark, d), ["deck_id"], "quantity", DECK_SIZE, "<=")
 
 
-# Stream the landed events through micro-batch upserts into a versioned
-# state table; the final state holds the newest event per user.
+# Stream the landed events through a streaming aggregation into a keyed
+# table, stopped half-way and taken up from its checkpoint; the table holds the
+# newest event per user.
 @register("streaming_latest_state", """
 SELECT event_id, ts, user_id, event_type, value, props FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, event_type DESC,
@@ -539,14 +544,15 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
 def q_streaming_latest_state(spark, d):
     src = star.table(spark, d, "events")
     root = scratch_path(spark, "events-state")
-    # land the events as several files of mixed times: each batch holds rows
-    # older than the state
-    (src.repartition(ARRIVALS, F.pmod("event_id", F.lit(ARRIVALS))).write.parquet(f"{root}/landing"))
-    stream = landing_stream(spark, f"{root}/landing", src.schema, max_files_per_trigger=1)
-    store = BucketedStateStore(spark, f"{root}/state", ["user_id"], buckets=STATE_BUCKETS)
-    q = run_upsert_stream(stream, store, ["user_id"], "ts", f"{root}/stream-checkpoint")
-    q.awaitTermination()
-    return store.current().select(*src.columns)
+    table = f"{database_at(spark, f'{root}/tables')}.newest"
+    # the events land as several files of mixed times, so each batch holds rows
+    # older than the state; the second half lands after the stream has stopped
+    arrival = F.pmod("event_id", F.lit(ARRIVALS))
+    for half in (arrival < ARRIVALS // 2, arrival >= ARRIVALS // 2):
+        src.filter(half).repartition(ARRIVALS // 2, arrival).write.mode("append").parquet(f"{root}/landing")
+        stream = landing_stream(spark, f"{root}/landing", src.schema, max_files_per_trigger=1)
+        run_upsert_stream(stream, table, ["user_id"], "ts", f"{root}/stream-checkpoint", buckets=STATE_BUCKETS).awaitTermination()
+    return read_table(spark, table).select(*src.columns)
 
 
 # Q15: the average-deck model for every format in one plan (format = order priority)
@@ -664,9 +670,7 @@ def q_deck_flatten_explode(spark, d):
     path = scratch_path(spark, "deck-feed")
     star.deck_feed(spark, d).write.text(path)
     landed = read_decks(spark, path)
-    rows = decks.board_cards(landed).withColumn("hubs", F.lit('{"0":"h","1":{"n":1}}'))
-    bad = landed.filter(F.col("hubs") != '{"0":"h","1":{"n":1}}')     # none
-    return rows.join(bad.select(F.col("id").alias("deck_id")), "deck_id", "left_anti").select(
+    return decks.board_cards(landed, carry=["hubs"]).select(
         "deck_id", F.col("lastUpdatedAtUtc").cast("timestamp_ntz").alias("lastUpdatedAtUtc"), "card_name", "format",
         F.col("quantity").cast("bigint").alias("quantity"), "hubs", "type")
 
@@ -734,11 +738,11 @@ SELECT * FROM s_first t WHERE NOT EXISTS (
 UNION ALL SELECT * FROM s_second""")
 def q_backfilled_run(spark, d):
     root = scratch_path(spark, "backfill")
-    store = TableStore(spark, f"{root}/state")
-    store.commit(_event_state(spark, d, hi=STATE_CUT_LATE))
+    table = f"{database_at(spark, f'{root}/tables')}.state"
+    upsert_table(_event_state(spark, d, hi=STATE_CUT_LATE), table, ["user_id", "day"], STATE_BUCKETS)
     run = land_run(_event_state(spark, d, lo=STATE_CUT_EARLY), root, "events", 2)
-    backfill(spark, run, store, ["user_id", "day"])
-    return store.current()
+    backfill(spark, run, table, ["user_id", "day"])
+    return read_table(spark, table)
 
 
 # Rows that arrive late never replace newer state
@@ -771,12 +775,12 @@ SELECT user_id, day, event_type, value,
        CASE last WHEN 1 THEN TIMESTAMP '{SNAPSHOT_2}' WHEN 2 THEN TIMESTAMP '{SNAPSHOT_3}' END AS valid_to
 FROM versions""")
 def q_scd2_stored(spark, d):
-    store = HistoryStore(spark, scratch_path(spark, "history"), ["user_id", "day"])
+    table = f"{database_at(spark, scratch_path(spark, 'history'))}.state"
     spans = [{"hi": STATE_CUT_LATE}, {"lo": STATE_CUT_EARLY}, {"hi": STATE_CUT_LATE}]
     for now, span in zip(_SNAPSHOTS, spans):
         snap = _event_state(spark, d, **span).select(F.expr("nullif(user_id, 7)").alias("user_id"), "day", "event_type", "value")
-        store.apply(snap, now)
-    return store.history().select("user_id", "day", "event_type", "value", *(
+        apply_snapshot(snap, table, ["user_id", "day"], now)
+    return read_table(spark, table).select("user_id", "day", "event_type", "value", *(
         F.col(c).cast("timestamp_ntz").alias(c) for c in ("valid_from", "valid_to")))
 
 
@@ -793,19 +797,110 @@ def q_boards_upserted(spark, d):
     return decks.upsert_board(b.filter(early), b.filter(~early))
 
 
-# Two loads of an incremental asset, the second from its mark on
-@register("asset_loaded", """
-SELECT o_orderkey AS id, o_orderdate AS lastUpdatedAtUtc, o_orderstatus AS name FROM orders WHERE o_orderpriority <> '5-LOW'""")
+# The second snapshot replaces the first; a third dies while it is written
+@register("snapshot_replaced", "SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderstatus = 'O'")
+def q_snapshot_replaced(spark, d):
+    o = star.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
+    table = f"{database_at(spark, scratch_path(spark, 'snapshots'))}.orders"
+    for status in ("F", "O"):
+        write_snapshot(o.filter(F.col("status") == status), table)
+    _dies(lambda: write_snapshot(_broken(o, "id"), table))
+    return read_table(spark, table)
+
+
+def _broken(df, column):
+    """The rows of ``df`` until one of them ends the job."""
+    return df.withColumn(column, F.when(F.pmod(column, F.lit(7)) == 3, F.raise_error(F.lit("lost")).cast(df.schema[column].dataType))
+                         .otherwise(F.col(column)))
+
+
+def _dies(write):
+    try:
+        write()
+    except PySparkException as e:
+        if "lost" not in str(e):
+            raise
+    else:
+        raise AssertionError("the write went through")
+
+
+# Increments that accumulate, and beside them the latest increment alone
+@register("increments_landed", f"""
+SELECT o_orderkey AS id, 'all' AS kept FROM orders
+UNION ALL SELECT o_orderkey, 'latest' FROM orders WHERE o_orderdate >= TIMESTAMP '{ORDERS_LOADED_BEFORE}'""")
+def q_increments_landed(spark, d):
+    o = star.table(spark, d, "orders")
+    early = F.col("o_orderdate") < F.lit(ORDERS_LOADED_BEFORE).cast("timestamp")
+    db = database_at(spark, scratch_path(spark, "increments"))
+    for part in (early, ~early):
+        rows = o.filter(part).select(F.col("o_orderkey").alias("id"))
+        write_increment(rows, f"{db}.every", keep_history=False)
+        write_increment(rows, f"{db}.latest", keep_history=True)
+    return read_table(spark, f"{db}.every").withColumn("kept", F.lit("all")).unionByName(
+        read_table(spark, f"{db}.latest").withColumn("kept", F.lit("latest")))
+
+
+# An incremental model whose second load dies half-way and is repeated
+@register("incremental_repeated", _with("state") + """
+SELECT * FROM s_first t WHERE NOT EXISTS (
+  SELECT 1 FROM s_second b WHERE b.user_id = t.user_id AND b.day = t.day)
+UNION ALL SELECT * FROM s_second""")
+def q_incremental_repeated(spark, d):
+    table = f"{database_at(spark, scratch_path(spark, 'incremental'))}.state"
+    keys, second = ["user_id", "day"], _event_state(spark, d, lo=STATE_CUT_EARLY)
+    materialize(_event_state(spark, d, hi=STATE_CUT_LATE), table, "incremental", keys=keys, buckets=STATE_BUCKETS)
+    _dies(lambda: materialize(_broken(second, "event_id"), table, "incremental", keys=keys))
+    materialize(second, table, "incremental", keys=keys)
+    return materialize(second, table, "incremental", keys=keys)     # once more changes nothing
+
+
+# An asset read from its documents with hub, format and
+# commander filters, cap and transforms; two capped loads, the second from the mark
+@register("asset_loaded", f"""
+WITH docs AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderdate AS lastUpdatedAtUtc, o_orderpriority AS name, o_totalprice, o_orderstatus, o_custkey, 0 AS later
+  FROM orders
+  UNION ALL SELECT CAST(o_orderkey AS VARCHAR), o_orderdate + INTERVAL {star.LATER_DAYS} DAY, o_orderpriority, o_totalprice, o_orderstatus, o_custkey,
+                   {star.LATER_DAYS} FROM orders WHERE o_orderkey % 3 = 0),
+kept AS (
+  SELECT id, lastUpdatedAtUtc, name, CAST(floor(o_totalprice) AS BIGINT) AS publicId, CAST(later AS BIGINT) AS description FROM docs
+  WHERE o_orderstatus = 'F' AND name IN ('1-URGENT', '2-HIGH') AND o_custkey % 10 = 3),
+one AS (SELECT k.* FROM kept k WHERE (SELECT count(*) FROM kept o WHERE o.lastUpdatedAtUtc < k.lastUpdatedAtUtc) < {ASSET_CAP}),
+rest AS (SELECT * FROM kept WHERE lastUpdatedAtUtc > (SELECT max(lastUpdatedAtUtc) FROM one)),
+two AS (SELECT k.* FROM rest k WHERE (SELECT count(*) FROM rest o WHERE o.lastUpdatedAtUtc < k.lastUpdatedAtUtc) < {ASSET_CAP}),
+loaded AS (SELECT * FROM one UNION ALL SELECT * FROM two)
+SELECT * FROM loaded l WHERE NOT EXISTS (SELECT 1 FROM loaded n WHERE n.id = l.id AND n.lastUpdatedAtUtc > l.lastUpdatedAtUtc)""")
 def q_asset_loaded(spark, d):
-    spec = AssetSpec(name="orders", nature="incremental", tombstone="lastUpdatedAtUtc", filters={"format": "kept"})
-    rows = star.table(spark, d, "orders").select(
-        F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("lastUpdatedAtUtc"), F.col("o_orderstatus").alias("name"),
-        F.when(F.col("o_orderpriority") != "5-LOW", "kept").otherwise("left").alias("format"))
-    early = F.col("lastUpdatedAtUtc") < F.lit(ORDERS_LOADED_BEFORE).cast("timestamp")
+    spec = AssetSpec.from_dict({
+        "asset": {"name": "hub_decks"}, "nature": {"name": "incremental", "tombstone": "lastUpdatedAtUtc", "unique_key": "id"},
+        "filters": {"hubName": "Competitive", "fmt": "commander", "commanderCardId": "c3"},
+        "parameters": {"max_rows": ASSET_CAP}, "transform": {"publicId": "int", "description": "int"}})
     root = scratch_path(spark, "asset")
-    for run, source in ((1, rows.filter(early)), (2, rows)):
-        out = load_asset(spark, spec, source, root, run, read=lambda _, src, spec, mark: newer_than(asset_filter(src, spec.filters), spec.tombstone, mark))
-    return out.drop("format")
+    star.asset_feed(spark, d).write.text(f"{root}/feed")
+    for run in (1, 2):
+        out = load_asset(spark, spec, f"{root}/feed", database_at(spark, f"{root}/tables"), run, buckets=STATE_BUCKETS)
+    return out.select("id", F.col("lastUpdatedAtUtc").cast("timestamp_ntz").alias("lastUpdatedAtUtc"), "name", "publicId", "description")
+
+
+# Q15: every model built twice, the second time from newer decks only
+@register("models_built_incrementally", _with("parts", "boards") + f"""
+SELECT CAST(deck_id AS VARCHAR) AS deck_id, lastUpdatedAtUtc, card_name, format, quantity, type FROM boards
+WHERE lastUpdatedAtUtc >= TIMESTAMP '{ORDERS_LOADED_BEFORE}'
+UNION ALL
+SELECT CAST(deck_id AS VARCHAR), lastUpdatedAtUtc, card_name, format, quantity, type FROM boards o
+WHERE lastUpdatedAtUtc < TIMESTAMP '{ORDERS_LOADED_BEFORE}' AND NOT EXISTS (
+  SELECT 1 FROM boards n WHERE n.lastUpdatedAtUtc >= TIMESTAMP '{ORDERS_LOADED_BEFORE}'
+  AND n.deck_id = o.deck_id AND n.card_name = o.card_name AND n.type = o.type)""")
+def q_models_built_incrementally(spark, d):
+    root = scratch_path(spark, "models")
+    star.deck_feed(spark, d).write.text(f"{root}/feed")
+    landed = read_decks(spark, f"{root}/feed")
+    early = F.col("lastUpdatedAtUtc") < F.lit(ORDERS_LOADED_BEFORE).cast("timestamp")
+    for decks_so_far in (landed.filter(early), landed):
+        models = build_format(spark, decks_so_far, star.collection_export(spark, d), star.printings(spark, d), star.printings(spark, d),
+                              f"{root}/tables", size=DECK_SIZE, budget=AVERAGE_BUDGET, incremental=True)
+    return models["board_cards"].select("deck_id", F.col("lastUpdatedAtUtc").cast("timestamp_ntz").alias("lastUpdatedAtUtc"), "card_name",
+                                        "format", F.col("quantity").cast("bigint").alias("quantity"), "type")
 
 
 # --------------------------------------------------------------------------

@@ -93,6 +93,9 @@ def deck_boards_by_priority(spark: SparkSession, d: str) -> DataFrame:
              .drop("o_orderkey", "o_orderpriority"))
 
 
+LATER_DAYS = 400   # between the two documents of an order in the asset feed
+
+
 def commanders(boards: DataFrame) -> DataFrame:
     return boards.filter(F.col("type") == "Commander")
 
@@ -168,6 +171,23 @@ def deck_feed(spark: SparkSession, d: str) -> DataFrame:
     return docs.select(line.alias("value"))
 
 
+def asset_feed(spark: SparkSession, d: str) -> DataFrame:
+    """Deck documents as JSON text lines with hubs and commander cards: one per
+    order, and a later one for every third order."""
+    o = table(spark, d, "orders")
+    again = F.when(F.pmod("o_orderkey", F.lit(3)) == 0, F.array(F.lit(0), F.lit(LATER_DAYS))).otherwise(F.array(F.lit(0)))
+    o = o.withColumn("later", F.explode(again))
+    hub = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "Competitive").otherwise("Budget")
+    card = F.struct(F.lit(1).alias("quantity"), F.struct(
+        F.concat(F.lit("c"), F.pmod("o_custkey", F.lit(10)).cast("string")).alias("id"), F.col("o_orderpriority").alias("name")).alias("card"))
+    return o.select(F.to_json(F.struct(
+        F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("name"),
+        F.when(F.col("o_orderstatus") == "F", "commander").otherwise("modern").alias("format"), F.array(hub, F.lit("All")).alias("hubNames"),
+        F.floor("o_totalprice").cast("string").alias("publicId"), F.col("later").cast("string").alias("description"),
+        F.date_format(F.expr("o_orderdate + make_dt_interval(later, 0, 0, 0)"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("lastUpdatedAtUtc"),
+        F.struct(F.struct(F.create_map(F.lit("k"), card).alias("cards")).alias("commanders")).alias("boards"))).alias("value"))
+
+
 def deck_documents(spark: SparkSession, d: str) -> DataFrame:
     """Landed deck documents: one per (order, ship date) with three JSON boards.
 

@@ -3,11 +3,11 @@
 from deckframe.sources.readers import (asset_filter, flatten_decks, read_asset, read_cards, read_collection,
                                        oldest_first, read_combos, read_decks,
                                        read_json_with_rejects, split_bad_records)
-from deckframe.sources.writers import (AssetSpec, BucketedStateStore, HistoryStore, TableStore, land_run, materialize,
-                                       read_snapshot, write_chunks, write_csv, write_increment, write_jdbc,
-                                       write_landing, write_snapshot)
+from deckframe.sources.tables import (apply_snapshot, database_at, materialize, read_table, upsert_table,
+                                      write_increment, write_snapshot)
+from deckframe.sources.writers import AssetSpec, land_run, write_chunks, write_csv, write_jdbc, write_landing
 
 __all__ = ["asset_filter", "read_asset", "flatten_decks", "read_cards", "read_collection", "read_combos", "read_decks",
-           "read_json_with_rejects", "split_bad_records", "AssetSpec", "BucketedStateStore", "TableStore", "land_run", "materialize",
+           "read_json_with_rejects", "split_bad_records", "AssetSpec", "land_run", "materialize",
            "write_chunks", "write_csv", "write_increment", "write_jdbc", "write_landing",
-           "write_snapshot", "read_snapshot", "HistoryStore", "oldest_first"]
+           "write_snapshot", "read_table", "upsert_table", "apply_snapshot", "database_at", "oldest_first"]

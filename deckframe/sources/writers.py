@@ -1,17 +1,15 @@
-"""Writers: typed landing, run folders, snapshots, versioned tables."""
+"""Writers: typed landing, run folders, CSV, database; tables are in :mod:`deckframe.sources.tables`."""
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deckframe.operators.incremental import upsert
-from deckframe.operators.scd2 import scd2_versions
+NULL_VALUE = "NULL in non-nullable column"
 
 
 @dataclass
@@ -48,15 +46,19 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def write_landing(df: DataFrame, schema: T.StructType, path: str, mode: str = "errorifexists") -> None:
     """Typed Parquet landing (S6): conform to the schema and refuse NULLs in
-    non-nullable fields (checked with one aggregate, no rows on the driver)."""
+    non-nullable fields.  The check is part of the write: the first NULL ends the
+    job and nothing is committed, so the input is computed once."""
     out = conform(df, schema)
-    required = [f.name for f in schema.fields if not f.nullable]
-    if required:
-        nulls = out.agg(*[F.sum(F.col(c).isNull().cast("int")).alias(c) for c in required]).first()
-        bad = {c: nulls[c] for c in required if nulls[c]}
-        if bad:
-            raise ValueError(f"NULL values in non-nullable columns: {bad}")
-    out.write.mode(mode).parquet(path)
+    for f in schema.fields:
+        if not f.nullable:
+            refuse = F.raise_error(F.lit(f"{NULL_VALUE} {f.name}")).cast(f.dataType)
+            out = out.withColumn(f.name, F.when(F.col(f.name).isNull(), refuse).otherwise(F.col(f.name)))
+    try:
+        out.write.mode(mode).parquet(path)
+    except PySparkException as e:
+        if NULL_VALUE in str(e):
+            raise ValueError(f"{NULL_VALUE} {str(e).split(NULL_VALUE, 1)[1].split()[0]}") from e
+        raise
 
 
 def write_chunks(df: DataFrame, path: str, rows: int = 500, mode: str = "errorifexists") -> None:
@@ -73,27 +75,6 @@ def land_run(df: DataFrame, root: str, asset: str, end_ts: int) -> str:
     return path
 
 
-def write_snapshot(df: DataFrame, path: str) -> None:
-    """Snapshot table sink: replace the whole content (S9).  Readers see the old
-    or the new version, never a half-written one."""
-    TableStore(df.sparkSession, path).commit(df)
-
-
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest content of :func:`write_snapshot`, None before the first."""
-    return TableStore(spark, path).current()
-
-
-def write_increment(df: DataFrame, path: str, keep_history: bool = True) -> None:
-    """Incremental sink (S10): with history kept downstream the landing table
-    holds only the latest increment (as a new version, see
-    :func:`read_snapshot`); otherwise increments accumulate."""
-    if keep_history:
-        write_snapshot(df, path)
-    else:
-        df.write.mode("append").parquet(path)
-
-
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
                mode: str = "append") -> None:
     """Relational database sink (S12).  Connection details come from the caller
@@ -104,176 +85,3 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with header."""
     df.write.mode(mode).option("header", True).csv(path)
-
-
-def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None, keys=None):
-    """View, table or incremental materialisation (S14).  Tables are versioned
-    (:class:`TableStore`); an incremental one is upserted on ``keys``."""
-    if kind == "view":
-        df.createOrReplaceTempView(name)
-        return df
-    if kind == "table":
-        if path is None:
-            raise ValueError("a table needs a path")
-        write_snapshot(df, path)
-        return read_snapshot(df.sparkSession, path)
-    if kind == "incremental":
-        if path is None or keys is None:
-            raise ValueError("an incremental table needs a path and keys")
-        store = TableStore(df.sparkSession, path)
-        store.commit_batch(df, lambda state, batch: upsert(state, batch, keys))
-        return store.current()
-    raise ValueError(f"unknown materialisation {kind!r}")
-
-
-def _manifest(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    """The manifest at ``path``; None only where nothing was committed yet.
-    Any other failure is raised: taking it for an empty store would let the
-    next commit replace the whole state."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-class TableStore:
-    """A table kept as immutable versions.
-
-    Each write goes to a folder of its own, ``<root>/version=<n>-<attempt>``;
-    appending its name to the small ``<root>/_manifest`` table is the commit
-    point.  A job never overwrites the files it is reading, a failed write or a
-    lost append leaves the previous version current and can simply be repeated,
-    and each write cuts the lineage of iterative updates (upsert / SCD2).
-    ``root`` should live in the shared folder of the cluster (see
-    :func:`deckframe.session.checkpoint_root`).
-    """
-
-    MANIFEST = "version int, folder string"
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def _newest(self) -> tuple[int, str] | None:
-        m = _manifest(self.spark, f"{self.root}/_manifest", self.MANIFEST)
-        row = None if m is None else m.agg(F.max(F.struct("version", "folder")).alias("m")).first()["m"]
-        return None if row is None else (row["version"], row["folder"])
-
-    def current_version(self) -> int | None:
-        newest = self._newest()
-        return None if newest is None else newest[0]
-
-    def current(self, schema: T.StructType | None = None) -> DataFrame | None:
-        """The newest version; ``schema`` where it may have no rows and so no files."""
-        newest = self._newest()
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return None if newest is None else reader.parquet(f"{self.root}/{newest[1]}")
-
-    def commit(self, df: DataFrame, partition_by=()) -> int:
-        newest = self._newest()
-        v = 1 if newest is None else newest[0] + 1
-        folder = f"version={v}-{uuid.uuid4().hex}"
-        self._write(df, folder, list(partition_by))
-        self._publish([(v, folder)])
-        return v
-
-    def _write(self, df: DataFrame, folder: str, partition_by: list[str]) -> None:
-        if partition_by:  # whole files for each partition value, large ones split
-            df = df.hint("rebalance", *partition_by)
-        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{self.root}/{folder}")
-
-    def _publish(self, rows: list[tuple]) -> None:
-        self.spark.createDataFrame(rows, self.MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.root}/_manifest")
-
-    def commit_batch(self, batch: DataFrame, update) -> int:
-        """Write ``update(current_state, batch)`` as the next version."""
-        return self.commit(update(self.current(), batch))
-
-
-class HistoryStore(TableStore):
-    """SCD2 history of snapshots.  A version holds the open rows after a snapshot
-    and the rows it closed (``__closed``), both from one join; the history is
-    the open rows of the newest version and the closed rows of all."""
-
-    def __init__(self, spark: SparkSession, root: str, keys):
-        super().__init__(spark, root)
-        self.keys = [keys] if isinstance(keys, str) else list(keys)
-
-    def apply(self, snapshot: DataFrame, now, invalidate_deletes: bool = True) -> int:
-        return self.commit(scd2_versions(self.open_rows(), snapshot, self.keys, now, invalidate_deletes=invalidate_deletes))
-
-    def open_rows(self) -> DataFrame | None:
-        rows = self.current()
-        return None if rows is None else rows.filter("NOT __closed").drop("__closed")
-
-    def history(self) -> DataFrame | None:
-        m = _manifest(self.spark, f"{self.root}/_manifest", self.MANIFEST)
-        if m is None:
-            return None
-        folders = [r["folder"] for r in m.orderBy("version").collect()]  # one for each snapshot
-        closed = self.spark.read.parquet(*[f"{self.root}/{f}" for f in folders]).filter("__closed").drop("__closed")
-        return self.open_rows().unionByName(closed)
-
-
-class BucketedStateStore:
-    """Keyed state split into hash buckets; a batch rewrites only its buckets.
-
-    Layout: ``<root>/<attempt>/store_bucket=<b>/`` data and ``<root>/_manifest``
-    (bucket, version, attempt) rows appended after the data is written -- the
-    manifest append is the commit point, so a failed write or a lost append
-    leaves the previous state and the batch can be repeated.  The current state
-    of a bucket is its newest manifest version.  Reading the manifest costs one
-    small aggregate (one row per bucket reaches the driver).  A batch touching
-    few buckets rewrites a few percent of the state instead of all of it.
-    """
-
-    MANIFEST = "bucket int, version int, attempt string"
-
-    def __init__(self, spark: SparkSession, root: str, keys, buckets: int = 256):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.keys = [keys] if isinstance(keys, str) else list(keys)
-        self.buckets = int(buckets)
-
-    def bucket_of(self, df: DataFrame):
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
-
-    def _versions(self) -> dict[int, tuple[int, str]]:
-        m = _manifest(self.spark, f"{self.root}/_manifest", self.MANIFEST)
-        if m is None:
-            return {}
-        rows = m.groupBy("bucket").agg(F.max(F.struct("version", "attempt")).alias("v")).collect()
-        return {r["bucket"]: (r["v"]["version"], r["v"]["attempt"]) for r in rows}
-
-    def _read(self, versions: dict[int, tuple[int, str]]) -> DataFrame | None:
-        if not versions:
-            return None
-        paths = [f"{self.root}/{attempt}/store_bucket={b}" for b, (_, attempt) in sorted(versions.items())]
-        return self.spark.read.parquet(*paths)
-
-    def current(self) -> DataFrame | None:
-        return self._read(self._versions())
-
-    def commit_batch(self, batch: DataFrame, update) -> int:
-        """Apply ``update(state_of_touched_buckets, batch)`` and write the
-        touched buckets as a new version.  The batch is held for the call, so
-        its source is read once."""
-        versions = self._versions()
-        v = max((n for n, _ in versions.values()), default=0) + 1
-        batch = batch.persist()
-        try:
-            touched = [r[0] for r in batch.select(self.bucket_of(batch)).distinct().collect()]
-            if not touched:
-                return v - 1
-            new_state = update(self._read({b: versions[b] for b in touched if b in versions}), batch)
-            attempt = f"store_version={v}-{uuid.uuid4().hex}"
-            (new_state.withColumn("store_bucket", self.bucket_of(new_state)).hint("rebalance", "store_bucket")
-                      .write.mode("errorifexists").partitionBy("store_bucket").parquet(f"{self.root}/{attempt}"))
-        finally:
-            batch.unpersist()
-        # every touched bucket got rows: an update never empties one
-        self.spark.createDataFrame([(b, v, attempt) for b in touched], self.MANIFEST) \
-            .coalesce(1).write.mode("append").parquet(f"{self.root}/_manifest")
-        return v

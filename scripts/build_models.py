@@ -5,12 +5,12 @@
         [--state <deck history root>] [--formats cedh pauperedh] [--buckets 64]
 
 1. read deck documents newer than the deck history's high-water mark,
-2. keyed upsert (newest document per deck) into the versioned deck history,
+2. keyed upsert (newest document per deck) into the deck table,
 3. build boards, decklists, details, average decks, ownership, progress,
    prices, images and leaderboards for every format in one job.
 
-Paths may be on any file system Spark can reach; the state root should be in
-the cluster's shared folder.
+Paths may be on any file system Spark can reach.  The tables are in the session's
+catalog: give Spark a metastore, so that the next run finds them.
 """
 
 from __future__ import annotations
@@ -21,23 +21,25 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from deckframe.operators.incremental import high_water_mark, upsert  # noqa: E402
+from deckframe.operators.incremental import high_water_mark  # noqa: E402
 from deckframe.operators.latest import dedupe_keep_last  # noqa: E402
 from deckframe.plans.formats import build_format  # noqa: E402
 from deckframe.session import get_spark  # noqa: E402
 from deckframe.sources.readers import read_cards, read_collection, read_combos, read_decks  # noqa: E402
-from deckframe.sources.writers import TableStore  # noqa: E402
+from deckframe.sources.tables import database_at, read_table, upsert_table  # noqa: E402
+
+
+DECK_BUCKETS = 64
 
 
 def land_decks(spark, decks_path: str, state_root: str, max_rows: int = 0):
     """Steps 1-2: returns the current deck history after the upsert."""
-    store = TableStore(spark, state_root)
-    history = store.current()
+    table = f"{database_at(spark, state_root)}.decks"
+    history = read_table(spark, table)
     mark = high_water_mark(history, "lastUpdatedAtUtc")
     fresh = read_decks(spark, decks_path, since=mark, max_rows=max_rows)
-    fresh = dedupe_keep_last(fresh, "id", ["lastUpdatedAtUtc"])
-    store.commit(upsert(history, fresh, ["id"]) if history is not None else fresh)
-    return store.current()
+    upsert_table(dedupe_keep_last(fresh, "id", ["lastUpdatedAtUtc"]), table, ["id"], DECK_BUCKETS)
+    return read_table(spark, table)
 
 
 def main(argv=None):

@@ -95,18 +95,18 @@ def test_high_water_mark_and_newer_than(spark):
 
 def test_high_water_mark_with_runs_and_backfill(spark, scratch):
     import os
-    from deckframe.operators.incremental import backfill
-    from deckframe.sources import TableStore, land_run
+    from deckframe.sources import database_at, land_run, read_table, upsert_table
+    from deckframe.sources.tables import backfill
     target = spark.createDataFrame([(1, dt.datetime(2024, 1, 1))], "id int, ts timestamp")
     run = spark.createDataFrame([(1, dt.datetime(2024, 1, 5)), (1, dt.datetime(2024, 1, 6)),
                                  (2, dt.datetime(2024, 1, 5))], "id int, ts timestamp")
     path = land_run(run, scratch, "asset", 1704412800)   # 2024-01-05 00:00 UTC
     runs = spark.read.parquet(os.path.join(scratch, "asset"))
     assert high_water_mark(target, "ts", runs=runs) == dt.datetime(2024, 1, 5)
-    store = TableStore(spark, os.path.join(scratch, "store"))
-    store.commit(target)
-    backfill(spark, path, store, ["id"], "ts")
-    assert _rows(store.current(), ["id", "ts"]) == [(1, dt.datetime(2024, 1, 6)), (2, dt.datetime(2024, 1, 5))]
+    table = f"{database_at(spark, os.path.join(scratch, 'tables'))}.t"
+    upsert_table(target, table, ["id"], 4)
+    backfill(spark, path, table, ["id"], "ts")
+    assert _rows(read_table(spark, table), ["id", "ts"]) == [(1, dt.datetime(2024, 1, 6)), (2, dt.datetime(2024, 1, 5))]
 
 
 def test_apply_transforms_and_jsonify(spark):

@@ -5,34 +5,30 @@ import os
 from pyspark.sql import functions as F
 
 from deckframe.session import checkpoint_root, cluster_conf, scratch_path
-from deckframe.sources import materialize, read_snapshot, write_csv, write_increment, write_snapshot
+from deckframe.sources import database_at, materialize, read_table, write_csv, write_increment, write_snapshot
 
 
 def test_snapshot_increment_csv_and_views(spark, scratch):
     a = spark.createDataFrame([(1, "a")], "id int, v string")
     b = spark.createDataFrame([(2, "b")], "id int, v string")
-    snap = os.path.join(scratch, "snap")
-    write_snapshot(a, snap)
-    write_snapshot(b, snap)                               # replaces, as a new version
-    assert [r["id"] for r in read_snapshot(spark, snap).collect()] == [2]
-    inc = os.path.join(scratch, "inc")
-    write_increment(a, inc, keep_history=False)
-    write_increment(b, inc, keep_history=False)           # accumulates
-    assert spark.read.parquet(inc).count() == 2
-    latest = os.path.join(scratch, "latest")
-    write_increment(a, latest, keep_history=True)         # history kept downstream: latest only
-    write_increment(b, latest, keep_history=True)
-    assert [r["id"] for r in read_snapshot(spark, latest).collect()] == [2]
+    db = database_at(spark, os.path.join(scratch, "tables"))
+    write_snapshot(a, f"{db}.snap")
+    write_snapshot(b, f"{db}.snap")                        # replaces
+    assert [r["id"] for r in read_table(spark, f"{db}.snap").collect()] == [2]
+    write_increment(a, f"{db}.inc", keep_history=False)
+    write_increment(b, f"{db}.inc", keep_history=False)    # accumulates
+    assert read_table(spark, f"{db}.inc").count() == 2
+    write_increment(a, f"{db}.latest", keep_history=True)  # history kept downstream: latest only
+    write_increment(b, f"{db}.latest", keep_history=True)
+    assert [r["id"] for r in read_table(spark, f"{db}.latest").collect()] == [2]
     csv = os.path.join(scratch, "csv")
     write_csv(a, csv)
     assert spark.read.option("header", True).csv(csv).columns == ["id", "v"]
     materialize(b, "deckframe_test_view", "view")
     assert spark.table("deckframe_test_view").count() == 1
-    t = materialize(a, "t", "table", os.path.join(scratch, "tbl"))
-    assert t.count() == 1
-    path = os.path.join(scratch, "incremental")
-    materialize(a, "i", "incremental", path, keys="id")
-    i = materialize(a.unionByName(b).withColumn("v", F.lit("z")), "i", "incremental", path, keys="id")
+    assert materialize(a, f"{db}.t", "table").count() == 1
+    materialize(a, f"{db}.i", "incremental", keys="id", buckets=4)
+    i = materialize(a.unionByName(b).withColumn("v", F.lit("z")), f"{db}.i", "incremental", keys="id")
     assert sorted((r["id"], r["v"]) for r in i.collect()) == [(1, "z"), (2, "z")]
 
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from deckframe.schemas import DECK_SCHEMA
-from deckframe.sources import (AssetSpec, TableStore, land_run, read_collection, read_combos,
+from deckframe.sources import (AssetSpec, database_at, land_run, read_collection, read_combos, read_table, upsert_table,
                                read_decks, split_bad_records, write_chunks, write_landing)
 from deckframe.streaming import landing_stream, run_upsert_stream
 
@@ -94,14 +94,6 @@ def test_chunks_runs_and_assets(spark, scratch):
     assert spec.unique_key == ["id"] and spec.max_rows == 5000 and spec.nature == "incremental"
 
 
-def test_table_store_versions(spark, scratch):
-    store = TableStore(spark, os.path.join(scratch, "store"))
-    assert store.current() is None
-    store.commit(spark.createDataFrame([(1, "a")], "id int, v string"))
-    v = store.commit(spark.createDataFrame([(1, "b")], "id int, v string"))
-    assert v == 2 and [r["v"] for r in store.current().collect()] == ["b"]
-
-
 def test_streaming_upsert_multiple_batches(spark, scratch):
     land = os.path.join(scratch, "landing")
     schema = "id int, ts timestamp, v string"
@@ -111,43 +103,53 @@ def test_streaming_upsert_multiple_batches(spark, scratch):
                                 (3, dt.datetime(2024, 1, 1), "n")], schema)
     b1.coalesce(1).write.parquet(os.path.join(land, "f1"))
     b2.coalesce(1).write.parquet(os.path.join(land, "f2"))
-    store = TableStore(spark, os.path.join(scratch, "state"))
+    table = f"{database_at(spark, os.path.join(scratch, 'tables'))}.newest"
     stream = landing_stream(spark, os.path.join(land, "*"), b1.schema, max_files_per_trigger=1)
-    q = run_upsert_stream(stream, store, ["id"], "ts", os.path.join(scratch, "ck"))
+    q = run_upsert_stream(stream, table, ["id"], "ts", os.path.join(scratch, "ck"), buckets=4)
     q.awaitTermination()
-    got = sorted((r["id"], r["v"]) for r in store.current().collect())
+    got = sorted((r["id"], r["v"]) for r in read_table(spark, table).collect())
     assert got == [(1, "c"), (2, "x"), (3, "n")]          # late row for 2 dropped (R3)
-    assert store.current_version() == 2                   # one version per micro-batch
-
-
-def test_bucketed_store_rewrites_only_touched_buckets(spark, scratch):
-    from deckframe.sources import BucketedStateStore
-    from deckframe.operators.incremental import upsert
-    store = BucketedStateStore(spark, os.path.join(scratch, "bstate"), ["id"], buckets=8)
-    first = spark.range(0, 200).selectExpr("cast(id as int) id", "'a' v")
-    store.commit_batch(first, lambda st, b: upsert(st, b, ["id"]))
-    assert store.current().count() == 200
-    second = spark.createDataFrame([(5, "b"), (500, "n")], "id int, v string")
-    store.commit_batch(second, lambda st, b: upsert(st, b, ["id"]))
-    cur = {r["id"]: r["v"] for r in store.current().collect()}
+
+
+def test_upsert_reads_and_rewrites_only_touched_buckets(spark, scratch):
+    table = f"{database_at(spark, os.path.join(scratch, 'tables'))}.k"
+    files = lambda: {f for f in spark.table(table).inputFiles()}
+    upsert_table(spark.range(0, 200).selectExpr("cast(id as int) id", "'a' v"), table, ["id"], buckets=8)
+    before = files()
+    upsert_table(spark.createDataFrame([(5, "b"), (500, "n")], "id int, v string"), table, ["id"])
+    cur = {r["id"]: r["v"] for r in read_table(spark, table).collect()}
     assert len(cur) == 201 and cur[5] == "b" and cur[500] == "n" and cur[6] == "a"
-    v2 = spark.read.parquet(*glob.glob(os.path.join(scratch, "bstate", "store_version=2-*")))
-    assert v2.select("store_bucket").distinct().count() <= 2    # only touched buckets rewritten
+    changed = {f.split("key_bucket=")[1].split("/")[0] for f in before ^ files()}
+    assert 1 <= len(changed) <= 2
 
 
-def test_streaming_upsert_bucketed(spark, scratch):
-    from deckframe.sources import BucketedStateStore
+def test_stream_goes_on_from_its_checkpoint(spark, scratch, monkeypatch):
+    """A stream that dies in its second batch and is started again."""
+    from deckframe.streaming import ingest
     land = os.path.join(scratch, "landing2")
     schema = "id int, ts timestamp, v string"
-    spark.createDataFrame([(1, dt.datetime(2024, 1, 1), "a"), (2, dt.datetime(2024, 1, 1), "x")],
-                          schema).coalesce(1).write.parquet(os.path.join(land, "f1"))
-    spark.createDataFrame([(1, dt.datetime(2024, 1, 3), "c")], schema).coalesce(1) \
-        .write.parquet(os.path.join(land, "f2"))
-    store = BucketedStateStore(spark, os.path.join(scratch, "bstate2"), ["id"], buckets=4)
-    stream = landing_stream(spark, os.path.join(land, "*"),
-                            spark.createDataFrame([], schema).schema, max_files_per_trigger=1)
-    run_upsert_stream(stream, store, ["id"], "ts", os.path.join(scratch, "ck2")).awaitTermination()
-    assert sorted((r["id"], r["v"]) for r in store.current().collect()) == [(1, "c"), (2, "x")]
+    days = [[(1, 5, "e"), (2, 1, "x")], [(1, 3, "late"), (3, 1, "n")], [(1, 5, "e"), (2, 2, "y")], [(3, 9, "z")]]
+    for n, rows in enumerate(days):
+        spark.createDataFrame([(i, dt.datetime(2024, 1, d), v) for i, d, v in rows], schema).coalesce(1).write.parquet(os.path.join(land, f"f{n}"))
+    table = f"{database_at(spark, os.path.join(scratch, 'tables'))}.newest"
+    batches = []
+
+    def start():
+        stream = landing_stream(spark, os.path.join(land, "*"), spark.createDataFrame([], schema).schema, max_files_per_trigger=1)
+        return run_upsert_stream(stream, table, ["id"], "ts", os.path.join(scratch, "ck2"), buckets=4)
+
+    def dying(batch, *args):
+        batches.append(1)
+        if len(batches) == 2:
+            raise RuntimeError("lost executor")
+        upsert_table(batch, *args)
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "upsert_table", dying)
+        with pytest.raises(Exception, match="lost executor"):
+            start().awaitTermination()
+    start().awaitTermination()
+    assert sorted((r["id"], r["v"]) for r in read_table(spark, table).collect()) == [(1, "e"), (2, "y"), (3, "z")]
 
 
 def test_read_cards_json_array_and_freshness(spark, scratch):

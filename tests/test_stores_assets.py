@@ -5,14 +5,15 @@ import json
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
 from deckframe.functions.json import object_text
-from deckframe.operators.incremental import upsert
 from deckframe.operators.scd2 import scd2_apply
-from deckframe.plans.assets import asset_history, load_asset
+from deckframe.plans.assets import load_asset, load_rows
 from deckframe.plans.decks import board_cards
-from deckframe.sources import (AssetSpec, BucketedStateStore, HistoryStore, TableStore, asset_filter,
-                               read_cards, read_combos, read_decks)
+from deckframe.sources import (AssetSpec, apply_snapshot, asset_filter, database_at, read_cards, read_combos, read_decks,
+                               read_table, upsert_table, write_snapshot)
 from deckframe.streaming.ingest import latest_state_batch
 
 
@@ -20,69 +21,96 @@ class Lost(Exception):
     pass
 
 
-def _lose_the_append(monkeypatch, cls, name):
-    def lost(*args):
-        raise Lost
-    monkeypatch.setattr(cls, name, lost)
+def _lost(*args, **kwargs):
+    raise Lost
 
 
-def test_table_store_after_a_lost_append(spark, scratch, monkeypatch):
-    store = TableStore(spark, os.path.join(scratch, "t"))
-    store.commit(spark.createDataFrame([(1, "a")], "id int, v string"))
-    with monkeypatch.context() as m:
-        _lose_the_append(m, TableStore, "_publish")
-        with pytest.raises(Lost):
-            store.commit(spark.createDataFrame([(2, "b")], "id int, v string"))
-    assert [r["id"] for r in store.current().collect()] == [1]
-    store.commit(spark.createDataFrame([(2, "b")], "id int, v string"))
-    assert [r["id"] for r in store.current().collect()] == [2] and store.current_version() == 2
+@pytest.fixture
+def db(spark, scratch):
+    return database_at(spark, os.path.join(scratch, "tables"))
+
+
+def _pairs(df):
+    return sorted((r["id"], r["v"]) for r in df.collect())
 
 
-def test_bucketed_store_after_a_lost_append(spark, scratch, monkeypatch):
-    store = BucketedStateStore(spark, os.path.join(scratch, "b"), ["id"], buckets=4)
-    merge = lambda s, b: upsert(s, b, ["id"])
-    store.commit_batch(spark.createDataFrame([(1, "a"), (2, "a")], "id int, v string"), merge)
-    batch = spark.createDataFrame([(2, "b"), (3, "b")], "id int, v string")
+def _rows(spark, *rows):
+    return spark.createDataFrame(list(rows), "id int, v string")
+
+
+def test_snapshot_after_a_lost_switch(spark, db, monkeypatch):
+    t = f"{db}.t"
+    assert read_table(spark, t) is None
+    write_snapshot(_rows(spark, (1, "a")), t)
+    held = read_table(spark, t)
+    with monkeypatch.context() as m:  # the rows are written, the view isn't switched
+        m.setattr(type(spark), "sql", _lost)
+        with pytest.raises(Lost):
+            write_snapshot(_rows(spark, (2, "b")), t)
+    assert _pairs(read_table(spark, t)) == [(1, "a")]
+    write_snapshot(_rows(spark, (3, "c")), t)
+    assert _pairs(read_table(spark, t)) == [(3, "c")]
+    assert _pairs(held) == [(1, "a")]        # readers of the snapshot before go on
+    write_snapshot(_rows(spark), t)          # an empty snapshot
+    assert _pairs(read_table(spark, t)) == []
+    assert len([x for x in spark.catalog.listTables(db) if "__snap_" in x.name]) == 2
+
+
+@pytest.mark.parametrize("at", ["insertInto", "drop"])
+def test_upsert_that_dies_half_way_is_finished(spark, db, monkeypatch, at):
+    t = f"{db}.k"
+    upsert_table(_rows(spark, (1, "a"), (2, "a")), t, ["id"], buckets=4)
+    batch = _rows(spark, (2, "b"), (3, "b"))
     with monkeypatch.context() as m:
-        m.setattr(type(spark), "createDataFrame", lambda *a, **k: (_ for _ in ()).throw(Lost()))
+        if at == "insertInto":   # before the partitions are overwritten
+            m.setattr(DataFrameWriter, "insertInto", _lost)
+        else:                    # after it, before the pending rows are dropped
+            real = type(spark).sql
+            m.setattr(type(spark), "sql", lambda self, q, *a: _lost() if q.startswith("DROP") else real(self, q, *a))
         with pytest.raises(Lost):
-            store.commit_batch(batch, merge)
-    store.commit_batch(batch, merge)
-    store.commit_batch(batch, merge)    # a repeated batch changes nothing
-    assert sorted((r["id"], r["v"]) for r in store.current().collect()) == [(1, "a"), (2, "b"), (3, "b")]
+            upsert_table(batch, t, ["id"])
+    assert _pairs(read_table(spark, t)) == [(1, "a"), (2, "b"), (3, "b")]    # the next reader or writer finishes it
+    upsert_table(batch, t, ["id"])
+    assert _pairs(read_table(spark, t)) == [(1, "a"), (2, "b"), (3, "b")]    # a repeated batch changes nothing
+    assert not [x for x in spark.catalog.listTables(db) if "pending" in x.name]
 
 
-def test_an_unreadable_manifest_is_no_empty_store(spark, scratch):
-    store = TableStore(spark, os.path.join(scratch, "t"))
-    assert store.current() is None
-    store.commit(spark.createDataFrame([(1, "a")], "id int, v string"))
-    for f in os.listdir(os.path.join(scratch, "t", "_manifest")):
-        if f.endswith(".parquet"):
-            with open(os.path.join(scratch, "t", "_manifest", f), "wb") as out:
-                out.write(b"broken")
-    with pytest.raises(Exception):
-        store.commit(spark.createDataFrame([(2, "b")], "id int, v string"))
+def test_upsert_whose_rows_fail_leaves_the_table(spark, db):
+    t = f"{db}.k"
+    upsert_table(_rows(spark, (1, "a")), t, ["id"], buckets=4)
+    with pytest.raises(Exception, match="lost"):
+        upsert_table(_rows(spark, (1, "b"), (7, "c")).withColumn("v", F.when(F.col("id") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("v"))), t, ["id"])
+    assert _pairs(read_table(spark, t)) == [(1, "a")]
+    upsert_table(_rows(spark, (1, "b"), (7, "c")), t, ["id"])
+    assert _pairs(read_table(spark, t)) == [(1, "b"), (7, "c")]
 
 
-def test_partitioned_commits_write_few_files(spark, scratch):
-    store = TableStore(spark, os.path.join(scratch, "t"))
-    store.commit(spark.range(20000).selectExpr("id", "id % 16 as g").repartition(8), ["g"])
-    files = [f for _, _, names in os.walk(os.path.join(scratch, "t")) for f in names if f.endswith(".parquet") and "manifest" not in f]
-    assert len(files) <= 2 * 16 + 1 and store.current().count() == 20000
+def test_partitioned_snapshots_write_few_files(spark, scratch, db):
+    write_snapshot(spark.range(20000).selectExpr("id", "id % 16 as g").repartition(8), f"{db}.t", ["g"])
+    files = [f for _, _, names in os.walk(os.path.join(scratch, "tables")) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 2 * 16 + 1 and read_table(spark, f"{db}.t").count() == 20000
 
 
-def test_history_store_with_null_keys(spark, scratch):
-    store = HistoryStore(spark, os.path.join(scratch, "h"), ["id"])
+def test_stored_history_with_null_keys(spark, db):
     days = [dt.datetime(2024, 1, d) for d in (1, 2, 3, 3)]
     snaps = [[(1, "a"), (2, "b"), (None, "n")], [(1, "a"), (2, "c"), (3, "d"), (None, "n")], [(1, "a"), (3, "d"), (None, "m")], [(1, "a"), (3, "d"), (None, "m")]]
     full = None
     for now, rows in zip(days, snaps):
         snap = spark.createDataFrame(rows, "id int, v string")
-        store.apply(snap, now)
+        apply_snapshot(snap, f"{db}.h", ["id"], now)
         full = scd2_apply(full, snap, ["id"], now)
     want = {(1, "a", 1, None), (2, "b", 1, 2), (2, "c", 2, 3), (3, "d", 2, None), (None, "n", 1, 3), (None, "m", 3, None)}
-    for history in (store.history(), full):
+    for history in (read_table(spark, f"{db}.h"), full):
         assert {(r["id"], r["v"], r["valid_from"].day, r["valid_to"] and r["valid_to"].day) for r in history.collect()} == want
+    apply_snapshot(_rows(spark), f"{db}.h", ["id"], dt.datetime(2024, 1, 4))    # every row is closed
+    assert {r["valid_to"].day for r in read_table(spark, f"{db}.h").collect()} == {2, 3, 4}
+
+
+def test_a_snapshot_reads_the_open_partition_only(spark, db):
+    for day, rows in ((1, [(1, "a"), (2, "b")]), (2, [(1, "z")]), (3, [(1, "y")])):
+        apply_snapshot(spark.createDataFrame(rows, "id int, v string"), f"{db}.h", ["id"], dt.datetime(2024, 1, day))
+    plan = spark.table(f"{db}.h").filter("closed_at = 'open'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(closed_at" in plan
 
 
 def test_late_rows_never_replace_newer_state(spark):
@@ -141,12 +169,22 @@ def test_cards_come_in_file_order(spark, scratch):
     assert [r["id"] for r in rows] == [str(i) for i in range(300)] and rows[0]["flavor_name"] is None
 
 
-def test_snapshot_asset_keeps_history(spark, scratch):
+def test_snapshot_asset_keeps_history(spark, db):
     spec = AssetSpec(name="cards", nature="snapshot", unique_key=["id"], history=True)
-    read = lambda spark, source, spec, mark: asset_filter(source, spec.filters)
-    one = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
-    two = spark.createDataFrame([(1, "z")], "id int, v string")
-    load_asset(spark, spec, one, scratch, 86400, read=read)
-    assert [r["v"] for r in load_asset(spark, spec, two, scratch, 2 * 86400, read=read).collect()] == ["z"]
-    history = {(r["id"], r["v"], r["valid_to"] is None) for r in asset_history(spark, spec, scratch).history().collect()}
+    one, two = _rows(spark, (1, "a"), (2, "b")), _rows(spark, (1, "z"))
+    load_rows(spark, spec, lambda mark: asset_filter(one, spec.filters), db, 86400)
+    for _ in range(2):   # a repeated load changes nothing
+        assert _pairs(load_rows(spark, spec, lambda mark: two, db, 2 * 86400)) == [(1, "z")]
+    history = {(r["id"], r["v"], r["valid_to"] is None) for r in read_table(spark, f"{db}.cards_history").collect()}
     assert history == {(1, "a", False), (2, "b", False), (1, "z", True)}
+    assert spark.table(f"{db}.cards_runs").groupBy("run").count().count() == 2
+
+
+def test_incremental_asset_reads_from_its_mark(spark, scratch, db):
+    path = os.path.join(scratch, "decks.json")
+    with open(path, "w") as f:
+        for i, day in enumerate([5, 1, 3, 3, 2]):
+            f.write(json.dumps({"id": f"d{i}", "lastUpdatedAtUtc": f"2024-01-0{day}T00:00:00Z", "likeCount": i}) + "\n")
+    spec = AssetSpec(name="decks", nature="incremental", tombstone="lastUpdatedAtUtc", max_rows=2)
+    loaded = [sorted(r["id"] for r in load_asset(spark, spec, path, db, run, buckets=4).collect()) for run in (1, 2, 3)]
+    assert loaded == [["d1", "d4"], ["d1", "d2", "d3", "d4"], ["d0", "d1", "d2", "d3", "d4"]]
