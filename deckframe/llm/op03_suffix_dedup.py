@@ -205,7 +205,8 @@ def _window_prints(length: int):
 
 def _with_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    key = F.unhex(F.md5(F.concat_ws("|", F.col(id_col).cast("string"), text).cast("binary")))
+    # a null id leaves the part before the bar empty, which no number does
+    key = F.unhex(F.md5(F.concat(F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")), F.lit("|"), text).cast("binary")))
     key = F.coalesce(key, F.lit(b""))  # never null, so that both joins on it share one shuffle of the texts
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), key.alias("row_key"))
 

@@ -72,3 +72,10 @@ def test_deep_shallow_order(seed):
         common = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
         expected = -1 if groups[order[k]] != groups[order[k - 1]] else common
         assert shared[k] == expected or a == b and shared[k] >= common
+
+
+def test_null_ids_do_not_share_spans(spark):
+    """(null, "5|...") and (5, "...") are two documents with ranges of their own."""
+    passage = "x y z " * 100
+    rows = [(None, "5|" + passage), (5, passage)]
+    assert found(spark.createDataFrame([(d, t, None, None, 0) for d, t in rows], FIELDS), 400) == brute(rows, 400)

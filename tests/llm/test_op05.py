@@ -39,3 +39,11 @@ def test_odd_rows(odd, empty):
     # lines of the long text recur nowhere; repeated rows count once
     assert sorted(got(odd), key=str) == sorted(expected([(d, t) for d, t, *_ in odd_rows()]), key=str)
     assert op.drop_recurring_lines(empty).count() == 0
+
+
+def test_null_ids_are_documents_of_their_own(spark):
+    line = "one two three four"
+    rows = [(None, f"{k}|{line}\n{prose(5, k)}") for k in range(5)] + [(k, f"{line}\n{prose(5, k)}") for k in range(5)]
+    docs = spark.createDataFrame([(d, t, None, None, 0) for d, t in rows], FIELDS)
+    assert sorted(got(docs), key=str) == sorted(expected(rows), key=str)
+    assert op._keyed(docs, "doc_id", "text").select("doc_key").distinct().count() == len(rows)
