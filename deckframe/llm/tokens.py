@@ -24,8 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CACHE_PIECES = 400_000
-CACHE_WORDS = 200_000
+CACHE_PIECES = 600_000
+CACHE_WORDS = 300_000
 LONGEST_WORD = 64
 # fixed values: characters of texts that may go piece by piece
 _OTHER = re.compile("[^\t-\r -~À-ÖØ-öø-įı-ňŊ-ž]|<\\|")
