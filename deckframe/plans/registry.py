@@ -26,12 +26,14 @@ from deckframe.operators.incremental import high_water_mark, newer_than, upsert
 from deckframe.operators.latest import dedupe_keep_last, latest_per_key
 from deckframe.operators.ownership import fully_covered
 from deckframe.operators.ranking import top_k
+from deckframe.operators.running import running_total_split
 from deckframe.operators.scd2 import scd2_apply
 from deckframe.plans import cards, combos, decks, star, web
 from deckframe.plans.assets import load_asset
 from deckframe.plans.formats import build_format
 from deckframe.session import scratch_path
-from deckframe.sources import (AssetSpec, apply_snapshot, database_at, land_run, materialize, read_combos, read_decks, read_table,
+from deckframe.sources import (AssetSpec, apply_snapshot, database_at, land_run, materialize, read_cards, read_collection,
+                               read_combos, read_decks, read_table,
                                split_bad_records, upsert_table, write_chunks, write_increment, write_landing, write_snapshot)
 from deckframe.sources.tables import backfill
 from deckframe.streaming import landing_stream, run_upsert_stream
@@ -53,6 +55,7 @@ TOP_PARTS = 200
 LEADERBOARD = 25           # fewer than the card names of this binding, so the cut shows
 STATE_BUCKETS = 16
 ARRIVALS = 6               # landed files, one for each micro-batch
+RANGES = 16                # of a running total that is split
 ASSET_CAP = 60             # documents in one load of the asset
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -690,6 +693,48 @@ def q_combos_landed(spark, d):
     return combos.combo_cards(read_combos(spark, path)).select(*_COMBO_COLS)
 
 
+# A card bulk file, one array over several splits, read back in order
+# and priced
+@register("cards_landed", _with("parts") + """,
+numbered AS (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS seq FROM parts)
+SELECT p_partkey AS oracle_id, card_name AS name, CAST(seq AS BIGINT) AS seq,
+       CAST((SELECT min(o.p_retailprice) FROM parts o WHERE o.card_name = n.card_name) AS DOUBLE) AS min_usd
+FROM numbered n""")
+def q_cards_landed(spark, d):
+    path = scratch_path(spark, "card-feed")
+    p = star.parts(spark, d).select("p_partkey", F.struct(
+        F.col("card_name").alias("name"), F.col("p_partkey").cast("string").alias("oracle_id"),
+        F.struct(F.col("p_retailprice").cast("string").alias("usd")).alias("prices")).alias("card"))
+    # one array a file: a bracket, a record and a comma on each line, a bracket
+    lines = p.select("p_partkey", F.concat(F.to_json("card"), F.lit(",")).alias("value"))
+    ends = spark.createDataFrame([(None, "["), (2 ** 62, "]")], "p_partkey long, value string")
+    lines.unionByName(ends).coalesce(1).sortWithinPartitions(F.col("p_partkey").asc_nulls_first()).select("value").write.text(path)
+    landed = read_cards(spark, path)
+    prices = cards.card_prices(landed).groupBy("name").agg(F.min("min_usd").cast("double").alias("min_usd"))
+    return landed.join(prices, "name").select(
+        F.col("oracle_id").cast("bigint").alias("oracle_id"), "name", "seq", "min_usd")
+
+
+# A collection export in UTF-16 with extra columns, read back and summed up
+@register("collection_landed", _with("parts", "coll") + "SELECT * FROM coll")
+def q_collection_landed(spark, d):
+    path = scratch_path(spark, "collection-export")
+    lines = star.collection_export(spark, d).select(F.lit("").alias("Extras"), F.lit("en").alias("Language"), F.col("name").alias("Name"),
+                                                    F.col("quantity").cast("string").alias("Quantity"))
+    lines.write.option("header", True).option("encoding", "UTF-16").csv(path)
+    return decks.collection_totals(read_collection(spark, path).select("name", "quantity"))
+
+
+# A running total over one group that holds every line of a status, in ranges
+@register("running_total_ranges", """
+SELECT l_orderkey, l_linenumber, l_linestatus, sum(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_linestatus ORDER BY l_orderkey) AS running_total
+FROM lineitem""")
+def q_running_total_ranges(spark, d):
+    li = star.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus", F.col("l_quantity").cast("bigint").alias("q"))
+    return running_total_split(li, "q", "l_linestatus", "l_orderkey", parts=RANGES).select(
+        "l_orderkey", "l_linenumber", "l_linestatus", "running_total")
+
+
 # Typed landing in small files, two run folders, read back as one
 @register("landed_runs", f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS price, CAST(NULL AS VARCHAR) AS note,

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from deckframe.plans import decks, web
@@ -58,3 +59,16 @@ def test_images_are_looked_up_for_distinct_names_only(spark):
     counted = [x for x in plan if "count(" in x and "Aggregate" in x]
     # decks are counted below the joins with the images, never above them
     assert at and joins and min(depth(x) for x in counted) > min(depth(x) for x in joins)
+
+
+def test_a_hot_group_has_its_running_total_in_ranges(spark):
+    """One group holds nearly all rows; ties share a total, NULLs come first."""
+    from deckframe.operators import running_total_split
+    rows = [("hot", i // 3 if i % 50 else None, i % 7) for i in range(3000)] + [("cold", 5, 1), ("cold", 5, None), (None, 1, 2), (None, 2, 3), ("nothing", 1, None)]
+    df = spark.createDataFrame(rows, "g string, o int, v int")
+    whole = Window.partitionBy("g").orderBy(F.col("o").asc_nulls_first())
+    want = df.withColumn("t", F.sum("v").over(whole))
+    got = running_total_split(df, "v", "g", "o", parts=8, total_alias="t")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    dealt = got.filter("g = 'hot'").select("o").distinct().count()
+    assert dealt > 900

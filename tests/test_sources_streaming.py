@@ -208,3 +208,42 @@ def test_flatten_keeps_unmodelled_fields_as_variant(spark, scratch):
     flat = read_decks(spark, p, keep_raw=True)
     r = flat.select("id", F.expr("variant_get(raw, '$.primer.sections', 'int')").alias("s")).first()
     assert (r["id"], r["s"]) == ("d1", 3)
+
+
+def _array_file(path, rows, comma=True):
+    with open(path, "w") as f:
+        f.write("[\n" + ",\n".join(json.dumps(r) for r in rows) + "\n]\n")
+
+
+def test_one_array_is_read_by_many_tasks_in_order(spark, scratch):
+    from deckframe.sources import read_cards
+    folder = os.path.join(scratch, "bulk")
+    os.makedirs(folder)
+    rows = [{"id": str(i), "name": f"n{i}", "oracle_id": "x" * (i % 50), "prices": {"usd": "1.0"}, "other": {"a": [i]}} for i in range(4000)]
+    _array_file(os.path.join(folder, "a.json"), rows[:3000])
+    _array_file(os.path.join(folder, "b.json"), rows[3000:])
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "20000")
+    try:
+        cards = read_cards(spark, folder)
+        got = sorted((r["seq"], r["id"]) for r in cards.select("seq", "id").collect())
+        assert spark.read.text(folder).rdd.getNumPartitions() > 10
+        assert got == [(i, str(i)) for i in range(4000)]            # gapless, files in order
+        assert read_cards(spark, folder, since=dt.datetime(2999, 1, 1)).count() == 0
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_a_broken_record_of_an_array_is_no_silent_loss(spark, scratch):
+    from deckframe.sources import read_cards
+    path = os.path.join(scratch, "cards.json")
+    with open(path, "w") as f:
+        f.write('[\n{"id": "1"},\n{"id": "2"},\n{"id": "3\n]\n')
+    with pytest.raises(Exception):
+        read_cards(spark, path).collect()
+    _array_file(path, [{"id": "1"}])
+    assert [(r["seq"], r["id"]) for r in read_cards(spark, path).collect()] == [(0, "1")]
+    with open(path, "w") as f:
+        f.write('[]')
+    assert read_cards(spark, path).count() == 0
