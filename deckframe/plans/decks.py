@@ -162,19 +162,38 @@ def average_decks(lists: DataFrame, commanders: DataFrame, budget: int = 100,
     stripped name.
     """
     by = as_list(by)
-    cmd = commanders.select(*by, "deck_id", F.col("card_name").alias("cmd_raw")) \
-                    .filter(F.col("cmd_raw").isNotNull())
-    per_commander = (cmd.select(*[F.col(b).alias(f"__pc_{b}") for b in by],
-                                strip_prefix("cmd_raw").alias("cmd_key"), "deck_id")
-                        .groupBy(*[f"__pc_{b}" for b in by], "cmd_key")
-                        .agg(F.count_distinct("deck_id").alias("total_decks")))
-    join_key = strip_prefix("cmd_raw") if normalize_join else F.col("cmd_raw")
+    led = commander_lines(lists, commanders, by)
     # copies per raw commander name first: the counts then meet one row per
     # (commander, card, board) instead of every line
-    copies = (lists.select(*by, "deck_id", "card_name", "type", "quantity")
-                   .join(cmd, on=by + ["deck_id"], how="inner")
-                   .groupBy(*by, "cmd_raw", strip_prefix("card_name").alias("card_name"), "type")
-                   .agg(F.sum("quantity").alias("quantity")))
+    copies = led.groupBy(*by, "cmd_raw", "card_name", "type").agg(F.sum("quantity").alias("quantity"))
+    counts = (commander_keys(commanders, by).groupBy(*by, "cmd_key")
+              .agg(F.count_distinct("deck_id").alias("total_decks")))
+    return average_of(copies, counts, budget, normalize_join, by, keep_type)
+
+
+def commander_keys(commanders: DataFrame, by=()) -> DataFrame:
+    """(cmd_key, deck_id): decks under the prefix-stripped names of their commanders."""
+    return (commanders.filter(F.col("card_name").isNotNull())
+            .select(*as_list(by), strip_prefix("card_name").alias("cmd_key"), "deck_id"))
+
+
+def commander_lines(lists: DataFrame, commanders: DataFrame, by=()) -> DataFrame:
+    """(cmd_raw, card_name, type, quantity): the lines of complete lists under
+    each commander of their deck; card names are stripped."""
+    by = as_list(by)
+    cmd = (commanders.select(*by, "deck_id", F.col("card_name").alias("cmd_raw"))
+                     .filter(F.col("cmd_raw").isNotNull()))
+    return (lists.select(*by, "deck_id", "card_name", "type", "quantity")
+                 .join(cmd, on=by + ["deck_id"], how="inner")
+                 .select(*by, "cmd_raw", strip_prefix("card_name").alias("card_name"), "type", "quantity"))
+
+
+def average_of(copies: DataFrame, counts: DataFrame, budget: int = 100, normalize_join: bool = False,
+               by=(), keep_type: bool = False) -> DataFrame:
+    """Q4 from copies per (cmd_raw, card_name, type) and deck counts per cmd_key."""
+    by = as_list(by)
+    per_commander = counts.select(*[F.col(b).alias(f"__pc_{b}") for b in by], "cmd_key", "total_decks")
+    join_key = strip_prefix("cmd_raw") if normalize_join else F.col("cmd_raw")
     on = join_key == F.col("cmd_key")
     for b in by:
         on = on & (F.col(b) == F.col(f"__pc_{b}"))

@@ -31,6 +31,7 @@ from deckframe.operators.scd2 import scd2_apply
 from deckframe.plans import cards, combos, decks, star, web
 from deckframe.plans.assets import load_asset
 from deckframe.plans.formats import build_format
+from deckframe.plans.maintained import maintain_average_decks
 from deckframe.session import scratch_path
 from deckframe.sources import (AssetSpec, apply_snapshot, database_at, land_run, materialize, read_cards, read_collection,
                                read_combos, read_decks, read_table,
@@ -948,6 +949,26 @@ def q_models_built_incrementally(spark, d):
                                         "format", F.col("quantity").cast("bigint").alias("quantity"), "type")
 
 
+# Q4 / Q15: average decks kept current by signed sums of the decks that changed;
+# the second load dies first, and is then run twice
+@register("average_decks_maintained", "WITH " + ",\n".join([
+    _CTE["parts"], _CTE["boards"].replace("boards AS", "landed AS", 1), f"""boards AS (
+  SELECT * FROM landed WHERE lastUpdatedAtUtc >= TIMESTAMP '{ORDERS_LOADED_BEFORE}'
+  UNION ALL
+  SELECT * FROM landed o WHERE lastUpdatedAtUtc < TIMESTAMP '{ORDERS_LOADED_BEFORE}' AND NOT EXISTS (
+    SELECT 1 FROM landed n WHERE n.lastUpdatedAtUtc >= TIMESTAMP '{ORDERS_LOADED_BEFORE}'
+    AND n.deck_id = o.deck_id AND n.card_name = o.card_name AND n.type = o.type))""",
+    _CTE["latest"], _CTE["decklists"], _average_sql(AVERAGE_BUDGET)]) + "\nSELECT * FROM average")
+def q_average_decks_maintained(spark, d):
+    db, b = database_at(spark, scratch_path(spark, "maintained")), _boards(spark, d)
+    early = F.col("lastUpdatedAtUtc") < F.lit(ORDERS_LOADED_BEFORE).cast("timestamp")
+    load = lambda rows, n: maintain_average_decks(rows, db, n, DECK_SIZE, AVERAGE_BUDGET, buckets=STATE_BUCKETS)
+    load(b.filter(early), 1)
+    _dies(lambda: load(_broken(b.filter(~early), "deck_id"), 2))
+    load(b.filter(~early), 2)
+    return load(b.filter(~early), 2)
+
+
 # --------------------------------------------------------------------------
 # Q15: the models with the order priority as format, all formats in one plan
 
