@@ -21,7 +21,9 @@ plain one of its kind, or a wider disguised one, adds nothing, nor does a phone
 number that has only one spelled digit more than a plain one.  Texts without any
 sign of a disguise are not rewritten.
 
-Positions count code points, ends are exclusive.  Null texts count as empty and
+Positions count code points, ends are exclusive.  Time and memory grow with the
+length of a text, also for a text that is one run of digits, number words, signs
+or spaces.  Null texts count as empty and
 have no spans.  Each row is treated by itself, so repeated rows, equal ids and
 null ids need no rule.  Extra columns are ignored.
 """
@@ -42,8 +44,11 @@ SPANS = "array<struct<kind string, low long, high long, disguised boolean>>"
 _SPAN_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("low", pa.int64()), ("high", pa.int64()), ("disguised", pa.bool_())]))
 
 _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-_CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+# from the first digit of a run on, as a match that fails there fails at its other
+# digits too; nothing is given back, as a digit can't be the dot that follows
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+# runs of digits with one sign between them; single digits are too short anyway
+_CARD = re.compile(r"[0-9]++(?:[\x20-][0-9]++)*+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -69,7 +74,7 @@ _LONG_RUN = re.compile(rf"\b(?:plus[\s-]+)?(?:{_NAMES})(?:[\s,-]+(?:{_NAMES})){{
 _UNIT = rf"(?:(?:{_NAMES})\b|[0-9]+\b)"
 _RUN = re.compile(rf"\b(?:plus[\s-]+)?{_UNIT}(?:(?:\s+dot\s+|{_BRACKETED_DOT}|[\s,().-]+){_UNIT})+", re.IGNORECASE)
 _PARTS = re.compile(rf"(?P<plus>plus[\s-]+)|(?P<name>{_NAMES})|(?P<digits>[0-9]+)|(?P<gap>[^0-9]+?(?=(?:{_NAMES})\b|[0-9]))", re.IGNORECASE)
-_MARKS = re.compile(rf"(?P<at>\s*[\[({{<]\s*(?:at|@)\s*[\])}}>]\s*)|(?P<dot>{_BRACKETED_DOT})", re.IGNORECASE)
+_MARKS = re.compile(r"[\[({<]\s*+(?:(?P<at>at|@)|(?P<dot>dot|\.))\s*+[\])}>]\s*+", re.IGNORECASE)
 _ADDRESS = re.compile(
     r"(?<![\w.%+-])(?P<local>[\w%+-]+(?:(?:\s+dot\s+|\.)[\w%+-]+){0,31})(?P<at>\s+at\s+|@)(?P<host>[\w-]+(?:(?:\s+dot\s+|\.)[\w-]+){1,126})",
     re.IGNORECASE)
@@ -181,6 +186,18 @@ def _numbers(text: str, runs: re.Pattern) -> list[tuple[int, int, str]]:
     return out
 
 
+def _bracketed(text: str) -> list[tuple[int, int, str]]:
+    """Changes that make signs of "at" and "dot" in brackets and the spaces around them."""
+    out, free = [], 0
+    for m in _MARKS.finditer(text):
+        low = m.start()
+        while low > free and text[low - 1].isspace():
+            low -= 1
+        out.append((low, m.end(), "@" if m.lastgroup == "at" else "."))
+        free = m.end()
+    return out
+
+
 def _address(m: re.Match) -> int | None:
     """Where the address that begins with a match of ``_ADDRESS`` ends, if it
     is a disguised one."""
@@ -219,7 +236,7 @@ def rewrite(text: str, runs: re.Pattern = _RUN) -> tuple[str, list[int], list[in
     source characters it stands for begin and end."""
     made = _Transducer(text)
     made.replace(_numbers(made.text, runs))
-    made.replace([(*m.span(), "@" if m.lastgroup == "at" else ".") for m in _MARKS.finditer(made.text)])
+    made.replace(_bracketed(made.text))
     made.replace(_addresses(made.text))
     return made.text, made.lows, made.highs
 

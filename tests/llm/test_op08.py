@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from deckframe.llm import op08_pii as op
 
@@ -39,6 +40,26 @@ def test_plain_kinds_against_their_patterns():
         assert op.detect(text) == brute(text), text
 
 
+def test_long_runs_take_linear_time():
+    n = 400_000
+    for text, spans in ((n * "1", 0), (n // 4 * "one ", 0), (n // 2 * "1.", None), (n // 2 * "1 ", 0), (n // 2 * "1-", 0), (n * " " + "(at)", 0),
+                        ("a (at)" + n * " " + "b", 0), (n // 2 * "( ", 0), ("[dot]" + n // 2 * " (", 0), (n * "a" + "@", 0), (n // 2 * "a@", 0),
+                        ("+1" + n * "(", 0), (n // 4 * "dot ", 0), ("x dot y" + n * "z", 0), (n // 5 * "a at ", 0), (n // 6 * "a dot ", 0),
+                        ("one" + n * " ", 0), ("one two" + n * ",", 0), (n // 2 * "é٣", 0)):
+        began = time.process_time()
+        found = op.find(text)
+        assert time.process_time() - began < 15, text[:12]   # a quadratic search takes hours
+        assert spans is None or len(found) == spans, (text[:12], found[:3])
+
+
+def test_brackets_take_the_spaces_around_them():
+    r = random.Random(4)
+    old = re.compile(r"(?P<at>\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*)|(?P<dot>\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*)", re.IGNORECASE)
+    for _ in range(20000):
+        text = "".join(r.choice(["(", ")", "[", ">", " ", "\u2003", "\n", "at", "AT", "@", "dot", ".", "x"]) for _ in range(r.randint(0, 14)))
+        assert op._bracketed(text) == [(*m.span(), "@" if m.lastgroup == "at" else ".") for m in old.finditer(text)], text
+
+
 def hidden(text):
     return [(k, text[a:b]) for k, a, b, d in op.find(text) if d]
 
