@@ -23,7 +23,8 @@ The first pass keeps only leaves and places, not lines; texts are read again
 for the documents that have lines in busy leaves.  All counts are grouped
 aggregations over (key, document) first, so a line that a third of all documents
 hold is spread over the documents; tokens are counted once for each different
-line, weighted by its documents.
+line, weighted by its documents.  Time grows with the lines of a document, also
+where all of them recur; a text and its lines must fit into a task.
 """
 
 from __future__ import annotations
@@ -72,8 +73,9 @@ def recurring_lines(texts: DataFrame) -> DataFrame:
     leaves = staged(_parsed(every).select("doc_key", "place", "leaf"), "leaves")
     asked = (leaves.join(_documents(leaves, "leaf"), "leaf").groupBy("doc_key")
              .agg(F.collect_set("place").alias("places")))
-    again = (texts.join(asked, "doc_key").select("doc_key", "places", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-             .where(F.array_contains("places", F.col("place"))))
+    # the asked lines are taken by their place, so a document costs its lines and these places
+    again = (texts.join(asked, "doc_key").select("doc_key", "places", F.split("text", "\n").alias("lines"))
+             .select("doc_key", F.inline(F.transform("places", lambda p: F.struct(p.alias("place"), F.get("lines", p).alias("line"))))))
     held = staged(_parsed(again).select("doc_key", "place", "leaf", F.array_join(_masked("tokens"), _MARK).alias("line")), "lines")
     once = held.select("leaf", "line", "doc_key").distinct()
     different = staged(once.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n")), "different")
@@ -95,11 +97,13 @@ def recurring_lines(texts: DataFrame) -> DataFrame:
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept_text) of every row."""
     texts = _keyed(docs, id_col, text_col)
-    lines = F.split("text", "\n")
-    gone = F.coalesce("gone", F.array().cast("array<int>"))
-    kept = F.filter(lines, lambda x, i: ~F.array_contains(gone, i))
-    return texts.join(recurring_lines(texts), "doc_key", "left").select(
-        "doc_id", F.size(lines).cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_dropped"),
+    # "lines" is used more than once below, so the optimizer leaves the split where it is
+    marked = texts.join(recurring_lines(texts), "doc_key", "left").select(
+        "doc_id", F.split("text", "\n").alias("lines"), F.coalesce("gone", F.array().cast("array<int>")).alias("gone"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")   # by a hash set
+    kept = F.when(F.size("gone") == 0, F.col("lines")).otherwise(F.transform(stay, lambda i: F.get("lines", i)))
+    return marked.select(
+        "doc_id", F.size("lines").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_dropped"),
         F.array_join(kept, "\n").alias("kept_text"))
 
 

@@ -47,3 +47,14 @@ def test_null_ids_are_documents_of_their_own(spark):
     docs = spark.createDataFrame([(d, t, None, None, 0) for d, t in rows], FIELDS)
     assert sorted(got(docs), key=str) == sorted(expected(rows), key=str)
     assert op._keyed(docs, "doc_id", "text").select("doc_key").distinct().count() == len(rows)
+
+
+def test_lines_are_split_once_for_each_text(spark):
+    docs = spark.createDataFrame([(d, "\n".join([*(f"id {i} was seen here" for i in range(3000)), prose(6, d), prose(7, 50 + d)])) for d in range(12)], "doc_id long, text string")
+    out = op.drop_recurring_lines(docs)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "get(split(" not in plan and "array_contains" not in plan, plan
+    one = out.select("kept_text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "get(split(" not in one, one
+    got = {(r["doc_id"], r["n_lines"], r["n_dropped"], r["kept_text"]) for r in out.collect()}
+    assert got == {(d, 3002, 3000, prose(6, d) + "\n" + prose(7, 50 + d)) for d in range(12)}
