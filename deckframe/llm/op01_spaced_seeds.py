@@ -20,14 +20,19 @@ half that does), and these fall under the cases above.
    shorter, and ``IDENTITY`` of them agree; the longest of these is reported, of
    equally long ones that with the most equal tokens.
 
-Items of fewer than ``LEAST_ITEM`` tokens have no seed and are found nowhere.  Null texts count as empty.  Repeated rows and items are reported as
-one.  Rows with null ids are told apart by their text.  Empty tables give empty
-results; extra columns are ignored.
+Items of fewer than ``LEAST_ITEM`` tokens are found only where all their tokens
+stand in a row: such an item is one seed, all of it, and documents are seeded
+with runs of the lengths that occur.  Items without tokens are found nowhere.
+
+Null texts count as empty.  Repeated rows and items are reported as one.  Rows
+with null ids are told apart by their text.  Empty tables give empty results;
+extra columns are ignored.  Long texts are worked whole, so a task holds one
+text; a long item is compared only where it lies beside the document.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +45,7 @@ from .staging import staged
 # fixed values: 1 selects a token, 0 ignores it
 MASKS = ("1111011", "10101111", "11011101", "1111000011", "110010111")
 LEAST_ITEM = 8
+SHORT = range(1, LEAST_ITEM)
 OVERLAP = 13
 IDENTITY = 0.8
 MISMATCH = 3  # only the brute force of tests/llm scores with it
@@ -50,13 +56,14 @@ TOKEN_BREAKS = np.ones(256, bool)
 TOKEN_BREAKS[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = False
 
 
-def seeds(hashes: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each mask the positions of tokens at which it fits into a document,
-    and the seeds there.  ``bounds``: tokens before each document."""
+def seeds(hashes: np.ndarray, bounds: np.ndarray, whole: Iterable[int] = ()) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each mask, then for each length of ``whole`` (runs without gaps), the
+    positions of tokens at which it fits into a document, and the seeds there.
+    ``bounds``: tokens before each document."""
     left = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(len(hashes))  # tokens up to the end of the document
-    for number, mask in enumerate(MASKS):
+    for number, mask in [*enumerate(MASKS, 1), *((len(MASKS) + n, "1" * n) for n in whole)]:
         at = np.flatnonzero(left >= len(mask))
-        seed = np.full(len(at), number + 1, np.uint64)
+        seed = np.full(len(at), number, np.uint64)
         for k, chosen in enumerate(mask):
             if chosen == "1":
                 seed = seed * np.uint64(BASE) + hashes[at + k]
@@ -69,22 +76,24 @@ def _bloom_places(seed: np.ndarray, bits: int) -> Iterator[np.ndarray]:
 
 
 def item_seeds(items: DataFrame) -> DataFrame:
-    """(seed, item_id, item_key, at) of (item_id, item_key, text)."""
+    """(seed, item_key, at, n_item) of (item_key, text): the masks' seeds of an item
+    of ``LEAST_ITEM`` tokens or more, the one seed of a shorter one."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             for a, b in runs(offsets):
                 found = words(data, offsets[a:b + 1], TOKEN_BREAKS)
-                long = np.diff(found.bounds) >= LEAST_ITEM
-                for at, seed in seeds(found.hashes, found.bounds):
+                length = np.diff(found.bounds)
+                for number, (at, seed) in enumerate(seeds(found.hashes, found.bounds, SHORT)):
+                    asked = length >= LEAST_ITEM if number < len(MASKS) else length == SHORT[number - len(MASKS)]
                     item = np.searchsorted(found.bounds, at, "right") - 1
-                    at, seed, item = at[long[item]], seed[long[item]], item[long[item]]
+                    at, seed, item = at[asked[item]], seed[asked[item]], item[asked[item]]
                     rows = pa.array(a + item)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(seed.view(np.int64)), batch.column("item_key").take(rows), pa.array(at - found.bounds[item])],
-                        ["seed", "item_key", "at"])
+                        [pa.array(seed.view(np.int64)), batch.column("item_key").take(rows), pa.array(at - found.bounds[item]), pa.array(length[item])],
+                        ["seed", "item_key", "at", "n_item"])
 
-    return items.select("item_key", "text").mapInArrow(cut, "seed long, item_key binary, at long")
+    return items.select("item_key", "text").mapInArrow(cut, "seed long, item_key binary, at long, n_item long")
 
 
 def bloom(table: DataFrame) -> np.ndarray:
@@ -124,9 +133,10 @@ def token_hashes(table: DataFrame, keys: list[str]) -> DataFrame:
     return table.select(*keys, "text").mapInArrow(cut, f"{fields}, tokens binary")
 
 
-def _regions(texts: DataFrame, filter_: np.ndarray, reach: int) -> DataFrame:
+def _regions(texts: DataFrame, filter_: np.ndarray, reach: int, whole: list[int]) -> DataFrame:
     """Parts of documents in which the filter knows seeds, with ``reach`` tokens
-    on both sides."""
+    on both sides.  Of runs without gaps (lengths ``whole``) a document gives the
+    first of its equal ones: it is the one that is reported."""
     shared = texts.sparkSession.sparkContext.broadcast(np.packbits(filter_, bitorder="little"))
     bits = len(filter_)
 
@@ -148,9 +158,16 @@ def _regions(texts: DataFrame, filter_: np.ndarray, reach: int) -> DataFrame:
             for a, b in runs(offsets):
                 found = words(data, offsets[a:b + 1], TOKEN_BREAKS)
                 pairs = []
-                for at, seed in seeds(found.hashes, found.bounds):
+                for number, (at, seed) in enumerate(seeds(found.hashes, found.bounds, whole)):
                     spots = known(seed, packed)
-                    pairs.append((at[spots], seed[spots]))
+                    at, seed = at[spots], seed[spots]
+                    if number >= len(MASKS):
+                        order = np.lexsort((at, seed, np.searchsorted(found.bounds, at, "right")))
+                        at, seed = at[order], seed[order]
+                        doc = np.searchsorted(found.bounds, at, "right")
+                        first = np.append(True, (doc[1:] != doc[:-1]) | (seed[1:] != seed[:-1]))[:len(at)]
+                        at, seed = at[first], seed[first]
+                    pairs.append((at, seed))
                 at = np.concatenate([x for x, _ in pairs])
                 if not len(at):
                     continue
@@ -226,14 +243,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     once = items.dropDuplicates(["item_key"])
     table = staged(item_seeds(once), "item-seeds")
     tokens = staged(token_hashes(once, ["item_key"]).withColumnRenamed("tokens", "item_tokens"), "item-tokens")
-    reach = (tokens.agg(F.max(F.length("item_tokens"))).first()[0] or 0) // 8
-    regions = staged(_regions(texts, bloom(table), reach).withColumn("region", F.monotonically_increasing_id()), "regions")
+    n_item = F.length("item_tokens") / 8
+    longest, whole = tokens.agg(F.max(n_item), F.collect_set(F.when((n_item > 0) & (n_item < LEAST_ITEM), n_item))).first()
+    reach, whole = int(longest or 0), sorted(map(int, whole))  # at most LEAST_ITEM - 1 lengths
+    regions = staged(_regions(texts, bloom(table), reach, whole).withColumn("region", F.monotonically_increasing_id()), "regions")
     hits = regions.select("region", F.inline("hits").alias("seed", "doc_at"))
-    diagonals = (hits.join(table, "seed").select("region", "item_key", (F.col("doc_at") - F.col("at")).alias("diagonal")).distinct())
-    pairs = (diagonals.join(regions.drop("hits"), "region")
-             .join(tokens, "item_key")
-             # what lies beside the item only, 8 bytes a token
-             .withColumn("tokens", F.expr("substring(tokens, int(8 * greatest(diagonal, 0)) + 1, int(length(item_tokens) + 8 * least(diagonal, 0)))")))
+    diagonals = hits.join(table, "seed").select("region", "item_key", "n_item", (F.col("doc_at") - F.col("at")).alias("diagonal")).distinct()
+    # what lies beside the item only, 8 bytes a token, before it meets the items
+    pairs = (diagonals.join(regions.drop("hits"), "region").withColumn(
+        "tokens", F.expr("substring(tokens, int(8 * greatest(diagonal, 0)) + 1, int(8 * (n_item + least(diagonal, 0))))"))
+        .join(tokens, "item_key"))
     found = pairs.select("doc_id", "doc_key", "item_key", "start", "tokens", "item_tokens", "diagonal").mapInArrow(
         _compare, "doc_id long, doc_key binary, item_key binary, doc_start long, item_start long, n_tokens long, n_same long")
     best = found.groupBy("doc_id", "doc_key", "item_key").agg(

@@ -18,8 +18,8 @@ def brute(docs, items):
     for d, text in docs:
         for i, item in items:
             a, b = tokens(text), tokens(item)
-            best = None
-            for shift in range(-len(b), len(a)):
+            best = len(b) if 0 < len(b) < op.LEAST_ITEM and any(a[k:k + len(b)] == b for k in range(len(a))) else None
+            for shift in range(-len(b), len(a)) if len(b) >= op.LEAST_ITEM else ():
                 low, high = max(0, -shift), min(len(b), len(a) - shift)
                 match = [a[k + shift] == b[k] for k in range(low, high)]
                 seeded = any(all(match[s + k] for k, c in enumerate(m) if c == "1")
@@ -54,7 +54,7 @@ def test_against_brute_force(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]): r["n_same"] for r in op.overlaps(frame, bench).collect()}
     expected = brute(docs, items)
-    assert got == expected and {(1, 0), (3, 5), (4, 4), (5, 3)} <= set(got) and not {d for d, _ in got} & {2, 6, 8, 9, 10}
+    assert got == expected and {(1, 0), (3, 5), (4, 4), (5, 3), (10, 20)} <= set(got) and not {d for d, _ in got} & {2, 6, 8, 9}
 
 
 def test_odd_and_empty(spark, odd, empty):
@@ -131,3 +131,22 @@ def test_every_overlap_is_found_at_its_full_length(spark):
     got = {(x["doc_id"], x["item_id"]): (x["n_tokens"], x["n_same"]) for x in op.overlaps(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
     expected = longest_overlaps(docs, items)
     assert got == expected and {(1000, 9), (1001, 9), (1002, 9), (1003, 0)} <= set(got)
+
+
+def test_short_items_are_found_whole(spark):
+    r = random.Random(11)
+    items = [(n, " ".join(f"s{r.randint(0, 2)}" for _ in range(n))) for n in range(1, 8)] + [(9, "..."), (10, "S1, s2!"), (11, " ".join(f"s{k % 3}" for k in range(8)))]
+    docs = [(d, " ".join(f"s{r.randint(0, 3)}" for _ in range(r.randint(0, 40)))) for d in range(120)]
+    docs += [(500, "s1 " * 3000), (501, "s1-s2"), (502, "s1s2"), (None, items[6][1]), (503, None)]
+    frame = spark.createDataFrame([(d, t, None, None, 0) for d, t in docs], FIELDS)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]): (x["doc_start"], x["item_start"], x["n_tokens"], x["n_same"]) for x in op.overlaps(frame, bench).collect() if x["item_id"] < 11}
+    expected = {}
+    for (d, text), (i, item) in itertools.product(docs, items[:-1]):
+        a, b = tokens(text), tokens(item)
+        at = next((k for k in range(len(a) - len(b) + 1) if b and a[k:k + len(b)] == b), None)
+        if at is not None:
+            expected[d, i] = (at, 0, len(b), len(b))
+    assert got == expected and {(501, 10), (None, 7)} <= set(got) and not any(d == 502 for d, _ in got)
+    clean = {r_["doc_id"] for r_ in op.drop_contaminated(frame, bench.where("item_id = 10")).collect()}
+    assert clean == {d for d, _ in docs} - {d for d, i in expected if i == 10}
