@@ -1,8 +1,8 @@
 """Line dedup by a log-template tree, in DataFrame operations only.
 
 1. A line is parsed down a tree of fixed depth: its number of tokens, then its
-   first ``LEAD`` tokens.  Tokens with a digit are variable fields from the
-   start.  A leaf is what agrees on all of these.
+   first ``LEAD`` tokens, or all it has if they are fewer.  Tokens with a digit
+   are variable fields from the start.  A leaf is what agrees on all of these.
 2. Leaves that occur in fewer than ``MIN_DOCS`` documents hold nothing that
    recurs; their lines go no further.
 3. In the other leaves a token that stands at its place in at least MIN_DOCS
@@ -11,9 +11,12 @@
 4. A template recurs if MIN_DOCS documents hold it, at least ``CONSTANT`` of its
    tokens are constant, and with the fields known from the start these are at
    least ``KNOWN`` of them.  All lines with a recurring template are dropped.
+5. A line of ``LONG`` tokens or more is a template without fields as well, digits
+   and all: such a one recurs if ``LONG_DOCS`` documents hold it word for word, as
+   a line of that length is hardly written twice by chance.
 
-Lines end at newlines and tokens at ASCII white space; lines of fewer than LEAD
-tokens, empty ones among them, stay.  Kept lines are joined by newlines again.
+Lines end at newlines and tokens at ASCII white space; lines without tokens
+stay.  Kept lines are joined by newlines again.
 Null texts count as empty: one empty line.  A line that a document repeats counts
 once for that document.  Rows that repeat id and text are one document for these
 counts, and each loses its lines.  Null ids are told apart by their text.  Empty
@@ -38,6 +41,8 @@ LEAD = 3
 MIN_DOCS = 10
 CONSTANT = 0.5
 KNOWN = 0.75
+LONG = 8
+LONG_DOCS = 3
 ANY = "<*>"
 SPACES = "[\\x20\\x09-\\x0D]+"
 _MARK = "\u001f"
@@ -50,10 +55,10 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.coalesce(key, F.lit(b"")).alias("doc_key"))
 
 
-def _documents(rows: DataFrame, *by: str) -> DataFrame:
-    """``by`` of at least MIN_DOCS documents."""
+def _documents(rows: DataFrame, *by: str, least: int = MIN_DOCS) -> DataFrame:
+    """``by`` of at least ``least`` documents."""
     return (rows.select(*by, "doc_key").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-            .where(F.col("__n") >= MIN_DOCS).drop("__n"))
+            .where(F.col("__n") >= least).drop("__n"))
 
 
 def _masked(tokens):
@@ -61,16 +66,19 @@ def _masked(tokens):
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
-    """Adds ``tokens`` and ``leaf`` to lines that are long enough."""
-    tokens = F.split(F.btrim("line", F.lit(" \t\n\x0b\x0c\r")), SPACES)
-    return (lines.withColumn("tokens", tokens).where(F.size("tokens") >= LEAD)
+    """Adds ``tokens`` and ``leaf`` to lines that have tokens."""
+    trimmed = F.btrim("line", F.lit(" \t\n\x0b\x0c\r"))
+    return (lines.where(trimmed != "").withColumn("tokens", F.split(trimmed, SPACES))
             .withColumn("leaf", F.concat_ws(_MARK, F.size("tokens"), _masked(F.slice("tokens", 1, LEAD)))))
 
 
 def recurring_lines(texts: DataFrame) -> DataFrame:
     """(doc_key, gone): places of the lines to drop, for each document that has any."""
     every = texts.select("doc_key", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    leaves = staged(_parsed(every).select("doc_key", "place", "leaf"), "leaves")
+    words = F.when(F.size("tokens") >= LONG, F.unhex(F.md5(F.array_join("tokens", " ").cast("binary"))))
+    leaves = staged(_parsed(every).select("doc_key", "place", "leaf", words.alias("words")), "leaves")
+    long = leaves.where("words IS NOT NULL")
+    same = long.join(_documents(long, "words", least=LONG_DOCS), "words").select("doc_key", "place")
     asked = (leaves.join(_documents(leaves, "leaf"), "leaf").groupBy("doc_key")
              .agg(F.collect_set("place").alias("places")))
     # the asked lines are taken by their place, so a document costs its lines and these places
@@ -91,7 +99,7 @@ def recurring_lines(texts: DataFrame) -> DataFrame:
     template = staged(template.where((F.col("constant") >= CONSTANT) & (F.col("known") >= KNOWN)).drop("constant", "known"), "templates")
     recurs = _documents(held.join(template, ["leaf", "line"]), "leaf", "template")
     gone = template.join(recurs, ["leaf", "template"]).select("leaf", "line")
-    return held.join(gone, ["leaf", "line"]).groupBy("doc_key").agg(F.collect_set("place").alias("gone"))
+    return held.join(gone, ["leaf", "line"]).select("doc_key", "place").union(same).groupBy("doc_key").agg(F.collect_set("place").alias("gone"))
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,7 +132,10 @@ parsed AS (
     FROM lines),
 leaves AS (
     SELECT row_no, place, tokens, len(tokens)::VARCHAR || chr(31) || array_to_string(tokens[1:{LEAD}], chr(31)) AS leaf
-    FROM parsed WHERE len(tokens) >= {LEAD}),
+    FROM parsed WHERE len(tokens) > 0),
+worded AS (
+    SELECT row_no, place, trim(regexp_replace(line, '{SPACES}', ' ', 'g')) AS said FROM parsed WHERE len(tokens) >= {LONG}),
+said_again AS (SELECT said FROM worded GROUP BY said HAVING count(DISTINCT row_no) >= {LONG_DOCS}),
 busy AS (SELECT leaf FROM leaves GROUP BY leaf HAVING count(DISTINCT row_no) >= {MIN_DOCS}),
 held AS (SELECT * FROM leaves WHERE leaf IN (SELECT leaf FROM busy)),
 spread AS (SELECT row_no, place, leaf, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS spot FROM held),
@@ -139,7 +150,9 @@ templates AS (
 recurring AS (
     SELECT leaf, template FROM templates WHERE constant >= {CONSTANT} AND known >= {KNOWN}
     GROUP BY leaf, template HAVING count(DISTINCT row_no) >= {MIN_DOCS}),
-gone AS (SELECT row_no, place FROM templates JOIN recurring USING (leaf, template) WHERE constant >= {CONSTANT} AND known >= {KNOWN})
+gone AS (
+    SELECT row_no, place FROM templates JOIN recurring USING (leaf, template) WHERE constant >= {CONSTANT} AND known >= {KNOWN}
+    UNION SELECT row_no, place FROM worded WHERE said IN (SELECT said FROM said_again))
 SELECT doc_id, count(*) AS n_lines, count(g.place) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE g.place IS NULL), '')) AS kept_sha256
 FROM lines LEFT JOIN gone g USING (row_no, place)
