@@ -13,14 +13,19 @@ The languages are ``LANGUAGES`` and every other label of ``LEAST_ROWS`` rows or
 more: with fewer the trigrams of a language are hardly known, and its
 distribution is too near that of ``und``.  Labels and declared languages count
 by their first part, in lower case ("en-US" and "en_GB" are "en"), and only if
-that is a code of two to eight letters that names one language.
+that is a code of two to eight letters that names one language.  A row that
+declares a language with fewer rows (a code of ``TWO_LETTERS`` or of three
+letters) is in that language where none of the others explains its text: it
+gets that code instead of ``und``, and stays.
 
 The trigram model is counted over all rows with such a label.  The other tables are
 counted over all rows by grouped aggregation, with the language that the text
 alone suggests; a row's own share counts only through the smoothing.  An extra
 class ``und`` stands for text in no known language: each trigram is equally
 likely.  A row is kept unless ``und`` has the best posterior or the text has no
-letter at all.
+letter at all.  Of equal posteriors the first in alphabetical order wins, ``und``
+last.  ``probability`` is that of the best class, also where a rare code stands
+for ``und``.
 
 Missing evidence (null or empty) contributes nothing.  Null texts count as
 empty.  Rows are scored one by one, so repeated rows, equal ids and null ids need
@@ -44,6 +49,15 @@ LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
 NO_LANGUAGE = (UNKNOWN, "mis", "mul", "zxx")  # codes of no single language
 LEAST_ROWS = 20
+# fixed values: the two-letter language codes
+TWO_LETTERS = tuple("""
+aa ab ae af ak am an ar as av ay az ba be bg bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz
+ee el en eo es et eu fa ff fi fj fo fr fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii
+ik io is it iu ja jv ka kg ki kj kk kl km kn ko kr ks ku kv kw ky la lb lg li ln lo lt lu lv mg mh mi
+mk ml mn mr ms mt my na nb nd ne ng nl nn no nr nv ny oc oj om or os pa pi pl ps pt qu rm rn ro ru rw
+sa sc sd se sg si sk sl sm sn so sq sr ss st su sv sw ta te tg th ti tk tl tn to tr ts tt tw ty ug uk
+ur uz ve vi vo wa wo xh yi yo za zh zu
+""".split())
 BUCKETS = 1 << 12
 TEXT_WEIGHT = 0.3
 UNKNOWN_PRIOR = 0.001
@@ -192,7 +206,9 @@ def identify(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...] = LA
         posterior = F.zip_with(posterior, part, lambda a, b: a + b)
     joined = joined.withColumn("posterior", posterior)
     norm = F.aggregate(F.transform("posterior", lambda x: F.exp(x - F.array_max("posterior"))), F.lit(0.0), lambda a, x: a + x)
-    language = F.when(F.col("n_letters") == 0, UNKNOWN).otherwise(_best("posterior", classes))
+    best = _best("posterior", classes)
+    rare = ((F.col("declared").isin(*TWO_LETTERS) | F.col("declared").rlike("^[a-z]{3}$")) & ~F.col("declared").isin(*languages, *NO_LANGUAGE))
+    language = F.when(F.col("n_letters") == 0, UNKNOWN).when((best == UNKNOWN) & rare, F.col("declared")).otherwise(best)
     return (joined.withColumn("language", language).withColumn("probability", 1 / norm)
             .withColumn("kept", F.col("language") != UNKNOWN)
             .drop("text_score", "n_letters", "by_text", "declared_score", "suffix_score", "host_score", "posterior", "domain"))

@@ -98,3 +98,59 @@ def test_languages_come_from_the_labels(spark):
     assert {r["language"] for r in found if 100 <= r["doc_id"] < 130 or r["doc_id"] == 300} == {"el"}
     only = docs.where("doc_id < 30")
     assert op.keep_identified(only).count() == 30
+
+
+def test_rare_labels_stay(spark):
+    """Too few rows to be a class: text in another script stays under its code, junk without one goes."""
+    hangul = lambda k: prose(40, k).translate({ord(c): 0xAC00 + 40 * i for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")})
+    rows = ([(k, prose(40, k), "en", "a", 0) for k in range(30)] + [(100 + k, hangul(k), x, "b", 0) for k, x in enumerate(["ko", "KO-kr", "kor", "nl"])]
+            + [(200 + k, hangul(50 + k), x, "b", 0) for k, x in enumerate([None, "", "xx", "und", "mul"])] + [(300, "12 %%", "ko", "b", 0), (301, prose(40, 99), "nl", "a", 0)])
+    docs = spark.createDataFrame(rows, FIELDS)
+    found = {r["doc_id"]: r["language"] for r in op.identify(op.document_evidence(docs), op.text_model(op._labelled(docs), op.LANGUAGES)).collect()}
+    assert [found[d] for d in range(100, 104)] == ["ko", "ko", "kor", "nl"] and found[301] == "en"
+    assert {found[d] for d in (*range(200, 205), 300)} == {op.UNKNOWN}
+    assert {r["doc_id"] for r in op.keep_identified(docs).collect()} == {*range(30), *range(100, 104), 301}
+
+
+def test_fusion_against_brute_force(spark, labelled):
+    """Posteriors from the rows' own counts: text, declared language, suffix, host within domain within table."""
+    model = op.text_model(labelled.select(labelled.lang.alias("label"), "text"))
+    classes = (*op.LANGUAGES, op.UNKNOWN)
+    hosts = [None, "", "a.x.de", "b.x.de", "c.y.uk", "d.y.uk", "single"]
+    rows = [(k, [prose(4, k), german(3, k), "Ab", "", "qxzjvw kq", "12 %"][k % 6], [None, "de", "en-GB", " ", "nl", "EN"][k // 6 % 6],
+             [None, "de", "uk"][k % 3], hosts[k % 7]) for k in range(150)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, declared string, suffix string, host string")
+    got = {r["doc_id"]: (r["language"], r["probability"]) for r in op.identify(frame, model).collect()}
+    made = []
+    for k, text, declared, suffix, host in rows:
+        data, offsets = utf8(pa.array([text]))
+        score = op.TEXT_WEIGHT * model[op.trigram_buckets(data, offsets)].sum(axis=0) if text else np.zeros(len(classes))
+        letters = any(c.isalpha() for c in text)
+        made.append((k, score, letters, (declared or "").strip().lower().split("-")[0] or None, suffix, host or None,
+                     classes[int(np.argmax(score))] if letters else op.UNKNOWN))
+    def given(at):
+        pairs = Counter((m[at], m[6]) for m in made if m[at] is not None)
+        values = {v for v, _ in pairs}
+        total = Counter()
+        for (_, c), n in pairs.items():
+            total[c] += n
+        return {v: np.log([(pairs[v, c] + op.SMOOTHING) / (total[c] + op.SMOOTHING * len(values)) for c in classes]) for v in values}
+    declared_logs, suffix_logs = given(3), given(4)
+    domain = lambda h: ".".join(h.split(".")[-2:])
+    at_host, at_domain, at_all = (Counter((f(m[5]), m[6]) for m in made if m[5]) for f in (lambda h: h, domain, lambda h: ""))
+    size = lambda counts, v: sum(counts[v, c] for c in classes)
+    def prior(h):
+        out = []
+        for c in classes:
+            overall = (at_all["", c] + op.SMOOTHING) / (size(at_all, "") + op.SMOOTHING * len(classes))
+            near = (at_domain[domain(h), c] + op.DOMAIN_WEIGHT * overall) / (size(at_domain, domain(h)) + op.DOMAIN_WEIGHT)
+            out.append((at_host[h, c] + op.HOST_WEIGHT * near) / (size(at_host, h) + op.HOST_WEIGHT))
+        return np.log(out)
+    base = np.log([*[(1 - op.UNKNOWN_PRIOR) / len(op.LANGUAGES)] * len(op.LANGUAGES), op.UNKNOWN_PRIOR])
+    for k, score, letters, declared, suffix, host, _ in made:
+        posterior = score + base + declared_logs.get(declared, 0) + suffix_logs.get(suffix, 0) + (prior(host) if host else 0)
+        best = classes[int(np.argmax(posterior))]
+        if best == op.UNKNOWN and declared == "nl":
+            best = "nl"
+        assert got[k][0] == (best if letters else op.UNKNOWN), rows[k]
+        assert got[k][1] == pytest.approx(1 / np.exp(posterior - posterior.max()).sum()), rows[k]
