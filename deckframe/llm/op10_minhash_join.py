@@ -28,8 +28,8 @@ lost.
 
 Null texts count as empty and are linked with nothing, as are empty ones.
 Rows with null ids take the component of rows with the same set, else null.  Rows that
-share an id are one node.  Empty tables give empty results; extra columns are
-ignored.
+share an id are one node, that of the text with the smallest MD5.  Empty tables
+give empty results; extra columns are ignored.  A task holds one text and its set.
 """
 
 from __future__ import annotations
@@ -94,7 +94,7 @@ def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def _member_sets(texts: DataFrame) -> DataFrame:
-    """(node, size, members): whole sets as sorted 64-bit integers."""
+    """(node, size, members) of each row: whole sets as sorted 64-bit integers."""
     def whole(batches):
         for batch in batches:
             sets = list(_sets(batch))
@@ -102,7 +102,7 @@ def _member_sets(texts: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
                 ["node", "size", "members"])
 
-    return texts.select("doc_id", "text").mapInArrow(whole, "node long, size long, members binary").dropDuplicates(["node"])
+    return texts.select("doc_id", "text").mapInArrow(whole, "node long, size long, members binary")
 
 
 def postings(nodes: DataFrame) -> DataFrame:
@@ -243,10 +243,13 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sign = staged(signed(docs, id_col, text_col), "signed") if sign is None else sign
     filled = sign.where("n_shingles > 0 AND doc_id IS NOT NULL")
     named = filled.groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    nodes = filled.join(named, "set_key").where("doc_id = node").select("node", "signature").dropDuplicates(["node"])
-    nodes = staged(nodes, "nodes")
+    nodes = filled.join(named, "set_key").where("doc_id = node").groupBy("node").agg(F.min(F.struct("doc_key", "signature")).alias("first"))
+    nodes = staged(nodes.select("node", "first.doc_key", "first.signature"), "nodes")
     posted = staged(postings(nodes).distinct(), "postings")
-    members = staged(_member_sets(texts.join(posted.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")), "members")
+    asked = nodes.join(posted.select("node").distinct(), "node", "left_semi").select(F.col("node").alias("doc_id"), "doc_key")
+    # repeated rows go while the texts are dealt for the join, so the larger sets need no shuffle of their own
+    once = texts.join(staged(asked, "asked"), ["doc_id", "doc_key"], "left_semi").dropDuplicates(["doc_id", "doc_key"])
+    members = staged(_member_sets(once), "members")
     near = staged(_compared(_collisions(_stars(posted), nodes), members), "near")
     found = near.where("linked").select("a", "b")
     label = components(found)
