@@ -247,23 +247,23 @@ def deck_cost(lists: DataFrame, prices: DataFrame, by=()) -> DataFrame:
     of their card, with costs outside [0, 9999] (unpriced sentinels) set to 0;
     unmatched cards add nothing.
 
-    Prices are first gathered per card name (one entry per printing, bounded by
-    the catalogue), so each line meets one row and the join multiplies nothing.
+    Each different (card, quantity) of the lists is priced once: against its
+    card's different prices, each with its number of printings.  Complete lists
+    total a fixed size, so a card has few quantities, and the work grows with
+    the printings, not with lines times printings.  ``lists`` is read twice.
     """
     by = as_list(by)
-    p = (prices.filter(F.col("name").isNotNull() & F.col("min_usd").isNotNull())
-               .groupBy(F.col("name").alias("__pname")).agg(F.collect_list("min_usd").alias("__prices")))
-    joined = lists.join(p, F.col("card_name") == F.col("__pname"), "left")
-
     kind = COST_TYPE if isinstance(prices.schema["min_usd"].dataType, T.DecimalType) else "double"
-
-    def add(total, price):
-        cost = price * F.col("quantity")
-        counted = F.when(cost.between(0, MAX_LINE_COST), cost).otherwise(F.lit(0))
-        return (total + counted).cast(kind)
-
-    line = F.aggregate("__prices", F.lit(0).cast(kind), add)
-    return joined.groupBy(*by, "deck_id").agg(F.sum(line).alias("cost"))
+    p = (prices.filter(F.col("name").isNotNull() & F.col("min_usd").isNotNull())
+               .groupBy(F.col("name").alias("__pname"), "min_usd").agg(F.count(F.lit(1)).alias("__printings")))
+    pairs = lists.select(F.col("card_name").alias("__card"), F.col("quantity").alias("__copies")).distinct()
+    cost = F.col("min_usd") * F.col("__copies")
+    counted = F.when(cost.between(0, MAX_LINE_COST), cost).otherwise(F.lit(0))
+    lines = (pairs.join(p, F.col("__card") == F.col("__pname"))
+                  .groupBy("__card", "__copies")
+                  .agg(F.sum((counted * F.col("__printings")).cast(kind)).cast(kind).alias("__line")))
+    joined = lists.join(lines, (F.col("card_name") == F.col("__card")) & F.col("quantity").eqNullSafe(F.col("__copies")), "left")
+    return joined.groupBy(*by, "deck_id").agg(F.sum("__line").alias("cost"))
 
 
 def deck_build_progress(lists: DataFrame, details: DataFrame, collection: DataFrame,

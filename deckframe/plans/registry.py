@@ -32,7 +32,7 @@ from deckframe.plans import cards, combos, decks, star, web
 from deckframe.plans.assets import load_asset
 from deckframe.plans.formats import build_format
 from deckframe.plans.maintained import maintain_average_decks
-from deckframe.session import scratch_path
+from deckframe.session import scratch_path, staged
 from deckframe.sources import (AssetSpec, apply_snapshot, database_at, land_run, materialize, read_cards, read_collection,
                                read_combos, read_decks, read_table,
                                split_bad_records, upsert_table, write_chunks, write_increment, write_landing, write_snapshot)
@@ -365,7 +365,7 @@ FROM by_deck LEFT JOIN details USING (deck_id)
 WHERE percent_complete <= {DECK_SIZE}""")
 def q_build_progress(spark, d):
     b = _boards(spark, d)
-    lists = decks.decklists(b, DECK_SIZE)
+    lists = staged(decks.decklists(b, DECK_SIZE), "lists")    # read four times
     details = decks.deck_details(star.deck_history(spark, d), star.commanders(b), lists)
     prices = cards.card_prices(star.printings(spark, d))
     out = decks.deck_build_progress(lists, details, _collection(spark, d), prices, DECK_SIZE,

@@ -168,3 +168,21 @@ def test_buildable_average_decks(spark):
     coll = collection(spark, [("Island", 2), ("Bolt", 1), ("C1", 1)])
     out = decks.buildable_average_decks(avg, coll, size=4).collect()
     assert sorted(r["copy_paste"] for r in out) == ["1 Bolt", "1 C1", "2 Island"]
+
+
+def test_deck_cost_of_cards_with_many_printings(spark):
+    lists = spark.createDataFrame(
+        [("d1", "A", 3), ("d1", "B", 1), ("d2", "A", 3), ("d2", "A", 40), ("d3", "A", None), ("d4", "C", 2), ("d4", None, 1)],
+        "deck_id string, card_name string, quantity bigint")
+    priced = [("A", 1.0 + i % 500) for i in range(2000)] + [("B", 9999.0), ("B", 9999.5), ("B", None), (None, 1.0), ("C", None)]
+    prices = spark.createDataFrame(priced, "name string, usd double").select("name", F.col("usd").cast("decimal(12,2)").alias("min_usd"))
+    want = {}
+    for deck, card, quantity in [tuple(r) for r in lists.collect()]:
+        amounts = [p * quantity if quantity is not None else 0 for n, p in priced if n is not None and n == card and p is not None]
+        if amounts:
+            want[deck] = want.get(deck, 0) + sum(a for a in amounts if 0 <= a <= 9999)
+    out = decks.deck_cost(lists, prices)
+    got = {r["deck_id"]: r["cost"] for r in out.collect()}
+    assert {k: v if v is None else float(v) for k, v in got.items()} == {**want, "d4": None}
+    # the prices of a card are never gathered beside its lines
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
