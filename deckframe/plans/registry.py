@@ -93,6 +93,12 @@ def _details(spark, d):
                               decks.decklists(b, DECK_SIZE))
 
 
+def _format_boards(spark, d):
+    # stored: the joins that make the rows and those that read them, each with its
+    # sorts, don't meet in one task
+    return staged(star.deck_boards_by_priority(spark, d), "boards-by-format")
+
+
 def _images(spark, d):
     return cards.image_lookup(star.printings(spark, d))
 
@@ -577,7 +583,7 @@ complete_decks AS (
 decklists AS (SELECT r.* FROM current_rows r JOIN complete_decks USING (format, deck_id)),
 """ + _average_sql(AVERAGE_BUDGET, "format") + "\nSELECT * FROM average")
 def q_average_by_format(spark, d):
-    b = star.deck_boards_by_priority(spark, d)
+    b = _format_boards(spark, d)
     lists = decks.decklists(b, DECK_SIZE, by=["format"])
     return decks.average_decks(lists, star.commanders(b), AVERAGE_BUDGET, by=["format"])
 
@@ -979,7 +985,7 @@ _FMT = "WITH " + ",\n".join([_CTE["parts"], _CTE["boards"].replace("'lineitem' A
 
 
 def _format_lists(spark, d):
-    b = star.deck_boards_by_priority(spark, d)
+    b = _format_boards(spark, d)
     return b, decks.decklists(b, DECK_SIZE, by=_BY)
 
 

@@ -82,3 +82,10 @@ def test_build_format_bucketed_joins_skip_the_shuffle(spark, scratch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_models_by_format_read_stored_boards(spark):
+    for name in ("average_by_format", "decklists_by_format", "details_by_format", "buildable_by_format", "top_items_by_format"):
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        # lineitem, part and orders are joined once, not in the tasks of the models
+        assert "l_orderkey" not in plan and "deck_id" in plan, name
