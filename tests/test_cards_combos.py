@@ -146,3 +146,13 @@ def test_parse_utc_formats(spark):
     df = spark.createDataFrame([(v,) for v in vals], "s string")
     got = [r[0] for r in df.select(canonical_ts_text(parse_utc("s"))).collect()]
     assert got == ["2025-12-19 01:03:53"] * 6 + [None] * 8
+
+
+def test_boards_without_cards_are_not_parsed(spark):
+    empty = '{"count":0,"cards":{}}'
+    one = '{"count":1,"cards":{"k":{"quantity":"2","card":{"name":"A"}}}}'
+    docs = spark.createDataFrame([(1, None, "f", one, empty, "{}"), (2, None, "f", empty, None, "null")],
+                                 "id int, lastUpdatedAtUtc timestamp, format string, commanders string, mainboard string, companions string")
+    out = decks.board_cards(docs)
+    assert [(r["deck_id"], r["card_name"], r["quantity"], r["type"]) for r in out.collect()] == [(1, "A", 2, "Commander")]
+    assert '{"count":0,"cards":{}}' in out._jdf.queryExecution().optimizedPlan().toString()
