@@ -15,6 +15,7 @@ from deckframe.plans.decks import board_cards
 from deckframe.sources import (AssetSpec, apply_snapshot, asset_filter, database_at, read_cards, read_combos, read_decks,
                                read_table, upsert_table, write_snapshot)
 from deckframe.streaming.ingest import latest_state_batch
+from tests.conftest import SF_SMALL
 
 
 class Lost(Exception):
@@ -188,3 +189,30 @@ def test_incremental_asset_reads_from_its_mark(spark, scratch, db):
     spec = AssetSpec(name="decks", nature="incremental", tombstone="lastUpdatedAtUtc", max_rows=2)
     loaded = [sorted(r["id"] for r in load_asset(spark, spec, path, db, run, buckets=4).collect()) for run in (1, 2, 3)]
     assert loaded == [["d1", "d4"], ["d1", "d2", "d3", "d4"], ["d0", "d1", "d2", "d3", "d4"]]
+
+
+def test_a_carried_over_load_is_shuffled_once(spark, scratch, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    table = f"{database_at(spark, scratch)}.once"
+    rows = lambda lo, hi: spark.range(lo, hi).selectExpr("id", "id * 2 AS v")
+    upsert_table(rows(0, 40), table, ["id"], buckets=4)
+    hints, hint = [], DataFrame.hint
+    monkeypatch.setattr(DataFrame, "hint", lambda self, name, *by: hints.append(name) or hint(self, name, *by))
+    upsert_table(rows(20, 60).selectExpr("id", "-id AS v"), table, ["id"])
+    assert hints == ["rebalance"]     # before the pending table, not again before its rows are carried over
+    want = {i: (-i if i >= 20 else 2 * i) for i in range(60)}
+    assert {r["id"]: r["v"] for r in read_table(spark, table).collect()} == want
+
+
+def test_models_are_built_from_parsed_decks(spark, monkeypatch):
+    from deckframe.plans import registry
+    plans = []
+
+    def build(spark, decks_so_far, *args, **kwargs):
+        plans.append(decks_so_far._jdf.queryExecution().optimizedPlan().toString())
+        none = registry._boards(spark, SF_SMALL).limit(0)
+        return {"board_cards": none}
+
+    monkeypatch.setattr(registry, "build_format", build)
+    registry.q_models_built_incrementally(spark, SF_SMALL)
+    assert len(plans) == 2 and all("parquet" in p and "json" not in p for p in plans)
