@@ -156,3 +156,19 @@ def test_boards_without_cards_are_not_parsed(spark):
     out = decks.board_cards(docs)
     assert [(r["deck_id"], r["card_name"], r["quantity"], r["type"]) for r in out.collect()] == [(1, "A", 2, "Commander")]
     assert '{"count":0,"cards":{}}' in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_plain_keys_change_no_entry(spark):
+    from deckframe.functions.json import parse_board, plain_keys
+    entry = lambda n: '{"quantity":"2","prices":{"a\\\\":1,"b":"x: y"},"card":{"name":"' + n + '","id":"i","set":":"}}'
+    many = ",".join(f'"key {i}" : {entry(f"N{i}")}' for i in range(3000))
+    texts = ['{"count":2,"cards":{"a":' + entry("it's") + ',"b\\"c" : ' + entry('q\\" : \\"r\\\\') + ',"name":' + entry("n") + "}}",
+             '{"cards":{"x":' + entry("1") + ',"x":' + entry("2") + "}}", "{'cards':{'a\"b\":':{'quantity':1,'card':{'name':'S'}}}}",
+             '{"cards":{"a":{"quantity":1,', '{"cards":{"a\u0001b":{"quantity":1}}}', '{"cards":{"\\u006eame":' + entry("\\u00e9") + "}}",
+             '{ "cards" : {\n"é" :\n' + entry("z") + "} }", "[1]", "null", "", "{}", None, '{"cards":{' + many + "}}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    rows = docs.select("i", F.map_values(parse_board("t")["cards"]).alias("old"), F.map_values(parse_board(plain_keys("t"))["cards"]).alias("new"),
+                       plain_keys("t").alias("p")).collect()
+    for r in rows:
+        assert r["new"] == r["old"], r["i"]
+    assert "key 7" not in rows[-1]["p"] and rows[-1]["p"].count('"k"') >= 3000 and len(rows[-1]["new"]) == 3000
