@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import BASE, mix, runs, utf8, words
+from .listed import without
 from .staging import staged
 
 # fixed values: 1 selects a token, 0 ignores it
@@ -265,11 +266,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without documents that overlap with an item, all columns unchanged."""
-    # stored first: its size is then known, and a short list spares the texts a shuffle
     bad = staged(overlaps(docs, benchmark, id_col, text_col).select(
         F.col("doc_id").alias("__id"), F.col("doc_key").alias("__key")).distinct(), "contaminated")
-    key = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left_anti")
+    return without(docs, bad, id_col, text_col)
 
 
 def op1_spaced_seeds(spark, sf_dir: str) -> DataFrame:

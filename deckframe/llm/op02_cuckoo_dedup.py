@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .listed import parted
 from .staging import staged
 
 SLOTS = 4
@@ -226,21 +227,23 @@ def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without later copies, all columns unchanged.  The texts meet a
-    list of the rows that go; only rows that repeat id and text are grouped."""
+    """``docs`` without later copies, all columns unchanged.  Only texts whose id
+    is listed, as one that goes or as repeated with its text, are digested again
+    and meet the lists; only rows that repeat id and text are grouped."""
     report = staged(dedup_report(docs, id_col, text_col), "copies")
     named = report.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), "kept")
     gone = staged(named.where("NOT kept").drop("kept").distinct(), "gone")
     repeated = staged(named.where("kept").groupBy("__id", "__sha").agg(F.count(F.lit(1)).alias("__n"))
                       .where("__n > 1").drop("__n"), "repeated")
     text = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), WHITESPACE, " ")
-    marked = docs.withColumn("__own", F.sha2(text.cast("binary"), 256))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__sha"))
-    left = marked.join(gone, same, "left_anti")
+    own = F.col(id_col).cast("long")
+    asked, rest = parted(docs, own, gone.select("__id").unionByName(repeated.select("__id")))
+    same = own.eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__sha"))
+    left = asked.withColumn("__own", F.sha2(text.cast("binary"), 256)).join(gone, same, "left_anti")
     if not repeated.isEmpty():
         once = left.join(repeated, same, "left_semi").dropDuplicates([id_col, "__own"])
         left = left.join(repeated, same, "left_anti").unionByName(once)
-    return left.drop("__own")
+    return rest.unionByName(left.drop("__own"))
 
 
 def op2_cuckoo_dedup(spark, sf_dir: str) -> DataFrame:

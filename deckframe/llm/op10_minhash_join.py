@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .hashing import mix, powers, runs, shingles, utf8, words
+from .listed import parted, without
 from .staging import staged
 
 SHINGLE = 5
@@ -166,13 +167,14 @@ def _compared(pairs: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def _hubs(posted: DataFrame) -> DataFrame:
-    """(value, hub): the node whose values are the most common."""
-    return posted.groupBy("value").agg(F.max_by("node", "weight").alias("hub"))
+    """(value, hub): the node whose values are the most common, of equals the
+    largest: what is known of nodes and their hub must hold wherever they meet."""
+    return posted.groupBy("value").agg(F.max(F.struct("weight", "node"))["node"].alias("hub"))
 
 
-def _stars(posted: DataFrame) -> DataFrame:
+def _stars(posted: DataFrame, hubs: DataFrame) -> DataFrame:
     """Under each value every node with the hub."""
-    met = posted.join(_hubs(posted), "value")
+    met = posted.join(hubs, "value")
     return met.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).where("a < b").distinct()
 
 
@@ -191,7 +193,7 @@ def _support(members: DataFrame) -> DataFrame:
     return members.select("node", "size").join(support, "node")
 
 
-def _across(posted: DataFrame, label: DataFrame, members: DataFrame, compared: DataFrame) -> DataFrame:
+def _across(posted: DataFrame, hubs: DataFrame, label: DataFrame, members: DataFrame, compared: DataFrame) -> DataFrame:
     """Under each value the pairs of nodes from different components that may
     be similar; nodes of the value's most common component don't meet each
     other.
@@ -206,7 +208,7 @@ def _across(posted: DataFrame, label: DataFrame, members: DataFrame, compared: D
     parts = named.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = (parts.groupBy("value").agg(F.max_by("component", "n").alias("main"), F.count(F.lit(1)).alias("parts"))
              .where("parts > 1").select("value", "main"))
-    rows = staged(named.join(mixed, "value").join(_hubs(posted), "value"), "mixed")
+    rows = staged(named.join(mixed, "value").join(hubs, "value"), "mixed")
     support = _support(members.join(rows.select("node").distinct(), "node", "left_semi"))
     able = staged(support.where(100 * F.col("support") >= SIMILAR_PERCENT * F.col("size")), "support")
     hub_size = members.select(F.col("node").alias("hub"), F.col("size").alias("hub_size"))
@@ -239,21 +241,23 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           sign: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Confirmed links (a, b) between nodes, enough of them to connect every
     component, and the nodes' (node, component)."""
-    texts = _texts(docs, id_col, text_col)
     sign = staged(signed(docs, id_col, text_col), "signed") if sign is None else sign
     filled = sign.where("n_shingles > 0 AND doc_id IS NOT NULL")
     named = filled.groupBy("set_key").agg(F.min("doc_id").alias("node"))
     nodes = filled.join(named, "set_key").where("doc_id = node").groupBy("node").agg(F.min(F.struct("doc_key", "signature")).alias("first"))
     nodes = staged(nodes.select("node", "first.doc_key", "first.signature"), "nodes")
     posted = staged(postings(nodes).distinct(), "postings")
-    asked = nodes.join(posted.select("node").distinct(), "node", "left_semi").select(F.col("node").alias("doc_id"), "doc_key")
+    hubs = staged(_hubs(posted), "hubs")
+    nodes = staged(nodes.join(posted.select("node").distinct(), "node", "left_semi"), "asked")
+    asked = nodes.select(F.col("node").alias("doc_id"), "doc_key")
     # repeated rows go while the texts are dealt for the join, so the larger sets need no shuffle of their own
-    once = texts.join(staged(asked, "asked"), ["doc_id", "doc_key"], "left_semi").dropDuplicates(["doc_id", "doc_key"])
+    listed, _ = parted(docs, F.col(id_col).cast("long"), asked.select("doc_id"))
+    once = _texts(listed, id_col, text_col).join(asked, ["doc_id", "doc_key"], "left_semi").dropDuplicates(["doc_id", "doc_key"])
     members = staged(_member_sets(once), "members")
-    near = staged(_compared(_collisions(_stars(posted), nodes), members), "near")
+    near = staged(_compared(_collisions(_stars(posted, hubs), nodes), members), "near")
     found = near.where("linked").select("a", "b")
     label = components(found)
-    rest = _across(posted, label, members, near).join(near, ["a", "b"], "left_anti")
+    rest = _across(posted, hubs, label, members, near).join(near, ["a", "b"], "left_anti")
     late = staged(_compared(_collisions(rest, nodes), members).where("linked").select("a", "b"), "late")
     if not late.isEmpty():
         found = found.union(late)
@@ -277,11 +281,9 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` without all but the smallest id of each group, all columns
     unchanged.  Rows without an id of their own stay only if their group has none."""
     report = near_duplicates(docs, id_col, text_col)
-    # stored first: its size is then known, and a short list spares the texts a shuffle
     bad = staged(report.where("NOT kept").select(
         F.col("doc_id").alias("__id"), F.col("doc_key").alias("__key")).distinct(), "near-copies")
-    key = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left_anti")
+    return without(docs, bad, id_col, text_col)
 
 
 def op10_minhash_join(spark, sf_dir: str) -> DataFrame:

@@ -98,3 +98,11 @@ def test_components(spark, seed):
     found = {x["node"]: x["component"] for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     nodes = {x for a, b in edges if a != b for x in (a, b)}
     assert found == lowest(nodes, [e for e in edges if e[0] != e[1]])
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_equals_have_one_hub(spark, order):
+    """Else what is known of a group's nodes and one hub is asked of another, and all pairs are formed."""
+    rows = [(v, n, 9) for v in (1, 2) for n in (4, 5, 6)][::order]
+    posted = spark.createDataFrame(rows, "value long, node long, weight long").coalesce(1)
+    assert sorted(map(tuple, op._hubs(posted).collect())) == [(1, 6), (2, 6)]
