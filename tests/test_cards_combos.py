@@ -172,3 +172,23 @@ def test_plain_keys_change_no_entry(spark):
     for r in rows:
         assert r["new"] == r["old"], r["i"]
     assert "key 7" not in rows[-1]["p"] and rows[-1]["p"].count('"k"') >= 3000 and len(rows[-1]["new"]) == 3000
+
+
+def test_boards_are_parsed_once_and_outside_of_the_expansion(spark):
+    full = '{"count":3,"cards":{"a":{"quantity":"2","card":{"name":"A"}},"b":null,"c":{"quantity":4.0,"card":null}}}'
+    docs = spark.createDataFrame([("1", None, "f", full, '{"cards":null}', '{"cards":{}}', "h"), ("2", None, "f", "[1]", "x", None, "h")],
+                                 "id string, lastUpdatedAtUtc timestamp, format string, commanders string, mainboard string, companions string, hubs string")
+    out = decks.board_cards(docs, carry=["hubs"])
+    got = sorted((r["deck_id"], r["card_name"] or "", r["quantity"] or 0, r["type"], r["hubs"]) for r in out.collect())
+    assert got == [("1", "", 0, "Commander", "h"), ("1", "", 4, "Commander", "h"), ("1", "A", 2, "Commander", "h")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    assert not any("Generate" in line and "from_json(" in line for line in plan.splitlines())
+
+
+def test_times_that_end_in_z_are_not_searched_for_offsets(spark):
+    vals = [" 2025-12-19T01:03:53.01Z ", "2025-12-19T01:03:53 Z", "2025-12-19T01:03:53z", "2025-12-19 03:03:53+0200", "2025-12-19T01:03:53+0200Z"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string").select(canonical_ts_text(parse_utc("s")).alias("t"), parse_utc("s").alias("p"))
+    got = [r["t"] for r in df.collect()]
+    assert got == ["2025-12-19 01:03:53"] * 2 + [None, "2025-12-19 01:03:53", None]    # the cast knows no "z"
+    assert "EndsWith(" in df._jdf.queryExecution().optimizedPlan().toString()

@@ -89,3 +89,20 @@ def test_models_by_format_read_stored_boards(spark):
         plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
         # lineitem, part and orders are joined once, not in the tasks of the models
         assert "l_orderkey" not in plan and "deck_id" in plan, name
+
+
+def test_boards_without_cards_are_written_as_a_constant(spark, scratch):
+    d = os.path.join(scratch, "feed")
+    spark.createDataFrame([(1, 7, 3, 1, 4.0, None), (1, 8, 3, 4, -2.0, None), (1, 7, 3, 5, None, None)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_shipdate timestamp") \
+         .write.parquet(f"{d}/lineitem.parquet")
+    spark.createDataFrame([(7, 'a "b', "SMALL", "B", 1, 1.0), (8, None, "SMALL", "B", 1, 1.0)],
+                          "p_partkey long, p_name string, p_type string, p_brand string, p_size int, p_retailprice double") \
+         .write.parquet(f"{d}/part.parquet")
+    docs = star.deck_documents(spark, d)
+    r = docs.first()
+    assert r["commanders"] == '{"count":1,"cards":{"1-7-3":{"quantity":4,"card":{"name":"a \\"b"}}}}'
+    assert r["companions"] == star.NO_CARDS
+    entries = ['"4-8-3":{"quantity":-2,"card":{}}', '"5-7-3":{"card":{"name":"a \\"b"}}']
+    assert r["mainboard"] in ['{"count":2,"cards":{' + ",".join(e) + "}}" for e in (entries, entries[::-1])]
+    assert star.NO_CARDS in docs._jdf.queryExecution().optimizedPlan().toString()
