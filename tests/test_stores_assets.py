@@ -216,3 +216,23 @@ def test_models_are_built_from_parsed_decks(spark, monkeypatch):
     monkeypatch.setattr(registry, "build_format", build)
     registry.q_models_built_incrementally(spark, SF_SMALL)
     assert len(plans) == 2 and all("parquet" in p and "json" not in p for p in plans)
+
+
+def test_second_build_parses_its_batch_once(spark, scratch, monkeypatch):
+    from deckframe.plans import formats, registry, star
+    feed = os.path.join(scratch, "feed")
+    star.deck_feed(spark, SF_SMALL).write.text(feed)
+    landed = read_decks(spark, feed).select(*formats.DECK_COLUMNS)
+    plans, upserted = [], formats.decks.upsert_board
+
+    def upsert_board(target, batch, by=()):
+        plans.append(batch._jdf.queryExecution().optimizedPlan().toString())
+        return upserted(target, batch, by)
+
+    monkeypatch.setattr(formats.decks, "upsert_board", upsert_board)
+    early = F.col("lastUpdatedAtUtc") < F.lit(registry.ORDERS_LOADED_BEFORE).cast("timestamp")
+    for part in (landed.filter(early), landed):
+        out = formats.build_format(spark, part, star.collection_export(spark, SF_SMALL), star.printings(spark, SF_SMALL), star.printings(spark, SF_SMALL),
+                                   os.path.join(scratch, "tables"), size=44, budget=60, incremental=True)
+    assert [p.count("from_json(") for p in plans] == [1, 0]
+    assert out["board_cards"].count() > 0 and out["deck_details"].count() > 0
