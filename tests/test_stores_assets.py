@@ -236,3 +236,40 @@ def test_second_build_parses_its_batch_once(spark, scratch, monkeypatch):
                                    os.path.join(scratch, "tables"), size=44, budget=60, incremental=True)
     assert [p.count("from_json(") for p in plans] == [1, 0]
     assert out["board_cards"].count() > 0 and out["deck_details"].count() > 0
+
+
+def test_documents_are_read_as_sent_without_new_names(spark, scratch, monkeypatch):
+    from deckframe.sources import readers
+    card = lambda name: '{"quantity": 1.0, "card":{"name":"' + name + '", "set":":" } }'
+    board = lambda *keys: '{ "count":1,\t"cards" : {' + ",".join(f'{k} : {card("x")}' for k in keys) + "} }"
+    lines = [
+        '{"id":"a","hubs":[{"n" :1.50}, "x"],"boards":{"mainboard":' + board('"1-2"', '"1-2"', '"é{},"', '":"', '""') + ',"tokens":{}}}',
+        '{"id":"b", "other":{"id":"no","boards":1},"boards":{"other":{"mainboard":{"q":1}},"mainboard":' + board('"a\\"b"', '"\\u0069d"', '"n"') + "}}",
+        '{"id":"c","createdByUser":{"u": 1.0, "v":{"w" : [ {"x":-0} ]}},"name":{"first" : "é"},"description":1.50,"colors":[{"r" :1.0},"W",null]}',
+        '{"id":"d","description":"{\\"a\\":1, \\"k\\":\\"v\\"} \\\\","likeCount":"x","autoBracket":1,"viewCount":7,"createdByUser":"{\\"u\\":1}"}',
+        "{'id':'e','boards':{'mainboard':{'a\"b\":':1,\"c\":2}}}", '{"id":"f","x":\'"y":1\',"createdByUser":{"a":1}}',
+        '{"id":"g","createdByUser":{"a":1},"boards":{"mainboard":{"cards":{"k":', '{"id":"h","a":,"name":"n"}', '{"id":"i" "a":1}', '{"id":"j","a":"b":1,"name":"n"}',
+        '[{"id":"k","x":1},{"id":"l","createdByUser":{"y":2}}]', "", "  ", "null", '"x":1', '{"id":"m"} {"id":"n"}', "x", '["a":1]',
+        '{"id":"o","createdByUser":{"a\x01b":1, "c":2}}', '{"id":"p","' + "n" * 60_000 + '":1,"name":"n"}', '{"id":"q","createdByUser":{"' + "n" * 1200 + '":1}}',
+        '{"createdByUser":{"a":1},"createdByUser":{"b" : 2},"id":"r","id":"s"}', '{"id":"t","boards":null}', '{"id":"u","boards":[1]}',
+        '{"id":"v","boards":{"mainboard":{"cards":{' + ",".join(f'"{i} k":{{"z{i}": {i}}}' for i in range(4000)) + "}}}}"]
+    path = os.path.join(scratch, "decks.json")
+    with open(path, "wb") as f:
+        f.write("\n".join(lines).encode() + b'\n{"id":"w","createdByUser":{"\xff":1}}\n{"id":"x","createdByUser":{"a":"\xe9"}}\r\n{"id":"y","createdByUser":{"a": 1}}\r{"id":"z"}')
+    got = read_decks(spark, path)
+    want = readers.flatten_decks(spark.read.schema(readers.DECK_DOC_SCHEMA).json(path))
+    assert got.dtypes == want.dtypes
+    rows = got.collect()
+    assert len(rows) > 25
+    for r, w in zip(rows, want.collect(), strict=True):
+        assert r == w
+    copies, write = [], DataFrameWriter.text
+    monkeypatch.setattr(DataFrameWriter, "text", lambda self, p, *a, **k: copies.append(p) or write(self, p, *a, **k))
+    read_decks(spark, path)
+    copied = {r[0] for r in spark.read.text(copies[0]).collect()}
+    assert not any('"3999 k":' in c for c in copied) and any('"3999 k","' in c for c in copied)
+    # folders that are columns
+    part = os.path.join(scratch, "parts")
+    spark.createDataFrame([('{"id":"a","boards":{"mainboard":{"k":1}}}', "x")], "value string, format string").write.partitionBy("format").text(part)
+    r = read_decks(spark, part).first()
+    assert (r["id"], r["format"], r["mainboard"]) == ("a", "x", '{"k":1}')
